@@ -82,7 +82,9 @@ def with_pieces(df: DataFrame, keys: Sequence[str], order0: str, bounds: DataFra
 
 def _window_expr(how: str, c: str, w: Window, reverse: bool, exclusive: bool) -> Column:
     if how == "last":
-        return (F.lead(c, 1) if reverse else F.lag(c, 1)).over(w)
+        # wrapped so a null value is told apart from "no neighbour"
+        sc = F.struct(F.col(c).alias("v"))
+        return (F.lead(sc, 1) if reverse else F.lag(sc, 1)).over(w)
     lo, hi = ((1 if exclusive else 0), Window.unboundedFollowing) if reverse else \
         (Window.unboundedPreceding, (-1 if exclusive else 0))
     fw = w.rowsBetween(lo, hi)
@@ -108,7 +110,8 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
         w = Window.partitionBy(*part).orderBy(*o)
         out = df
         for name, (how, c) in specs.items():
-            out = out.withColumn(name, _window_expr(how, c, w, reverse, exclusive))
+            e = _window_expr(how, c, w, reverse, exclusive)
+            out = out.withColumn(name, e.getField("v") if how == "last" else e)
         return out
 
     seg = with_pieces(df, k, o[0], bounds)
@@ -127,7 +130,7 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
             aggs.append(F.count(F.lit(1)).alias(f"_p_{name}"))
         elif how == "last":
             pick = F.min_by if reverse else F.max_by
-            aggs.append(pick(F.col(c), ordstruct).alias(f"_p_{name}"))
+            aggs.append(pick(F.struct(F.col(c).alias("v")), ordstruct).alias(f"_p_{name}"))
         else:
             aggs.append(getattr(F, how)(c).alias(f"_p_{name}"))
     per = hot_rows_df.groupBy(*part, "_seg").agg(*aggs)
@@ -159,6 +162,34 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
         elif how == "max":
             e = F.greatest(lc, cc)
         else:  # last
-            e = F.coalesce(lc, cc)
-        out = out.withColumn(name, e.cast(df.schema[_c].dataType) if how in ("min", "max", "last") and _c in df.columns else e)
+            e = F.coalesce(lc, cc).getField("v")
+        out = out.withColumn(name, e)
     return out.drop("_seg", *[f"_l_{n}" for n in specs], *[f"_c_{n}" for n in specs])
+
+
+def global_rank(df: DataFrame, order: str | Sequence[str], name: str = "rank",
+                buckets: int = 200) -> DataFrame:
+    """0-based rank of every row in a global order without a single-partition window.
+
+    Bucketed scan: <= ``buckets`` approximate quantiles of the leading order
+    column (scalars to the driver), a deterministic bucket column, row
+    counts per bucket prefix-summed on a <= ``buckets``-row table that is
+    broadcast back, and row_number inside each bucket.
+    """
+    o = cols(order)
+    tmp = df.withColumn("_x", _numeric_order(df, o[0]))
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(v for v in tmp.approxQuantile("_x", probs, 0.5 / buckets) if v is not None))
+    if bounds:
+        arr = F.array(*[F.lit(float(v)) for v in bounds])
+        tmp = tmp.withColumn("_bk", F.coalesce(F.size(F.filter(arr, lambda e: e <= F.col("_x"))), F.lit(0)))
+    else:
+        tmp = tmp.withColumn("_bk", F.lit(0))
+    counts = tmp.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
+    # <= buckets rows: a global window over this tiny table is fine
+    off = counts.select("_bk", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    w = Window.partitionBy("_bk").orderBy(*o)
+    return (tmp.join(F.broadcast(off), "_bk")
+               .withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
+               .drop("_x", "_bk", "_off"))

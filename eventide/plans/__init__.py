@@ -30,7 +30,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load_bindings() -> None:
-    from . import features, sequences  # noqa: F401
+    from . import features, logs, sequences  # noqa: F401
 
 
 _load_bindings()
