@@ -193,3 +193,28 @@ def global_rank(df: DataFrame, order: str | Sequence[str], name: str = "rank",
     return (tmp.join(F.broadcast(off), "_bk")
                .withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
                .drop("_x", "_bk", "_off"))
+
+
+def global_prefix_sum(df: DataFrame, order: str | Sequence[str], value: str, name: str,
+                      exclusive: bool = True, buckets: int = 200) -> DataFrame:
+    """Running sum of ``value`` in a global order (bucketed scan, no global window).
+
+    Same bucketing as ``global_rank``; the carry per bucket is the sum of
+    all earlier buckets, computed on a <= ``buckets``-row table.
+    """
+    o = cols(order)
+    tmp = df.withColumn("_x", _numeric_order(df, o[0]))
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(v for v in tmp.approxQuantile("_x", probs, 0.5 / buckets) if v is not None))
+    if bounds:
+        arr = F.array(*[F.lit(float(v)) for v in bounds])
+        tmp = tmp.withColumn("_bk", F.coalesce(F.size(F.filter(arr, lambda e: e <= F.col("_x"))), F.lit(0)))
+    else:
+        tmp = tmp.withColumn("_bk", F.lit(0))
+    tot = tmp.groupBy("_bk").agg(F.sum(value).alias("_s"))
+    off = tot.select("_bk", F.coalesce(F.sum("_s").over(
+        Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    w = Window.partitionBy("_bk").orderBy(*o).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    return (tmp.join(F.broadcast(off), "_bk")
+               .withColumn(name, F.col("_off") + F.coalesce(F.sum(value).over(w), F.lit(0)))
+               .drop("_x", "_bk", "_off"))
