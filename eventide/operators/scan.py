@@ -167,6 +167,21 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
     return out.drop("_seg", *[f"_l_{n}" for n in specs], *[f"_c_{n}" for n in specs])
 
 
+def _is_numeric_like(df: DataFrame, c: str) -> bool:
+    t = df.schema[c].dataType
+    return isinstance(t, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType))
+
+
+def _sorted_rank(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Global rank for non-numeric sort keys: Spark's range-partitioned
+    sort, then per-partition offsets from one count pass (zipWithIndex)."""
+    spark = df.sparkSession
+    srt = df.orderBy(*order)
+    schema = T.StructType([*srt.schema.fields, T.StructField(name, T.LongType(), False)])
+    rdd = srt.rdd.zipWithIndex().map(lambda p: (*p[0], p[1]))
+    return spark.createDataFrame(rdd, schema)
+
+
 def global_rank(df: DataFrame, order: str | Sequence[str], name: str = "rank",
                 buckets: int = 200) -> DataFrame:
     """0-based rank of every row in a global order without a single-partition window.
@@ -177,6 +192,8 @@ def global_rank(df: DataFrame, order: str | Sequence[str], name: str = "rank",
     broadcast back, and row_number inside each bucket.
     """
     o = cols(order)
+    if not _is_numeric_like(df, o[0]):
+        return _sorted_rank(df, o, name)
     tmp = df.withColumn("_x", _numeric_order(df, o[0]))
     probs = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(v for v in tmp.approxQuantile("_x", probs, 0.5 / buckets) if v is not None))

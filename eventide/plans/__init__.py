@@ -30,7 +30,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load_bindings() -> None:
-    from . import features, logs, ml, sequences  # noqa: F401
+    from . import features, graphs, logs, ml, sequences  # noqa: F401
 
 
 _load_bindings()
