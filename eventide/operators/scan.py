@@ -147,9 +147,15 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
         else:
             e = getattr(F, how)(p).over(ws)
         carry = carry.withColumn(f"_c_{name}", e)
-    carry = carry.select(*part, "_seg", *[f"_c_{n}" for n in specs])
+    jk = [*part, "_seg"]
+    carry = carry.select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(jk)], *[f"_c_{n}" for n in specs])
     carry_b, _ = checked_broadcast(carry)
-    out = local.join(carry_b, [*part, "_seg"], "left")
+    # null-safe: a null `by` value is a group of its own, as in the window
+    cond = None
+    for i, c in enumerate(jk):
+        e = local[c].eqNullSafe(carry_b[f"_k_{i}"])
+        cond = e if cond is None else cond & e
+    out = local.join(carry_b, cond, "left").drop(*[f"_k_{i}" for i in range(len(jk))])
     for name, (how, _c) in specs.items():
         lc, cc = F.col(f"_l_{name}"), F.col(f"_c_{name}")
         if how == "sum":
@@ -164,7 +170,7 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
         else:  # last
             e = F.coalesce(lc, cc).getField("v")
         out = out.withColumn(name, e)
-    return out.drop("_seg", *[f"_l_{n}" for n in specs], *[f"_c_{n}" for n in specs])
+    return out.select(*df.columns, *[n for n in specs if n not in df.columns])
 
 
 def _is_numeric_like(df: DataFrame, c: str) -> bool:

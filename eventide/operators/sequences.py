@@ -162,7 +162,7 @@ def min_covering_span(df: DataFrame, keys, order, item: str, need: Mapping[str,
             out = out.withColumn(f"_a{i}", F.when(F.col(item) == c, F.lag("pos", n - 1).over(w)))
         out = running(out, k, order, {f"_L{i}": ("max", f"_a{i}")})
     lefts = [F.col(f"_L{i}") for i in range(len(need))]
-    left = F.least(*lefts)
+    left = F.least(*lefts) if len(lefts) > 1 else lefts[0]
     valid = F.lit(True)
     for c in lefts:
         valid = valid & c.isNotNull()
