@@ -6,12 +6,11 @@ ordering uses running scans, so hot keys are split into pieces.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cols
-from .scan import running
+from .scan import hot_pieces, running
 
 
 def merge_intervals(df: DataFrame, keys, start: str, end: str) -> DataFrame:
@@ -19,10 +18,11 @@ def merge_intervals(df: DataFrame, keys, start: str, end: str) -> DataFrame:
     k = cols(keys)
     base = df.select(*k, start, end)
     # a total order: (start, end) ties are harmless for the max-end scan
-    m = running(base, k, [start, end], {"_pmax": ("max", end)}, exclusive=True)
+    b = hot_pieces(base, k, start)
+    m = running(base, k, [start, end], {"_pmax": ("max", end)}, exclusive=True, bounds=b)
     m = m.withColumn("_new", F.when(F.col("_pmax").isNull() | (F.col(start) > F.col("_pmax")), 1)
                               .otherwise(0))
-    isl = running(m, k, [start, end], {"_island": ("sum", "_new")})
+    isl = running(m, k, [start, end], {"_island": ("sum", "_new")}, bounds=b)
     return (isl.groupBy(*k, "_island")
                .agg(F.min(start).alias(start), F.max(end).alias(end))
                .drop("_island"))
@@ -43,26 +43,9 @@ def max_concurrency(df: DataFrame, keys, start: str, end: str) -> DataFrame:
 def min_removals(df: DataFrame, keys, start: str, end: str) -> DataFrame:
     """Fewest intervals to drop so the rest do not overlap (touching is fine).
 
-    Greedy by earliest end is order-dependent, so each key is folded in a
-    grouped map (sorted Arrow batch per key).
+    Greedy by earliest end is order-dependent: each key's intervals are
+    streamed in (end, start) order with state (last kept end, kept, seen).
     """
-    k = cols(keys)
-    base = df.select(*k, start, end)
-    schema = base.select(*k).schema.add("min_removals", "long")
-    s_is_ts = base.schema[start].dataType.typeName().startswith("timestamp")
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        s = pdf[start].to_numpy()
-        e = pdf[end].to_numpy()
-        order = sorted(range(len(pdf)), key=lambda i: (e[i], s[i]))
-        kept, last = 0, None
-        for i in order:
-            if last is None or s[i] >= last:
-                kept += 1
-                last = e[i]
-        row = {c: pdf[c].iloc[0] for c in k}
-        row["min_removals"] = len(pdf) - kept
-        return pd.DataFrame([row])
+    from .folds import min_removals_fold
 
-    del s_is_ts
-    return base.groupBy(*k).applyInPandas(fn, schema)
+    return min_removals_fold(df, keys, start, end)

@@ -52,14 +52,21 @@ def _numeric_order(df: DataFrame, c: str) -> Column:
     return F.col(c).cast("double")
 
 
+def hot_key_table(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
+    """Keys holding more than ``hot_rows`` rows (None if there is none).
+    One partial/final count aggregate; no key's rows are gathered."""
+    hot_rows = hot_rows or _conf_int(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows).select(*keys)
+    return None if hot.limit(1).count() == 0 else hot
+
+
 def hot_pieces(df: DataFrame, keys: Sequence[str], order0: str,
                hot_rows: int | None = None, pieces: int | None = None) -> DataFrame | None:
     """Piece boundaries for hot keys: rows (keys..., _bounds array<double>) or None."""
-    hot_rows = hot_rows or _conf_int(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     pieces = pieces or _conf_int(df, PIECES_CONF, DEFAULT_PIECES)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(*keys)
-    if hot.limit(1).count() == 0:
+    hot = hot_key_table(df, keys, hot_rows)
+    if hot is None:
         return None
     hot_b, _ = checked_broadcast(hot)
     fr = [i / pieces for i in range(1, pieces)]
@@ -93,18 +100,24 @@ def _window_expr(how: str, c: str, w: Window, reverse: bool, exclusive: bool) ->
     return getattr(F, how)(c).over(fw)
 
 
+DETECT = object()
+
+
 def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
             specs: Mapping[str, tuple[str, str]], *, by: str | Sequence[str] = (),
             exclusive: bool = False, reverse: bool = False,
-            hot_rows: int | None = None, pieces: int | None = None) -> DataFrame:
+            hot_rows: int | None = None, pieces: int | None = None, bounds=DETECT) -> DataFrame:
     """Add prefix (or suffix when ``reverse``) aggregates per key.
 
     ``specs`` maps output column -> (how, input column).  ``order`` must be
     a total order within (keys, by).  Rows are split into pieces only for
-    keys with more than ``hot_rows`` rows.
+    keys with more than ``hot_rows`` rows.  ``bounds`` passes piece
+    boundaries already computed by ``hot_pieces`` for the same keys and
+    leading order column (None = no hot key), skipping detection.
     """
     k, o, b = cols(keys), cols(order), cols(by)
-    bounds = hot_pieces(df, k, o[0], hot_rows, pieces)
+    if bounds is DETECT:
+        bounds = hot_pieces(df, k, o[0], hot_rows, pieces)
     part = [*k, *b]
     if bounds is None:
         w = Window.partitionBy(*part).orderBy(*o)

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import cols
-from .scan import running
+from .scan import hot_pieces, running
 
 
-def with_position(df: DataFrame, keys, order, name: str = "pos") -> DataFrame:
+def with_position(df: DataFrame, keys, order, name: str = "pos", bounds=None, detect: bool = True) -> DataFrame:
     """0-based position of each row inside its key."""
-    out = running(df, keys, order, {"_cnt": ("count", "_cnt")})
+    kw = {} if detect else {"bounds": bounds}
+    out = running(df, keys, order, {"_cnt": ("count", "_cnt")}, **kw)
     return out.withColumn(name, F.col("_cnt") - 1).drop("_cnt")
 
 
@@ -43,8 +44,9 @@ def max_gain(df: DataFrame, keys, order, v: str) -> DataFrame:
 def fill_depth(df: DataFrame, keys, order, v: str) -> DataFrame:
     """Trapped depth: sum over rows of min(max to the left, max to the right) - v."""
     k = cols(keys)
-    left = running(df, k, order, {"_lmax": ("max", v)})
-    both = running(left, k, order, {"_rmax": ("max", v)}, reverse=True)
+    b = hot_pieces(df, k, cols(order)[0])
+    left = running(df, k, order, {"_lmax": ("max", v)}, bounds=b)
+    both = running(left, k, order, {"_rmax": ("max", v)}, reverse=True, bounds=b)
     return (both.groupBy(*k)
                 .agg(F.sum(F.least("_lmax", "_rmax") - F.col(v)).alias("fill_depth")))
 
@@ -114,8 +116,9 @@ def rollover_point(df: DataFrame, keys, order, v: str) -> DataFrame:
     wrap) and the number of wraps (every counter reset).
     """
     k = cols(keys)
-    pos = with_position(df, k, order)
-    pr = running(pos, k, order, {"_prev": ("last", v)}, exclusive=True)
+    b = hot_pieces(df, k, cols(order)[0])
+    pos = with_position(df, k, order, bounds=b, detect=False)
+    pr = running(pos, k, order, {"_prev": ("last", v)}, exclusive=True, bounds=b)
     wrap = F.col(v) < F.col("_prev")
     first_wrap = F.when(wrap, F.col("pos"))
     return (pr.groupBy(*k)
@@ -128,10 +131,11 @@ def rollover_point(df: DataFrame, keys, order, v: str) -> DataFrame:
 def longest_distinct_run(df: DataFrame, keys, order, item: str) -> DataFrame:
     """Longest contiguous stretch with no repeated item, per key."""
     k = cols(keys)
-    pos = with_position(df, k, order)
-    prev = running(pos, k, order, {"_prev": ("last", "pos")}, by=item, exclusive=True)
+    b = hot_pieces(df, k, cols(order)[0])
+    pos = with_position(df, k, order, bounds=b, detect=False)
+    prev = running(pos, k, order, {"_prev": ("last", "pos")}, by=item, exclusive=True, bounds=b)
     prev = prev.withColumn("_start", F.coalesce(F.col("_prev") + 1, F.lit(0)))
-    left = running(prev, k, order, {"_left": ("max", "_start")})
+    left = running(prev, k, order, {"_left": ("max", "_start")}, bounds=b)
     return (left.groupBy(*k)
                 .agg(F.max(F.col("pos") - F.col("_left") + 1).alias("longest_run")))
 
@@ -146,7 +150,8 @@ def min_covering_span(df: DataFrame, keys, order, item: str, need: Mapping[str,
     anchor over items.  Keys with no covering stretch give no row.
     """
     k = cols(keys)
-    pos = with_position(df, k, order)
+    b = hot_pieces(df, k, cols(order)[0])
+    pos = with_position(df, k, order, bounds=b, detect=False)
     out = pos
     for i, (c, n) in enumerate(need.items()):
         if n < 1:
@@ -155,12 +160,12 @@ def min_covering_span(df: DataFrame, keys, order, item: str, need: Mapping[str,
             anchor = F.when(F.col(item) == c, F.col("pos"))
             out = out.withColumn(f"_a{i}", anchor)
         elif n == 2:
-            out = running(out, k, order, {f"_q{i}": ("last", "pos")}, by=item, exclusive=True)
+            out = running(out, k, order, {f"_q{i}": ("last", "pos")}, by=item, exclusive=True, bounds=b)
             out = out.withColumn(f"_a{i}", F.when(F.col(item) == c, F.col(f"_q{i}"))).drop(f"_q{i}")
         else:
             w = Window.partitionBy(*k, item).orderBy(*cols(order))
             out = out.withColumn(f"_a{i}", F.when(F.col(item) == c, F.lag("pos", n - 1).over(w)))
-        out = running(out, k, order, {f"_L{i}": ("max", f"_a{i}")})
+        out = running(out, k, order, {f"_L{i}": ("max", f"_a{i}")}, bounds=b)
     lefts = [F.col(f"_L{i}") for i in range(len(need))]
     left = F.least(*lefts) if len(lefts) > 1 else lefts[0]
     valid = F.lit(True)
@@ -173,56 +178,64 @@ def min_covering_span(df: DataFrame, keys, order, item: str, need: Mapping[str,
     return best.select(*k, "_b.span_start", "_b.span_end", "_b.span_len")
 
 
-# --- stack-based operators: grouped maps --------------------------------------
-
-def _next_greater_steps(vals) -> list[int]:
-    out = [0] * len(vals)
-    stack: list[int] = []
-    for i, x in enumerate(vals):
-        while stack and vals[stack[-1]] < x:
-            j = stack.pop()
-            out[j] = i - j
-        stack.append(i)
-    return out
+# --- stack-based operators: streamed per key -------------------------------------
+# Each key's rows are streamed in order (``folds.stream_fold``); the state
+# is the monotonic stack, never the key's whole group.
 
 
 def next_greater(df: DataFrame, keys, order, v: str) -> DataFrame:
-    """Steps to the next strictly greater value in the key's order (0 if none)."""
+    """Steps to the next strictly greater value in the key's order (0 if none).
+
+    A row's answer is emitted when a later, greater row pops it from the
+    stack; rows still on the stack when the key ends get 0.
+    """
+    from .folds import stream_fold
+
     k = cols(keys)
     pos = with_position(df, k, order).select(*k, "pos", v)
-    schema = T.StructType([*pos.schema.fields, T.StructField("steps", T.LongType())])
+    out = T.StructType([*pos.schema.fields, T.StructField("steps", T.LongType())])
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", kind="stable")
-        pdf["steps"] = _next_greater_steps(pdf[v].tolist())
-        return pdf
+    def step(stack, r):
+        stack = stack if stack is not None else []
+        x, p = r[v], r["pos"]
+        em = []
+        while stack and stack[-1][1] < x:
+            q, qv = stack.pop()
+            em.append((*[r[c] for c in k], q, qv, p - q))
+        stack.append((p, x))
+        return stack, em
 
-    return pos.groupBy(*k).applyInPandas(fn, schema)
+    def finish(stack, key):
+        return [(*key, q, qv, 0) for q, qv in (stack or [])]
 
-
-def _max_rect(vals) -> int:
-    best, stack = 0, []
-    hs = list(vals) + [0]
-    for i, h in enumerate(hs):
-        start = i
-        while stack and stack[-1][1] >= h:
-            s, sh = stack.pop()
-            best = max(best, sh * (i - s))
-            start = s
-        stack.append((start, h))
-    return best
+    return stream_fold(pos, k, ["pos"], step, finish, out)
 
 
 def max_rectangle(df: DataFrame, keys, order, v: str) -> DataFrame:
     """max over i of v_i * (width of the run around i with all values >= v_i)."""
+    from .folds import stream_fold
+
     k = cols(keys)
     pos = with_position(df, k, order).select(*k, "pos", v)
-    schema = pos.select(*k).schema.add("max_rectangle", "long")
+    out = T.StructType([*pos.select(*k).schema.fields, T.StructField("max_rectangle", T.LongType())])
+
+    def push(st, i, h):
+        stack, best = st
+        start = i
+        while stack and stack[-1][1] >= h:
+            s0, sh = stack.pop()
+            best = max(best, sh * (i - s0))
+            start = s0
+        stack.append((start, h))
+        return stack, best
+
+    def step(st, r):
+        st = st if st is not None else ([], 0, 0)
+        stack, best = push((st[0], st[1]), st[2], r[v])
+        return (stack, best, st[2] + 1), []
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", kind="stable")
-        row = {c: pdf[c].iloc[0] for c in k}
-        row["max_rectangle"] = int(_max_rect(pdf[v].tolist()))
-        return pd.DataFrame([row])
+    def finish(st, key):
+        stack, best = push((st[0], st[1]), st[2], 0)
+        return [(*key, int(best))]
 
-    return pos.groupBy(*k).applyInPandas(fn, schema)
+    return stream_fold(pos, k, ["pos"], step, finish, out)

@@ -12,11 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .scan import running
+from .scan import DETECT, hot_key_table, running
 
 MAX_DEPTH = 100_000
 
 
+def _tree_hint(nodes: DataFrame, tree: str):
+    """None when no tree is large enough to need splitting (then every
+    per-level scan skips detection), else DETECT."""
+    return None if hot_key_table(nodes, [tree]) is None else DETECT
+
+
 def _levels(nodes: DataFrame, tree: str, node: str, parent: str, max_depth: int = MAX_DEPTH):
     """Yield (depth, level DataFrame) walking down from the roots (parent null)."""
     cur = cut_lineage(nodes.filter(F.col(parent).isNull()))
@@ -39,12 +45,13 @@ def level_order(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",
     pos at depth d+1 orders children by (parent's pos, own ordinal).
     """
     out, prev = None, None
+    hint = _tree_hint(nodes, tree)
     for depth, lvl in _levels(nodes, tree, node, parent):
         if prev is None:
             keyed = lvl.withColumn("_pp", F.lit(0).cast("bigint"))
         else:
             keyed = lvl.join(prev.select(tree, F.col(node).alias(parent), F.col("pos").alias("_pp")), [tree, parent])
-        ranked = running(keyed, tree, ["_pp", ord_col, node], {"_n": ("count", "_n")})
+        ranked = running(keyed, tree, ["_pp", ord_col, node], {"_n": ("count", "_n")}, bounds=hint)
         cur = cut_lineage(ranked.select(tree, F.lit(depth).cast("bigint").alias("depth"),
                                         (F.col("_n") - 1).alias("pos"), node))
         out = cur if out is None else out.unionByName(cur)
@@ -121,14 +128,15 @@ def encode_trees(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",
     ranks; the string is then assembled per tree.
     """
     out, prev, offset = None, None, None
-    for _depth, lvl in _levels(nodes, tree, node, parent):
+    hint = _tree_hint(nodes, tree)
+    for depth, lvl in _levels(nodes, tree, node, parent):
         if prev is None:
             cur = lvl.select(tree, node, val, F.lit(0).cast("bigint").alias("slot"))
         else:
             p = prev.select(tree, F.col(node).alias(parent), F.col("rank").alias("_prank"))
             cur = lvl.join(p, [tree, parent]).select(
                 tree, node, val, (2 * F.col("_prank") + 1 + F.col(side)).cast("bigint").alias("slot"))
-        ranked = running(cur, tree, ["slot"], {"_n": ("count", "_n")})
+        ranked = running(cur, tree, ["slot"], {"_n": ("count", "_n")}, bounds=hint)
         if offset is None:
             ranked = ranked.withColumn("rank", F.col("_n") - 1)
         else:
@@ -138,7 +146,8 @@ def encode_trees(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",
         cnt = cur.groupBy(tree).agg(F.count(F.lit(1)).alias("_c"))
         offset = cnt.withColumnRenamed("_c", "_off") if offset is None else \
             offset.join(cnt, tree, "full").select(tree, (F.coalesce("_off", F.lit(0)) + F.coalesce("_c", F.lit(0))).alias("_off"))
-        offset = cut_lineage(offset)
+        if depth % 8 == 7:
+            offset = cut_lineage(offset)
         out = cur if out is None else out.unionByName(cur)
         prev = cur
     per = out.groupBy(tree).agg(F.max("slot").alias("_m"),

@@ -60,6 +60,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
+    """Reliable checkpoint into the shared checkpoint dir (survives executor loss).
+
+    The input is persisted first so that writing the checkpoint does not
+    recompute it (an eager checkpoint otherwise runs the plan twice); the
+    cache is dropped once the checkpoint files exist.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist()
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
