@@ -27,28 +27,32 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     """Component id (= smallest node id) per node of an undirected graph.
 
     Alternating large-star / small-star rounds (Kiveris et al., 2014):
-    O(log n) rounds, each a min-aggregate and a join; the edge set shrinks
-    to one star per component.  ``nodes`` adds isolated nodes.
+    O(log n) rounds; the edge set shrinks to one star per component.
+    Large-star emits (v, m) with v > m only, which is exactly the
+    "smaller neighbours" input small-star needs, so a round is: a grouped
+    min and join on a table already partitioned by its first column, one
+    repartition of the large-star output, another grouped min and join,
+    and one repartition of the symmetric result.  ``nodes`` adds isolated
+    nodes.
     """
     e = edges.select(F.col(src).cast("bigint").alias("u"), F.col(dst).cast("bigint").alias("v")) \
              .filter(F.col("u") != F.col("v"))
-    d = cut_lineage(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    # repartition by u first: that clustering already satisfies distinct on (u, v)
+    d = cut_lineage(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+                     .repartition("u").distinct())
     prev = _checksum(d, "u", "v")
     for _ in range(max_rounds):
-        # large star: connect every larger neighbour of u to the smallest of u's closed neighbourhood
+        # large star: every larger neighbour of u links to the smallest of u's closed neighbourhood
         m = d.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        ls = d.filter(F.col("v") > F.col("u")).join(m, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        ls = ls.unionByName(ls.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct() \
-               .select(F.col("a").alias("u"), F.col("b").alias("v"))
-        # small star: connect u and its smaller neighbours to the smallest of them
-        low = ls.filter(F.col("v") < F.col("u"))
+        low = (d.filter(F.col("v") > F.col("u")).join(m, "u")
+                .select(F.col("v").alias("u"), F.col("m").alias("v")).repartition("u").distinct())
+        # small star: u and its smaller neighbours link to the smallest of them
         m2 = low.groupBy("u").agg(F.min("v").alias("m"))
         ss = (low.join(m2, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
                  .unionByName(m2.select(F.col("u").alias("a"), F.col("m").alias("b")))
                  .filter(F.col("a") != F.col("b")))
-        ss = ss.unionByName(ss.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct() \
-               .select(F.col("a").alias("u"), F.col("b").alias("v"))
-        d = cut_lineage(ss)
+        both = ss.unionByName(ss.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        d = cut_lineage(both.select(F.col("a").alias("u"), F.col("b").alias("v")).repartition("u").distinct())
         cur = _checksum(d, "u", "v")
         if cur == prev:
             break
@@ -199,27 +203,23 @@ def pair_distance(edges: DataFrame | None, pairs: DataFrame, src: str = "src", d
     todo = p.filter(F.col("start") != F.col("end"))
     ff = cut_lineage(todo.select("pair_id", F.col("start").alias("node"), F.lit(0).cast("bigint").alias("df")))
     fb = cut_lineage(todo.select("pair_id", F.col("end").alias("node"), F.lit(0).cast("bigint").alias("db")))
-    vf, vb = [ff], [fb]
     pf = pb = None
     found = [same]
     for r in range(1, max_rounds + 1):
         nf = cut_lineage(step(ff, pf, e).withColumn("df", F.lit(r).cast("bigint")))
         nb = cut_lineage(step(fb, pb, e).withColumn("db", F.lit(r).cast("bigint")))
-        vf.append(nf)
-        vb.append(nb)
-        allf = vf[0]
-        for x in vf[1:]:
-            allf = allf.unionByName(x)
-        allb = vb[0]
-        for x in vb[1:]:
-            allb = allb.unionByName(x)
-        meet = (nf.join(allb, ["pair_id", "node"]).select("pair_id", (F.col("df") + F.col("db")).alias("d"))
-                  .unionByName(allf.join(nb, ["pair_id", "node"]).select("pair_id", (F.col("df") + F.col("db")).alias("d"))))
-        hit = cut_lineage(meet.groupBy("pair_id").agg(F.min("d").alias("dist")))
+        # Only the two newest layers of each side can meet for the first time
+        # now: if nf met an older backward layer b_j (j <= r - 2), the node one
+        # step closer to the start on that path would have met in round r - 1.
+        meet = nf.join(nb, ["pair_id", "node"]).select("pair_id", (F.col("df") + F.col("db")).alias("d"))
+        meet = meet.unionByName(nf.join(fb, ["pair_id", "node"])
+                                  .select("pair_id", (F.col("df") + F.col("db")).alias("d")))
+        meet = meet.unionByName(ff.join(nb, ["pair_id", "node"])
+                                  .select("pair_id", (F.col("df") + F.col("db")).alias("d")))
+        hit = meet.groupBy("pair_id").agg(F.min("d").alias("dist"))
         found.append(hit)
-        alive = nf.select("pair_id").distinct().join(nb.select("pair_id").distinct(), "pair_id") \
-                  .join(hit.select("pair_id"), "pair_id", "left_anti")
-        alive = cut_lineage(alive)
+        alive = cut_lineage(nf.select("pair_id").distinct().join(nb.select("pair_id").distinct(), "pair_id")
+                              .join(hit.select("pair_id"), "pair_id", "left_anti"))
         if alive.limit(1).count() == 0:
             break
         pf, pb = ff, fb

@@ -191,14 +191,12 @@ def _is_numeric_like(df: DataFrame, c: str) -> bool:
     return isinstance(t, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
-def _sorted_rank(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Global rank for non-numeric sort keys: Spark's range-partitioned
-    sort, then per-partition offsets from one count pass (zipWithIndex)."""
-    spark = df.sparkSession
-    srt = df.orderBy(*order)
-    schema = T.StructType([*srt.schema.fields, T.StructField(name, T.LongType(), False)])
-    rdd = srt.rdd.zipWithIndex().map(lambda p: (*p[0], p[1]))
-    return spark.createDataFrame(rdd, schema)
+def _prefix_key(c: str) -> Column:
+    """Order-preserving numeric proxy of a string: its first 7 UTF-8 bytes
+    as a big-endian integer (Spark compares strings bytewise, so this is
+    monotone in the string order; ties are broken inside a bucket)."""
+    hx = F.rpad(F.hex(F.substring(F.encode(F.col(c), "UTF-8"), 1, 7)), 14, "0")
+    return F.conv(hx, 16, 10).cast("double")
 
 
 def global_rank(df: DataFrame, order: str | Sequence[str], name: str = "rank",
@@ -211,9 +209,8 @@ def global_rank(df: DataFrame, order: str | Sequence[str], name: str = "rank",
     broadcast back, and row_number inside each bucket.
     """
     o = cols(order)
-    if not _is_numeric_like(df, o[0]):
-        return _sorted_rank(df, o, name)
-    tmp = df.withColumn("_x", _numeric_order(df, o[0]))
+    lead = _numeric_order(df, o[0]) if _is_numeric_like(df, o[0]) else _prefix_key(o[0])
+    tmp = df.withColumn("_x", lead)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(v for v in tmp.approxQuantile("_x", probs, 0.5 / buckets) if v is not None))
     if bounds:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cols
 from ..session import cut_lineage
-from .graphs import pair_distance
+from .graphs import connected_components, pair_distance
 from .scan import checked_broadcast, running
 
 # HTML void elements (never closed), per the HTML standard.
@@ -108,6 +108,24 @@ def _patterns(df: DataFrame, word: str) -> DataFrame:
         .alias("pattern"))
 
 
+def word_components(hubs: DataFrame) -> DataFrame:
+    """(node, component) for the graph where nodes sharing a hub are linked.
+
+    Nodes and hubs get ids from ``monotonically_increasing_id`` fixed by a
+    checkpoint (so a recomputation cannot renumber them), then the
+    bipartite node-hub graph goes through ``connected_components``.
+    """
+    names = (hubs.select(F.concat(F.lit("n:"), "node").alias("s"))
+                 .unionByName(hubs.select(F.concat(F.lit("h:"), "hub").alias("s"))).distinct())
+    ids = cut_lineage(names.withColumn("id", F.monotonically_increasing_id()))
+    e = (hubs.select(F.concat(F.lit("n:"), "node").alias("a"), F.concat(F.lit("h:"), "hub").alias("b"))
+             .join(ids.select(F.col("s").alias("a"), F.col("id").alias("src")), "a")
+             .join(ids.select(F.col("s").alias("b"), F.col("id").alias("dst")), "b"))
+    comp = connected_components(e.select("src", "dst"))
+    words = ids.filter(F.col("s").startswith("n:")).select(F.expr("substring(s, 3)").alias("node"), "id")
+    return words.join(comp.select(F.col("node").alias("id"), "component"), "id").select("node", "component")
+
+
 def word_ladder(words: DataFrame, pairs: DataFrame, word: str = "word", max_rounds: int = 10_000) -> DataFrame:
     """Number of words in the shortest one-letter-change chain begin -> end
     for each (pair_id, begin, end); 0 when end is not in the list or
@@ -124,6 +142,13 @@ def word_ladder(words: DataFrame, pairs: DataFrame, word: str = "word", max_roun
     in_list = vocab.select(F.col("w").alias("end")).withColumn("_in", F.lit(True))
     ask = pairs.join(in_list, "end", "left").filter(F.col("_in").isNotNull()) \
         .select("pair_id", F.col("begin").alias("start"), "end")
+    # Pairs whose ends lie in different components of the word graph are
+    # unreachable: settle them with one connected-components job (O(log n)
+    # rounds) instead of letting both searches exhaust their components.
+    comp = word_components(hubs)
+    cs = comp.select(F.col("node").alias("start"), F.col("component").alias("_cs"))
+    ce = comp.select(F.col("node").alias("end"), F.col("component").alias("_ce"))
+    ask = ask.join(cs, "start").join(ce, "end").filter(F.col("_cs") == F.col("_ce")).drop("_cs", "_ce")
     dist = pair_distance(None, ask, hubs=hubs, max_rounds=max_rounds).select("pair_id", "dist")
     out = pairs.join(in_list, "end", "left").join(dist, "pair_id", "left")
     n = F.when(F.col("begin") == F.col("end"), F.lit(1)) \
