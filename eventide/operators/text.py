@@ -22,10 +22,15 @@ RAW_TEXT = ("script", "style")
 TOKEN_SPLIT = "[^A-Za-z]+"
 
 
-def tokens(df: DataFrame, text: str, keep=(), out: str = "word") -> DataFrame:
-    """Lower-case a-z tokens of every text (ASCII letters only), one row each."""
-    return (df.select(*cols(keep), F.explode(F.split(F.col(text), TOKEN_SPLIT)).alias(out))
-              .filter(F.col(out) != "").withColumn(out, F.lower(out)))
+def tokens(df: DataFrame, text: str, keep=(), out: str = "word", pos: str | None = None) -> DataFrame:
+    """Lower-case a-z tokens of every text (ASCII letters only), one row
+    each; with ``pos`` also the token's position in its text."""
+    parts = F.split(F.col(text), TOKEN_SPLIT)
+    if pos:
+        t = df.select(*cols(keep), F.posexplode(parts).alias(pos, out))
+    else:
+        t = df.select(*cols(keep), F.explode(parts).alias(out))
+    return t.filter(F.col(out) != "").withColumn(out, F.lower(out))
 
 
 def anagram_key(c) -> F.Column:
@@ -54,19 +59,46 @@ def _deletion_keys(df: DataFrame, word: str, d: int) -> DataFrame:
     return out
 
 
+def _one_edit_keys(df: DataFrame, word: str) -> DataFrame:
+    """(word, key, pos): the word itself (pos -1) and each single deletion
+    tagged with the deleted position."""
+    dels = (df.select(word, F.explode(F.sequence(F.lit(1), F.greatest(F.length(word), F.lit(1)))).alias("pos"))
+              .filter(F.length(word) > 0)
+              .select(word, F.concat(F.substring(word, 1, F.col("pos") - 1),
+                                     F.expr(f"substring(`{word}`, pos + 1)")).alias("key"), "pos"))
+    return df.select(word, F.col(word).alias("key"), F.lit(-1).alias("pos")).unionByName(dels)
+
+
 def fuzzy_join(left: DataFrame, right: DataFrame | None, max_dist: int = 1, word: str = "word") -> DataFrame:
     """Pairs within Levenshtein distance ``max_dist``.
 
-    Blocking by deletion neighbourhoods is exact: two strings within
-    distance d share a string reachable from both by <= d deletions.  The
-    candidates sharing a key are then verified with levenshtein(a, b, d).
-    With ``right`` None it is a self-join returning pairs a < b.
+    Distance 1 is keyed so that every candidate is a true match:
+    substitutions share (deletion, position); an insertion pairs the
+    shorter word itself with a deletion of the longer one.  A key group
+    then only holds words that are pairwise at distance exactly 1, so the
+    work is proportional to the output.  Larger distances use deletion
+    neighbourhoods (exact, with candidates verified by
+    ``levenshtein(a, b, d)``).  With ``right`` None it is a self-join
+    returning pairs a < b.
     """
     l = left.select(F.col(word).alias("a")).distinct()
     r = (right if right is not None else left).select(F.col(word).alias("b")).distinct()
-    lk = _deletion_keys(l, "a", max_dist)
-    rk = _deletion_keys(r, "b", max_dist)
-    cand = lk.join(rk, "key").select("a", "b").distinct()
+    if max_dist == 0:
+        cand = l.join(r, l["a"] == r["b"])
+    elif max_dist == 1:
+        lk = _one_edit_keys(l, "a").withColumnRenamed("pos", "pa")
+        rk = _one_edit_keys(r, "b").withColumnRenamed("pos", "pb")
+        same = lk.filter(F.col("pa") >= 0).join(rk.filter(F.col("pb") >= 0), "key") \
+            .filter(F.col("pa") == F.col("pb"))
+        ins = lk.filter(F.col("pa") < 0).join(rk.filter(F.col("pb") >= 0), "key")
+        dele = lk.filter(F.col("pa") >= 0).join(rk.filter(F.col("pb") < 0), "key")
+        exact = l.join(r, l["a"] == r["b"])
+        cand = (same.select("a", "b").unionByName(ins.select("a", "b")).unionByName(dele.select("a", "b"))
+                    .unionByName(exact.select("a", "b")).distinct())
+    else:
+        lk = _deletion_keys(l, "a", max_dist)
+        rk = _deletion_keys(r, "b", max_dist)
+        cand = lk.join(rk, "key").select("a", "b").distinct()
     if right is None:
         cand = cand.filter(F.col("a") < F.col("b"))
     dist = F.levenshtein("a", "b", max_dist)

@@ -78,16 +78,89 @@ def ancestors(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id", pa
     return out
 
 
+def jump_tables(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",
+                parent: str = "parent_id", max_levels: int = 64) -> list[DataFrame]:
+    """Binary-lifting tables: ``up[k]`` = (tree, v, a) with a the 2^k-th
+    ancestor of v.  O(log depth) self-joins, n rows per level at most."""
+    up0 = cut_lineage(nodes.filter(F.col(parent).isNotNull())
+                           .select(tree, F.col(node).alias("v"), F.col(parent).alias("a")))
+    up = [up0]
+    for _ in range(max_levels):
+        x, y = up[-1].alias("x"), up[-1].alias("y")
+        nxt = cut_lineage(x.join(y, (F.col("x.a") == F.col("y.v")) & (F.col(f"x.{tree}") == F.col(f"y.{tree}")))
+                           .select(F.col(f"x.{tree}").alias(tree), F.col("x.v").alias("v"), F.col("y.a").alias("a")))
+        if nxt.limit(1).count() == 0:
+            return up
+        up.append(nxt)
+    raise RuntimeError("tree deeper than 2^max_levels (or a cycle)")
+
+
+def depths(nodes: DataFrame, up: list[DataFrame], tree: str = "tree_id", node: str = "node_id") -> DataFrame:
+    """(tree, v, depth) by jumping from each node with the largest steps first."""
+    cur = nodes.select(tree, F.col(node).alias("v"), F.col(node).alias("_c"), F.lit(0).cast("bigint").alias("depth"))
+    for k in range(len(up) - 1, -1, -1):
+        t = up[k].select(tree, F.col("v").alias("_c"), F.col("a").alias("_a"))
+        cur = cut_lineage(cur.join(t, [tree, "_c"], "left")
+                             .select(tree, "v", F.coalesce("_a", "_c").alias("_c"),
+                                     (F.col("depth") + F.when(F.col("_a").isNotNull(), F.lit(1 << k))
+                                      .otherwise(F.lit(0))).alias("depth")))
+    return cur.select(tree, "v", "depth")
+
+
+def _step(df: DataFrame, t: DataFrame, tree: str, col: str, when) -> DataFrame:
+    """Replace ``col`` by its ancestor from table t where ``when`` holds."""
+    j = df.join(t.select(tree, F.col("v").alias(col), F.col("a").alias("_up")), [tree, col], "left")
+    return j.withColumn(col, F.when(when & F.col("_up").isNotNull(), F.col("_up")).otherwise(F.col(col))).drop("_up")
+
+
 def lca(nodes: DataFrame, pairs: DataFrame, tree: str = "tree_id", node: str = "node_id",
         parent: str = "parent_id") -> DataFrame:
-    """Lowest common ancestor per (tree, a, b) pair; a node may be its own
-    ancestor; null when a node is missing or they share no ancestor."""
-    anc = ancestors(nodes, tree, node, parent)
-    a = anc.select(tree, F.col(node).alias("a"), "ancestor", "anc_depth")
-    b = anc.select(tree, F.col(node).alias("b"), "ancestor")
-    common = pairs.select(tree, "a", "b").join(a, [tree, "a"]).join(b, [tree, "b", "ancestor"])
-    best = common.groupBy(tree, "a", "b").agg(F.max_by("ancestor", "anc_depth").alias("lca"))
-    return pairs.select(tree, "a", "b").join(best, [tree, "a", "b"], "left")
+    """Lowest common ancestor per (tree, a, b) pair by binary lifting; a
+    node may be its own ancestor; null when a node is missing or the two
+    share no ancestor.  O(log depth) rounds of equi-joins, no ancestor
+    closure (which would be quadratic for a chain)."""
+    up = jump_tables(nodes, tree, node, parent)
+    dep = depths(nodes, up, tree, node)
+    p = (pairs.select(tree, "a", "b")
+              .join(dep.select(tree, F.col("v").alias("a"), F.col("depth").alias("_da")), [tree, "a"], "left")
+              .join(dep.select(tree, F.col("v").alias("b"), F.col("depth").alias("_db")), [tree, "b"], "left"))
+    deeper = F.col("_da") >= F.col("_db")
+    w = p.select(tree, "a", "b", "_da", "_db",
+                 F.when(deeper, F.col("a")).otherwise(F.col("b")).alias("_x"),
+                 F.when(deeper, F.col("b")).otherwise(F.col("a")).alias("_y"),
+                 F.abs(F.col("_da") - F.col("_db")).alias("_diff"))
+    for k in range(len(up)):  # lift the deeper node by the depth difference
+        w = cut_lineage(_step(w, up[k], tree, "_x", (F.shiftright("_diff", k) % 2) == 1))
+    for k in range(len(up) - 1, -1, -1):  # climb together while the ancestors differ
+        t = up[k].select(tree, F.col("v"), F.col("a"))
+        j = (w.join(t.select(tree, F.col("v").alias("_x"), F.col("a").alias("_ux")), [tree, "_x"], "left")
+              .join(t.select(tree, F.col("v").alias("_y"), F.col("a").alias("_uy")), [tree, "_y"], "left"))
+        move = (F.col("_x") != F.col("_y")) & F.col("_ux").isNotNull() & F.col("_uy").isNotNull() \
+            & (F.col("_ux") != F.col("_uy"))
+        w = cut_lineage(j.withColumn("_x", F.when(move, F.col("_ux")).otherwise(F.col("_x")))
+                         .withColumn("_y", F.when(move, F.col("_uy")).otherwise(F.col("_y")))
+                         .drop("_ux", "_uy"))
+    par = up[0].select(tree, F.col("v"), F.col("a")) if up else None
+    w = (w.join(par.select(tree, F.col("v").alias("_x"), F.col("a").alias("_px")), [tree, "_x"], "left")
+          .join(par.select(tree, F.col("v").alias("_y"), F.col("a").alias("_py")), [tree, "_y"], "left"))
+    known = F.col("_da").isNotNull() & F.col("_db").isNotNull()
+    res = (F.when(~known, F.lit(None))
+            .when(F.col("_x") == F.col("_y"), F.col("_x"))
+            .when(F.col("_px").isNotNull() & (F.col("_px") == F.col("_py")), F.col("_px")))
+    return w.select(tree, "a", "b", res.cast(nodes.schema[node].dataType).alias("lca"))
+
+
+def roots(nodes: DataFrame, node: str = "node_id", parent: str = "parent_id", max_rounds: int = 64) -> DataFrame:
+    """(node, root) by pointer jumping: O(log depth) self-joins."""
+    r = cut_lineage(nodes.select(F.col(node).alias("v"), F.coalesce(F.col(parent), F.col(node)).alias("r")))
+    for _ in range(max_rounds):
+        x, y = r.alias("x"), r.alias("y")
+        nxt = cut_lineage(x.join(y, F.col("x.r") == F.col("y.v"), "left")
+                           .select(F.col("x.v").alias("v"), F.coalesce(F.col("y.r"), F.col("x.r")).alias("r")))
+        if nxt.join(r, ["v", "r"], "left_anti").limit(1).count() == 0:
+            return nxt.select(F.col("v").alias(node), F.col("r").alias("root"))
+        r = nxt
+    raise RuntimeError("roots did not converge (cycle?)")
 
 
 def validate_ordered_tree(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",

@@ -9,7 +9,6 @@ documents; dictionary = tokens of the benchmark texts.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import graphs as G
@@ -157,9 +156,11 @@ def hierarchy(spark, sf_dir, billed_only: bool = False):
 
 def with_tree(spark, sf_dir, rows):
     """Attach tree_id (= region key) by walking from the roots."""
-    anc = TR.ancestors(rows.withColumn("tree_id", F.lit(0)), "tree_id", "node_id", "parent_id")
-    roots = anc.filter(F.col("anc_depth") == 0).select("node_id", F.col("ancestor").alias("tree"))
-    return rows.join(roots, "node_id").withColumnRenamed("tree", "tree_id")
+    r = TR.roots(rows)
+    # orphans (a parent that does not exist) are not part of any tree
+    real = rows.filter(F.col("parent_id").isNull()).select(F.col("node_id").alias("root"))
+    r = r.join(real, "root", "left_semi")
+    return rows.join(r, "node_id").withColumnRenamed("root", "tree_id")
 
 
 @register("level_order", f"""
@@ -338,13 +339,11 @@ def membership(spark, sf_dir):
 
 @register("word_ladder")
 def word_ladder(spark, sf_dir):
-    t = en_tokens(spark, sf_dir)
-    w = Window.partitionBy("doc_id")
+    d = load(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    t = TX.tokens(d, "text", keep=["doc_id"], pos="_i")
     # the first and the last token of each English document, when of equal length
-    pos = t.withColumn("_i", F.monotonically_increasing_id())
-    ends = pos.groupBy("doc_id").agg(F.min_by("word", "_i").alias("begin"), F.max_by("word", "_i").alias("end"))
+    ends = t.groupBy("doc_id").agg(F.min_by("word", "_i").alias("begin"), F.max_by("word", "_i").alias("end"))
     pairs = ends.filter(F.length("begin") == F.length("end")).withColumnRenamed("doc_id", "pair_id")
-    del w
     return TX.word_ladder(t.select("word"), pairs)
 
 

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import logs as L
 from ..operators import ml as M
 from ..operators.dashboard import dashboard_metrics
 from ..sources import load
@@ -34,12 +33,6 @@ def _velocity(spark, sf_dir, name, size, slide=None):
     return RT.run_update(out, name, ["user_id", "window_start"])
 
 
-def _oracle(name):
-    def get():
-        return ORACLES[name]
-    return get
-
-
 @register("stream_velocity_tumbling", None)
 def stream_velocity_tumbling(spark, sf_dir):
     return _velocity(spark, sf_dir, "svt", "5 minutes")

@@ -179,3 +179,33 @@ def test_html_tags(spark):
         ["html", "head", "head", "body", "p", "p", "body", "html"]
     v = {r.page_id: r.valid for r in TX.nesting_valid(t, "page_id", "pos", "tag").collect()}
     assert v == {1: True, 2: False}
+
+
+def test_lca_random_deep(spark):
+    rnd = random.Random(9)
+    parent = {0: None}
+    for v in range(1, 300):  # long chains: parent is one of the last few nodes
+        parent[v] = rnd.randint(max(0, v - 3), v - 1)
+    parent[1000] = None  # a second tree
+    parent[1001] = 1000
+    rows = [("t", v, p, 0, v) for v, p in parent.items()]
+    t = spark.createDataFrame(rows, _NODES)
+
+    def anc(v):
+        out = []
+        while v is not None:
+            out.append(v)
+            v = parent[v]
+        return out
+
+    pairs = [(rnd.randint(0, 299), rnd.randint(0, 299)) for _ in range(60)] + [(5, 1001), (7, 7), (5, 4242)]
+    want = {}
+    for a, b in pairs:
+        if a not in parent or b not in parent:
+            want[(a, b)] = None
+            continue
+        sa = set(anc(a))
+        want[(a, b)] = next((x for x in anc(b) if x in sa), None)
+    pdf = spark.createDataFrame([("t", a, b) for a, b in pairs], "tree_id string, a bigint, b bigint")
+    got = {(r.a, r.b): r.lca for r in TR.lca(t, pdf).collect()}
+    assert got == want
