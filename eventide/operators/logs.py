@@ -17,10 +17,12 @@ from .scan import running
 
 def fold_operations(log: DataFrame, entity: str = "entity", seq: str = "seq",
                     initial: DataFrame | None = None) -> DataFrame:
-    """Final (items, meta) per entity after applying the log in ``seq`` order.
+    """Final state per entity after applying the log in ``seq`` order, in
+    long form: (entity, kind, name, value) with kind 'item' (value null)
+    for each item in the set and kind 'meta' for each metadata key.
 
-    ``initial`` (entity, item) seeds items that no later op touches.
-    Returns entity, items (sorted, comma-joined), meta ('k=v' sorted, comma-joined).
+    ``initial`` (entity, item) seeds items that no later op touches.  An
+    entity's state is never gathered into one value (it can be large).
     """
     e = cols(entity)
     item_ops = log.filter(F.col("op").isin("add", "remove"))
@@ -29,18 +31,12 @@ def fold_operations(log: DataFrame, entity: str = "entity", seq: str = "seq",
     if initial is not None:
         seeded = initial.select(*e, "item").join(last_item.select(*e, "item"), [*e, "item"], "left_anti")
         last_item = last_item.unionByName(seeded.withColumn("_last", F.lit("add")))
-    items = (last_item.filter(F.col("_last") == "add")
-                      .groupBy(*e).agg(F.array_join(F.sort_array(F.collect_list("item")), ",").alias("items")))
+    items = last_item.filter(F.col("_last") == "add").select(
+        *e, F.lit("item").alias("kind"), F.col("item").alias("name"), F.lit(None).cast("string").alias("value"))
     meta = (log.filter(F.col("op") == "update")
-               .groupBy(*e, "key").agg(F.max_by("value", F.col(seq)).alias("_v"))
-               .groupBy(*e).agg(F.array_join(F.sort_array(F.collect_list(
-                   F.concat_ws("=", "key", "_v"))), ",").alias("meta")))
-    ents = log.select(*e)
-    if initial is not None:
-        ents = ents.unionByName(initial.select(*e))
-    return (ents.distinct().join(items, e, "left").join(meta, e, "left")
-                .select(*e, F.coalesce("items", F.lit("")).alias("items"),
-                        F.coalesce("meta", F.lit("")).alias("meta")))
+               .groupBy(*e, "key").agg(F.max_by("value", F.col(seq)).alias("value"))
+               .select(*e, F.lit("meta").alias("kind"), F.col("key").alias("name"), "value"))
+    return items.unionByName(meta)
 
 
 def compact_log(log: DataFrame, entity: str = "entity", seq: str = "seq") -> DataFrame:

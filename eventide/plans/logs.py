@@ -48,11 +48,10 @@ def op_log(spark, sf_dir):
 @register("fold_operations", f"""
 WITH {_LOG_SQL},
 li AS (SELECT entity, item, arg_max(op, seq) AS last FROM l WHERE op IN ('add', 'remove') GROUP BY entity, item),
-it AS (SELECT entity, string_agg(item, ',' ORDER BY item) AS items FROM li WHERE last = 'add' GROUP BY entity),
-lm AS (SELECT entity, key, arg_max(value, seq) AS v FROM l WHERE op = 'update' GROUP BY entity, key),
-me AS (SELECT entity, string_agg(key || '=' || v, ',' ORDER BY key || '=' || v) AS meta FROM lm GROUP BY entity)
-SELECT e.entity, coalesce(items, '') AS items, coalesce(meta, '') AS meta
-FROM (SELECT DISTINCT entity FROM l) e LEFT JOIN it USING (entity) LEFT JOIN me USING (entity)
+lm AS (SELECT entity, key, arg_max(value, seq) AS v FROM l WHERE op = 'update' GROUP BY entity, key)
+SELECT entity, 'item' AS kind, item AS name, CAST(NULL AS VARCHAR) AS value FROM li WHERE last = 'add'
+UNION ALL
+SELECT entity, 'meta', key, v FROM lm
 """)
 def fold_operations(spark, sf_dir):
     return L.fold_operations(op_log(spark, sf_dir))
