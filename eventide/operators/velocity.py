@@ -18,6 +18,20 @@ from pyspark.sql import functions as F
 
 from ..functions import cols, r6
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _seconds(spec: str) -> float | None:
+    """'5 minutes' -> 300.0; None when the form is not 'N unit'."""
+    parts = spec.strip().lower().split()
+    if len(parts) != 2:
+        return None
+    unit = parts[1].rstrip("s")
+    try:
+        return float(parts[0]) * _UNIT_SECONDS[unit]
+    except (KeyError, ValueError):
+        return None
+
 
 def velocity_tumbling(df: DataFrame, keys: str | Sequence[str], ts: str, amount: str,
                       size: str = "5 minutes", slide: str | None = None) -> DataFrame:
@@ -64,6 +78,9 @@ def velocity_sliding(df: DataFrame, keys: str | Sequence[str], ts: str, amount:
     of its bucket's end, so every frame is complete inside one bucket.
     """
     k = cols(keys)
+    sz, bk = _seconds(size), _seconds(bucket)
+    if sz is not None and bk is not None and sz > bk:
+        raise ValueError(f"bucket ({bucket}) must be at least the window size ({size})")
     keep = list(dict.fromkeys([*carry, *k, ts, amount]))
     b = F.window(ts, bucket)
     base = df.select(*keep, b.start.alias("_b"), b.end.alias("_be"))
