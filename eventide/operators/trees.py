@@ -163,33 +163,44 @@ def roots(nodes: DataFrame, node: str = "node_id", parent: str = "parent_id", ma
     raise RuntimeError("roots did not converge (cycle?)")
 
 
+def _nearest_turn(nodes: DataFrame, tree: str, node: str, parent: str, side: str, want: int,
+                  max_rounds: int = 64) -> DataFrame:
+    """(tree, v, anc): the nearest ancestor whose ``want``-side subtree holds v,
+    i.e. the parent of the first node on v's upward path that is a
+    ``want``-side child.  Pointer jumping: O(log depth) rounds."""
+    st = cut_lineage(nodes.select(
+        tree, F.col(node).alias("v"),
+        (F.col(parent).isNull() | (F.col(side) == want)).alias("done"),
+        F.col(parent).alias("x")))
+    for _ in range(max_rounds):
+        if st.filter(~F.col("done")).limit(1).count() == 0:
+            return st.select(tree, "v", F.col("x").alias("anc"))
+        t = st.select(tree, F.col("v").alias("x"), F.col("done").alias("_td"), F.col("x").alias("_tx"))
+        j = st.join(t, [tree, "x"], "left")
+        # a pointer to a node that is not in the table ends the chain (like a root)
+        st = cut_lineage(j.select(
+            tree, "v",
+            (F.col("done") | F.col("_td").isNull() | F.col("_td")).alias("done"),
+            F.when(F.col("done"), F.col("x")).when(F.col("_td").isNull(), F.lit(None))
+             .otherwise(F.col("_tx")).alias("x")))
+    raise RuntimeError("tree deeper than 2^max_rounds (or a cycle)")
+
+
 def validate_ordered_tree(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",
                           parent: str = "parent_id", side: str = "side", val: str = "val") -> DataFrame:
     """Binary search tree check: each node strictly inside the (lo, hi)
-    bounds inherited from its ancestors (left child: hi = parent value,
-    right child: lo = parent value).  Empty trees are valid."""
-    bad, prev = None, None
-    trees = nodes.select(tree).distinct()
-    for _depth, lvl in _levels(nodes, tree, node, parent):
-        if prev is None:
-            cur = lvl.select(tree, node, val, F.lit(None).cast("double").alias("lo"),
-                             F.lit(None).cast("double").alias("hi"))
-        else:
-            p = prev.select(tree, F.col(node).alias(parent), F.col(val).alias("_pv"),
-                            F.col("lo").alias("_plo"), F.col("hi").alias("_phi"))
-            j = lvl.join(p, [tree, parent])
-            cur = j.select(tree, node, val,
-                           F.when(F.col(side) == 1, F.col("_pv")).otherwise(F.col("_plo")).cast("double").alias("lo"),
-                           F.when(F.col(side) == 0, F.col("_pv")).otherwise(F.col("_phi")).cast("double").alias("hi"))
-        cur = cut_lineage(cur)
-        viol = cur.filter((F.col("lo").isNotNull() & (F.col(val) <= F.col("lo")))
-                          | (F.col("hi").isNotNull() & (F.col(val) >= F.col("hi")))).select(tree)
-        bad = viol if bad is None else bad.unionByName(viol)
-        prev = cur
-    if bad is None:
-        return trees.withColumn("valid", F.lit(True))
-    return (trees.join(bad.distinct().withColumn("_bad", F.lit(True)), tree, "left")
-                 .select(tree, F.col("_bad").isNull().alias("valid")))
+    bounds inherited from its ancestors.  lo is the value of the nearest
+    ancestor reached through a right-child link, hi through a left-child
+    link; both come from pointer jumping (O(log depth) rounds, not one per
+    level).  Empty trees are valid."""
+    lo = _nearest_turn(nodes, tree, node, parent, side, 1)
+    hi = _nearest_turn(nodes, tree, node, parent, side, 0)
+    vals = nodes.select(tree, F.col(node).alias("anc"), F.col(val).alias("_av"))
+    b = (nodes.select(tree, F.col(node).alias("v"), F.col(val).alias("_v"))
+              .join(lo.join(vals, [tree, "anc"], "left").select(tree, "v", F.col("_av").alias("_lo")), [tree, "v"], "left")
+              .join(hi.join(vals, [tree, "anc"], "left").select(tree, "v", F.col("_av").alias("_hi")), [tree, "v"], "left"))
+    ok = (F.col("_lo").isNull() | (F.col("_v") > F.col("_lo"))) & (F.col("_hi").isNull() | (F.col("_v") < F.col("_hi")))
+    return b.groupBy(tree).agg(F.bool_and(ok).alias("valid"))
 
 
 def encode_trees(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id", parent: str = "parent_id",

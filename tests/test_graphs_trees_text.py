@@ -209,3 +209,37 @@ def test_lca_random_deep(spark):
     pdf = spark.createDataFrame([("t", a, b) for a, b in pairs], "tree_id string, a bigint, b bigint")
     got = {(r.a, r.b): r.lca for r in TR.lca(t, pdf).collect()}
     assert got == want
+
+
+def test_validate_random(spark):
+    rnd = random.Random(4)
+    trees, want = [], {}
+    for t in range(30):
+        vals = rnd.sample(range(100), rnd.randint(1, 25))
+        nodes, root = {}, None  # build a BST by insertion, then maybe corrupt one value
+        for i, x in enumerate(vals):
+            nodes[i] = [x, None, 0]
+            if root is None:
+                root = i
+                continue
+            cur = root
+            while True:
+                s_ = 0 if x < nodes[cur][0] else 1
+                child = next((c for c, (_, p, sd) in nodes.items() if p == cur and sd == s_ and c != i), None)
+                if child is None:
+                    nodes[i][1], nodes[i][2] = cur, s_
+                    break
+                cur = child
+        if rnd.random() < 0.5 and len(nodes) > 2:
+            nodes[rnd.randrange(len(nodes))][0] = rnd.randint(0, 99)
+
+        def ok(n, lo, hi):
+            v = nodes[n][0]
+            if (lo is not None and v <= lo) or (hi is not None and v >= hi):
+                return False
+            kids = [(c, sd) for c, (_, p, sd) in nodes.items() if p == n]
+            return all(ok(c, v if sd else lo, hi if sd else v) for c, sd in kids)
+        want[f"t{t}"] = ok(root, None, None)
+        trees += [(f"t{t}", i, p, sd, v) for i, (v, p, sd) in nodes.items()]
+    df = spark.createDataFrame(trees, _NODES)
+    assert {r.tree_id: r.valid for r in TR.validate_ordered_tree(df).collect()} == want
