@@ -97,13 +97,20 @@ def _predictions(s):
 
 
 @register("stream_score", f"""
-WITH {_P_SQL}
-SELECT transaction_id, account_id, amount, round_even(p, 6) AS fraud_probability, p > 0.5 AS is_fraud FROM pr
+WITH {_P_SQL},
+v AS (SELECT event_id, count(*) OVER w AS velocity_count, round(sum(value) OVER w, 6) AS velocity_amount
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts
+                               RANGE BETWEEN INTERVAL 5 MINUTE PRECEDING AND CURRENT ROW))
+SELECT transaction_id, account_id, amount, round_even(p, 6) AS fraud_probability, p > 0.5 AS is_fraud,
+       velocity_count, velocity_amount
+FROM pr JOIN v USING (event_id)
 """)
 def stream_score(spark, sf_dir):
-    """Flagship stream: transactions in -> scored predictions out, as keyed JSON records."""
-    s = SO.event_time(events_stream(spark, sf_dir, "ssc"), "ts", None)
-    preds = _predictions(s)
+    """Flagship stream: transactions in -> 5-minute velocity from keyed state
+    -> score -> keyed JSON prediction records out (checkpointed sink)."""
+    s = SO.event_time(events_stream(spark, sf_dir, "ssc"), "ts", "10 minutes")
+    vel = SO.sliding_velocity(s, "user_id", "ts", "value", 300, carry=["event_id", "event_type"])
+    preds = _predictions_with(vel)
     out = RT.scratch(spark, "ssc-out")
     q = predictions_sink(preds, f"{out}/data", f"{out}/_ckpt")
     q.awaitTermination()
@@ -113,6 +120,16 @@ def stream_score(spark, sf_dir):
     return txt.select(F.from_json("value", PREDICTION_SCHEMA).alias("p")).select("p.*")
 
 
+def _predictions_with(vel):
+    """Score rows that already carry their trailing velocity."""
+    feats = vel.withColumn("f", F.array(F.col("value") / F.lit(100.0), F.hour("ts") / F.lit(24.0)))
+    sc = M.score_linear(feats, EVENT_W, EVENT_B, features="f", valid=F.col("event_type") != "error")
+    return sc.select(F.col("event_id").cast("string").alias("transaction_id"),
+                     F.col("user_id").cast("string").alias("account_id"), F.col("value").alias("amount"),
+                     "fraud_probability", "is_fraud", F.col("trailing_count").alias("velocity_count"),
+                     F.col("trailing_amount_sum").alias("velocity_amount"))
+
+
 @register("stream_dashboard", None)
 def stream_dashboard(spark, sf_dir):
     """Predictions appended per micro-batch; after each batch the rolling

@@ -26,6 +26,8 @@ PREDICTION_SCHEMA = T.StructType([
     T.StructField("amount", T.DoubleType()),
     T.StructField("fraud_probability", T.DoubleType()),
     T.StructField("is_fraud", T.BooleanType()),
+    T.StructField("velocity_count", T.LongType()),
+    T.StructField("velocity_amount", T.DoubleType()),
 ])
 
 CSV_SCHEMA = T.StructType(
