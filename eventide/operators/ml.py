@@ -262,8 +262,13 @@ def train_mlp(df: DataFrame, features: str = "scaled", label: str = "label", epo
             np_ = n_params(p)
 
             def part_grad(it, bc=bc, epoch=epoch, b=b, np_=np_):
+                from pyspark import TaskContext
+
                 pw = bc.value
-                rng = np.random.default_rng(seed * 1000003 + epoch * 101 + b)
+                # seeded by (seed, epoch, batch, partition): independent dropout masks per
+                # partition that a retried task reproduces exactly
+                pid = TaskContext.get().partitionId() if TaskContext.get() else 0
+                rng = np.random.default_rng([seed, epoch, b, pid])
                 xs, ys = [], []
                 for pdf in it:
                     if len(pdf):
