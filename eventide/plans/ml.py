@@ -8,6 +8,8 @@ fails (null outputs) for 'error' events.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import r6
@@ -19,6 +21,8 @@ from ..sources.files import labeled_csv_source, write_labeled_csv
 from ..session import ensure_checkpoint_dir
 from . import register
 
+_HIST_SCHEMA = "epoch long, train_loss double, rows long"
+
 # Fixed demo model parameters (not learned): weights follow a simple rule.
 LINEAR_W = [((i % 5) - 2) / 10.0 for i in range(M.INPUT_DIM)]
 LINEAR_B = -0.25
@@ -195,7 +199,7 @@ def split_train_test(spark, sf_dir):
 def labeled_csv_source_q(spark, sf_dir):
     d = embedded(spark, sf_dir)
     root = ensure_checkpoint_dir(spark)
-    path = f"{root}/labeled_csv/{abs(hash(sf_dir))}"
+    path = f"{root}/labeled_csv/{uuid.uuid4().hex}"
     write_labeled_csv(d, path)
     return labeled_csv_source(spark, path).select("features", "label")
 
@@ -212,16 +216,16 @@ def train_linear(spark, sf_dir):
 def train_mlp(spark, sf_dir):
     s = scaled(spark, sf_dir)
     _p, hist = M.train_mlp(s, epochs=3, batches_per_epoch=2)
-    return spark.createDataFrame(hist)
+    return spark.createDataFrame(hist, _HIST_SCHEMA)
 
 
 @register("checkpoint_resume")
 def checkpoint_resume(spark, sf_dir):
     s = scaled(spark, sf_dir)
-    root = f"{ensure_checkpoint_dir(spark)}/train_ckpt/{abs(hash(sf_dir))}"
+    root = f"{ensure_checkpoint_dir(spark)}/train_ckpt/{uuid.uuid4().hex}"
     M.train_mlp(s, epochs=2, batches_per_epoch=2, ckpt_dir=root, ckpt_every=1)
     _p, hist = M.train_mlp(s, epochs=4, batches_per_epoch=2, ckpt_dir=root, ckpt_every=1)  # resumes at 3
-    return spark.createDataFrame(hist)
+    return spark.createDataFrame(hist, _HIST_SCHEMA)
 
 
 # --- search and jobs ---------------------------------------------------------------
