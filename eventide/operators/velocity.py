@@ -1,8 +1,7 @@
 """Per-account velocity features: tumbling, hopping and sliding windows.
 
 ``velocity_tumbling`` is a partial+final hash aggregate on (keys, window);
-``velocity_enrich`` attaches each event's window aggregate with a window
-function over the same (keys, window) partitioning (one shuffle, no join);
+``velocity_enrich`` joins that aggregate back to each event on (keys, window);
 ``velocity_sliding`` is a trailing RANGE frame.  For the sliding frame the
 partition is (keys, day-bucket) rather than keys alone, with rows near a
 bucket end copied into the next bucket as look-back "halo" rows, so a hot
@@ -54,15 +53,17 @@ def velocity_enrich(df: DataFrame, keys: str | Sequence[str], ts: str, amount: s
                     size: str = "5 minutes", carry: Sequence[str] = ()) -> DataFrame:
     """Each event with the count/sum/mean of its own tumbling window.
 
-    Equivalent to joining ``velocity_tumbling`` back on (keys, window) but
-    done as one window aggregate over the (keys, window) partitioning.
+    The window aggregate is a partial+final hash aggregate on (keys,
+    window) and is joined back to the events on the same columns: the
+    aggregate side is already partitioned by the join keys, the events are
+    shuffled once, and a hot (key, window) is split by AQE's skew-join
+    handling (a window function over that partition could not be split).
     """
     k = cols(keys)
     w = F.window(ts, size)
     base = df.select(*dict.fromkeys([*carry, *k, ts, amount]), w.start.alias("window_start"))
-    spec = f"PARTITION BY {', '.join(f'`{c}`' for c in k)}, window_start"
-    return (base.selectExpr("*", f"count(1) OVER ({spec}) AS win_count",
-                            f"sum(`{amount}`) OVER ({spec}) AS _wsum")
+    agg = base.groupBy(*k, "window_start").agg(F.count(F.lit(1)).alias("win_count"), F.sum(amount).alias("_wsum"))
+    return (base.join(agg, [*k, "window_start"])
                 .select(*dict.fromkeys([*carry, *k, ts, amount]), "window_start", "win_count",
                         r6("_wsum").alias("win_amount_sum"),
                         r6(F.col("_wsum") / F.col("win_count")).alias("win_amount_avg")))
