@@ -199,33 +199,63 @@ def _prefix_key(c: str) -> Column:
     return F.conv(hx, 16, 10).cast("double")
 
 
+def _bucketed(df: DataFrame, order: list[str], buckets: int) -> tuple[DataFrame, list[str]]:
+    """Deterministic, order-preserving bucket columns (_bk, _sb) for a global scan.
+
+    Quantile boundaries of the leading column each get an exact-value
+    bucket (odd ids) between the open intervals (even ids), so a heavy
+    value has a bucket of its own; such a bucket is split again by
+    quantiles of the next order column (all its rows share the leading
+    value, so that keeps the order).  Boundaries are scalars on the driver:
+    at most ``buckets`` plus ``buckets`` per heavy bucket.
+    """
+    def key_of(c):
+        return _numeric_order(df, c) if _is_numeric_like(df, c) else _prefix_key(c)
+
+    def bucket_expr(arr, x):
+        below = F.size(F.filter(arr, lambda e: e < x))
+        return F.coalesce(below * 2 + F.when(F.array_contains(arr, x), 1).otherwise(0), F.lit(0))
+
+    probs = [i / buckets for i in range(1, buckets)]
+    tmp = df.withColumn("_x", key_of(order[0]))
+    bounds = sorted(set(v for v in tmp.approxQuantile("_x", probs, 0.5 / buckets) if v is not None))
+    arr = F.array(*[F.lit(float(v)) for v in bounds]) if bounds else None
+    tmp = tmp.withColumn("_bk", bucket_expr(arr, F.col("_x")) if bounds else F.lit(0))
+    tmp = tmp.withColumn("_sb", F.lit(0))
+    if len(order) > 1 and bounds:
+        counts = tmp.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n")).collect()  # <= 2 * buckets rows
+        total = sum(r["_n"] for r in counts)
+        heavy = [r["_bk"] for r in counts if r["_bk"] % 2 == 1 and r["_n"] > 2 * total / buckets]
+        if heavy:
+            y = key_of(order[1])
+            hb = (tmp.filter(F.col("_bk").isin(heavy)).groupBy("_bk")
+                     .agg(F.percentile_approx(y, probs, 10 * buckets).alias("_sbounds")))
+            hb = hb.withColumn("_sbounds", F.array_distinct(F.array_sort("_sbounds")))
+            tmp = (tmp.join(F.broadcast(hb), "_bk", "left")  # <= 2 * buckets rows
+                      .withColumn("_sb", F.when(F.col("_sbounds").isNotNull(),
+                                                bucket_expr(F.col("_sbounds"), y)).otherwise(F.lit(0)))
+                      .drop("_sbounds"))
+    return tmp.drop("_x"), ["_bk", "_sb"]
+
+
 def global_rank(df: DataFrame, order: str | Sequence[str], name: str = "rank",
                 buckets: int = 200) -> DataFrame:
     """0-based rank of every row in a global order without a single-partition window.
 
-    Bucketed scan: <= ``buckets`` approximate quantiles of the leading order
-    column (scalars to the driver), a deterministic bucket column, row
-    counts per bucket prefix-summed on a <= ``buckets``-row table that is
-    broadcast back, and row_number inside each bucket.
+    Bucketed scan (see ``_bucketed``): row counts per bucket are
+    prefix-summed on a small table that is broadcast back, and each
+    bucket is ranked by its own window.
     """
     o = cols(order)
-    lead = _numeric_order(df, o[0]) if _is_numeric_like(df, o[0]) else _prefix_key(o[0])
-    tmp = df.withColumn("_x", lead)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(v for v in tmp.approxQuantile("_x", probs, 0.5 / buckets) if v is not None))
-    if bounds:
-        arr = F.array(*[F.lit(float(v)) for v in bounds])
-        tmp = tmp.withColumn("_bk", F.coalesce(F.size(F.filter(arr, lambda e: e <= F.col("_x"))), F.lit(0)))
-    else:
-        tmp = tmp.withColumn("_bk", F.lit(0))
-    counts = tmp.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
-    # <= buckets rows: a global window over this tiny table is fine
-    off = counts.select("_bk", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_bk").orderBy(*o)
-    return (tmp.join(F.broadcast(off), "_bk")
+    tmp, bk = _bucketed(df, o, buckets)
+    counts = tmp.groupBy(*bk).agg(F.count(F.lit(1)).alias("_n"))
+    # at most buckets * (2 * buckets + 1) rows: a global window over this small table is fine
+    off = counts.select(*bk, F.coalesce(F.sum("_n").over(
+        Window.orderBy(*bk).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*bk).orderBy(*o)
+    return (tmp.join(F.broadcast(off), bk)
                .withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
-               .drop("_x", "_bk", "_off"))
+               .drop(*bk, "_off"))
 
 
 def global_prefix_sum(df: DataFrame, order: str | Sequence[str], value: str, name: str,
@@ -233,21 +263,14 @@ def global_prefix_sum(df: DataFrame, order: str | Sequence[str], value: str, nam
     """Running sum of ``value`` in a global order (bucketed scan, no global window).
 
     Same bucketing as ``global_rank``; the carry per bucket is the sum of
-    all earlier buckets, computed on a <= ``buckets``-row table.
+    all earlier buckets, computed on a small table.
     """
     o = cols(order)
-    tmp = df.withColumn("_x", _numeric_order(df, o[0]))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(v for v in tmp.approxQuantile("_x", probs, 0.5 / buckets) if v is not None))
-    if bounds:
-        arr = F.array(*[F.lit(float(v)) for v in bounds])
-        tmp = tmp.withColumn("_bk", F.coalesce(F.size(F.filter(arr, lambda e: e <= F.col("_x"))), F.lit(0)))
-    else:
-        tmp = tmp.withColumn("_bk", F.lit(0))
-    tot = tmp.groupBy("_bk").agg(F.sum(value).alias("_s"))
-    off = tot.select("_bk", F.coalesce(F.sum("_s").over(
-        Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_bk").orderBy(*o).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-    return (tmp.join(F.broadcast(off), "_bk")
+    tmp, bk = _bucketed(df, o, buckets)
+    tot = tmp.groupBy(*bk).agg(F.sum(value).alias("_s"))
+    off = tot.select(*bk, F.coalesce(F.sum("_s").over(
+        Window.orderBy(*bk).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*bk).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    return (tmp.join(F.broadcast(off), bk)
                .withColumn(name, F.col("_off") + F.coalesce(F.sum(value).over(w), F.lit(0)))
-               .drop("_x", "_bk", "_off"))
+               .drop(*bk, "_off"))

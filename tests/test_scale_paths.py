@@ -43,3 +43,22 @@ def test_entry_and_registry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_global_rank_heavy_value(spark):
+    from pyspark.sql import functions as F
+
+    from eventide.operators.scan import global_prefix_sum, global_rank
+    # one key value holds 40 % of the rows; ties broken by src, pos
+    rows = [(7 if i % 5 < 2 else i, i % 3, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "key bigint, src int, pos bigint")
+    want = {r[2]: n for n, r in enumerate(sorted(rows))}
+    got = {r.pos: r.rank for r in global_rank(df, ["key", "src", "pos"], "rank", buckets=20).collect()}
+    assert got == want
+    ps = global_prefix_sum(df.withColumn("one", F.lit(1)), ["key", "src", "pos"], "one", "before", buckets=20)
+    assert {r.pos: r.before for r in ps.collect()} == want
+    s = spark.createDataFrame([(w, i) for i, w in enumerate(["b", "ab", "a", "", "abc", "B", "éa"] * 40)],
+                              "w string, i int")
+    want_s = {r[1]: n for n, r in enumerate(sorted([(w, i) for i, w in enumerate(["b", "ab", "a", "", "abc", "B", "éa"] * 40)],
+                                                   key=lambda t: (t[0].encode(), t[1])))}
+    assert {r.i: r.rank for r in global_rank(s, ["w", "i"], "rank", buckets=8).collect()} == want_s
