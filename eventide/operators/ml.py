@@ -18,10 +18,20 @@ from pyspark.sql import types as T
 
 from .scan import global_prefix_sum, global_rank
 
+# Fixed values (must match the reference): 28 features + amount, a 29-64-32-1
+# network with dropout 0.2, std floor 1e-8; producer: 2 % outliers shifted by
+# +-3.5, exponential amounts with scale 250 (1200 for outliers), 500 accounts,
+# categories grocery, electronics, travel, gas, online, restaurant.
 N_FEATURES = 28
 INPUT_DIM = N_FEATURES + 1
 HIDDEN = (64, 32)
+DROPOUT = 0.2
 STD_FLOOR = 1e-8
+OUTLIER_RATE = 0.02
+OUTLIER_SHIFT = 3.5
+AMOUNT_SCALE = (250.0, 1200.0)
+ACCOUNTS = 500
+CATEGORIES = ("grocery", "electronics", "travel", "gas", "online", "restaurant")
 
 
 # --- features -----------------------------------------------------------------
@@ -206,7 +216,7 @@ def _grad_partition(p, x, y, pos_weight, keep, rng):
     """Summed gradient of weighted BCE-with-logits over a partition's rows."""
     h0 = x @ p["W0"] + p["b0"]
     a1 = np.maximum(h0, 0)
-    mask = (rng.random(a1.shape) >= 0.2).astype(np.float32) / 0.8 if keep else 1.0
+    mask = (rng.random(a1.shape) >= DROPOUT).astype(np.float32) / (1 - DROPOUT) if keep else 1.0
     d1 = a1 * mask
     h1 = d1 @ p["W1"] + p["b1"]
     a2 = np.maximum(h1, 0)
@@ -308,25 +318,25 @@ def train_mlp(df: DataFrame, features: str = "scaled", label: str = "label", epo
     return p, history
 
 
-def synth_transactions(spark: SparkSession, n: int, seed: int = 42, accounts: int = 500) -> DataFrame:
+def synth_transactions(spark: SparkSession, n: int, seed: int = 42, accounts: int = ACCOUNTS) -> DataFrame:
     """Synthetic transactions in the producer's shape, generated in parallel.
 
     28 N(0,1) features; 2 % outliers shifted by +-3.5 per feature; amount
     exponential with scale 250 (1200 for outliers), 2 decimals half-even.
     """
-    cats = F.array(*[F.lit(c) for c in ("grocery", "electronics", "travel", "gas", "online", "restaurant")])
+    cats = F.array(*[F.lit(c) for c in CATEGORIES])
     base = spark.range(n).withColumn("_u", F.rand(seed))
-    out = base.withColumn("_out", F.col("_u") < 0.02)
-    shift = F.when(F.col("_out"), F.lit(3.5)).otherwise(F.lit(0.0))
+    out = base.withColumn("_out", F.col("_u") < OUTLIER_RATE)
+    shift = F.when(F.col("_out"), F.lit(OUTLIER_SHIFT)).otherwise(F.lit(0.0))
     feats = F.array(*[F.randn(seed + 1 + i) + shift * F.when(F.rand(seed + 101 + i) < 0.5, -1.0).otherwise(1.0)
                       for i in range(N_FEATURES)])
-    scale = F.when(F.col("_out"), F.lit(1200.0)).otherwise(F.lit(250.0))
+    scale = F.when(F.col("_out"), F.lit(AMOUNT_SCALE[1])).otherwise(F.lit(AMOUNT_SCALE[0]))
     return out.select(
         F.format_string("txn_%010d", F.col("id")).alias("transaction_id"),
         F.format_string("acct_%04d", (F.floor(F.rand(seed + 200) * accounts) + 1).cast("int")).alias("account_id"),
         (F.timestamp_seconds(F.lit(1704067200) + F.col("id"))).alias("timestamp"),
         F.bround(-scale * F.log1p(-F.rand(seed + 300)), 2).alias("amount"),
-        F.element_at(cats, (F.floor(F.rand(seed + 400) * 6) + 1).cast("int")).alias("merchant_category"),
+        F.element_at(cats, (F.floor(F.rand(seed + 400) * len(CATEGORIES)) + 1).cast("int")).alias("merchant_category"),
         feats.alias("features"),
         F.col("_out").cast("int").alias("_simulated_label"))
 

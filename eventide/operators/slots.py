@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .folds import sorted_fold
 from .scan import checked_broadcast, running
 
+# Fixed values (must match the reference): 32 slots of 15 minutes from 09:00.
 N_SLOTS = 32
 DAY_START_MIN = 9 * 60
 SLOT_MIN = 15
