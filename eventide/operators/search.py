@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cols
+from ..functions import ceil_div, cols
 from ..session import cut_lineage
 
 
@@ -32,7 +32,7 @@ def min_feasible_rate(df: DataFrame, keys, v: str, budget, max_rounds: int = 64)
             break
         open_ = bounds.filter(F.col("lo") < F.col("hi")).withColumn("mid", F.expr("(lo + hi) div 2"))
         need = (hist.join(open_.select(*k, "mid"), k)
-                    .groupBy(*k).agg(F.sum(F.expr("((_v + mid - 1) div mid) * _c")).alias("_need")))
+                    .groupBy(*k).agg(F.sum(ceil_div("_v", "mid") * F.col("_c")).alias("_need")))
         step = (open_.join(need, k, "left")
                      .withColumn("_ok", F.coalesce(F.col("_need"), F.lit(0)) <= F.col("_b"))
                      .select(*k, F.when(F.col("_ok"), F.col("lo")).otherwise(F.col("mid") + 1).alias("lo"),
