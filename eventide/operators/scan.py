@@ -29,6 +29,7 @@ BROADCAST_ROWS_CONF = "eventide.broadcast.maxRows"
 DEFAULT_HOT_ROWS = 4_000_000
 DEFAULT_PIECES = 64
 DEFAULT_BROADCAST_ROWS = 200_000
+PIECE = "__eventide_piece"  # internal column; never a user column name
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
@@ -75,14 +76,15 @@ def hot_pieces(df: DataFrame, keys: Sequence[str], order0: str,
               .agg(F.percentile_approx(_numeric_order(df, order0), fr, 10_000).alias("_bounds")))
 
 
-def with_pieces(df: DataFrame, keys: Sequence[str], order0: str, bounds: DataFrame | None) -> DataFrame:
-    """Add ``_seg``: 0 for ordinary keys, piece number for hot keys."""
+def with_pieces(df: DataFrame, keys: Sequence[str], order0: str, bounds: DataFrame | None,
+                name: str = PIECE) -> DataFrame:
+    """Add column ``name``: 0 for ordinary keys, piece number for hot keys."""
     if bounds is None:
-        return df.withColumn("_seg", F.lit(0))
+        return df.withColumn(name, F.lit(0))
     b, _ = checked_broadcast(bounds)
     x = _numeric_order(df, order0)
     return (df.withColumn("_ord0", x).join(b, list(keys), "left")
-              .withColumn("_seg", F.coalesce(
+              .withColumn(name, F.coalesce(
                   F.size(F.filter("_bounds", lambda e: e <= F.col("_ord0"))), F.lit(0)))
               .drop("_bounds", "_ord0"))
 
@@ -128,7 +130,7 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
         return out
 
     seg = with_pieces(df, k, o[0], bounds)
-    w = Window.partitionBy(*part, "_seg").orderBy(*o)
+    w = Window.partitionBy(*part, PIECE).orderBy(*o)
     local = seg
     for name, (how, c) in specs.items():
         local = local.withColumn(f"_l_{name}", _window_expr(how, c, w, reverse, exclusive))
@@ -146,8 +148,8 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
             aggs.append(pick(F.struct(F.col(c).alias("v")), ordstruct).alias(f"_p_{name}"))
         else:
             aggs.append(getattr(F, how)(c).alias(f"_p_{name}"))
-    per = hot_rows_df.groupBy(*part, "_seg").agg(*aggs)
-    ws = Window.partitionBy(*part).orderBy("_seg")
+    per = hot_rows_df.groupBy(*part, PIECE).agg(*aggs)
+    ws = Window.partitionBy(*part).orderBy(PIECE)
     ws = ws.rowsBetween(1, Window.unboundedFollowing) if reverse else \
         ws.rowsBetween(Window.unboundedPreceding, -1)
     carry = per
@@ -160,7 +162,7 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
         else:
             e = getattr(F, how)(p).over(ws)
         carry = carry.withColumn(f"_c_{name}", e)
-    jk = [*part, "_seg"]
+    jk = [*part, PIECE]
     carry = carry.select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(jk)], *[f"_c_{n}" for n in specs])
     carry_b, _ = checked_broadcast(carry)
     # null-safe: a null `by` value is a group of its own, as in the window

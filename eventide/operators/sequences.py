@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import cols
+from ..session import cut_lineage
 from .scan import hot_pieces, running
 
 
@@ -185,14 +186,26 @@ def min_covering_span(df: DataFrame, keys, order, item: str, need: Mapping[str,
 def next_greater(df: DataFrame, keys, order, v: str) -> DataFrame:
     """Steps to the next strictly greater value in the key's order (0 if none).
 
-    A row's answer is emitted when a later, greater row pops it from the
-    stack; rows still on the stack when the key ends get 0.
+    Ordinary keys: one streamed monotonic stack per key (a row's answer is
+    emitted when a later, greater row pops it).  Hot keys are cut into
+    ordered pieces: a stack runs per piece in parallel; a row left on its
+    piece's stack looks up the first later piece whose maximum exceeds it
+    (a broadcast table of at most pieces rows per hot key) and, inside that
+    piece, the first prefix-maximum record above its value (an as-of
+    lookup by running scan, since records rise in both position and value).
     """
     from .folds import stream_fold
+    from .scan import checked_broadcast, with_pieces
 
     k = cols(keys)
-    pos = with_position(df, k, order).select(*k, "pos", v)
-    out = T.StructType([*pos.schema.fields, T.StructField("steps", T.LongType())])
+    o0 = cols(order)[0]
+    b = hot_pieces(df, k, o0)
+    pos = with_position(df, k, order, bounds=b, detect=False).select(*dict.fromkeys([*k, "pos", v, o0]))
+    part = [*k, "_seg"]
+    seg = with_pieces(pos, k, o0, b, name="_seg") if b is not None else pos.withColumn("_seg", F.lit(0))
+    seg = seg.drop(o0) if o0 not in (*k, "pos", v) else seg
+    out = T.StructType([*seg.schema.fields, T.StructField("steps", T.LongType()),
+                        T.StructField("_open", T.BooleanType())])
 
     def step(stack, r):
         stack = stack if stack is not None else []
@@ -200,14 +213,39 @@ def next_greater(df: DataFrame, keys, order, v: str) -> DataFrame:
         em = []
         while stack and stack[-1][1] < x:
             q, qv = stack.pop()
-            em.append((*[r[c] for c in k], q, qv, p - q))
+            em.append((*[r[c] for c in k], q, qv, r["_seg"], p - q, False))
         stack.append((p, x))
         return stack, em
 
     def finish(stack, key):
-        return [(*key, q, qv, 0) for q, qv in (stack or [])]
-
-    return stream_fold(pos, k, ["pos"], step, finish, out)
+        return [(*key[:-1], q, qv, key[-1], 0, True) for q, qv in (stack or [])]
+
+    local = stream_fold(seg, part, ["pos"], step, finish, out)
+    cols_out = [*k, "pos", v, "steps"]
+    if b is None:
+        return local.select(*cols_out)
+    local = cut_lineage(local)
+    done = local.filter(~F.col("_open")).select(*cols_out)
+    open_ = local.filter(F.col("_open"))
+    hot_b, _ = checked_broadcast(b.select(*k))
+    piece_max = seg.join(hot_b, k, "left_semi").groupBy(*part).agg(F.max(v).alias("_mx"))
+    pm_b, _ = checked_broadcast(piece_max.select(*k, F.col("_seg").alias("_t"), "_mx"))
+    target = (open_.join(pm_b, k).filter((F.col("_t") > F.col("_seg")) & (F.col("_mx") > F.col(v)))
+                   .groupBy(*k, "pos").agg(F.min("_t").alias("_t")))
+    q = open_.join(target, [*k, "pos"], "left")
+    no_target = q.filter(F.col("_t").isNull()).select(*cols_out)
+    asks = q.filter(F.col("_t").isNotNull()).select(*k, F.col("_t"), F.col(v).alias("_val"), F.lit(1).alias("_kind"),
+                                                    F.col("pos").alias("_q"), F.lit(None).cast("long").alias("_r"))
+    recs = running(seg.join(hot_b, k, "left_semi"), part, ["pos"], {"_pm": ("max", v)}, exclusive=True)
+    recs = recs.filter(F.col("_pm").isNull() | (F.col(v) > F.col("_pm"))).select(
+        *k, F.col("_seg").alias("_t"), F.col(v).alias("_val"), F.lit(0).alias("_kind"),
+        F.lit(None).cast("long").alias("_q"), F.col("pos").alias("_r"))
+    u = asks.unionByName(recs).withColumn("_tb", F.coalesce("_q", "_r"))
+    # records sort before queries of equal value, so only strictly greater records follow a query
+    nxt = running(u, [*k, "_t"], ["_val", "_kind", "_tb"], {"_next": ("min", "_r")}, reverse=True, exclusive=True)
+    found = (nxt.filter(F.col("_kind") == 1)
+                .select(*k, F.col("_q").alias("pos"), F.col("_val").alias(v), (F.col("_next") - F.col("_q")).alias("steps")))
+    return done.unionByName(no_target).unionByName(found)
 
 
 def max_rectangle(df: DataFrame, keys, order, v: str) -> DataFrame:

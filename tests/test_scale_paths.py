@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 SPLIT_CHECKED = ["max_gain", "fill_depth", "max_span_pair", "pair_sum", "position_of", "misplaced_count",
                  "rollover_point", "longest_distinct_run", "min_covering_span", "reverse_order", "merge_intervals",
                  "max_concurrency", "compact_log", "batch_adds", "remove_n", "remove_n_tail", "kv_snapshot",
-                 "allocate_slots", "max_nonadjacent_sum", "nesting_valid"]
+                 "allocate_slots", "max_nonadjacent_sum", "nesting_valid", "next_greater"]
 
 
 def _rows(df):
