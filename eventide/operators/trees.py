@@ -61,23 +61,6 @@ def level_order(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",
     return out
 
 
-def ancestors(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id", parent: str = "parent_id") -> DataFrame:
-    """(tree, node, ancestor, anc_depth) including the node itself, level by level."""
-    out, prev = None, None
-    for depth, lvl in _levels(nodes, tree, node, parent):
-        if prev is None:
-            cur = lvl.select(tree, node, F.col(node).alias("ancestor"), F.lit(0).cast("bigint").alias("anc_depth"))
-        else:
-            up = prev.withColumnRenamed(node, parent)
-            cur = (lvl.select(tree, node, parent).join(up, [tree, parent]).drop(parent)
-                      .unionByName(lvl.select(tree, node, F.col(node).alias("ancestor"),
-                                              F.lit(depth).cast("bigint").alias("anc_depth"))))
-        cur = cut_lineage(cur)
-        out = cur if out is None else out.unionByName(cur)
-        prev = cur
-    return out
-
-
 def jump_tables(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",
                 parent: str = "parent_id", max_levels: int = 64) -> list[DataFrame]:
     """Binary-lifting tables: ``up[k]`` = (tree, v, a) with a the 2^k-th
