@@ -1,9 +1,11 @@
 """Tables of trees: nodes (tree_id, node_id, parent_id, ord/side, val).
 
-Trees are walked one level per round (a join of the current level with
-its children), so work is proportional to the number of nodes and the
-number of rounds to the depth; sibling ranks use the skew-aware running
-count so a node with a huge fan-out is split.
+Level-ordered outputs (level order, encoding, paths) walk one level per
+round (a join of the current level with its children), so work is
+proportional to the number of nodes and rounds to the depth.  Root, LCA
+and BST-bound lookups use pointer jumping / binary lifting instead
+(O(log depth) rounds).  Sibling ranks use the skew-aware running count so
+a node with a huge fan-out is split.
 """
 
 from __future__ import annotations
