@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import decontam, simhash
+from . import bpe, decontam, langid, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,28 @@ def register(name: str, sql: str | None = None):
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def vocab_path() -> str:
+    """The public byte-level vocabulary that the token queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op1_langid")
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(load(spark, sf_dir, "documents"))
+
+
+@register("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(load(spark, sf_dir, "documents"))
+
+
+@register("op4_bpe")
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(load(spark, sf_dir, "documents"), vocab_path(), digest=True)
+
+
 @register("op6_decontaminate", rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
