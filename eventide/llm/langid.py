@@ -117,17 +117,17 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
 
 def _em(p: np.ndarray, n: np.ndarray, first: np.ndarray, pi: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """(proportions, log-likelihood) per row after some rounds; p: entries x languages, pi: rows x languages."""
-    size = np.diff(first)
+    size, ones = np.diff(first), np.ones(p.shape[1])
     total = np.add.reduceat(n, first[:-1])
     for _ in range(rounds):
         each = np.repeat(pi, size, axis=0)
         each *= p
-        w = n / each.sum(axis=1)
+        w = n / (each @ ones)
         each *= w[:, None]
         pi = np.add.reduceat(each, first[:-1], axis=0) / total[:, None]
     each = np.repeat(pi, size, axis=0)
     each *= p
-    return pi, np.add.reduceat(n * np.log(each.sum(axis=1)), first[:-1])
+    return pi, np.add.reduceat(n * np.log(each @ ones), first[:-1])
 
 
 def mixtures(model: Model, first: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
