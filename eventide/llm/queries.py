@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import bpe, decontam, langid, pii, simhash
+from . import bpe, decontam, hilbert, langid, pii, simhash, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(load(spark, sf_dir, "documents"), vocab_path(), digest=True)
 
 
+@register("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(load(spark, sf_dir, "documents"), vocab_path(), end_id=2)
+
+
 @register("op6_decontaminate", rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -71,6 +76,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+@register("op9_hilbert_shards")
+def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shard(load(spark, sf_dir, "documents"))
+
+
 @register("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(load(spark, sf_dir, "documents"))
