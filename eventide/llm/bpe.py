@@ -34,7 +34,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import utf8
+from .bitmaps import bit_map, in_map
 from .staging import staged
 
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 512, 11, 16384
@@ -287,20 +287,6 @@ def _recurring(docs: DataFrame, text_col: str) -> DataFrame:
         .groupBy("slot", "h").agg(F.sum("n").alias("n")).filter("n > 1").select("slot")
 
 
-def bit_map(slots: DataFrame) -> bytes:
-    """A map of MAP_BITS bits with the given slots (from 1) set: so many bits at most reach the driver."""
-    got = slots.groupBy(F.bitmap_bucket_number(F.col("slot")).alias("b")) \
-               .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot"))).alias("m")).collect()
-    out = bytearray(MAP_BITS // 8)
-    for r in got:  # bucket b holds the slots 32768 (b - 1) + 1 to 32768 b
-        out[4096 * (r["b"] - 1):4096 * r["b"]] = r["m"]
-    return bytes(out)
-
-
-def in_map(m: bytes, slot: int) -> bool:
-    return bool(m[(slot - 1) >> 3] >> ((slot - 1) & 7) & 1)
-
-
 def _decimals(enc: Encoder) -> list[bytes]:
     if not hasattr(enc, "decimals"):
         enc.decimals = [str(i).encode() for i in range(len(enc.token_bytes))]
@@ -371,7 +357,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     SHA-256 of the ids as decimals (ids_sha256) and of the decoded text (decoded_sha256)."""
     spark = docs.sparkSession
     v = Vocabulary(spark, vocab_path)
-    marks = spark.sparkContext.broadcast(bit_map(_recurring(docs, text_col)))
+    marks = spark.sparkContext.broadcast(bit_map(_recurring(docs, text_col), MAP_BITS))
     kind = docs.schema[id_col].dataType
     value = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())] \
         if digest else [("ids", T.ArrayType(T.IntegerType()))]

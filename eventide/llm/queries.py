@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import bpe, decontam, hilbert, langid, pii, simhash, tokenfile
+from . import bpe, decontam, hilbert, langid, pii, simhash, suffixes, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,6 +76,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+@register("op7_repeats")
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(load(spark, sf_dir, "documents"))
+
+
 @register("op9_hilbert_shards")
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard(load(spark, sf_dir, "documents"))
