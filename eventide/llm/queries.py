@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import bpe, decontam, hilbert, langid, pii, simhash, suffixes, tokenfile
+from . import bpe, decontam, hilbert, langid, pii, simhash, suffixes, tokenfile, topk, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,19 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(load(spark, sf_dir, "documents"))
 
 
+@register("op3_top_k", """
+WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS x FROM embeddings
+           WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+""")
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.filter("vec_id % 50 = 0"))
+
+
 @register("op4_bpe")
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(load(spark, sf_dir, "documents"), vocab_path(), digest=True)
@@ -81,6 +94,17 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(load(spark, sf_dir, "documents"))
 
 
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@register("op8_url_rules")
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of the document with its id: blocked if it is toxic."""
+    labels = load(spark, sf_dir, "labels").select("doc_id", (F.col("toxic") == 1).alias("blocked"))
+    return urlrules.judge(load(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
 @register("op9_hilbert_shards")
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard(load(spark, sf_dir, "documents"))
