@@ -11,7 +11,6 @@ composes max-plus 2x2 matrices with ``aggregate``).
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -102,7 +101,7 @@ def stream_fold(df: DataFrame, keys, order, step, finish, out: T.StructType) ->
     return df.repartition(*k).sortWithinPartitions(*k, *o).mapInPandas(fn, out)
 
 
-def max_nonadjacent_sum(df: DataFrame, keys, order, v: str, pieces_col: str | None = None) -> DataFrame:
+def max_nonadjacent_sum(df: DataFrame, keys, order, v: str) -> DataFrame:
     """Best sum of values with no two adjacent rows (values may be negative: skip them).
 
     dp_i = max(dp_{i-1}, dp_{i-2} + v_i) is a max-plus linear map
@@ -127,7 +126,9 @@ def max_nonadjacent_sum(df: DataFrame, keys, order, v: str, pieces_col: str | No
     # level 0: products of ordered runs of <= FAN matrices; each further level
     # multiplies <= FAN consecutive products, so no array exceeds FAN entries
     cur = mats.select(*k, F.col("_c").alias("_i"), F.col("_m").alias("_p"))
-    for _level in range(4):
+    most = cur.agg(F.max("_i")).first()[0] or 0  # the longest key: one product per key must be left
+    while most > 1:
+        most = -(-most // FAN)
         cur = (cur.withColumn("_g", F.floor((F.col("_i") - 1) / F.lit(FAN)).cast("bigint") + 1)
                   .groupBy(*k, "_g")
                   .agg(F.sort_array(F.collect_list(F.struct("_i", "_p"))).alias("_ps"))
@@ -139,20 +140,30 @@ def max_nonadjacent_sum(df: DataFrame, keys, order, v: str, pieces_col: str | No
 
 
 def longest_increasing(df: DataFrame, keys, order, v: str) -> DataFrame:
-    """Length of the longest strictly increasing subsequence per key
-    (patience tails with binary search, streamed per key)."""
-    def step(tails, r):
-        tails = tails if tails is not None else []
-        x = r[v]
-        i = bisect.bisect_left(tails, x)
-        if i == len(tails):
-            tails.append(x)
-        else:
-            tails[i] = x
-        return tails, ()
-
-    return sorted_fold(df.select(*cols(keys), *cols(order), v), keys, order, step, (),
-                       finish=lambda t: (len(t or []),), per_key=[("lis_length", "bigint")])
+    """Length of the longest strictly increasing subsequence per key.
+
+    Rows are peeled off in layers: a row without an earlier smaller one ends a
+    chain of length 1; of the rest, a row without an earlier smaller one ends a
+    chain of length 2, and so on.  A layer is one running minimum over all
+    keys' pieces, and the number of layers is the longest answer.
+    """
+    from ..session import drop_staged, staged
+    from .scan import running, split
+
+    k, o = cols(keys), cols(order)
+    s = split(df.select(*dict.fromkeys([*k, *o, v])), k, o)
+    left, length, layers = s.df, 0, None
+    while True:
+        seen = left.select(*k).distinct().withColumn("_len", F.lit(length + 1).cast("bigint"))
+        low = running(left, k, o, {"_low": ("min", v)}, exclusive=True, pieces=s)
+        rest = staged(low.filter(F.col("_low") < F.col(v)).select(*left.columns))
+        seen = staged(seen)
+        layers = seen if layers is None else layers.unionByName(seen)
+        if length:
+            drop_staged(left)
+        left, length = rest, length + 1
+        if left.isEmpty():
+            return layers.groupBy(*k).agg(F.max("_len").alias("lis_length"))
 
 
 def min_removals_fold(df: DataFrame, keys, start: str, end: str) -> DataFrame:

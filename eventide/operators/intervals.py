@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cols
-from .scan import hot_pieces, running
+from .scan import running, split
 
 
 def merge_intervals(df: DataFrame, keys, start: str, end: str) -> DataFrame:
@@ -18,11 +18,11 @@ def merge_intervals(df: DataFrame, keys, start: str, end: str) -> DataFrame:
     k = cols(keys)
     base = df.select(*k, start, end)
     # a total order: (start, end) ties are harmless for the max-end scan
-    b = hot_pieces(base, k, start)
-    m = running(base, k, [start, end], {"_pmax": ("max", end)}, exclusive=True, bounds=b)
+    s = split(base, k, [start, end])
+    m = running(s.df, k, [start, end], {"_pmax": ("max", end)}, exclusive=True, pieces=s)
     m = m.withColumn("_new", F.when(F.col("_pmax").isNull() | (F.col(start) > F.col("_pmax")), 1)
                               .otherwise(0))
-    isl = running(m, k, [start, end], {"_island": ("sum", "_new")}, bounds=b)
+    isl = running(m, k, [start, end], {"_island": ("sum", "_new")}, pieces=s)
     return (isl.groupBy(*k, "_island")
                .agg(F.min(start).alias(start), F.max(end).alias(end))
                .drop("_island"))

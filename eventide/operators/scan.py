@@ -1,13 +1,18 @@
-"""Keyed prefix scans that stay balanced when one key holds most rows.
+"""Keyed and global scans over ordered rows, without a task that holds a whole key.
 
-``running`` computes running (prefix or suffix) aggregates over each key's
-ordered rows.  Plain path: one window partitioned by the key.  When a key
-holds more than ``hot_rows`` rows it is cut into ordered pieces by
-approximate quantiles of the leading order column; each piece is scanned
-by its own window task and the aggregate of all earlier (or later) pieces
-is added as a carry.  The carry table has at most ``pieces`` rows per hot
-key and is broadcast only when its row count is below a checked limit,
-otherwise it is shuffle-joined.
+``split`` range-partitions the rows by (keys, order): by the real values of
+all order columns, so strings and ties of the leading column are cut like any
+others.  Each range is a *piece*; the piece number is written with the rows,
+once, so that every later use sees the same pieces.  There is no switch on
+sizes: a small input just has few pieces.
+
+``running`` scans each (key, piece) in a window of its own and adds the
+aggregate of the key's earlier (or later) pieces.  Only keys that reach over a
+piece's end need that; they are at most as many as there are pieces, found from
+each piece's first and last key.
+
+``global_rank`` and ``global_prefix_sum`` are the same with one key: a row's
+place in its sorted piece plus one number per earlier piece.
 
 Supported aggregates: sum, count, min, max and ``last`` (the previous
 row's value, i.e. ``lag``; ``lead`` for suffix scans).
@@ -16,77 +21,64 @@ row's value, i.e. ``lag``; ``lead`` for suffix scans).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import cols
+from ..session import staged
 
-HOT_ROWS_CONF = "eventide.scan.hotRows"
-PIECES_CONF = "eventide.scan.pieces"
-BROADCAST_ROWS_CONF = "eventide.broadcast.maxRows"
-DEFAULT_HOT_ROWS = 4_000_000
-DEFAULT_PIECES = 64
-DEFAULT_BROADCAST_ROWS = 200_000
+PIECES_CONF = "eventide.scan.pieces"  # number of pieces; unset: Spark's number of shuffle partitions
+BROADCAST_BYTES_CONF = "eventide.broadcast.maxBytes"
+DEFAULT_BROADCAST_BYTES = 16 << 20
 PIECE = "__eventide_piece"  # internal column; never a user column name
+_PLACE = "__eventide_place"
 
 
-def _conf_int(df: DataFrame, key: str, default: int) -> int:
+def _conf_int(df: DataFrame, key: str, default: int | None) -> int | None:
     v = df.sparkSession.conf.get(key, None)
     return int(v) if v else default
 
 
-def checked_broadcast(small: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Broadcast ``small`` only if its counted size is within the limit."""
-    limit = max_rows or _conf_int(small, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS)
-    n = small.limit(limit + 1).count()
-    return (F.broadcast(small), True) if n <= limit else (small, False)
-
-
-def _numeric_order(df: DataFrame, c: str) -> Column:
-    t = df.schema[c].dataType
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-    if isinstance(t, T.DateType):
-        return F.unix_date(F.col(c)).cast("double")
-    return F.col(c).cast("double")
-
-
-def hot_key_table(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
-    """Keys holding more than ``hot_rows`` rows (None if there is none).
-    One partial/final count aggregate; no key's rows are gathered."""
-    hot_rows = hot_rows or _conf_int(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(*keys)
-    return None if hot.limit(1).count() == 0 else hot
-
-
-def hot_pieces(df: DataFrame, keys: Sequence[str], order0: str,
-               hot_rows: int | None = None, pieces: int | None = None) -> DataFrame | None:
-    """Piece boundaries for hot keys: rows (keys..., _bounds array<double>) or None."""
-    pieces = pieces or _conf_int(df, PIECES_CONF, DEFAULT_PIECES)
-    hot = hot_key_table(df, keys, hot_rows)
-    if hot is None:
-        return None
-    hot_b, _ = checked_broadcast(hot)
-    fr = [i / pieces for i in range(1, pieces)]
-    return (df.join(hot_b, list(keys), "left_semi")
-              .groupBy(*keys)
-              .agg(F.percentile_approx(_numeric_order(df, order0), fr, 10_000).alias("_bounds")))
-
-
-def with_pieces(df: DataFrame, keys: Sequence[str], order0: str, bounds: DataFrame | None,
-                name: str = PIECE) -> DataFrame:
-    """Add column ``name``: 0 for ordinary keys, piece number for hot keys."""
-    if bounds is None:
-        return df.withColumn(name, F.lit(0))
-    b, _ = checked_broadcast(bounds)
-    x = _numeric_order(df, order0)
-    return (df.withColumn("_ord0", x).join(b, list(keys), "left")
-              .withColumn(name, F.coalesce(
-                  F.size(F.filter("_bounds", lambda e: e <= F.col("_ord0"))), F.lit(0)))
-              .drop("_bounds", "_ord0"))
+def checked_broadcast(small: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """Broadcast ``small`` (staged once) only if its measured size is within the limit.
+
+    The size is that of all rows as text, an upper bound of order; beyond the
+    limit the frame is returned without a hint and joins by shuffle.
+    """
+    limit = max_bytes or _conf_int(small, BROADCAST_BYTES_CONF, DEFAULT_BROADCAST_BYTES)
+    kept = staged(small)
+    size = kept.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] if kept.columns else 0
+    return (F.broadcast(kept), True) if (size or 0) <= limit else (kept, False)
+
+
+@dataclass
+class Split:
+    """Rows with their piece number, and the keys (at most one per piece) that reach over a piece's end."""
+
+    df: DataFrame
+    keys: list[str]
+    wide: DataFrame | None
+
+
+def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    n = _conf_int(df, PIECES_CONF, None)
+    return df.repartitionByRange(*([n] if n else []), *order)
+
+
+def split(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]) -> Split:
+    """Cut the rows into pieces by the ranges of (keys, order)."""
+    k, o = cols(keys), cols(order)
+    rows = staged(_ranged(df, [*k, *o]).withColumn(PIECE, F.spark_partition_id()))
+    if not k:
+        return Split(rows, k, None)
+    key = F.struct(*k)
+    ends = rows.groupBy(PIECE).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))  # a row per piece
+    w = Window.orderBy(PIECE)
+    wide = [r["hi"] for r in ends.withColumn("next", F.lead("lo").over(w)).filter("hi <=> next").select("hi").distinct().collect()]
+    schema = rows.select(*k).schema
+    return Split(rows, k, df.sparkSession.createDataFrame([tuple(r) for r in wide], schema) if wide else None)
 
 
 def _window_expr(how: str, c: str, w: Window, reverse: bool, exclusive: bool) -> Column:
@@ -102,42 +94,49 @@ def _window_expr(how: str, c: str, w: Window, reverse: bool, exclusive: bool) ->
     return getattr(F, how)(c).over(fw)
 
 
-DETECT = object()
+def _same(left: DataFrame, right: DataFrame, names: Sequence[tuple[str, str]]) -> Column:
+    """Null-safe equality: a null key is a group of its own, as in a window."""
+    cond = F.lit(True)
+    for a, b in names:
+        cond = cond & left[a].eqNullSafe(right[b])
+    return cond
+
+
+def in_wide(s: Split, df: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose key reaches over a piece's end (at most one key per piece is broadcast)."""
+    wide = s.wide.toDF(*[f"__w{i}" for i in range(len(s.keys))])
+    return df.join(F.broadcast(wide), _same(df, wide, [(c, f"__w{i}") for i, c in enumerate(s.keys)]), "left_semi")
 
 
 def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
             specs: Mapping[str, tuple[str, str]], *, by: str | Sequence[str] = (),
-            exclusive: bool = False, reverse: bool = False,
-            hot_rows: int | None = None, pieces: int | None = None, bounds=DETECT) -> DataFrame:
+            exclusive: bool = False, reverse: bool = False, pieces: Split | None = None) -> DataFrame:
     """Add prefix (or suffix when ``reverse``) aggregates per key.
 
     ``specs`` maps output column -> (how, input column).  ``order`` must be
-    a total order within (keys, by).  Rows are split into pieces only for
-    keys with more than ``hot_rows`` rows.  ``bounds`` passes piece
-    boundaries already computed by ``hot_pieces`` for the same keys and
-    leading order column (None = no hot key), skipping detection.
+    a total order within (keys, by), or rows that tie must be alike.  An
+    operator that scans the same keys and order several times passes the
+    ``pieces`` it got from ``split`` with rows derived from theirs.
     """
     k, o, b = cols(keys), cols(order), cols(by)
-    if bounds is DETECT:
-        bounds = hot_pieces(df, k, o[0], hot_rows, pieces)
+    own = pieces is None
+    if own:
+        pieces = split(df, k, o)
+        df = pieces.df
     part = [*k, *b]
-    if bounds is None:
-        w = Window.partitionBy(*part).orderBy(*o)
+    w = Window.partitionBy(*part, PIECE).orderBy(*o)
+    if pieces.wide is None:
         out = df
         for name, (how, c) in specs.items():
             e = _window_expr(how, c, w, reverse, exclusive)
             out = out.withColumn(name, e.getField("v") if how == "last" else e)
-        return out
+        return out.drop(PIECE) if own else out
 
-    seg = with_pieces(df, k, o[0], bounds)
-    w = Window.partitionBy(*part, PIECE).orderBy(*o)
-    local = seg
+    local = df
     for name, (how, c) in specs.items():
         local = local.withColumn(f"_l_{name}", _window_expr(how, c, w, reverse, exclusive))
 
-    # Per-piece totals of hot keys only, then an exclusive scan over pieces.
-    hot_keys, _ = checked_broadcast(bounds.select(*k))
-    hot_rows_df = seg.join(hot_keys, k, "left_semi")
+    # totals per piece of the wide keys, then an exclusive scan over pieces
     ordstruct = F.struct(*[F.col(c) for c in o])
     aggs = []
     for name, (how, c) in specs.items():
@@ -148,7 +147,7 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
             aggs.append(pick(F.struct(F.col(c).alias("v")), ordstruct).alias(f"_p_{name}"))
         else:
             aggs.append(getattr(F, how)(c).alias(f"_p_{name}"))
-    per = hot_rows_df.groupBy(*part, PIECE).agg(*aggs)
+    per = in_wide(pieces, df).groupBy(*part, PIECE).agg(*aggs)
     ws = Window.partitionBy(*part).orderBy(PIECE)
     ws = ws.rowsBetween(1, Window.unboundedFollowing) if reverse else \
         ws.rowsBetween(Window.unboundedPreceding, -1)
@@ -164,13 +163,10 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
         carry = carry.withColumn(f"_c_{name}", e)
     jk = [*part, PIECE]
     carry = carry.select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(jk)], *[f"_c_{n}" for n in specs])
-    carry_b, _ = checked_broadcast(carry)
-    # null-safe: a null `by` value is a group of its own, as in the window
-    cond = None
-    for i, c in enumerate(jk):
-        e = local[c].eqNullSafe(carry_b[f"_k_{i}"])
-        cond = e if cond is None else cond & e
-    out = local.join(carry_b, cond, "left").drop(*[f"_k_{i}" for i in range(len(jk))])
+    if not b:  # at most two rows per piece and wide key: bounded by twice the number of pieces
+        carry = F.broadcast(carry)
+    out = local.join(carry, _same(local, carry, [(c, f"_k_{i}") for i, c in enumerate(jk)]), "left") \
+               .drop(*[f"_k_{i}" for i in range(len(jk))])
     for name, (how, _c) in specs.items():
         lc, cc = F.col(f"_l_{name}"), F.col(f"_c_{name}")
         if how == "sum":
@@ -185,94 +181,45 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
         else:  # last
             e = F.coalesce(lc, cc).getField("v")
         out = out.withColumn(name, e)
-    return out.select(*df.columns, *[n for n in specs if n not in df.columns])
-
+    keep = [c for c in df.columns if not (own and c == PIECE)]
+    return out.select(*keep, *[n for n in specs if n not in df.columns])
 
-def _is_numeric_like(df: DataFrame, c: str) -> bool:
-    t = df.schema[c].dataType
-    return isinstance(t, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType))
 
+def _offsets(per_piece: DataFrame, value: str) -> dict[int, object]:
+    """Exclusive prefix sums over pieces (a number per piece reaches the driver)."""
+    out, at = {}, 0
+    for r in sorted(per_piece.collect(), key=lambda r: r[PIECE]):
+        out[r[PIECE]] = at
+        at = at + (r[value] or 0)
+    return out
 
-def _prefix_key(c: str) -> Column:
-    """Order-preserving numeric proxy of a string: its first 7 UTF-8 bytes
-    as a big-endian integer (Spark compares strings bytewise, so this is
-    monotone in the string order; ties are broken inside a bucket)."""
-    hx = F.rpad(F.hex(F.substring(F.encode(F.col(c), "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(hx, 16, 10).cast("double")
 
+def _looked_up(table: Mapping[int, object], piece: Column, kind) -> Column:
+    if not table:
+        return F.lit(0).cast(kind)
+    return F.element_at(F.create_map(*[x for p, v in table.items() for x in (F.lit(p), F.lit(v).cast(kind))]), piece)
 
-def _bucketed(df: DataFrame, order: list[str], buckets: int) -> tuple[DataFrame, list[str]]:
-    """Deterministic, order-preserving bucket columns (_bk, _sb) for a global scan.
 
-    Quantile boundaries of the leading column each get an exact-value
-    bucket (odd ids) between the open intervals (even ids), so a heavy
-    value has a bucket of its own; such a bucket is split again by
-    quantiles of the next order column (all its rows share the leading
-    value, so that keeps the order).  Boundaries are scalars on the driver:
-    at most ``buckets`` plus ``buckets`` per heavy bucket.
-    """
-    def key_of(c):
-        return _numeric_order(df, c) if _is_numeric_like(df, c) else _prefix_key(c)
-
-    def bucket_expr(arr, x):
-        below = F.size(F.filter(arr, lambda e: e < x))
-        return F.coalesce(below * 2 + F.when(F.array_contains(arr, x), 1).otherwise(0), F.lit(0))
-
-    probs = [i / buckets for i in range(1, buckets)]
-    tmp = df.withColumn("_x", key_of(order[0]))
-    bounds = sorted(set(v for v in tmp.approxQuantile("_x", probs, 0.5 / buckets) if v is not None))
-    arr = F.array(*[F.lit(float(v)) for v in bounds]) if bounds else None
-    tmp = tmp.withColumn("_bk", bucket_expr(arr, F.col("_x")) if bounds else F.lit(0))
-    tmp = tmp.withColumn("_sb", F.lit(0))
-    if len(order) > 1 and bounds:
-        counts = tmp.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n")).collect()  # <= 2 * buckets rows
-        total = sum(r["_n"] for r in counts)
-        heavy = [r["_bk"] for r in counts if r["_bk"] % 2 == 1 and r["_n"] > 2 * total / buckets]
-        if heavy:
-            y = key_of(order[1])
-            hb = (tmp.filter(F.col("_bk").isin(heavy)).groupBy("_bk")
-                     .agg(F.percentile_approx(y, probs, 10 * buckets).alias("_sbounds")))
-            hb = hb.withColumn("_sbounds", F.array_distinct(F.array_sort("_sbounds")))
-            tmp = (tmp.join(F.broadcast(hb), "_bk", "left")  # <= 2 * buckets rows
-                      .withColumn("_sb", F.when(F.col("_sbounds").isNotNull(),
-                                                bucket_expr(F.col("_sbounds"), y)).otherwise(F.lit(0)))
-                      .drop("_sbounds"))
-    return tmp.drop("_x"), ["_bk", "_sb"]
-
-
-def global_rank(df: DataFrame, order: str | Sequence[str], name: str = "rank",
-                buckets: int = 200) -> DataFrame:
-    """0-based rank of every row in a global order without a single-partition window.
-
-    Bucketed scan (see ``_bucketed``): row counts per bucket are
-    prefix-summed on a small table that is broadcast back, and each
-    bucket is ranked by its own window.
-    """
-    o = cols(order)
-    tmp, bk = _bucketed(df, o, buckets)
-    counts = tmp.groupBy(*bk).agg(F.count(F.lit(1)).alias("_n"))
-    # at most buckets * (2 * buckets + 1) rows: a global window over this small table is fine
-    off = counts.select(*bk, F.coalesce(F.sum("_n").over(
-        Window.orderBy(*bk).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*bk).orderBy(*o)
-    return (tmp.join(F.broadcast(off), bk)
-               .withColumn(name, F.col("_off") + F.row_number().over(w) - 1)
-               .drop(*bk, "_off"))
+def global_rank(df: DataFrame, order: str | Sequence[str], name: str = "rank") -> DataFrame:
+    """0-based rank of every row in a global order, one shuffle: the row's place in its sorted piece
+    plus the rows of the pieces before.  Rows that tie are spread by a last, arbitrary order column."""
+    o = [F.col(c) for c in cols(order)]
+    n = _conf_int(df, PIECES_CONF, None)
+    tied = df.withColumn(_PLACE, F.monotonically_increasing_id())
+    rows = tied.repartitionByRange(*([n] if n else []), *o, F.col(_PLACE)).sortWithinPartitions(*o, _PLACE) \
+               .withColumn(_PLACE, F.monotonically_increasing_id()).withColumn(PIECE, F.spark_partition_id())
+    rows = staged(rows)
+    off = _offsets(rows.groupBy(PIECE).agg(F.count(F.lit(1)).alias("n")), "n")
+    place = F.col(_PLACE).bitwiseAND((1 << 33) - 1)
+    return rows.withColumn(name, (_looked_up(off, F.col(PIECE), "bigint") + place).cast("bigint")).drop(PIECE, _PLACE)
 
 
 def global_prefix_sum(df: DataFrame, order: str | Sequence[str], value: str, name: str,
-                      exclusive: bool = True, buckets: int = 200) -> DataFrame:
-    """Running sum of ``value`` in a global order (bucketed scan, no global window).
-
-    Same bucketing as ``global_rank``; the carry per bucket is the sum of
-    all earlier buckets, computed on a small table.
-    """
+                      exclusive: bool = True) -> DataFrame:
+    """Running sum of ``value`` in a global order: a window per piece plus the sums of the pieces before."""
     o = cols(order)
-    tmp, bk = _bucketed(df, o, buckets)
-    tot = tmp.groupBy(*bk).agg(F.sum(value).alias("_s"))
-    off = tot.select(*bk, F.coalesce(F.sum("_s").over(
-        Window.orderBy(*bk).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*bk).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-    return (tmp.join(F.broadcast(off), bk)
-               .withColumn(name, F.col("_off") + F.coalesce(F.sum(value).over(w), F.lit(0)))
-               .drop(*bk, "_off"))
+    rows = split(df, [], o).df
+    kind = rows.agg(F.sum(value)).schema[0].dataType
+    off = _offsets(rows.groupBy(PIECE).agg(F.sum(value).alias("s")), "s")
+    w = Window.partitionBy(PIECE).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    return rows.withColumn(name, _looked_up(off, F.col(PIECE), kind) + F.coalesce(F.sum(value).over(w), F.lit(0))).drop(PIECE)

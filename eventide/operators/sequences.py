@@ -10,19 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import cols
-from ..session import cut_lineage
-from .scan import hot_pieces, running
+from ..session import staged
+from .scan import PIECE, Split, running, split
 
 
-def with_position(df: DataFrame, keys, order, name: str = "pos", bounds=None, detect: bool = True) -> DataFrame:
+def with_position(df: DataFrame, keys, order, name: str = "pos", pieces: Split | None = None) -> DataFrame:
     """0-based position of each row inside its key."""
-    kw = {} if detect else {"bounds": bounds}
-    out = running(df, keys, order, {"_cnt": ("count", "_cnt")}, **kw)
+    out = running(df, keys, order, {"_cnt": ("count", "_cnt")}, pieces=pieces)
     return out.withColumn(name, F.col("_cnt") - 1).drop("_cnt")
 
 
@@ -44,9 +42,9 @@ def max_gain(df: DataFrame, keys, order, v: str) -> DataFrame:
 def fill_depth(df: DataFrame, keys, order, v: str) -> DataFrame:
     """Trapped depth: sum over rows of min(max to the left, max to the right) - v."""
     k = cols(keys)
-    b = hot_pieces(df, k, cols(order)[0])
-    left = running(df, k, order, {"_lmax": ("max", v)}, bounds=b)
-    both = running(left, k, order, {"_rmax": ("max", v)}, reverse=True, bounds=b)
+    s = split(df, k, order)
+    left = running(s.df, k, order, {"_lmax": ("max", v)}, pieces=s)
+    both = running(left, k, order, {"_rmax": ("max", v)}, reverse=True, pieces=s)
     return (both.groupBy(*k)
                 .agg(F.sum(F.least("_lmax", "_rmax") - F.col(v)).alias("fill_depth")))
 
@@ -116,9 +114,9 @@ def rollover_point(df: DataFrame, keys, order, v: str) -> DataFrame:
     wrap) and the number of wraps (every counter reset).
     """
     k = cols(keys)
-    b = hot_pieces(df, k, cols(order)[0])
-    pos = with_position(df, k, order, bounds=b, detect=False)
-    pr = running(pos, k, order, {"_prev": ("last", v)}, exclusive=True, bounds=b)
+    s = split(df, k, order)
+    pos = with_position(s.df, k, order, pieces=s)
+    pr = running(pos, k, order, {"_prev": ("last", v)}, exclusive=True, pieces=s)
     wrap = F.col(v) < F.col("_prev")
     first_wrap = F.when(wrap, F.col("pos"))
     return (pr.groupBy(*k)
@@ -131,11 +129,11 @@ def rollover_point(df: DataFrame, keys, order, v: str) -> DataFrame:
 def longest_distinct_run(df: DataFrame, keys, order, item: str) -> DataFrame:
     """Longest contiguous stretch with no repeated item, per key."""
     k = cols(keys)
-    b = hot_pieces(df, k, cols(order)[0])
-    pos = with_position(df, k, order, bounds=b, detect=False)
-    prev = running(pos, k, order, {"_prev": ("last", "pos")}, by=item, exclusive=True, bounds=b)
+    s = split(df, k, order)
+    pos = with_position(s.df, k, order, pieces=s)
+    prev = running(pos, k, order, {"_prev": ("last", "pos")}, by=item, exclusive=True, pieces=s)
     prev = prev.withColumn("_start", F.coalesce(F.col("_prev") + 1, F.lit(0)))
-    left = running(prev, k, order, {"_left": ("max", "_start")}, bounds=b)
+    left = running(prev, k, order, {"_left": ("max", "_start")}, pieces=s)
     return (left.groupBy(*k)
                 .agg(F.max(F.col("pos") - F.col("_left") + 1).alias("longest_run")))
 
@@ -149,9 +147,9 @@ def min_covering_span(df: DataFrame, keys, order, item: str, need: Mapping[str,
     and carried forward with a running max; the left edge is the least
     anchor over items.  Keys with no covering stretch give no row.
     """
-    k = cols(keys)
-    b = hot_pieces(df, k, cols(order)[0])
-    pos = with_position(df, k, order, bounds=b, detect=False)
+    k, o = cols(keys), cols(order)
+    s = split(df, k, order)
+    pos = with_position(s.df, k, order, pieces=s)
     out = pos
     for i, (c, n) in enumerate(need.items()):
         if n < 1:
@@ -160,12 +158,14 @@ def min_covering_span(df: DataFrame, keys, order, item: str, need: Mapping[str,
             anchor = F.when(F.col(item) == c, F.col("pos"))
             out = out.withColumn(f"_a{i}", anchor)
         elif n == 2:
-            out = running(out, k, order, {f"_q{i}": ("last", "pos")}, by=item, exclusive=True, bounds=b)
+            out = running(out, k, order, {f"_q{i}": ("last", "pos")}, by=item, exclusive=True, pieces=s)
             out = out.withColumn(f"_a{i}", F.when(F.col(item) == c, F.col(f"_q{i}"))).drop(f"_q{i}")
-        else:
-            w = Window.partitionBy(*k, item).orderBy(*cols(order))
-            out = out.withColumn(f"_a{i}", F.when(F.col(item) == c, F.lag("pos", n - 1).over(w)))
-        out = running(out, k, order, {f"_L{i}": ("max", f"_a{i}")}, bounds=b)
+        else:  # the occurrences numbered, each joined with the one n - 1 before it
+            hits = running(out.filter(F.col(item) == c).select(*k, *[x for x in o if x not in k], "pos", PIECE), k, o,
+                           {"_c": ("count", "_c")}, pieces=s).select(*k, "pos", "_c")
+            earlier = hits.select(*k, (F.col("_c") + (n - 1)).alias("_c"), F.col("pos").alias(f"_a{i}"))
+            out = out.join(hits.join(earlier, [*k, "_c"]).select(*k, "pos", f"_a{i}"), [*k, "pos"], "left")
+        out = running(out, k, order, {f"_L{i}": ("max", f"_a{i}")}, pieces=s)
     lefts = [F.col(f"_L{i}") for i in range(len(need))]
     left = F.least(*lefts) if len(lefts) > 1 else lefts[0]
     valid = F.lit(True)
@@ -178,101 +178,86 @@ def min_covering_span(df: DataFrame, keys, order, item: str, need: Mapping[str,
     return best.select(*k, "_b.span_start", "_b.span_end", "_b.span_len")
 
 
-# --- stack-based operators: streamed per key -------------------------------------
-# Each key's rows are streamed in order (``folds.stream_fold``); the state
-# is the monotonic stack, never the key's whole group.
+# --- nearest greater or smaller neighbour ------------------------------------------
 
+FAN = 64  # elements of a block, and blocks of a block on the next level
 
-def next_greater(df: DataFrame, keys, order, v: str) -> DataFrame:
-    """Steps to the next strictly greater value in the key's order (0 if none).
-
-    Ordinary keys: one streamed monotonic stack per key (a row's answer is
-    emitted when a later, greater row pops it).  Hot keys are cut into
-    ordered pieces: a stack runs per piece in parallel; a row left on its
-    piece's stack looks up the first later piece whose maximum exceeds it
-    (a broadcast table of at most pieces rows per hot key) and, inside that
-    piece, the first prefix-maximum record above its value (an as-of
-    lookup by running scan, since records rise in both position and value).
+
+def _beside(rows: DataFrame, level: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with the elements ``_a`` of the block that they name, null-safe; no block, no elements."""
+    side = level.select(*[F.col(c).alias(f"_on{i}") for i, c in enumerate(on)], "_a")
+    cond = F.lit(True)
+    for i, c in enumerate(on):
+        cond = cond & rows[c].eqNullSafe(side[f"_on{i}"])
+    return rows.join(side, cond, "left").drop(*[f"_on{i}" for i in range(len(on))])
+
+
+def next_beyond(pos: DataFrame, keys, p: str, v: str, name: str) -> DataFrame:
+    """(keys, p, v, name): position (from 0) of the first later row with a strictly greater value, null if none.
+
+    Positions are cut into blocks of ``FAN``; the blocks' maxima form the next
+    level, cut into blocks again, up to one block per key.  A row asks its own
+    block first, then the maxima beside it on each level, and goes down again
+    into the first block that has a greater value.  Every step is a join on
+    (keys, block), so no task holds a key and no array more than ``FAN``.
     """
-    from .folds import stream_fold
-    from .scan import checked_broadcast, with_pieces
+    k = cols(keys)
+    rows = staged(pos.select(*k, F.col(p).cast("bigint").alias("_i"), F.col(v).alias("_m")))
+    reach = rows.agg(F.min("_i"), F.max("_i")).first()
+    if reach[0] is None:
+        return rows.select(*k, F.col("_i").alias(p), F.col("_m").alias(v), F.lit(None).cast("bigint").alias(name))
+    block = lambda c: F.floor(F.col(c) / F.lit(FAN)).cast("bigint")
+
+    def blocks(level: DataFrame) -> DataFrame:
+        return level.groupBy(*k, block("_i").alias("_b")).agg(F.array_sort(F.collect_list(F.struct("_i", "_m"))).alias("_a"),
+                                                              F.max("_m").alias("_top"))
+
+    levels, lo, hi = [staged(blocks(rows))], reach[0] // FAN, reach[1] // FAN
+    while lo < hi:
+        up = levels[-1].select(*k, F.col("_b").alias("_i"), F.col("_top").alias("_m"))
+        levels.append(staged(blocks(up)))
+        lo, hi = lo // FAN, hi // FAN
+    first = F.expr("get(filter(_a, e -> e._i > _at and e._m > _x), 0)._i")
+    asked = [staged(levels[0].select(*k, "_a", F.explode("_a").alias("_e"), "_b")
+                    .select(*k, "_a", "_b", F.col("_e._i").alias("_q"), F.col("_e._m").alias("_x"), F.col("_e._i").alias("_at"))
+                    .withColumn("_hit", first).select(*k, "_q", "_x", "_b", "_hit"))]
+    for level in levels[1:]:
+        open_ = asked[-1].filter("_hit is null").select(*k, "_q", "_x", F.col("_b").alias("_at"))
+        asked.append(staged(_beside(open_.withColumn("_b", block("_at")), level, [*k, "_b"])
+                            .withColumn("_hit", first).select(*k, "_q", "_x", "_b", "_hit")))
+    out = asked[-1].select(*k, "_q", "_x", "_hit")
+    for down, level in zip(asked[-2::-1], levels[-2::-1]):  # from the top: the first child that is greater
+        inside = _beside(out.withColumnRenamed("_hit", "_b"), level, [*k, "_b"]) \
+            .select(*k, "_q", "_x", F.expr("get(filter(_a, e -> e._m > _x), 0)._i").alias("_hit"))
+        out = inside.unionByName(down.filter("_hit is not null").select(*k, "_q", "_x", "_hit"))
+    return out.select(*k, F.col("_q").alias(p), F.col("_x").alias(v), F.col("_hit").alias(name))
+
 
+def next_greater(df: DataFrame, keys, order, v: str) -> DataFrame:
+    """Steps to the next strictly greater value in the key's order (0 if none)."""
     k = cols(keys)
-    o0 = cols(order)[0]
-    b = hot_pieces(df, k, o0)
-    pos = with_position(df, k, order, bounds=b, detect=False).select(*dict.fromkeys([*k, "pos", v, o0]))
-    part = [*k, "_seg"]
-    seg = with_pieces(pos, k, o0, b, name="_seg") if b is not None else pos.withColumn("_seg", F.lit(0))
-    seg = seg.drop(o0) if o0 not in (*k, "pos", v) else seg
-    out = T.StructType([*seg.schema.fields, T.StructField("steps", T.LongType()),
-                        T.StructField("_open", T.BooleanType())])
-
-    def step(stack, r):
-        stack = stack if stack is not None else []
-        x, p = r[v], r["pos"]
-        em = []
-        while stack and stack[-1][1] < x:
-            q, qv = stack.pop()
-            em.append((*[r[c] for c in k], q, qv, r["_seg"], p - q, False))
-        stack.append((p, x))
-        return stack, em
-
-    def finish(stack, key):
-        return [(*key[:-1], q, qv, key[-1], 0, True) for q, qv in (stack or [])]
-
-    local = stream_fold(seg, part, ["pos"], step, finish, out)
-    cols_out = [*k, "pos", v, "steps"]
-    if b is None:
-        return local.select(*cols_out)
-    local = cut_lineage(local)
-    done = local.filter(~F.col("_open")).select(*cols_out)
-    open_ = local.filter(F.col("_open"))
-    hot_b, _ = checked_broadcast(b.select(*k))
-    piece_max = seg.join(hot_b, k, "left_semi").groupBy(*part).agg(F.max(v).alias("_mx"))
-    pm_b, _ = checked_broadcast(piece_max.select(*k, F.col("_seg").alias("_t"), "_mx"))
-    target = (open_.join(pm_b, k).filter((F.col("_t") > F.col("_seg")) & (F.col("_mx") > F.col(v)))
-                   .groupBy(*k, "pos").agg(F.min("_t").alias("_t")))
-    q = open_.join(target, [*k, "pos"], "left")
-    no_target = q.filter(F.col("_t").isNull()).select(*cols_out)
-    asks = q.filter(F.col("_t").isNotNull()).select(*k, F.col("_t"), F.col(v).alias("_val"), F.lit(1).alias("_kind"),
-                                                    F.col("pos").alias("_q"), F.lit(None).cast("long").alias("_r"))
-    recs = running(seg.join(hot_b, k, "left_semi"), part, ["pos"], {"_pm": ("max", v)}, exclusive=True)
-    recs = recs.filter(F.col("_pm").isNull() | (F.col(v) > F.col("_pm"))).select(
-        *k, F.col("_seg").alias("_t"), F.col(v).alias("_val"), F.lit(0).alias("_kind"),
-        F.lit(None).cast("long").alias("_q"), F.col("pos").alias("_r"))
-    u = asks.unionByName(recs).withColumn("_tb", F.coalesce("_q", "_r"))
-    # records sort before queries of equal value, so only strictly greater records follow a query
-    nxt = running(u, [*k, "_t"], ["_val", "_kind", "_tb"], {"_next": ("min", "_r")}, reverse=True, exclusive=True)
-    found = (nxt.filter(F.col("_kind") == 1)
-                .select(*k, F.col("_q").alias("pos"), F.col("_val").alias(v), (F.col("_next") - F.col("_q")).alias("steps")))
-    return done.unionByName(no_target).unionByName(found)
+    found = next_beyond(with_position(df, k, order), k, "pos", v, "_next")
+    return found.select(*k, "pos", v, F.coalesce(F.col("_next") - F.col("pos"), F.lit(0)).alias("steps"))
 
 
 def max_rectangle(df: DataFrame, keys, order, v: str) -> DataFrame:
-    """max over i of v_i * (width of the run around i with all values >= v_i)."""
-    from .folds import stream_fold
-
+    """max over i of v_i * (width of the run around i with all values >= v_i), in the type of v * a count."""
     k = cols(keys)
-    pos = with_position(df, k, order).select(*k, "pos", v)
-    out = T.StructType([*pos.select(*k).schema.fields, T.StructField("max_rectangle", T.LongType())])
-
-    def push(st, i, h):
-        stack, best = st
-        start = i
-        while stack and stack[-1][1] >= h:
-            s0, sh = stack.pop()
-            best = max(best, sh * (i - s0))
-            start = s0
-        stack.append((start, h))
-        return stack, best
-
-    def step(st, r):
-        st = st if st is not None else ([], 0, 0)
-        stack, best = push((st[0], st[1]), st[2], r[v])
-        return (stack, best, st[2] + 1), []
-
-    def finish(st, key):
-        stack, best = push((st[0], st[1]), st[2], 0)
-        return [(*key, int(best))]
-
-    return stream_fold(pos, k, ["pos"], step, finish, out)
+    pos = staged(with_position(df, k, order).select(*k, "pos", F.col(v).alias("_v")))
+    low = pos.select(*k, "pos", (F.lit(0) - F.col("_v")).alias("_low"))  # a smaller value is a greater one of these
+    after = next_beyond(low, k, "pos", "_low", "_next")
+    last = pos.agg(F.max("pos")).first()[0] or 0
+    turn = lambda c: F.lit(last) - F.col(c)
+    before = next_beyond(low.withColumn("pos", turn("pos")), k, "pos", "_low", "_prev") \
+        .select(*k, turn("pos").alias("pos"), turn("_prev").alias("_prev"))
+    size = pos.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
+    wide = F.coalesce("_next", "_n") - F.coalesce(F.col("_prev"), F.lit(-1)) - 1
+    both = after.unionByName(before, allowMissingColumns=True).groupBy(*k, "pos") \
+        .agg(F.first("_low").alias("_low"), F.max("_next").alias("_next"), F.max("_prev").alias("_prev"))
+    sized = size.toDF(*[f"_s{i}" for i in range(len(k))], "_n")
+    cond = F.lit(True)
+    for i, c in enumerate(k):
+        cond = cond & both[c].eqNullSafe(sized[f"_s{i}"])
+    return (both.join(sized, cond)
+                 .groupBy(*k).agg(F.max((F.lit(0) - F.col("_low")) * wide).alias("_r"))
+                 .select(*k, F.greatest(F.col("_r"), F.lit(0)).alias("max_rectangle")))

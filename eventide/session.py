@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,11 +48,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir; create a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is
-    used as is.  Only in local runs (tests, bench) do we set one.
+    used as is.  Only in local runs (tests, bench) do we set one: a folder of
+    this machine is of no use to executors on others, so a cluster without the
+    setting is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="eventide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -72,3 +77,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet into the checkpoint dir and read it back.
+
+    Cuts the lineage with a single run of the plan, and later reads take only
+    the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files behind a frame that ``staged`` returned."""
+    path = getattr(df, "_staged_path", None)
+    if path:
+        sc = df.sparkSession.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
