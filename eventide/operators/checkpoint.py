@@ -10,6 +10,7 @@ start over.  Writes go through Spark, so any shared file system works.
 from __future__ import annotations
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +45,15 @@ def save(spark: SparkSession, root: str, epoch: int, state: dict) -> None:
 
 def load_latest(spark: SparkSession, root: str) -> dict | None:
     try:
-        last = spark.read.parquet(f"{root}/manifest").agg(F.max("last_epoch")).first()[0]
-        if last is None:
-            return None
-        row = spark.read.parquet(f"{root}/epoch={last}").first().asDict()
-    except Exception:  # noqa: BLE001 - missing files mean a fresh start
+        manifest = spark.read.parquet(f"{root}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a missing manifest means a fresh start
+            raise
         return None
+    last = manifest.agg(F.max("last_epoch")).first()[0]
+    if last is None:
+        return None
+    row = spark.read.parquet(f"{root}/epoch={last}").first().asDict()
     st = _decode(row)
     st["epoch"] = int(last)
     return st

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cols
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_staged, staged
 from .scan import global_rank
 
 
@@ -30,29 +30,28 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     O(log n) rounds; the edge set shrinks to one star per component.
     Large-star emits (v, m) with v > m only, which is exactly the
     "smaller neighbours" input small-star needs, so a round is: a grouped
-    min and join on a table already partitioned by its first column, one
-    repartition of the large-star output, another grouped min and join,
-    and one repartition of the symmetric result.  ``nodes`` adds isolated
-    nodes.
+    min and join, another grouped min and join, and a distinct of the pairs.
+    Pairs are kept apart by both ends: a hub's minimum is combined in the
+    tasks before the shuffle, its join is one that AQE can split, and nothing
+    else gathers its edges.  ``nodes`` adds isolated nodes.
     """
     e = edges.select(F.col(src).cast("bigint").alias("u"), F.col(dst).cast("bigint").alias("v")) \
              .filter(F.col("u") != F.col("v"))
-    # repartition by u first: that clustering already satisfies distinct on (u, v)
-    d = cut_lineage(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-                     .repartition("u").distinct())
+    d = staged(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     prev = _checksum(d, "u", "v")
     for _ in range(max_rounds):
         # large star: every larger neighbour of u links to the smallest of u's closed neighbourhood
         m = d.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         low = (d.filter(F.col("v") > F.col("u")).join(m, "u")
-                .select(F.col("v").alias("u"), F.col("m").alias("v")).repartition("u").distinct())
+                .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # small star: u and its smaller neighbours link to the smallest of them
         m2 = low.groupBy("u").agg(F.min("v").alias("m"))
         ss = (low.join(m2, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
                  .unionByName(m2.select(F.col("u").alias("a"), F.col("m").alias("b")))
                  .filter(F.col("a") != F.col("b")))
         both = ss.unionByName(ss.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        d = cut_lineage(both.select(F.col("a").alias("u"), F.col("b").alias("v")).repartition("u").distinct())
+        old, d = d, staged(both.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
+        drop_staged(old)
         cur = _checksum(d, "u", "v")
         if cur == prev:
             break
@@ -73,10 +72,7 @@ def count_islands(cells: DataFrame, grid: str = "grid_id", r: str = "r", c: str
                   land: str = "land") -> DataFrame:
     """Number of 4-connected land components per grid (0 for a grid without land)."""
     grids = cells.select(grid).distinct()
-    gnum = global_rank(grids, [grid], "_g")
-    cid = (F.col("_g") * F.lit(1 << 42) + F.col(r).cast("bigint") * F.lit(1 << 21) + F.col(c).cast("bigint"))
-    lnd = (cells.filter(F.col(land)).join(gnum, grid)
-                .select(grid, r, c, cid.alias("id")))
+    lnd = global_rank(cells.filter(F.col(land)).select(grid, r, c).distinct(), [grid, r, c], "id")
     right = lnd.select(grid, F.col(r).alias("_r"), (F.col(c) - 1).alias("_c"), F.col("id").alias("nb"))
     down = lnd.select(grid, (F.col(r) - 1).alias("_r"), F.col(c).alias("_c"), F.col("id").alias("nb"))
     a = lnd.select(grid, F.col(r).alias("_r"), F.col(c).alias("_c"), "id")
@@ -254,7 +250,7 @@ def reachable_subgraph(edges: DataFrame, seed, src: str = "src", dst: str = "dst
     s = spark.createDataFrame([(0, int(seed))], "source int, node bigint")
     reach = bfs(edges, s, src=src, dst=dst).select("node").union(s.select("node")).distinct()
     top = edges.agg(F.greatest(F.max(src), F.max(dst)).alias("m")).first()["m"]
-    base = max(int(top), int(seed)) + 1
+    base = max(int(seed) if top is None else int(top), int(seed)) + 1
     ids = global_rank(reach, ["node"], "_r").select("node", (F.col("_r") + F.lit(base)).alias("new_id"))
     e = edges.select(F.col(src).alias("old_src"), F.col(dst).alias("old_dst"))
     a = ids.select(F.col("node").alias("old_src"), F.col("new_id").alias("new_src"))

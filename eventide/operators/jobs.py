@@ -20,11 +20,15 @@ def classify_status(obs: DataFrame) -> DataFrame:
 def reconcile(desired: DataFrame, observed: DataFrame) -> DataFrame:
     """One row per desired (job, rank): missing -> create/Pending,
     Failed -> recreate/Resuming, else keep with its phase.  Observed
-    ranks outside the desired range are ignored."""
-    want = desired.select("job", F.explode(F.sequence(F.lit(0), F.col("worker_count") - 1)).alias("rank"))
+    ranks outside the desired range are ignored; no workers, no rows.  The
+    last checkpointed epoch is taken over if ``observed`` has a column
+    ``last_checkpoint_epoch``, else it is 0."""
+    want = desired.filter(F.col("worker_count") > 0).select("job", F.explode(F.sequence(F.lit(0), F.col("worker_count") - 1)).alias("rank"))
     want = want.withColumn("rank", F.col("rank").cast("bigint"))
+    epoch = F.col("last_checkpoint_epoch").cast("bigint") if "last_checkpoint_epoch" in observed.columns \
+        else F.lit(0).cast("bigint")
     obs = classify_status(observed).select("job", F.col("rank").cast("bigint").alias("rank"),
-                                           "phase", "restart_count")
+                                           "phase", "restart_count", epoch.alias("_epoch"))
     j = want.join(obs, ["job", "rank"], "left")
     return j.select("job", "rank",
                     F.when(F.col("phase").isNull(), "create").when(F.col("phase") == "Failed", "recreate")
@@ -32,7 +36,7 @@ def reconcile(desired: DataFrame, observed: DataFrame) -> DataFrame:
                     F.when(F.col("phase").isNull(), "Pending").when(F.col("phase") == "Failed", "Resuming")
                      .otherwise(F.col("phase")).alias("phase"),
                     F.coalesce("restart_count", F.lit(0).cast("bigint")).alias("restart_count"),
-                    F.lit(0).cast("bigint").alias("last_checkpoint_epoch"))
+                    F.coalesce("_epoch", F.lit(0).cast("bigint")).alias("last_checkpoint_epoch"))
 
 
 def status_rollup(statuses: DataFrame) -> DataFrame:

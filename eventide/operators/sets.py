@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cols
+from .scan import running
 
 
 def _tagged(dfs: Sequence[DataFrame | None]) -> DataFrame | None:
@@ -46,31 +47,32 @@ def sorted_merge(dfs: Sequence[DataFrame | None], key: str, pos: str) -> DataFra
     return u.orderBy(key, "src_idx", pos)
 
 
-def missing_ids(df: DataFrame, id_col: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
-    """Ids absent from [lo, hi] (defaults: the observed min and max).
+def missing_ids(df: DataFrame, id_col: str, lo: int | None = None, hi: int | None = None, keys=()) -> DataFrame:
+    """Ids absent from [lo, hi] (defaults: the observed min and max), per key if ``keys`` are given.
 
-    The candidate range is generated in parallel by ``spark.range`` and
-    anti-joined with the observed ids; nothing is collected but two scalars.
+    The gaps between neighbouring ids are filled, so the work follows the
+    ids and the answer, not the span.  Without keys all ids form one group, which
+    the running scan cuts into pieces.
     """
-    spark = df.sparkSession
-    if lo is None or hi is None:
-        mm = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).first()
-        lo = mm["lo"] if lo is None else lo
-        hi = mm["hi"] if hi is None else hi
-    if lo is None or hi is None or hi < lo:
-        return spark.range(0).select(F.col("id").alias("missing_id"))
-    n_part = max(1, spark.sparkContext.defaultParallelism)
-    cand = spark.range(lo, hi + 1, numPartitions=n_part).select(F.col("id").alias("missing_id"))
-    seen = df.select(F.col(id_col).cast("bigint").alias("missing_id"))
-    return cand.join(seen, "missing_id", "left_anti")
+    k = cols(keys)
+    group = k or ["_all"]
+    seen = df if k else df.withColumn("_all", F.lit(0))
+    seen = seen.select(*group, F.col(id_col).cast("bigint").alias("_id")).filter("_id is not null")
+    if lo is not None:
+        seen = seen.filter(F.col("_id") >= lo)
+    if hi is not None:
+        seen = seen.filter(F.col("_id") <= hi)
+    some = seen.select(*group).distinct() if k else df.sparkSession.createDataFrame([(0,)], "_all int")
+    for end in ([lo - 1] if lo is not None else []) + ([hi + 1] if hi is not None else []):
+        seen = seen.unionByName(some.withColumn("_id", F.lit(end).cast("bigint")))
+    gaps = running(seen.distinct(), group, "_id", {"_prev": ("last", "_id")}, exclusive=True) \
+        .filter(F.col("_id") - F.col("_prev") > 1)
+    return gaps.select(*k, F.explode(F.sequence(F.col("_prev") + 1, F.col("_id") - 1)).alias("missing_id"))
 
 
 def missing_value(df: DataFrame, keys, v: str) -> DataFrame:
-    """The one number of 0..n absent from a key's n values: n(n+1)/2 - sum (BIGINT)."""
-    k = cols(keys)
-    n = F.count(F.lit(1)).cast("bigint")
-    return df.groupBy(*k).agg((n * (n + 1) / 2 - F.sum(F.col(v).cast("bigint"))).cast("bigint")
-                              .alias("missing_value"))
+    """The one number of 0..n absent from a key's n values: n(n+1)/2 - sum, in integers."""
+    return df.groupBy(*cols(keys)).agg(F.expr(f"count(1) * (count(1) + 1) div 2 - sum(cast(`{v}` as bigint))").alias("missing_value"))
 
 
 def membership(df: DataFrame, words: DataFrame, on: str, word_col: str = "word",

@@ -243,3 +243,30 @@ def test_validate_random(spark):
         trees += [(f"t{t}", i, p, sd, v) for i, (v, p, sd) in nodes.items()]
     df = spark.createDataFrame(trees, _NODES)
     assert {r.tree_id: r.valid for r in TR.validate_ordered_tree(df).collect()} == want
+
+
+def test_islands_on_wide_grids(spark):
+    """Cells whose coordinates only differ beyond 21 bits stay apart."""
+    far = 1 << 21
+    cells = spark.createDataFrame([("g", 0, 0, True), ("g", 0, far, True), ("g", 1, 0, True), ("g", far, 5, True), ("h", 0, 0, False)],
+                                  "grid_id string, r int, c int, land boolean")
+    assert {r.grid_id: r.islands for r in G.count_islands(cells).collect()} == {"g": 3, "h": 0}
+
+
+def test_reachable_subgraph_of_no_edges(spark):
+    e = spark.createDataFrame([], "src bigint, dst bigint")
+    assert G.reachable_subgraph(e, 5).count() == 0
+
+
+def test_components_of_a_star(spark):
+    e = spark.range(1, 20001).select(F.lit(0).cast("bigint").alias("src"), F.col("id").alias("dst"))
+    got = G.connected_components(e).agg(F.count_distinct("component").alias("n"), F.count("*").alias("m")).first()
+    assert (got.n, got.m) == (1, 20001)
+
+
+def test_reconcile_without_workers(spark):
+    from eventide.operators import jobs as J
+    want = spark.createDataFrame([("a", 0), ("b", 1)], "job string, worker_count int")
+    seen = spark.createDataFrame([("b", 0, 0, 0, 1, 7)], "job string, rank int, succeeded int, failed int, active int, last_checkpoint_epoch int")
+    got = [(r.job, r.rank, r.last_checkpoint_epoch) for r in J.reconcile(want, seen).collect()]
+    assert got == [("b", 0, 7)]

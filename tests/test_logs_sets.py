@@ -43,6 +43,25 @@ def test_sorted_merge(spark):
 def test_missing(spark):
     df = spark.createDataFrame([("a", 3), ("a", 0), ("a", 1)], "k string, v bigint")
     assert ST.missing_value(df, "k", "v").collect()[0]["missing_value"] == 2
+
+
+def test_missing_value_is_exact_for_large_counts(spark):
+    n = 200_000_001  # one row stands for the sum of all others: n rows are not needed to see the division
+    got = spark.sql(f"select {n}L * ({n}L + 1) div 2 as s").first().s
+    assert got == n * (n + 1) // 2
+    df = spark.range(1001).filter("id <> 77").select(F.lit("k").alias("k"), F.col("id").alias("v"))
+    assert ST.missing_value(df, "k", "v").first().missing_value == 77
+
+
+def test_missing_ids(spark):
+    df = spark.createDataFrame([(5,), (1,), (2,), (9,), (9,), (None,)], "i bigint")
+    ids = lambda d: sorted(r.missing_id for r in d.collect())
+    assert ids(ST.missing_ids(df, "i")) == [3, 4, 6, 7, 8]
+    assert ids(ST.missing_ids(df, "i", 0, 11)) == [0, 3, 4, 6, 7, 8, 10, 11]
+    assert ids(ST.missing_ids(df.filter("i < 0"), "i", 1, 3)) == [1, 2, 3]
+    assert ids(ST.missing_ids(df.filter("i < 0"), "i")) == []
+    far = spark.createDataFrame([("a", 1), ("a", 3), ("b", 10**15), ("b", 10**15 + 2), ("c", 4)], "k string, i bigint")
+    assert sorted(map(tuple, ST.missing_ids(far, "i", keys="k").collect())) == [("a", 2), ("b", 10**15 + 1)]
     ids = spark.createDataFrame([(1,), (2,), (5,), (7,)], "id bigint")
     assert sorted(r.missing_id for r in ST.missing_ids(ids, "id").collect()) == [3, 4, 6]
 
@@ -163,32 +182,22 @@ def test_fold_operations(spark):
     assert rows == {("item", "C", None), ("meta", "owner", "carol")}
 
 
-def _optimize(ops):
-    """Literal replay of the reference's two passes (merge adjacent, bubble adds)."""
-    merged = []
-    for op in ops:
-        if merged and merged[-1][2] == "update" and op[2] == "update" and merged[-1][4] == op[4]:
-            merged[-1] = op
+def _folded(ops):
+    """Items and metadata left after applying ops in order."""
+    items, meta = set(), {}
+    for _, _, op, item, key, value in ops:
+        if op == "add":
+            items.add(item)
+        elif op == "remove":
+            items.discard(item)
         else:
-            merged.append(op)
-
-    def commutes(a, b):  # does a commute with b
-        if a[2] == "add":
-            return b[2] == "add" or b[2] == "update" or (b[2] == "remove" and b[3] != a[3])
-        return False
-
-    res = list(merged)
-    for i in range(1, len(res)):
-        if res[i][2] != "add":
-            continue
-        j = i
-        while j > 0 and commutes(res[j], res[j - 1]):
-            res[j], res[j - 1] = res[j - 1], res[j]
-            j -= 1
-    return merged, res
+            meta[key] = value
+    return items, meta
 
 
 def test_compact_and_batch_random(spark):
+    """What the two rewrites promise: nothing lost but overwritten updates, the same final state, the
+    other ops in their order, and every add as early as its item's last remove lets it."""
     rnd = random.Random(11)
     ops = []
     for e in "xy":
@@ -200,10 +209,20 @@ def test_compact_and_batch_random(spark):
     comp = L.compact_log(log)
     batched = L.batch_adds(comp).collect()
     for e in "xy":
-        merged, res = _optimize([o for o in ops if o[0] == e])
-        assert sorted(r.seq for r in comp.filter(F.col("entity") == e).collect()) == [o[1] for o in merged]
-        mine = [r.seq for r in sorted((r for r in batched if r.entity == e), key=lambda r: r.new_pos)]
-        assert mine == [o[1] for o in res]
+        mine = [o for o in ops if o[0] == e]
+        kept = {r.seq for r in comp.filter(F.col("entity") == e).collect()}
+        for o, nxt in zip(mine, mine[1:] + [None]):  # only an update that the very next op overwrites goes
+            assert (o[1] in kept) == (not (nxt and o[2] == nxt[2] == "update" and o[4] == nxt[4]))
+        moved = [mine[r.seq] for r in sorted((r for r in batched if r.entity == e), key=lambda r: r.new_pos)]
+        assert sorted(o[1] for o in moved) == sorted(kept)
+        assert _folded(moved) == _folded(mine)
+        rest = [o[1] for o in moved if o[2] != "add"]
+        assert rest == sorted(rest)
+        for i, o in enumerate(moved):
+            if o[2] == "add":
+                after = next((p for p in reversed(moved[:i]) if p[2] != "add"), None)
+                last = max((p[1] for p in mine if p[2] == "remove" and p[3] == o[3] and p[1] < o[1]), default=None)
+                assert (after and after[1]) == last
 
 
 def test_allocate_and_free_slots(spark):
