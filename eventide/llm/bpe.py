@@ -21,8 +21,8 @@ ones, which costs a little and changes nothing; so the size is bounded however
 large the input is, and the result exact.
 
 ``Encoder`` encodes parts between safe places.  It keeps the ids of the units
-(a space and what follows up to the next safe place) met before in a cache of
-bounded size, and encodes new units with the tokenizers library's model.
+(what stands between two safe places) that it met lately in a cache of bounded
+size, and has the tokenizers library encode the new ones.
 
 Defined cases: null is an empty text with no ids; a text that holds the
 string of a special token is encoded whole by the library; equal rows give
@@ -42,13 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import utf8
+from .arrays import blocks, utf8
 from .bitmaps import bit_map, in_map
 from .staging import staged
 
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 512, 11, 16384
 MAP_BITS = 1 << 25
-CACHE = 600_000
+CACHE = 450_000  # units of each of two generations
 
 _GEAR = np.random.Generator(np.random.PCG64(4)).integers(0, 2**32, 256, dtype=np.uint32)
 _REACH = 16  # bytes the rolling hash looks back on
@@ -86,9 +86,7 @@ class Encoder:
         self.fast = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                      and not conf.get("normalizer") and conf["model"].get("type") == "BPE"
                      and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in conf.get("added_tokens", [])))
-        letters = _byte_letters()
-        self._letters = str.maketrans({chr(b): c for b, c in enumerate(letters)})
-        back = {c: bytes([b]) for b, c in enumerate(letters)}
+        back = {c: bytes([b]) for b, c in enumerate(_byte_letters())}
         size = self.lib.get_vocab_size(with_added_tokens=True)
         self.wide = size > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
@@ -97,9 +95,9 @@ class Encoder:
             t = self.lib.id_to_token(i)
             self.token_bytes.append(t.encode() if t is None or t in self.special or any(c not in back for c in t)
                                     else b"".join([back[c] for c in t]))
-        self._model = self.lib.model
-        self._units: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        self._opens = np.array([t[:1] == b" " for t in self.token_bytes])
+        self._known, self._old = {}, {}  # ids of " " + key
+        self._pieces: dict[str, bytes] = {}  # ids of pre-tokens that are no word after a space
 
     def has_special(self, text: str) -> bool:
         return bool(self._special and self._special.search(text))
@@ -107,45 +105,83 @@ class Encoder:
     def by_library(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _one(self, word: str) -> bytes:
-        """Ids of a single pre-token."""
-        got = self._words.get(word)
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each after a space: encoded in one text and cut where a token begins with a space."""
+        ids = np.array(self.lib.encode(" " + " ".join(words), add_special_tokens=False).ids, self.dtype)
+        at = (np.flatnonzero(self._opens[ids]) * self.dtype.itemsize).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(at, at[1:] + [len(raw)])]
+
+    def _piece(self, piece: str) -> bytes:
+        got = self._pieces.get(piece)
         if got is None:
-            if len(self._words) >= CACHE:
-                self._words.clear()
-            letters = word.encode().decode("latin-1").translate(self._letters)
-            got = np.array([t.id for t in self._model.tokenize(letters)], self.dtype).tobytes()
-            if len(word) < 64:
-                self._words[word] = got
+            got = self.by_library(piece)
+            if len(piece) <= 64:
+                if len(self._pieces) >= CACHE // 4:
+                    self._pieces.clear()
+                self._pieces[piece] = got
         return got
 
-    def _unit(self, unit: str) -> bytes:
-        """Ids of what stands between two safe places."""
-        if _WORD.fullmatch(unit):
-            return self._one(unit)
-        if _PLAIN.fullmatch(unit):
-            return b"".join([self._one(p) for p in _PATTERN.findall(unit)])
-        return self.by_library(unit)
+    def _head(self, text: str) -> bytes:
+        """Ids of a unit that no space precedes."""
+        if len(text) <= 64 and _PLAIN.fullmatch(text):
+            return b"".join([self._piece(p) for p in _PATTERN.findall(text)])
+        return self.by_library(text) if text else b""
+
+    def _new(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of units, each after a space."""
+        out, words, rest = {}, [], []
+        for u in units:
+            if _WORD.fullmatch(u):
+                words.append(u)
+            elif len(u) <= 64 and _PLAIN.fullmatch(u):
+                rest.append((u, _PATTERN.findall(" " + u)))
+            else:
+                out[u] = self.by_library(" " + u)
+        inner = {p[0][1:] for _, p in rest if _WORD.fullmatch(p[0], 1)}
+        have = set(words)
+        words += [w for w in inner if w not in self._known and w not in self._old and w not in have]
+        if words:
+            out.update(zip(words, self._words(words)))
+        for u, pieces in rest:
+            first, w = pieces[0], pieces[0][1:]
+            head = (out.get(w) or self._known.get(w) or self._old.get(w)) if w in inner else None
+            out[u] = b"".join([head if head is not None else self._piece(first), *[self._piece(p) for p in pieces[1:]]])
+        return out
 
-    def part(self, text: str) -> bytes:
-        """Ids of a text without special tokens, as bytes of ``dtype``."""
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as bytes of ``dtype``; the texts' new units are encoded together."""
         if not self.fast:
-            return self.by_library(text)
-        units, known = safe_units(text), self._units
-        new = [u for u in units if u not in known]
+            return [self.by_library(t) for t in texts]
+        cut: list[tuple[str, list[str]] | None] = []
+        for t in texts:
+            if self._special and self._special.search(t):
+                cut.append(None)
+            elif _ODD_SPACE.search(t):
+                cut.append(odd_units(t))
+            else:
+                units = t.split(" ")
+                cut.append((units.pop(0), units))
+        if len(self._known) > CACHE:
+            self._old, self._known = self._known, {}
+        known, old = self._known, self._old
+        new = []
+        for u in set().union(*[c[1] for c in cut if c]).difference(known):
+            if u in old:
+                known[u] = old[u]
+            else:
+                new.append(u)
         if new:
-            if max(map(len, new)) > 64:  # long ones would fill the cache
-                return b"".join([known[u] if u in known else self._unit(u) for u in units])
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = units
-            for u in new:
-                if u not in known:
-                    known[u] = self._unit(u)
-        return b"".join([known[u] for u in units])
-
-    def whole(self, text: str) -> bytes:
-        return self.by_library(text) if self.has_special(text) else self.part(text)
+            known.update(self._new(new))
+        get = known.__getitem__
+        out = [self.by_library(t) if c is None else self._head(c[0]) + b"".join(map(get, c[1])) for t, c in zip(texts, cut)]
+        for u in new:
+            if len(u) > 64:  # long ones would fill the cache
+                del known[u]
+        return out
+
+    def part(self, text: str) -> bytes:
+        return self.many([text])[0]
 
     def ids(self, packed: bytes) -> np.ndarray:
         return np.frombuffer(packed, self.dtype)
@@ -160,25 +196,26 @@ class Encoder:
 # For these characters, which fill most texts here, the pre-tokenizer's classes are plain to write
 # down; what holds any other goes to the library itself.
 _L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_WORD = re.compile(f" ?[{_L}]+")
+_WORD = re.compile(f"[{_L}]+")
 _PLAIN = re.compile(f"[{_L}\\n\\t\\x20-\\x7e]*")
 _PATTERN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[0-9]+| ?[^\s0-9{_L}]+|\s+(?!\S)|\s+")
+_ODD_SPACE = re.compile(r" (?:\s|$)")
 
 
-def safe_units(text: str) -> list[str]:
-    """The text cut before each space that a character other than white space follows."""
-    parts = text.split(" ")
-    out = [parts[0]] if parts[0] else []
-    if len(parts) == 1:
-        return out
-    if "" in parts[1:] or any(p[0].isspace() for p in parts[1:]):
-        for p in parts[1:]:
-            if p and not p[0].isspace() or not out:
-                out.append(" " + p)
-            else:
-                out[-1] += " " + p
-        return out
-    return out + [" " + p for p in parts[1:]]
+def odd_units(text: str) -> tuple[str, list[str]]:
+    """The text cut before each space that a character other than white space follows: what stands
+    before the first, and what follows each of them."""
+    head, units = "", []
+    for i, p in enumerate(text.split(" ")):
+        if not i:
+            head = p
+        elif p and not p[0].isspace():
+            units.append(p)
+        elif units:
+            units[-1] += " " + p
+        else:
+            head += " " + p
+    return head, units
 
 
 # ---- chunks ----
@@ -300,38 +337,20 @@ def digests(enc: Encoder, packed: bytes) -> tuple[int, str, str]:
             hashlib.sha256(enc.decode(ids)).hexdigest())
 
 
-def plan(enc: Encoder, raw: np.ndarray, shared: Callable[[bytes], bool]) -> list[bytes | tuple[bytes]]:
-    """The ids of a text in order: packed ids, or (hash,) where the ids of a recurring core go."""
-    out: list[bytes | tuple[bytes]] = []
-    window: list[str] = []  # the text since the last safe place, up to the next
-    for text, x, y, h in chunks(raw):
-        if not h:  # at most one safe place: the window is widened by the whole chunk
-            window.append(text)
-            continue
-        out.append(enc.part("".join([*window, text[:x]])))
-        out.append((h,) if shared(h) else enc.part(text[x:y]))
-        window = [text[y:]]
-    out.append(enc.part("".join(window)))
-    return out
-
-
-def outline(enc: Encoder, raw: np.ndarray, shared: Callable[[bytes], bool]) -> tuple[bool, list[tuple[bytes | None, bytes | None]]]:
-    """(whether nothing is missing, [(hash, None) or (None, packed ids)]) with neighbouring ids in one piece."""
+def outline(enc: Encoder, raw: np.ndarray, shared: Callable[[bytes], bool]) -> list[str | bytes]:
+    """A text in order as parts to encode (str) and hashes (bytes) where a recurring core's ids go."""
     text = raw.tobytes().decode("utf-8", "replace")
     if not enc.fast or enc.has_special(text):
-        return True, [(None, enc.by_library(text))]
-    out, run = [], []
-    for p in plan(enc, raw, shared):
-        if isinstance(p, bytes):
-            run.append(p)
+        return [text]
+    out: list[str | bytes] = []
+    window: list[str] = []  # the text since the last safe place taken over, up to the next
+    for part, x, y, h in chunks(raw):
+        if not h or not shared(h):  # encoded here: no need to cut
+            window.append(part)
             continue
-        if any(run):
-            out.append((None, b"".join(run)))
-        out.append((p[0], None))
-        run = []
-    if any(run) or not out:
-        out.append((None, b"".join(run)))
-    return len(out) == 1 and out[0][0] is None, out
+        out += ["".join([*window, part[:x]]), h]
+        window = [part[y:]]
+    return [*out, "".join(window)]
 
 
 def _recurring_cores(docs: DataFrame, text_col: str, marks) -> DataFrame:
@@ -376,17 +395,18 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
         enc, m = v.encoder(), marks.value
         for b in batches:
             off, data = utf8(b.column(2))
-            for lo in range(0, b.num_rows, 512):
-                hi = min(b.num_rows, lo + 512)
+            for lo, hi in blocks(off, 2 << 20):
                 at, seq, hs, packs, ready = [], [], [], [], []
-                for i in range(lo, hi):
-                    whole, pieces = outline(enc, data[off[i]:off[i + 1]], lambda h: in_map(m, _slot(h)))
-                    for j, (h, p) in enumerate(pieces):
+                plans = [outline(enc, data[off[i]:off[i + 1]], lambda h: in_map(m, _slot(h))) for i in range(lo, hi)]
+                ids = iter(enc.many([p for pieces in plans for p in pieces if isinstance(p, str)]))
+                for i, pieces in enumerate(plans, lo):
+                    for j, p in enumerate(pieces):
+                        packed = next(ids) if isinstance(p, str) else None
                         at.append(i)
-                        seq.append(-1 if whole else j)
-                        hs.append(h)
-                        packs.append(None if whole else p)
-                        ready.append(p if whole else None)
+                        seq.append(j if len(pieces) > 1 else -1)
+                        hs.append(None if isinstance(p, str) else p)
+                        packs.append(packed if len(pieces) > 1 else None)
+                        ready.append(packed if len(pieces) == 1 else None)
                 rows_ = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(rows_), b.column(1).take(rows_), *values(enc, ready), pa.array(seq, pa.int32()),
@@ -425,7 +445,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     def encode_cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = v.encoder()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([enc.part(t) for t in b.column(1).to_pylist()], pa.binary())],
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(enc.many(b.column(1).to_pylist()), pa.binary())],
                                              names=["h", "got"])
 
     once = _recurring_cores(docs, text_col, marks).mapInArrow(encode_cores, "h binary, got binary")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import utf8
+from .arrays import blocks, utf8
 from .bpe import Vocabulary
 from .staging import staged
 
@@ -51,9 +51,10 @@ def build(ids: np.ndarray, lengths: np.ndarray, bits: int) -> bytes:
     head = [_MAGIC, struct.pack("<BQQQ", bits, n, len(lengths), len(docs)), docs]
     body, place = [], 0
     for level in range(bits - 1, -1, -1):
-        one = (a >> level & 1).view(np.uint8 if a.itemsize == 1 else a.dtype).astype(bool)
+        one = (a & a.dtype.type(1 << level)) != 0
         packed = np.packbits(one, bitorder="little").tobytes()
-        ones = np.add.reduceat(one, np.arange(0, n, BLOCK), dtype=np.int64) if n else np.zeros(0, np.int64)
+        count = np.bitwise_count(np.frombuffer(packed, np.uint8))
+        ones = np.add.reduceat(count, np.arange(0, len(count), BLOCK // 8), dtype=np.int64) if n else np.zeros(0, np.int64)
         before = np.concatenate(([0], np.cumsum(ones)))
         places = [place]
         for b in range(blocks):
@@ -64,7 +65,7 @@ def build(ids: np.ndarray, lengths: np.ndarray, bits: int) -> bytes:
             place += len(small)
             places.append(place)
         head += [before.astype("<u8").tobytes(), np.asarray(places, "<u8").tobytes()]
-        a = np.concatenate((a[~one], a[one]))
+        a = np.concatenate((np.compress(~one, a), np.compress(one, a)))
     return b"".join(head + body)
 
 
@@ -203,16 +204,18 @@ def files(docs: DataFrame, vocab_path: str, end_id: int, id_col: str = "doc_id",
         for b in batches:
             id_type = b.column(0).type
             off, data = utf8(b.column(1))
-            for i, key in enumerate(b.column(0).to_pylist()):
-                p = enc.whole(data[off[i]:off[i + 1]].tobytes().decode("utf-8", "replace")) + end
-                ids.append(key)
-                packed.append(p)
-                lengths.append(len(p) // enc.dtype.itemsize)
-                held += lengths[-1]
-                if held >= shard_tokens:
-                    yield shard(id_type)
-                    start, seq = start + held, seq + 1
-                    ids, packed, lengths, held = [], [], [], 0
+            keys = b.column(0).to_pylist()
+            for lo, hi in blocks(off, 2 << 20):
+                got = enc.many([data[off[i]:off[i + 1]].tobytes().decode("utf-8", "replace") for i in range(lo, hi)])
+                for key, p in zip(keys[lo:hi], got):
+                    ids.append(key)
+                    packed += (p, end)
+                    lengths.append(len(p) // enc.dtype.itemsize + 1)
+                    held += lengths[-1]
+                    if held >= shard_tokens:
+                        yield shard(id_type)
+                        start, seq = start + held, seq + 1
+                        ids, packed, lengths, held = [], [], [], 0
         if ids:
             yield shard(id_type)
 
