@@ -231,9 +231,12 @@ def pair_distance(edges: DataFrame | None, pairs: DataFrame, src: str = "src", d
 
 def shortest_path_len(edges: DataFrame, pairs: DataFrame, src: str = "src", dst: str = "dst",
                       undirected: bool = True) -> DataFrame:
-    """Hop count for each (pair_id, start, end); null when unreachable."""
+    """Hop count for each (pair_id, start, end), null when unreachable: searched from both ends, or along
+    the edges' direction from the start alone."""
+    if undirected:
+        return pair_distance(edges, pairs, src=src, dst=dst).select("pair_id", "start", "end", "dist")
     d = bfs(edges, pairs.select(F.col("pair_id").alias("source"), F.col("start").alias("node")),
-            src=src, dst=dst, undirected=undirected)
+            src=src, dst=dst, undirected=False)
     return (pairs.join(d.withColumnRenamed("source", "pair_id").withColumnRenamed("node", "end"),
                        ["pair_id", "end"], "left")
                  .select("pair_id", "start", "end", "dist"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cols
-from ..session import cut_lineage
+from ..session import cut_lineage, staged
 from .graphs import connected_components, pair_distance
 from .scan import checked_broadcast, running
 
@@ -19,11 +19,11 @@ VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link",
              "param", "source", "track", "wbr")
 # Raw-text elements whose content is not markup.
 RAW_TEXT = ("script", "style")
-TOKEN_SPLIT = "[^A-Za-z]+"
+TOKEN_SPLIT = r"\P{L}+"
 
 
 def tokens(df: DataFrame, text: str, keep=(), out: str = "word", pos: str | None = None) -> DataFrame:
-    """Lower-case a-z tokens of every text (ASCII letters only), one row
+    """Lower-case letter tokens of every text (letters of any script), one row
     each; with ``pos`` also the token's position in its text."""
     parts = F.split(F.col(text), TOKEN_SPLIT)
     if pos:
@@ -163,30 +163,34 @@ def word_ladder(words: DataFrame, pairs: DataFrame, word: str = "word", max_roun
     for each (pair_id, begin, end); 0 when end is not in the list or
     unreachable; 1 when begin = end.
 
-    BFS over the bipartite word <-> wildcard-pattern graph, so a crowded
-    pattern is expanded once per pair instead of as all its word pairs.
+    BFS over the bipartite word <-> wildcard-pattern graph of the list, so a
+    crowded pattern is expanded once per pair instead of as all its word pairs.
+    A begin word outside the list is no node that others may step through: its
+    pair starts at the list words one letter away, with one step taken.
     """
     vocab = words.select(F.col(word).alias("w")).distinct().filter(F.length("w") > 0)
-    begins = pairs.select(F.col("begin").alias("w")).distinct()
-    allw = vocab.unionByName(begins).distinct()
-    # hub membership: list words, plus the begin words (which may be outside the list)
-    hubs = _patterns(allw, "w").select(F.col("w").alias("node"), F.col("pattern").alias("hub"))
-    in_list = vocab.select(F.col("w").alias("end")).withColumn("_in", F.lit(True))
-    ask = pairs.join(in_list, "end", "left").filter(F.col("_in").isNotNull()) \
-        .select("pair_id", F.col("begin").alias("start"), "end")
+    hubs = _patterns(vocab, "w").select(F.col("w").alias("node"), F.col("pattern").alias("hub"))
+    listed = vocab.withColumn("_in", F.lit(True))
+    known = pairs.join(listed.withColumnRenamed("w", "end"), "end") \
+        .filter((F.length("begin") == F.length("end")) & (F.col("begin") != F.col("end"))).select("pair_id", "begin", "end")
+    known = known.join(listed.select(F.col("w").alias("begin"), F.col("_in").alias("_own")), "begin", "left")
+    inside = known.filter("_own").select("pair_id", F.col("begin").alias("start"), "end", F.lit(0).alias("_taken"))
+    outside = _patterns(known.filter("_own is null").select("begin").distinct(), "begin") \
+        .join(hubs, F.col("pattern") == F.col("hub")).select("begin", F.col("node").alias("start")).distinct()
+    outside = known.filter("_own is null").join(outside, "begin").select("pair_id", "start", "end", F.lit(1).alias("_taken"))
+    ask = staged(inside.unionByName(outside).withColumn("_ask", F.monotonically_increasing_id()))
     # Pairs whose ends lie in different components of the word graph are
     # unreachable: settle them with one connected-components job (O(log n)
     # rounds) instead of letting both searches exhaust their components.
     comp = word_components(hubs)
     cs = comp.select(F.col("node").alias("start"), F.col("component").alias("_cs"))
     ce = comp.select(F.col("node").alias("end"), F.col("component").alias("_ce"))
-    ask = ask.join(cs, "start").join(ce, "end").filter(F.col("_cs") == F.col("_ce")).drop("_cs", "_ce")
-    dist = pair_distance(None, ask, hubs=hubs, max_rounds=max_rounds).select("pair_id", "dist")
-    out = pairs.join(in_list, "end", "left").join(dist, "pair_id", "left")
-    n = F.when(F.col("begin") == F.col("end"), F.lit(1)) \
-         .when(F.col("_in").isNull() | F.col("dist").isNull(), F.lit(0)) \
-         .otherwise(F.col("dist") + 1)
-    return out.select("pair_id", "begin", "end", n.cast("int").alias("ladder_len"))
+    open_ = ask.join(cs, "start").join(ce, "end").filter(F.col("_cs") == F.col("_ce")) \
+        .select(F.col("_ask").alias("pair_id"), "start", "end")
+    dist = pair_distance(None, open_, hubs=hubs, max_rounds=max_rounds).select(F.col("pair_id").alias("_ask"), "dist")
+    best = ask.join(dist, "_ask").groupBy("pair_id").agg(F.min(F.col("dist") + F.col("_taken")).alias("dist"))
+    n = F.when(F.col("begin") == F.col("end"), F.lit(1)).otherwise(F.coalesce(F.col("dist") + 1, F.lit(0)))
+    return pairs.join(best, "pair_id", "left").select("pair_id", "begin", "end", n.cast("int").alias("ladder_len"))
 
 
 def html_tags(df: DataFrame, key: str, html: str) -> DataFrame:

@@ -1,10 +1,10 @@
 """Graph, tree and text bindings.
 
-Graph: lineitem rows with l_quantity = 50 are order-part edges (order node
-= 2*o_orderkey, part node = 2*l_partkey + 1).  Hierarchy: region -> nation
--> customer -> order, node id = kind * 2^56 + key.  Binary trees: parts of
-each brand heap-numbered in p_partkey order.  Text: a-z tokens of English
-documents; dictionary = tokens of the benchmark texts.
+Graph: every lineitem row is an order-part edge (order node = 2*o_orderkey,
+part node = 2*l_partkey + 1).  Hierarchy: region -> nation -> customer ->
+order, node id = kind * 2^56 + key.  Binary trees: parts of each brand
+heap-numbered in p_partkey order.  Text: letter tokens of all documents;
+dictionary = tokens of the benchmark texts.
 """
 
 from __future__ import annotations
@@ -22,43 +22,55 @@ from . import register
 KIND = 1 << 56
 
 
-def qty50_edges(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem").filter(F.col("l_quantity") == 50)
+def order_part_edges(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem")
     return li.select((F.col("l_orderkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst")).distinct()
 
 
-_E50 = """e AS (SELECT DISTINCT l_orderkey * 2 AS a, l_partkey * 2 + 1 AS b FROM lineitem WHERE l_quantity = 50),
+_EDGES = """e AS (SELECT DISTINCT l_orderkey * 2 AS a, l_partkey * 2 + 1 AS b FROM lineitem),
 d AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e)"""
 
 
 @register("connected_components", f"""
-WITH RECURSIVE {_E50},
-r(node, comp) AS (SELECT u, u FROM d UNION SELECT d.v, r.comp FROM r JOIN d ON d.u = r.node)
-SELECT node, min(comp) AS component FROM r GROUP BY node
+WITH RECURSIVE {_EDGES},
+r(node, comp) USING KEY (node) AS (
+    SELECT DISTINCT u, u FROM d
+    UNION
+    SELECT d.v, min(r.comp) FROM r JOIN d ON d.u = r.node JOIN recurring.r AS o ON o.node = d.v
+    WHERE r.comp < o.comp GROUP BY d.v)
+SELECT node, comp AS component FROM r
 """)
 def connected_components(spark, sf_dir):
-    return G.connected_components(qty50_edges(spark, sf_dir))
+    return G.connected_components(order_part_edges(spark, sf_dir))
 
 
 @register("shortest_path_len", f"""
-WITH RECURSIVE {_E50},
-s AS (SELECT DISTINCT u AS src FROM d JOIN orders ON u = o_orderkey * 2 WHERE o_orderpriority = '1-URGENT'),
-n AS (SELECT count(DISTINCT u) AS n FROM d),
-r(src, node, dist) AS (SELECT src, src, 0 FROM s
-                       UNION SELECT r.src, d.v, r.dist + 1 FROM r JOIN d ON d.u = r.node, n WHERE r.dist < n.n)
-SELECT src AS source, node, CAST(min(dist) AS BIGINT) AS dist FROM r GROUP BY src, node
+WITH RECURSIVE {_EDGES},
+ends AS (SELECT c_nationkey AS pair_id, arg_min(o_orderkey, (o_orderdate, o_orderkey)) * 2 AS a,
+                arg_max(o_orderkey, (o_orderdate, o_orderkey)) * 2 AS b
+         FROM orders JOIN customer ON o_custkey = c_custkey
+         WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY 1),
+r(pair_id, node, dist) USING KEY (pair_id, node) AS (
+    SELECT pair_id, a, 0 FROM ends
+    UNION
+    SELECT DISTINCT r.pair_id, d.v, r.dist + 1 FROM r JOIN d ON d.u = r.node
+    WHERE NOT EXISTS (SELECT 1 FROM recurring.r o WHERE o.pair_id = r.pair_id AND o.node = d.v))
+SELECT ends.pair_id, ends.a AS start, ends.b AS "end", CAST(r.dist AS BIGINT) AS dist
+FROM ends LEFT JOIN r ON r.pair_id = ends.pair_id AND r.node = ends.b
 """)
 def shortest_path_len(spark, sf_dir):
-    e = qty50_edges(spark, sf_dir)
-    urgent = load(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT") \
-        .select((F.col("o_orderkey") * 2).alias("node"))
-    src = e.select(F.col("src").alias("node")).distinct().join(urgent, "node", "left_semi") \
-        .withColumn("source", F.col("node"))
-    return G.bfs(e, src)
+    """Hops between the first and the last billed order of each nation."""
+    billed = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    when = F.struct("o_orderdate", "o_orderkey")
+    pairs = (load(spark, sf_dir, "orders").join(billed, "o_orderkey", "left_semi")
+             .join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+             .groupBy(F.col("c_nationkey").alias("pair_id"))
+             .agg((F.min_by("o_orderkey", when) * 2).alias("start"), (F.max_by("o_orderkey", when) * 2).alias("end")))
+    return G.shortest_path_len(order_part_edges(spark, sf_dir), pairs)
 
 
 @register("reachable_subgraph", f"""
-WITH RECURSIVE {_E50},
+WITH RECURSIVE {_EDGES},
 seed AS (SELECT min(a) AS s FROM e),
 r(node) AS (SELECT s FROM seed UNION SELECT d.v FROM r JOIN d ON d.u = r.node),
 top AS (SELECT greatest(max(a), max(b)) + 1 AS base FROM e),
@@ -67,7 +79,7 @@ SELECT e.a AS old_src, e.b AS old_dst, x.new_id AS new_src, y.new_id AS new_dst
 FROM e JOIN ids x ON e.a = x.node JOIN ids y ON e.b = y.node
 """)
 def reachable_subgraph(spark, sf_dir):
-    e = qty50_edges(spark, sf_dir)
+    e = order_part_edges(spark, sf_dir)
     seed = e.agg(F.min("src")).first()[0]
     return G.reachable_subgraph(e, seed)
 
@@ -279,19 +291,18 @@ def hierarchy_diff(spark, sf_dir):
 
 # --- text ----------------------------------------------------------------------------
 
-def en_tokens(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").filter(F.col("lang") == "en")
-    return TX.tokens(d, "text", keep=["doc_id"])
+def doc_tokens(spark, sf_dir):
+    return TX.tokens(load(spark, sf_dir, "documents"), "text", keep=["doc_id"])
 
 
 def bench_tokens(spark, sf_dir):
     return TX.tokens(load(spark, sf_dir, "benchmark"), "text")
 
 
-_TOK = """tok AS (SELECT doc_id, lower(w) AS word FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS w
-                                                FROM documents WHERE lang = 'en') t WHERE w <> ''),
+_TOK = r"""tok AS (SELECT doc_id, lower(w) AS word FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\P{L}+')) AS w
+                                                FROM documents) t WHERE w <> ''),
 voc AS (SELECT DISTINCT word FROM tok),
-dict AS (SELECT DISTINCT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS w FROM benchmark) t
+dict AS (SELECT DISTINCT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(text, '\P{L}+')) AS w FROM benchmark) t
          WHERE w <> '')"""
 
 
@@ -301,18 +312,19 @@ k AS (SELECT word, array_to_string(list_sort(string_split(word, '')), '') AS ana
 SELECT anagram_key, word, count(*) OVER (PARTITION BY anagram_key) AS group_size FROM k
 """)
 def group_anagrams(spark, sf_dir):
-    return TX.group_anagrams(en_tokens(spark, sf_dir)).select("anagram_key", "word", "group_size")
+    return TX.group_anagrams(doc_tokens(spark, sf_dir)).select("anagram_key", "word", "group_size")
 
 
 @register("fuzzy_join", f"""
 WITH {_TOK},
-keys AS (SELECT word, word AS key FROM voc
-         UNION SELECT word, substr(word, 1, i - 1) || substr(word, i + 1) FROM voc, range(1, 30) t(i) WHERE i <= length(word)),
-cand AS (SELECT DISTINCT a.word AS a, b.word AS b FROM keys a JOIN keys b ON a.key = b.key AND a.word < b.word)
-SELECT a, b, CAST(levenshtein(a, b) AS INTEGER) AS dist FROM cand WHERE levenshtein(a, b) <= 1
+dels AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM voc, range(1, length(word) + 1) t(i)),
+near AS (SELECT a.word AS a, b.word AS b FROM dels a JOIN dels b ON a.rest = b.rest AND a.i = b.i
+         UNION SELECT dels.word, voc.word FROM dels JOIN voc ON dels.rest = voc.word
+         UNION SELECT voc.word, dels.word FROM dels JOIN voc ON dels.rest = voc.word)
+SELECT DISTINCT a, b, 1 AS dist FROM near WHERE a < b
 """)
 def fuzzy_join(spark, sf_dir):
-    return TX.fuzzy_join(en_tokens(spark, sf_dir), None, 1)
+    return TX.fuzzy_join(doc_tokens(spark, sf_dir), None, 1)
 
 
 @register("segmentable", f"""
@@ -324,7 +336,7 @@ SELECT voc.word AS text, coalesce(bool_or(r.pos = length(voc.word)), false) AS s
 FROM voc LEFT JOIN r ON r.word = voc.word GROUP BY voc.word
 """)
 def segmentable(spark, sf_dir):
-    texts = en_tokens(spark, sf_dir).select(F.col("word").alias("text")).distinct()
+    texts = doc_tokens(spark, sf_dir).select(F.col("word").alias("text")).distinct()
     return TX.segmentable(texts, bench_tokens(spark, sf_dir))
 
 
@@ -333,17 +345,15 @@ WITH {_TOK}
 SELECT DISTINCT word FROM voc WHERE word IN (SELECT word FROM dict)
 """)
 def membership(spark, sf_dir):
-    voc = en_tokens(spark, sf_dir).select("word").distinct()
+    voc = doc_tokens(spark, sf_dir).select("word").distinct()
     return ST.membership(voc, bench_tokens(spark, sf_dir), "word")
 
 
 @register("word_ladder")
 def word_ladder(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").filter(F.col("lang") == "en")
-    t = TX.tokens(d, "text", keep=["doc_id"], pos="_i")
-    # the first and the last token of each English document, when of equal length
-    ends = t.groupBy("doc_id").agg(F.min_by("word", "_i").alias("begin"), F.max_by("word", "_i").alias("end"))
-    pairs = ends.filter(F.length("begin") == F.length("end")).withColumnRenamed("doc_id", "pair_id")
+    t = TX.tokens(load(spark, sf_dir, "documents"), "text", keep=["doc_id"], pos="_i")
+    # the first and the last token of each document; of different lengths, the answer is 0
+    pairs = t.groupBy(F.col("doc_id").alias("pair_id")).agg(F.min_by("word", "_i").alias("begin"), F.max_by("word", "_i").alias("end"))
     return TX.word_ladder(t.select("word"), pairs)
 
 

@@ -125,6 +125,7 @@ _ASOF = "2024-01-15 12:00:00"
 
 
 def kv_log(spark, sf_dir):
+    """Events as operations on a key; a view is a read, which changes no key and is left out of the log."""
     ev = load(spark, sf_dir, "events")
     et = F.col("event_type")
     return (ev.filter(et != "view")

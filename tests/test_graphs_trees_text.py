@@ -270,3 +270,36 @@ def test_reconcile_without_workers(spark):
     seen = spark.createDataFrame([("b", 0, 0, 0, 1, 7)], "job string, rank int, succeeded int, failed int, active int, last_checkpoint_epoch int")
     got = [(r.job, r.rank, r.last_checkpoint_epoch) for r in J.reconcile(want, seen).collect()]
     assert got == [("b", 0, 7)]
+
+
+def test_word_ladder_begins_outside_the_list(spark):
+    """A begin word that is not in the list is no stepping stone for another pair."""
+    words = spark.createDataFrame([("abb",), ("aac",)], "word string")
+    pairs = spark.createDataFrame([(1, "aab", "aac"), (2, "aaa", "abb"), (3, "aac", "aac"), (4, "abc", "abcd"), (5, "acb", "abb")],
+                                  "pair_id int, begin string, end string")
+    got = {r.pair_id: r.ladder_len for r in TX.word_ladder(words, pairs).collect()}
+    assert got == {1: 2, 2: 0, 3: 1, 4: 0, 5: 2}
+    alone = {r.pair_id: r.ladder_len for r in TX.word_ladder(words, pairs.filter("pair_id = 2")).collect()}
+    assert alone == {2: 0}
+
+
+def test_word_ladder_random(spark):
+    r = random.Random(8)
+    words = sorted({"".join(r.choice("abé") for _ in range(4)) for _ in range(30)})
+    pairs = [(i, "".join(r.choice("abé") for _ in range(4)), r.choice(words)) for i in range(40)]
+
+    def steps(a, b):
+        if a == b:
+            return 1
+        seen, layer, n = {a}, [a], 1
+        while layer:
+            n += 1
+            layer = [w for w in words if w not in seen and any(sum(x != y for x, y in zip(w, v)) == 1 for v in layer)]
+            if b in layer:
+                return n
+            seen |= set(layer)
+        return 0
+
+    got = TX.word_ladder(spark.createDataFrame([(w,) for w in words], "word string"),
+                         spark.createDataFrame(pairs, "pair_id int, begin string, end string"))
+    assert {x.pair_id: x.ladder_len for x in got.collect()} == {i: steps(a, b) for i, a, b in pairs}
