@@ -169,14 +169,16 @@ def word_ladder(words: DataFrame, pairs: DataFrame, word: str = "word", max_roun
     pair starts at the list words one letter away, with one step taken.
     """
     vocab = words.select(F.col(word).alias("w")).distinct().filter(F.length("w") > 0)
-    hubs = _patterns(vocab, "w").select(F.col("w").alias("node"), F.col("pattern").alias("hub"))
+    every = staged(_patterns(vocab, "w").select(F.col("w").alias("node"), F.col("pattern").alias("hub")))
+    # a pattern of one word leads nowhere: most patterns go before any search
+    hubs = staged(every.join(every.groupBy("hub").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("hub"), "hub"))
     listed = vocab.withColumn("_in", F.lit(True))
     known = pairs.join(listed.withColumnRenamed("w", "end"), "end") \
         .filter((F.length("begin") == F.length("end")) & (F.col("begin") != F.col("end"))).select("pair_id", "begin", "end")
     known = known.join(listed.select(F.col("w").alias("begin"), F.col("_in").alias("_own")), "begin", "left")
     inside = known.filter("_own").select("pair_id", F.col("begin").alias("start"), "end", F.lit(0).alias("_taken"))
     outside = _patterns(known.filter("_own is null").select("begin").distinct(), "begin") \
-        .join(hubs, F.col("pattern") == F.col("hub")).select("begin", F.col("node").alias("start")).distinct()
+        .join(every, F.col("pattern") == F.col("hub")).select("begin", F.col("node").alias("start")).distinct()
     outside = known.filter("_own is null").join(outside, "begin").select("pair_id", "start", "end", F.lit(1).alias("_taken"))
     ask = staged(inside.unionByName(outside).withColumn("_ask", F.monotonically_increasing_id()))
     # Pairs whose ends lie in different components of the word graph are
@@ -185,10 +187,11 @@ def word_ladder(words: DataFrame, pairs: DataFrame, word: str = "word", max_roun
     comp = word_components(hubs)
     cs = comp.select(F.col("node").alias("start"), F.col("component").alias("_cs"))
     ce = comp.select(F.col("node").alias("end"), F.col("component").alias("_ce"))
-    open_ = ask.join(cs, "start").join(ce, "end").filter(F.col("_cs") == F.col("_ce")) \
-        .select(F.col("_ask").alias("pair_id"), "start", "end")
+    open_ = staged(ask.join(cs, "start").join(ce, "end").filter(F.col("_cs") == F.col("_ce"))
+                   .select(F.col("_ask").alias("pair_id"), "start", "end"))
     dist = pair_distance(None, open_, hubs=hubs, max_rounds=max_rounds).select(F.col("pair_id").alias("_ask"), "dist")
-    best = ask.join(dist, "_ask").groupBy("pair_id").agg(F.min(F.col("dist") + F.col("_taken")).alias("dist"))
+    here = ask.filter(F.col("start") == F.col("end")).select("_ask", F.lit(0).cast("bigint").alias("dist"))
+    best = ask.join(dist.unionByName(here), "_ask").groupBy("pair_id").agg(F.min(F.col("dist") + F.col("_taken")).alias("dist"))
     n = F.when(F.col("begin") == F.col("end"), F.lit(1)).otherwise(F.coalesce(F.col("dist") + 1, F.lit(0)))
     return pairs.join(best, "pair_id", "left").select("pair_id", "begin", "end", n.cast("int").alias("ladder_len"))
 
