@@ -48,7 +48,7 @@ from .staging import staged
 
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 512, 11, 16384
 MAP_BITS = 1 << 25
-CACHE = 450_000  # units of each of two generations
+CACHE = 750_000  # units of each of two generations
 
 _GEAR = np.random.Generator(np.random.PCG64(4)).integers(0, 2**32, 256, dtype=np.uint32)
 _REACH = 16  # bytes the rolling hash looks back on
@@ -98,16 +98,18 @@ class Encoder:
         self._opens = np.array([t[:1] == b" " for t in self.token_bytes])
         self._known, self._old = {}, {}  # ids of " " + key
         self._pieces: dict[str, bytes] = {}  # ids of pre-tokens that are no word after a space
+        self._tails: dict[str, bytes] = {}  # ids of what follows a word in a unit
 
     def has_special(self, text: str) -> bool:
         return bool(self._special and self._special.search(text))
 
     def by_library(self, text: str) -> bytes:
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype).tobytes()
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of words, each after a space: encoded in one text and cut where a token begins with a space."""
-        ids = np.array(self.lib.encode(" " + " ".join(words), add_special_tokens=False).ids, self.dtype)
+        # the fast call leaves out offsets, which nobody asks for
+        ids = np.array(self.lib.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, self.dtype)
         at = (np.flatnonzero(self._opens[ids]) * self.dtype.itemsize).tolist()
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip(at, at[1:] + [len(raw)])]
@@ -130,23 +132,34 @@ class Encoder:
 
     def _new(self, units: list[str]) -> dict[str, bytes]:
         """Ids of units, each after a space."""
-        out, words, rest = {}, [], []
+        out, words, tails = {}, [], []
+        known, old = self._known, self._old
         for u in units:
-            if _WORD.fullmatch(u):
+            m = _WORD_TAIL.fullmatch(u) if len(u) <= 64 else None
+            if m is None:
+                if len(u) <= 64 and _PLAIN.fullmatch(u):
+                    out[u] = b"".join([self._piece(p) for p in _PATTERN.findall(" " + u)])
+                else:
+                    out[u] = self.by_library(" " + u)
+            elif not m[2]:
                 words.append(u)
-            elif len(u) <= 64 and _PLAIN.fullmatch(u):
-                rest.append((u, _PATTERN.findall(" " + u)))
             else:
-                out[u] = self.by_library(" " + u)
-        inner = {p[0][1:] for _, p in rest if _WORD.fullmatch(p[0], 1)}
+                tails.append((u, m[1], m[2]))
         have = set(words)
-        words += [w for w in inner if w not in self._known and w not in self._old and w not in have]
+        for _, w, _ in tails:
+            if w not in have and w not in known and w not in old:
+                have.add(w)
+                words.append(w)
         if words:
             out.update(zip(words, self._words(words)))
-        for u, pieces in rest:
-            first, w = pieces[0], pieces[0][1:]
-            head = (out.get(w) or self._known.get(w) or self._old.get(w)) if w in inner else None
-            out[u] = b"".join([head if head is not None else self._piece(first), *[self._piece(p) for p in pieces[1:]]])
+        for u, w, tail in tails:
+            ids = out.get(w) or known.get(w) or old[w]
+            rest = self._tails.get(tail)
+            if rest is None:
+                rest = b"".join([self._piece(p) for p in _PATTERN.findall(tail)])
+                if len(self._tails) < CACHE // 4:
+                    self._tails[tail] = rest
+            out[u] = ids + rest
         return out
 
     def many(self, texts: list[str]) -> list[bytes]:
@@ -196,7 +209,8 @@ class Encoder:
 # For these characters, which fill most texts here, the pre-tokenizer's classes are plain to write
 # down; what holds any other goes to the library itself.
 _L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_WORD = re.compile(f"[{_L}]+")
+# a word after a space is one pre-token, and what follows it is cut as if it stood alone
+_WORD_TAIL = re.compile(f"([{_L}]+)((?:[\\n\\t\\x21-\\x40\\x5b-\\x60\\x7b-\\x7e][{_L}\\n\\t\\x20-\\x7e]*)?)")
 _PLAIN = re.compile(f"[{_L}\\n\\t\\x20-\\x7e]*")
 _PATTERN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[0-9]+| ?[^\s0-9{_L}]+|\s+(?!\S)|\s+")
 _ODD_SPACE = re.compile(r" (?:\s|$)")
