@@ -275,7 +275,33 @@ def free_slots(spark, sf_dir):
     return SL.free_slots(a, "doctor_id", "day")
 
 
-@register("slots_with_cancels")
+SLOT_REPLAY = """
+WITH RECURSIVE l AS (
+    SELECT event_id, user_id % 3 AS doctor_id, CAST(ts AS DATE) AS day, ts,
+           CASE WHEN event_type = 'error' THEN 'cancel' ELSE 'book' END AS op,
+           CASE WHEN event_type = 'error' THEN CAST(props->>'k' AS BIGINT) % 34 END AS slot,
+           row_number() OVER (PARTITION BY user_id % 3, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
+    FROM events),
+r(doctor_id, day, rn, taken, status, result_slot) AS (
+    SELECT DISTINCT doctor_id, day, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT) FROM l
+    UNION ALL
+    SELECT doctor_id, day, rn,
+           CASE WHEN status = 'ok' AND op = 'book' THEN list_append(taken, pick)
+                WHEN status = 'ok' THEN [x FOR x IN taken IF x <> pick] ELSE taken END,
+           status, CASE WHEN status = 'ok' THEN pick END
+    FROM (SELECT l.doctor_id, l.day, l.rn, taken, op,
+                 CASE WHEN op = 'book' THEN list_min([x FOR x IN range(32) IF NOT list_contains(taken, x)]) ELSE slot END AS pick,
+                 CASE WHEN op = 'book' THEN CASE WHEN len(taken) < 32 THEN 'ok' ELSE 'conflict' END
+                      WHEN slot IS NULL OR slot NOT BETWEEN 0 AND 31 THEN 'bad_request'
+                      WHEN list_contains(taken, slot) THEN 'ok' ELSE 'not_found' END AS status
+          FROM r JOIN l ON l.doctor_id = r.doctor_id AND l.day = r.day AND l.rn = r.rn + 1) s)
+"""
+
+
+@register("slots_with_cancels", SLOT_REPLAY + """
+SELECT event_id, l.doctor_id, l.day, ts, op, slot, status, result_slot
+FROM l JOIN r ON l.doctor_id = r.doctor_id AND l.day = r.day AND l.rn = r.rn
+""")
 def slots_with_cancels(spark, sf_dir):
     ev = load(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")

@@ -195,13 +195,20 @@ def split_train_test(spark, sf_dir):
     return M.split_train_test(o, "o_orderkey", 0.2, 42)
 
 
-@register("labeled_csv_source")
+@register("labeled_csv_source", """
+SELECT round(list_sum([coalesce(CAST(x AS DOUBLE), 0) * i FOR x, i IN embedding[1:28]]) + 100.0 * 29, 4) AS weighted,
+       29 AS n_features, CASE WHEN label = 0 THEN 1 ELSE 0 END AS label
+FROM embeddings
+""")
 def labeled_csv_source_q(spark, sf_dir):
+    """Written as CSV and read back: each row's features, weighted by their place, and its label."""
     d = embedded(spark, sf_dir)
     root = ensure_checkpoint_dir(spark)
     path = f"{root}/labeled_csv/{uuid.uuid4().hex}"
     write_labeled_csv(d, path)
-    return labeled_csv_source(spark, path).select("features", "label")
+    got = labeled_csv_source(spark, path)
+    weighted = F.expr("aggregate(transform(features, (x, i) -> x * (i + 1)), 0D, (a, x) -> a + x)")
+    return got.select(F.round(weighted, 4).alias("weighted"), F.size("features").alias("n_features"), F.col("label").cast("int").alias("label"))
 
 
 @register("train_linear")

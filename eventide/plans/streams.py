@@ -173,6 +173,11 @@ def _share_oracles():
              "stream_dashboard": "dashboard_metrics"}
     for s, b in pairs.items():
         ORACLES[s] = ORACLES[b]
+    from .logs import SLOT_REPLAY
+
+    ORACLES["stream_slots"] = (SLOT_REPLAY + """
+SELECT event_id, l.doctor_id, l.day, status, result_slot
+FROM l JOIN r ON l.doctor_id = r.doctor_id AND l.day = r.day AND l.rn = r.rn""").strip()
 
 
 _share_oracles()

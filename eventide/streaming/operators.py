@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,19 +65,18 @@ def sliding_velocity(sdf: DataFrame, key: str, ts: str, amount: str, window_seco
         pdf = pdf.sort_values(ts, kind="stable")
         us = (pdf[ts].astype("datetime64[us]").astype("int64")).tolist()
         amts = pdf[amount].tolist()
-        cnts, sums = [], []
-        tl, al = t_old, a_old
-        for t, a in zip(us, amts):
-            tl.append(t)
-            al.append(a)
-            while tl and tl[0] < t - w_us:
-                tl.pop(0)
-                al.pop(0)
-            cnts.append(len(tl))
-            s = 0.0
-            for x in al:
-                s += x
-            sums.append(round(s, 6))
+        # all held and new rows in time order: a row's window ends with the rows of its own time
+        t_all = np.array(t_old + us, dtype="int64")
+        a_all = np.array(a_old + amts, dtype="float64")
+        order = np.argsort(t_all, kind="stable")
+        t_all, a_all = t_all[order], a_all[order]
+        total = np.concatenate(([0.0], np.cumsum(a_all)))
+        lo = np.searchsorted(t_all, np.array(us, dtype="int64") - w_us, side="left")
+        hi = np.searchsorted(t_all, np.array(us, dtype="int64"), side="right")
+        cnts = (hi - lo).tolist()
+        sums = [round(x, 6) for x in (total[hi] - total[lo]).tolist()]
+        keep = t_all >= t_all[-1] - w_us
+        tl, al = t_all[keep].tolist(), a_all[keep].tolist()
         state.update((tl, al))
         if tl:
             state.setTimeoutTimestamp(int(tl[-1] // 1000 + window_seconds * 1000) + 1)

@@ -24,10 +24,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/stream/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage_by_time(df: DataFrame, ts: str, root: str, slices: int = 5, files_per_slice: int = 2) -> int:
+def stage_by_time(df: DataFrame, ts: str, root: str, slices: int = 5) -> int:
     """Write ``df`` as time-ordered slices (one write job each, so file
     modification times follow event time) for a file stream source to
-    replay in order.  Returns the files-per-trigger to use."""
+    replay in order.  A slice has as many files as its share of the input's
+    partitions (two at least).  Returns the files-per-trigger to use."""
+    files_per_slice = max(2, -(-df.rdd.getNumPartitions() // slices))
     b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     if b["lo"] is None:
         df.limit(0).write.mode("overwrite").parquet(f"{root}/slice=0")
