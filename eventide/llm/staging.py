@@ -1,36 +1,12 @@
-"""Tables written once into the shared folder of the session, and dropped when superseded."""
+"""Helpers on frames that the operators share."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
-from ..session import ensure_checkpoint_dir
-
-
-def staged(df: DataFrame, by: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
-
-    Cuts the lineage with one run of the plan; every executor can read the
-    files, so losing one costs nothing.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._staged_path = path
-    return out
-
+from ..session import drop_staged, staged
 
-def drop_staged(df: DataFrame) -> None:
-    """Delete the files behind a frame that ``staged`` returned."""
-    path = getattr(df, "_staged_path", None)
-    if path:
-        sc = df.sparkSession.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+__all__ = ["drop_staged", "free_name", "staged"]
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -145,9 +145,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     found = _grams(docs, text_col, window, gram).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1")
     marks = spark.sparkContext.broadcast(bit_map(found.select(slot(F.col("gram"), bits).alias("slot")), bits))
     records = staged(_records(docs, id_col, text_col, marks, bits, window, gram))
-    holders = records.groupBy("around").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+    # written by itself, so that the join below has two plain shuffled sides and AQE can split a hot one
+    holders = staged(records.groupBy("around").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")))
     known = staged(records.join(holders, "around").withColumn("same", F.col("lo") != F.col("hi")))
     drop_staged(records)
+    drop_staged(holders)
     equal = known.filter("same").select("doc", "start", (F.col("start") + F.size("windows") + (window - 1)).alias("end"))
     # windows of surroundings that one document has alone, against those of all others
     one_each = known.filter(~F.col("same") | (F.col("doc") == F.col("lo")))
