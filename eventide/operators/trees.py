@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, staged
 from .scan import running
 
 MAX_DEPTH = 100_000
@@ -21,6 +21,7 @@ MAX_DEPTH = 100_000
 
 def _levels(nodes: DataFrame, tree: str, node: str, parent: str, max_depth: int = MAX_DEPTH):
     """Yield (depth, level DataFrame) walking down from the roots (parent null)."""
+    nodes = staged(nodes)  # read again on every level
     cur = cut_lineage(nodes.filter(F.col(parent).isNull()))
     depth = 0
     kids = nodes.filter(F.col(parent).isNotNull())
