@@ -148,10 +148,12 @@ def hex16(fp: Column) -> Column:
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents whose id is the smallest of their class, one row per id, all columns as they were."""
-    found = components(docs, id_col, text_col, **options)
-    key = free_name(docs, "kept_id")
-    keep = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))) \
-                .select(F.col(id_col).alias(key)).distinct()
-    out = docs.join(keep, docs[id_col].eqNullSafe(F.col(key)), "left_semi")
-    return out.dropDuplicates([id_col])
+    """One row of each class, all columns as they were: the first by id (null last), then by the text's hash."""
+    row, key = free_name(docs, "row_key"), free_name(docs, "kept_row")
+    # written with the rows, so that the rows chosen are those returned
+    keyed = staged(docs.withColumn(row, F.struct(
+        F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"),
+        F.monotonically_increasing_id().alias("m"))))
+    found = components(keyed, row, text_col, **options)
+    keep = found.filter(F.col(f"{row}.m") == F.col("component_id.m")).select(F.col(f"{row}.m").alias(key))
+    return keyed.join(keep, F.col(f"{row}.m") == F.col(key), "left_semi").drop(row)

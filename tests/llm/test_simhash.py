@@ -100,6 +100,17 @@ def test_keep_first_keeps_columns_and_one_row_a_class(spark):
     assert S.keep_first(none(spark)).count() == 0
 
 
+def test_keep_first_keeps_null_ids_and_shared_ids_of_different_classes(spark):
+    alone = [t for t in prose(5, 60, most=40) if len(t.split()) > 20][:12]
+    assert all((brute_fp(a) ^ brute_fp(b)).bit_count() > 2 for i, a in enumerate(alone) for b in alone[:i])
+    rows = [(None, t) for t in alone[:8]]  # each alone in its class
+    rows += [(None, alone[8]), (1, alone[8]), (None, alone[0])]  # copies with null ids
+    rows += [(2, alone[9]), (2, alone[10]), (3, alone[10]), (2, alone[9])]  # an id with two texts
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(map(tuple, S.keep_first(df).collect()), key=str)
+    assert got == sorted([(None, t) for t in alone[:8]] + [(1, alone[8]), (2, alone[9]), (2, alone[10])], key=str)
+
+
 def test_thousands_of_copies(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("one two three four five").alias("text"))
     got = S.components(docs).agg(F.countDistinct("component_id").alias("n"), F.max("component_id").alias("m")).first()
