@@ -19,8 +19,9 @@ size of the benchmark.  With one block, documents are read once and nothing is
 shuffled; with more, the blocks' findings are united per document.
 
 Defined cases: null text has no words; an item without words has no window;
-items with one id count as one item; repeated documents give repeated rows; an
-empty benchmark hits nothing.
+items with one id count as one item; those with a null id too, which adds one
+to n_items and nothing to the list of ids; repeated documents give repeated
+rows; an empty benchmark hits nothing.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ def _member(h: np.ndarray, keys: np.ndarray, table: np.ndarray) -> np.ndarray:
 class Index:
     """What a task needs of a block of items: k-grams, windows by length, and who holds them."""
 
-    def __init__(self, ids: list[str], texts: list[str]):
+    def __init__(self, ids: list[str | None], texts: list[str]):
         raws = [(t or "").encode() for t in texts]
         off = np.concatenate(([0], np.cumsum([len(r) for r in raws]))).astype(np.int64)
         self.data = np.frombuffer(b"".join(raws), np.uint8)
@@ -158,7 +159,7 @@ def summarise(index: Index, w: Words, found: list, n_rows: int) -> list[tuple[in
     for r in range(n_rows):
         spans, items = per.get(r, ((), ()))
         starts, ends = joined(spans)
-        out.append((counts[r], starts, ends, sorted(items)))
+        out.append((counts[r], starts, ends, sorted(items, key=lambda i: (i is None, i or ""))))
     return out
 
 
@@ -177,7 +178,7 @@ def joined(spans) -> tuple[list[int], list[int]]:
 _indexes: dict[str, Index] = {}
 
 
-def _scan(docs: DataFrame, text_col: str, carry: list[str], items: list[tuple[str, str]], name: str) -> DataFrame:
+def _scan(docs: DataFrame, text_col: str, carry: list[str], items: list[tuple[str | None, str]], name: str) -> DataFrame:
     """``carry`` columns and a struct ``name`` (FOUND) per document, for one block of items."""
     key = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(items)
@@ -210,8 +211,8 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", carry: l
     (starts, ends: word positions) and the ids of the items that have a window in it."""
     carry = list(docs.columns) if carry is None else carry
     items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")) \
-                     .filter("i is not null and t is not null")
-    total = items.agg(F.sum(F.octet_length("t") + F.length("i"))).first()[0] or 0
+                     .filter("t is not null")
+    total = items.agg(F.sum(F.octet_length("t") + F.coalesce(F.length("i"), F.lit(0)))).first()[0] or 0
     n = -(-total // block_bytes)
     if n <= 1:
         return _scan(docs, text_col, carry, [tuple(r) for r in items.collect()], name)

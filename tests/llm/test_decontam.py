@@ -91,3 +91,25 @@ def test_odd_rows_and_empty_tables(spark):
     want = digest(spark, brute(rows, [("a", "The cat sat on the mat the cat sat on the mat")]))
     assert got(D.report(docs, b)) == want
     assert D.report(docs, b).select(F.sum("n_hit")).first()[0] == 3 * 180
+
+
+def test_items_without_id_are_those_of_the_sql(spark, tmp_path):
+    import duckdb
+
+    from eventide.llm.queries import ORACLES
+    docs, items = case(3)
+    long = " ".join(f"n{i}" for i in range(14))
+    docs += [(110, f"begin {long} end"), (111, f"{long} {items[5][1]} {items[7][1]}"), (112, "lone words here")]
+    items += [(None, long), (None, "lone words"), (None, None), (95, "n3 n4")]
+    d = spark.createDataFrame([x for i, x in enumerate(docs) if x not in docs[:i]], "doc_id bigint, text string")
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    db = duckdb.connect()
+    for name, df in (("documents", d), ("benchmark", b)):
+        df.write.parquet(f"{tmp_path}/{name}")
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}/*.parquet'")
+    want = sorted(db.execute(ORACLES["op6_decontaminate"]).fetchall(), key=str)
+    assert sum(r[5] for r in want if r[0] in (110, 111, 112)) == 3
+    assert sorted(map(tuple, D.report(d, b).collect()), key=str) == want
+    blocked = D.mark(d, b, carry=["doc_id"], block_bytes=300)
+    assert sorted((r.doc_id, len(r.found["items"])) for r in blocked.collect()) == sorted((r[0], r[3]) for r in want)
+    assert not {110, 111, 112} & {r.doc_id for r in D.clean(d, b).collect()}
