@@ -9,14 +9,17 @@
 
 The field (Sutton and McCallum, 2004) labels *mentions*: runs of digits with
 separators (at least ``MIN_DIGITS`` digits) and tokens with an @ or a spelled
-one.  Linear edges join neighbouring mentions; skip edges join each mention to
-the next one, however distant, with the same key (its digits, or its letters
-and digits in lower case).  Shape, length and the word before give the node
-potentials.  Mentions that a base pattern covers are observed.  Loopy
-sum-product messages make the labels of repeated mentions agree; a free mention
-whose marginal for a kind reaches ``CERTAIN`` becomes a span of that kind,
-unless it overlaps a base span.  Documents without any mention have no factor
-and are not looked at further.
+one.  Linear edges join neighbouring mentions; skip edges join all mentions with
+one key, however distant: an address's letters and digits in lower case, or the
+last ``SUFFIX`` digits of a number (all, if it has fewer), so that a number
+meets its forms with other prefixes.  A key's mentions all share an edge with
+one of them, an observed one if there is any, so that evidence reaches each in
+two steps.  Shape, length and the word before give the node potentials.
+Mentions that a base pattern covers are observed.  Damped loopy sum-product
+messages, sent until they no longer change (at most ``SWEEPS`` times), make the
+labels of similar mentions agree; a free mention whose marginal for a kind
+reaches ``CERTAIN`` becomes a span of that kind, whether or not the text has a
+base span.  Documents without any free mention are not looked at further.
 
 ``fit`` learns node, edge and skip weights by maximum pseudo-likelihood from
 the mentions of at most ``SAMPLE`` documents (the bounded training sample: those with the
@@ -43,7 +46,7 @@ from .staging import free_name
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)  # the label of a mention that is no personal data
-MIN_DIGITS, CERTAIN, SWEEPS, SAMPLE = 7, 0.9, 8, 2000
+MIN_DIGITS, SUFFIX, CERTAIN, SWEEPS, SAMPLE = 7, 9, 0.9, 200, 2000
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -147,20 +150,22 @@ class Mentions:
             self.observed.append(label)
         self.keys = [key(text[a:b]) for a, b in self.spans]
         self.features = [features(text, a, b) for a, b in self.spans]
-        last: dict[str, int] = {}
+        alike: dict[str, list[int]] = {}
         self.skips = []
         for j, k in enumerate(self.keys):
-            if k and k in last:
-                self.skips.append((last[k], j))
-            last[k] = j
+            if k:
+                alike.setdefault(k, []).append(j)
+        for same in alike.values():
+            hub = next((j for j in same if self.observed[j] >= 0), same[0])
+            self.skips += [(min(j, hub), max(j, hub)) for j in same if j != hub]
 
 
 def key(mention: str) -> str:
-    """What makes two mentions alike: an address's letters and digits, or a number's digits."""
+    """What makes two mentions alike: an address's letters and digits, or a number's last digits."""
     low = _ADDRESS.sub("@", mention.lower())
     if "@" in low:
         return "".join(c for c in low if c.isalnum())
-    return "".join(_DIGIT.findall(mention))
+    return "".join(_DIGIT.findall(mention))[-SUFFIX:]
 
 
 def features(text: str, a: int, b: int) -> list[int]:
@@ -208,7 +213,7 @@ def marginals(m: Mentions, w: Weights, sweeps: int = SWEEPS) -> np.ndarray:
         new = high + np.log(np.exp(top - high[:, None, :]).sum(axis=1))
         new -= new.max(axis=1, keepdims=True)
         done = np.abs(new - msg).max() < 1e-4
-        msg = new
+        msg = (msg + new) / 2
         belief = unary.copy()
         np.add.at(belief, b, msg)
         if done:
@@ -259,18 +264,15 @@ def learn(fields: list[Mentions], steps: int = 200, rate: float = 0.5, ridge: fl
 
 
 def added_spans(text: str, base: list[Span], w: Weights) -> list[Span]:
-    """Spans that the field adds to the base ones; needs a base span to agree with."""
-    if not base:
-        return []
+    """Spans that the field adds to the base ones: every free mention whose marginal reaches ``CERTAIN``."""
     m = Mentions(text, base)
-    seen = {k for k, o in zip(m.keys, m.observed) if o >= 0 and k}
-    if not any(o < 0 and k in seen for k, o in zip(m.keys, m.observed)):
+    if all(o >= 0 for o in m.observed):
         return []
     p = marginals(m, w)
     out = []
     for i, (a, b) in enumerate(m.spans):
         best = int(p[i].argmax())
-        if m.observed[i] < 0 and m.keys[i] in seen and best != NONE and p[i, best] >= CERTAIN:
+        if m.observed[i] < 0 and best != NONE and p[i, best] >= CERTAIN:
             out.append((best, a, b))
     return out
 

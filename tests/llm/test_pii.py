@@ -57,6 +57,28 @@ def test_clean_text_gets_nothing():
         assert P.base_spans(t) == [] and P.added_spans(t, [], w) == []
 
 
+def test_similar_numbers_are_linked():
+    w = weights()
+    for t in ("call +49 170 1234567 or 0170 1234567", "call 0170 1234567, from abroad +49 170 1234567"):
+        assert [(P.KINDS[k], t[a:b]) for k, a, b in P.added_spans(t, P.base_spans(t), w)] == [("phone", "0170 1234567")]
+
+
+def test_field_needs_no_base_span():
+    w, t = weights(), "mail q.r@localhost now, ref 12345678"
+    assert P.base_spans(t) == []
+    assert [(P.KINDS[k], t[a:b]) for k, a, b in P.added_spans(t, [], w)] == [("email", "q.r@localhost")]
+
+
+def test_evidence_reaches_all_repeats():
+    w = weights()
+    for n in (30, 500):
+        many = "and 49/170/1234567 " * n
+        for t in (f"call +49 170 1234567 {many}", f"{many}call +49 170 1234567", f"{many}call +49 170 1234567 {many}"):
+            got = P.added_spans(t, P.base_spans(t), w)
+            assert {(P.KINDS[k], t[a:b]) for k, a, b in got} == {("phone", "49/170/1234567")}
+            assert len(got) == t.count("49/170/1234567")
+
+
 def exact(m, w):
     """Marginals by summing over all labellings."""
     n, k = len(m.spans), P.NONE + 1
