@@ -1,4 +1,4 @@
-"""Repeated passages by a sparse suffix array.
+"""Repeated passages by sparse suffixes, grouped instead of sorted.
 
 Words are those of the decontamination operator.  A passage is repeated if it
 has at least ``WINDOW`` words and stands in two documents; the result holds, per
@@ -7,11 +7,12 @@ document, the runs of words that repeated windows of ``WINDOW`` words cover.
 Only suffixes at content-selected places are kept: in every window the least
 hash of its ``GRAM``-word grams (the leftmost, if several) is its minimiser, so
 equal windows, wherever they stand, have their minimiser at the same place.
-The suffixes are put in order by the gram that they begin with, and those whose
-gram stands alone are dropped (a bit map of fixed size tells which recur, see
-``bitmaps``).  What remains is extended: a record holds the words around its
-minimiser as far as the windows reach that have it as theirs, left and right.
-Neighbours, records with equal surroundings, repeat over all their length.
+No suffix array is built: where it would sort the suffixes and compare
+neighbours, the suffixes are grouped by the gram that they begin with, and those
+whose gram stands alone are dropped (a bit map of fixed size tells which recur,
+see ``bitmaps``).  A record holds the windows that have its minimiser as theirs,
+left and right of it.  Records with equal surroundings (by hash) repeat over all
+their length.
 A record whose surroundings are found in one document only is compared
 window by window with the others, which gives its repeated part to the word.
 
@@ -20,7 +21,8 @@ passage that a third of the documents share is no group that one task holds:
 equal surroundings are counted first, and only different ones go on.
 
 Defined cases: null has no words; a text of fewer than ``WINDOW`` words has no
-passage; rows with one id count as one document; an empty table gives no rows.
+passage; rows with one id count as one document, each row with a null id as one
+of its own (with a result row of its own); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,9 +114,10 @@ def _grams(docs: DataFrame, text_col: str, window: int, gram: int) -> DataFrame:
 
 
 def _records(docs: DataFrame, id_col: str, text_col: str, marks, bits: int, window: int, gram: int) -> DataFrame:
-    """(doc, around, start, windows): the records whose gram may recur; start is a word's place in its document."""
+    """(doc, own, around, start, windows): the records whose gram may recur; start is a word's place in its
+    document, own the number of a row without id."""
     kind = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField("doc", kind), T.StructField("around", T.LongType()),
+    schema = T.StructType([T.StructField("doc", kind), T.StructField("own", T.LongType()), T.StructField("around", T.LongType()),
                            T.StructField("start", T.LongType()), T.StructField("windows", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,16 +132,28 @@ def _records(docs: DataFrame, id_col: str, text_col: str, marks, bits: int, wind
                 cut = np.concatenate(([0], np.cumsum(size)))
                 at = np.repeat(first - cut[:-1], size) + np.arange(cut[-1])
                 lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(r.windows[at].view(np.int64)))
+                row = pa.array(r.row[keep] + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(r.row[keep] + lo)), pa.array(r.around[keep].view(np.int64)),
+                    [b.column(0).take(row), b.column(2).take(row), pa.array(r.around[keep].view(np.int64)),
                      pa.array(first - r.first_word[r.row[keep]]), lists], names=schema.fieldNames())
 
-    return docs.select(F.col(id_col).alias("doc"), F.col(text_col)).mapInArrow(run, schema)
+    own = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
+    return docs.select(F.col(id_col).alias("doc"), F.col(text_col), own.alias("own")).mapInArrow(run, schema)
+
+
+_ENDS = ("lo", "hi", "own_lo", "own_hi")  # least and largest id and own number of a group's documents
+
+
+def _several() -> Column:
+    """Whether ``_ENDS`` are those of more than one document."""
+    return F.coalesce(F.col("lo") != F.col("hi"), F.lit(False)) | F.coalesce(F.col("own_lo") != F.col("own_hi"), F.lit(False)) \
+        | (F.col("lo").isNotNull() & F.col("own_lo").isNotNull())
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
             gram: int = GRAM, bits: int = MAP_BITS) -> DataFrame:
-    """(doc, start, end): the words of each document that windows repeated in another document cover, as disjoint runs."""
+    """(doc, own, start, end): the words of each document that windows repeated in another document cover, as
+    disjoint runs; own tells rows without id apart and is null for the others."""
     if not 0 < gram <= window:
         raise ValueError("gram must lie between 1 and window")
     spark = docs.sparkSession
@@ -146,28 +161,31 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     marks = spark.sparkContext.broadcast(bit_map(found.select(slot(F.col("gram"), bits).alias("slot")), bits))
     records = staged(_records(docs, id_col, text_col, marks, bits, window, gram))
     # written by itself, so that the join below has two plain shuffled sides and AQE can split a hot one
-    holders = staged(records.groupBy("around").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")))
-    known = staged(records.join(holders, "around").withColumn("same", F.col("lo") != F.col("hi")))
+    holders = staged(records.groupBy("around").agg(
+        F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.min("own").alias("own_lo"), F.max("own").alias("own_hi")))
+    known = staged(records.join(holders, "around").withColumn("same", _several()))
     drop_staged(records)
     drop_staged(holders)
-    equal = known.filter("same").select("doc", "start", (F.col("start") + F.size("windows") + (window - 1)).alias("end"))
+    equal = known.filter("same").select("doc", "own", "start", (F.col("start") + F.size("windows") + (window - 1)).alias("end"))
     # windows of surroundings that one document has alone, against those of all others
-    one_each = known.filter(~F.col("same") | (F.col("doc") == F.col("lo")))
-    shared = one_each.select("lo", "hi", F.col("same"), F.explode("windows").alias("w")).groupBy("w") \
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max((~F.col("same")).cast("int")).alias("asked")) \
-        .filter("lo <> hi and asked = 1").select("w")
-    part = known.filter(~F.col("same")).select("doc", "start", F.posexplode("windows").alias("i", "w")).join(shared, "w") \
-        .select("doc", (F.col("start") + F.col("i")).alias("start"), (F.col("start") + F.col("i") + window).alias("end"))
+    first = F.coalesce(F.col("doc") == F.col("lo"), F.col("lo").isNull() & (F.col("own") == F.col("own_lo")))
+    one_each = known.filter(~F.col("same") | first)
+    shared = one_each.select(*_ENDS, F.col("same"), F.explode("windows").alias("w")).groupBy("w") \
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("own_lo").alias("own_lo"),
+             F.max("own_hi").alias("own_hi"), F.max((~F.col("same")).cast("int")).alias("asked")) \
+        .filter(_several() & (F.col("asked") == 1)).select("w")
+    part = known.filter(~F.col("same")).select("doc", "own", "start", F.posexplode("windows").alias("i", "w")).join(shared, "w") \
+        .select("doc", "own", (F.col("start") + F.col("i")).alias("start"), (F.col("start") + F.col("i") + window).alias("end"))
     return merged(equal.unionByName(part))
 
 
 def merged(runs: DataFrame) -> DataFrame:
     """Disjoint runs per document that cover the same words; a document's runs are bounded by its length."""
-    by = W.partitionBy("doc").orderBy("start", "end")
+    by = W.partitionBy("doc", "own").orderBy("start", "end")
     reach = F.max("end").over(by.rowsBetween(W.unboundedPreceding, -1))
     new = F.coalesce(F.col("start") > reach, F.lit(True)).cast("int")
     group = F.sum("new").over(by.rowsBetween(W.unboundedPreceding, 0))
-    return runs.distinct().withColumn("new", new).withColumn("run", group).groupBy("doc", "run") \
+    return runs.distinct().withColumn("new", new).withColumn("run", group).groupBy("doc", "own", "run") \
         .agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
 
 
@@ -176,7 +194,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     (start:end in words, end exclusive).  Documents without one have no row."""
     runs = repeats(docs, id_col, text_col, **options)
     spans = F.array_sort(F.collect_list(F.struct("start", "end")))
-    return runs.groupBy("doc").agg(F.count(F.lit(1)).alias("n_spans"), F.sum(F.col("end") - F.col("start")).alias("n_repeated"),
+    return runs.groupBy("doc", "own").agg(F.count(F.lit(1)).alias("n_spans"), F.sum(F.col("end") - F.col("start")).alias("n_repeated"),
                                    spans.alias("s")) \
         .select(F.col("doc").alias(id_col), "n_spans", "n_repeated",
                 F.array_join(F.transform("s", lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("spans"))

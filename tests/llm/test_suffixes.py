@@ -67,3 +67,15 @@ def test_odd_and_empty_tables(spark):
     got = {r.doc_id: r.spans for r in S.report(odd(spark)).collect()}
     assert got == {6: "0:180", 7: "0:180"}
     assert S.report(none(spark)).count() == 0
+
+
+def test_each_row_without_id_is_a_document(spark):
+    r = random.Random(9)
+    rnd = lambda n: " ".join(f"w{r.randrange(500)}" for _ in range(n))
+    a, b, c = rnd(30), rnd(30), rnd(30)
+    docs = [(1, f"{rnd(20)} {a} {rnd(20)}"), (None, f"{rnd(7)} {a}"), (None, f"{b} {rnd(9)} {c} {rnd(9)} {c}"), (None, f"x {b}"),
+            (None, f"{rnd(50)}"), (2, c + " " + rnd(40) + " " + a), (None, b)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    got = sorted(map(tuple, S.report(df, window=12, gram=7, bits=1 << 20).collect()), key=str)
+    named = brute([(i, t) for i, (_, t) in enumerate(docs)], 12)
+    assert got == sorted(((docs[i][0], *x) for i, x in named.items()), key=str) and len(got) == 6
