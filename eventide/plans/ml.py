@@ -18,7 +18,7 @@ from ..operators import ml as M
 from ..operators import search as SE
 from ..sources import load
 from ..sources.files import labeled_csv_source, write_labeled_csv
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, staged
 from . import register
 
 _HIST_SCHEMA = "epoch long, train_loss double, rows long"
@@ -221,17 +221,17 @@ def train_linear(spark, sf_dir):
 
 @register("train_mlp")
 def train_mlp(spark, sf_dir):
-    s = scaled(spark, sf_dir)
-    _p, hist = M.train_mlp(s, epochs=3, batches_per_epoch=2)
+    s = staged(scaled(spark, sf_dir))  # each step reads them
+    _p, hist = M.train_mlp(s, epochs=15)
     return spark.createDataFrame(hist, _HIST_SCHEMA)
 
 
 @register("checkpoint_resume")
 def checkpoint_resume(spark, sf_dir):
-    s = scaled(spark, sf_dir)
+    s = staged(scaled(spark, sf_dir))
     root = f"{ensure_checkpoint_dir(spark)}/train_ckpt/{uuid.uuid4().hex}"
-    M.train_mlp(s, epochs=2, batches_per_epoch=2, ckpt_dir=root, ckpt_every=1)
-    _p, hist = M.train_mlp(s, epochs=4, batches_per_epoch=2, ckpt_dir=root, ckpt_every=1)  # resumes at 3
+    M.train_mlp(s, epochs=8, ckpt_dir=root)
+    _p, hist = M.train_mlp(s, epochs=15, ckpt_dir=root)  # resumes at 9
     return spark.createDataFrame(hist, _HIST_SCHEMA)
 
 

@@ -95,6 +95,17 @@ def test_train_mlp_and_resume(spark, tmp_path):
     assert [h["epoch"] for h in h2] == [3]
 
 
+def test_registered_training_runs_15_epochs_on_all_rows(spark):
+    from eventide.plans import QUERIES
+
+    from conftest import SF_SMALL
+    n = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").count()
+    hist = sorted(QUERIES["train_mlp"](spark, SF_SMALL).collect(), key=lambda r: r.epoch)
+    assert [(h.epoch, h.rows) for h in hist] == [(e, n) for e in range(1, 16)]
+    assert hist[-1].train_loss < hist[0].train_loss
+    assert [h.epoch for h in sorted(QUERIES["checkpoint_resume"](spark, SF_SMALL).collect(), key=lambda r: r.epoch)] == list(range(9, 16))
+
+
 def test_train_linear(spark):
     rnd = np.random.default_rng(4)
     x = rnd.normal(size=(300, 3))
