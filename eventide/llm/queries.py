@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import bpe, decontam, hilbert, langid, pii, simhash, suffixes, tokenfile, topk, urlrules
+from . import bpe, decontam, hilbert, langid, merkle, pii, simhash, suffixes, tokenfile, topk, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,51 @@ def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(load(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+# CRC-32 of the id's decimal digits, from the table of its polynomial
+_CRC = """crc_table AS (SELECT list_transform(range(256), lambda b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, CAST(b AS BIGINT))) AS t),
+crcs AS (SELECT doc_id, xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, x: xor(t[1 + xor(c % 256, x)], c // 256), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+    FROM (SELECT DISTINCT doc_id FROM documents), crc_table)"""
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(concat(" + ", ".join(
+        f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + "))"
+
+
+@register("op13_merkle", rf"""
+WITH RECURSIVE {_CRC},
+leaves AS (SELECT d.doc_id, lang, {_leaf_sql('text')} AS leaf,
+                  CASE WHEN h % 3 = 0 THEN {_leaf_sql(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS claim
+           FROM documents d LEFT JOIN crcs USING (doc_id)),
+placed AS (SELECT *, row_number() OVER w - 1 AS p, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+           WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf)),
+lv AS (SELECT 0 AS k, lang, p, n, leaf AS h FROM placed
+       UNION ALL
+       SELECT k + 1, lang, p // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY p)) FROM lv WHERE n > 1 GROUP BY k, lang, p // 8),
+subs AS (SELECT k AS top, lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS p, count(*) OVER () AS n FROM lv WHERE n = 1),
+tv AS (SELECT 0 AS k, p, n, h FROM subs
+       UNION ALL
+       SELECT k + 1, p // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY p)) FROM tv WHERE n > 1 GROUP BY k, p // 8),
+sides AS (SELECT a.k, a.lang, a.p, coalesce(string_agg(b.h, '' ORDER BY b.p) FILTER (b.p < a.p), '') AS l,
+                 coalesce(string_agg(b.h, '' ORDER BY b.p) FILTER (b.p > a.p), '') AS r
+          FROM lv a JOIN lv b ON a.k = b.k AND a.lang IS NOT DISTINCT FROM b.lang AND a.p // 8 = b.p // 8 WHERE a.n > 1 GROUP BY ALL),
+tops AS (SELECT a.k, a.p, coalesce(string_agg(b.h, '' ORDER BY b.p) FILTER (b.p < a.p), '') AS l,
+                coalesce(string_agg(b.h, '' ORDER BY b.p) FILTER (b.p > a.p), '') AS r
+         FROM tv a JOIN tv b ON a.k = b.k AND a.p // 8 = b.p // 8 WHERE a.n > 1 GROUP BY ALL),
+way AS (SELECT d.lang, d.p, s.k, s.l, s.r FROM placed d JOIN sides s ON s.lang IS NOT DISTINCT FROM d.lang AND s.p = d.p // CAST(8 ** s.k AS BIGINT)
+        UNION ALL
+        SELECT d.lang, d.p, u.top + t.k, t.l, t.r FROM placed d JOIN subs u ON u.lang IS NOT DISTINCT FROM d.lang
+        JOIN tops t ON t.p = u.p // CAST(8 ** t.k AS BIGINT)),
+paths AS (SELECT lang, p, list({{'l': l, 'r': r}} ORDER BY k) AS path, string_agg(l || r, '' ORDER BY k) AS proof FROM way GROUP BY lang, p)
+SELECT doc_id, leaf, u.h AS subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
+       list_reduce(list_transform(coalesce(path, []), lambda x: x.l || '|' || x.r), lambda h, x: sha256(split_part(x, '|', 1) || h || split_part(x, '|', 2)),
+                   coalesce(claim, leaf)) AS folded_root, folded_root = root AS verified
+FROM placed d JOIN subs u ON u.lang IS NOT DISTINCT FROM d.lang CROSS JOIN (SELECT h AS root FROM tv WHERE n = 1)
+LEFT JOIN paths q ON q.lang IS NOT DISTINCT FROM d.lang AND q.p = d.p
+""")
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(load(spark, sf_dir, "documents"))
