@@ -238,7 +238,8 @@ def manifest(leaves: DataFrame, group: str, order: str, digest: str = "d", carry
     names = {c: f"c{i}" for i, c in enumerate((order, *carry))}
     # a group's key: nulls first, then by the value's bytes
     key = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
-    rows = leaves.select(key.alias("g"), F.col(digest).alias("d"), *[F.col(c).alias(n) for c, n in names.items()])
+    # digests are written once, so that finding the ranges below doesn't read and hash the texts again
+    rows = staged(leaves.select(key.alias("g"), F.col(digest).alias("d"), *[F.col(c).alias(n) for c, n in names.items()]))
     # c0 is the order column; null ids come first
     placed = running(rows, "g", ["c0", "d", *[n for n in names.values() if n != "c0"]], {"pos": ("count", "d")})
     placed = staged(placed.withColumn("pos", F.col("pos") - 1))
