@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
-from . import bpe, decontam, hilbert, langid, merkle, periods, pii, simhash, suffixes, tokenfile, topk, urlrules
+from . import bpe, decontam, hilbert, langid, merkle, mixing, periods, pii, simhash, suffixes, tokenfile, topk, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,6 +116,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@register("op11_mix_sources")
+def op11_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(load(spark, sf_dir, "documents"))
+
+
 @register("op12_periodic_runs")
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.report(load(spark, sf_dir, "documents"))
