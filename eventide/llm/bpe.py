@@ -20,9 +20,10 @@ Its false positives send a chunk that occurs once the way of the recurring
 ones, which costs a little and changes nothing; so the size is bounded however
 large the input is, and the result exact.
 
-``Encoder`` encodes parts between safe places.  It keeps the ids of the units
-(what stands between two safe places) that it met lately in a cache of bounded
-size, and has the tokenizers library encode the new ones.
+``Encoder`` encodes parts between safe places.  Texts of plain characters go
+through ``pretokens``, block by block; the others are cut into units (what stands
+between two safe places), whose ids are kept in a cache of bounded size, and new
+ones go to the tokenizers library.
 
 Defined cases: null is an empty text with no ids; a text that holds the
 string of a special token is encoded whole by the library; equal rows give
@@ -44,11 +45,12 @@ from pyspark.sql import types as T
 
 from .arrays import blocks, utf8
 from .bitmaps import bit_map, in_map
+from .pretokens import Merges, Pretokens, classes
 from .staging import staged
 
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 512, 11, 16384
 MAP_BITS = 1 << 25
-CACHE = 750_000  # units of each of two generations
+CACHE = 100_000  # units of each of two generations
 
 _GEAR = np.random.Generator(np.random.PCG64(4)).integers(0, 2**32, 256, dtype=np.uint32)
 _REACH = 16  # bytes the rolling hash looks back on
@@ -99,6 +101,48 @@ class Encoder:
         self._known, self._old = {}, {}  # ids of " " + key
         self._pieces: dict[str, bytes] = {}  # ids of pre-tokens that are no word after a space
         self._tails: dict[str, bytes] = {}  # ids of what follows a word in a unit
+        self._plain = self._pretokens(conf) if self.fast else None
+
+    def _pretokens(self, conf: dict) -> Pretokens | None:
+        model = conf["model"]
+        odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+        ids = model["vocab"]
+        letters = _byte_letters()
+        if any(model.get(k) for k in odd) or any(c not in ids for c in letters):
+            return None
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        merges = Merges([(ids[a], ids[b], ids[a + b]) for a, b in pairs], np.array([ids[c] for c in letters]))
+        return Pretokens(merges, self.by_library, self.dtype)
+
+    def block(self, data: np.ndarray, off: np.ndarray) -> list[bytes]:
+        """Ids of each row of a block of UTF-8 texts, as bytes of ``dtype``."""
+        texts = lambda rows: [data[off[i]:off[i + 1]].tobytes().decode("utf-8", "replace") for i in rows]
+        n = len(off) - 1
+        if self._plain is None:
+            return self._by_units(texts(range(n)))
+        c, odd = classes(data)
+        slow = set(np.unique(np.searchsorted(off, odd, side="right") - 1).tolist())
+        raw = data.tobytes() if self.special else b""
+        for name in self.special:
+            at = raw.find(name.encode())
+            while at >= 0:
+                slow.add(int(np.searchsorted(off, at, side="right")) - 1)
+                at = raw.find(name.encode(), at + 1)
+        if not slow:
+            ids, cut = self._plain.encode(data, off, c)
+            packed, cut = ids.tobytes(), (cut * self.dtype.itemsize).tolist()
+            return [packed[a:b] for a, b in zip(cut, cut[1:])]
+        rest = [i for i in range(n) if i not in slow]
+        out: list[bytes] = [b""] * n
+        for i, p in zip(sorted(slow), self._by_units(texts(sorted(slow)))):
+            out[i] = p
+        if rest:
+            size = np.diff(off)[rest]
+            sub = np.concatenate(([0], np.cumsum(size)))
+            part = data[np.repeat(off[:-1][rest] - sub[:-1], size) + np.arange(sub[-1])]
+            for i, p in zip(rest, self.block(part, sub)):
+                out[i] = p
+        return out
 
     def has_special(self, text: str) -> bool:
         return bool(self._special and self._special.search(text))
@@ -163,7 +207,12 @@ class Encoder:
         return out
 
     def many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as bytes of ``dtype``; the texts' new units are encoded together."""
+        """Ids of each text, as bytes of ``dtype``."""
+        raw = [t.encode() for t in texts]
+        return self.block(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64))
+
+    def _by_units(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; the texts' new units are encoded together."""
         if not self.fast:
             return [self.by_library(t) for t in texts]
         cut: list[tuple[str, list[str]] | None] = []

@@ -206,7 +206,7 @@ def files(docs: DataFrame, vocab_path: str, end_id: int, id_col: str = "doc_id",
             off, data = utf8(b.column(1))
             keys = b.column(0).to_pylist()
             for lo, hi in blocks(off, 2 << 20):
-                got = enc.many([data[off[i]:off[i + 1]].tobytes().decode("utf-8", "replace") for i in range(lo, hi)])
+                got = enc.block(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
                 for key, p in zip(keys[lo:hi], got):
                     ids.append(key)
                     packed += (p, end)
