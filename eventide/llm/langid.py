@@ -13,15 +13,17 @@ as the penalised likelihood rises: log-likelihood / 3 (a byte is in three
 trigrams) less ``PENALTY`` * log(n) / 2 for each language.  The prediction is
 the language with the largest proportion, which is the score.
 
-Defined cases: a text that is null or has no letter is ``und`` with score 0;
+Defined cases: a text that is null or has no letter (a character of Unicode
+category L; numerals are none) is ``und`` with score 0;
 so is every text if nothing was learned.  A text with a letter but no trigram
 gets the most frequent language of the training texts and its share.  Equal
-proportions go to the smaller language code.
+proportions go to the smaller language code.  At most ``MAX_LANGS`` languages are
+learned, the most frequent ones of the training rows, so that the model and
+what EM holds are bounded however dirty the column is.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,14 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import LOWER, blocks, utf8
+from .arrays import BLOCK_BYTES, LOWER, blocks, utf8
 from .staging import free_name
 
 BUCKETS = 1 << 15
+MAX_LANGS = 256
 SMOOTH, PENALTY, ROUNDS = 0.1, 2.0, 10
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
-
 _FOLD = np.frombuffer(LOWER, np.uint8).copy()
 _FOLD[[b for b in range(128) if not 97 <= _FOLD[b] <= 122]] = 32
 
@@ -78,7 +79,8 @@ class Model:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Likelihoods from all rows with a text and a language; nothing else of them is looked at."""
+    """Likelihoods from all rows with a text and one of the ``MAX_LANGS`` most frequent languages (ties: smaller
+    code); nothing else of them is looked at."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
@@ -97,8 +99,9 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
             yield pa.RecordBatch.from_pydict({"lang": [lang] * (len(at) + 1),
                                               "code": np.append(at, -1), "n": np.append(t[at], docs[lang])})
 
-    got = labelled.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")) \
-        .filter("t is not null and l is not null") \
+    rows = labelled.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).filter("t is not null and l is not null")
+    common = [r["l"] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGS).collect()]
+    got = rows.filter(F.col("l").isin(common)) \
         .mapInArrow(run, "lang string, code bigint, n bigint") \
         .groupBy("lang", "code").agg(F.sum("n").alias("n")).collect()  # at most languages x (buckets + 1)
     langs = sorted({r["lang"] for r in got})
@@ -183,13 +186,18 @@ def judge(model: Model, data: np.ndarray, off: np.ndarray) -> list[tuple[str, fl
     common = int(model.share.argmax())
     letters = np.concatenate(([0], np.cumsum((_FOLD[data] < 128) & (_FOLD[data] != 32))))
     for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
-        if letters[b] == letters[a] and not _LETTER.search(data[a:b].tobytes().decode("utf-8", "replace")):
+        if letters[b] == letters[a] and not any(map(str.isalpha, data[a:b].tobytes().decode("utf-8", "replace"))):
             out[i] = (UNKNOWN, 0.0)
         elif out[i][0] == UNKNOWN:
             out[i] = (model.langs[common], float(model.share[common]))
     return out
 
 
+def _block(model: Model) -> int:
+    """Bytes of text in a block, fewer the more languages there are: what EM holds is entries x languages."""
+    return max(1 << 14, 4 * BLOCK_BYTES // max(4, len(model.langs)))
+
+
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None,
             lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
     """``carry`` columns (all, if None) and the language and score of every whole text."""
@@ -198,15 +206,19 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
     schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField(lang_name, T.StringType()),
                            T.StructField(score_name, T.DoubleType())])
 
+    extra = [] if text_col in carry else [text_col]  # a text that is carried anyway goes to Python once
+    at = carry.index(text_col) if not extra else len(carry)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            off, data = utf8(b.column(0))
-            out = [x for lo, hi in blocks(off) for x in judge(shared.value, data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])]
+            off, data = utf8(b.column(at))
+            out = [x for lo, hi in blocks(off, _block(shared.value))
+                   for x in judge(shared.value, data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[1:], pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())],
+                [*b.columns[:len(carry)], pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())],
                 names=[*carry, lang_name, score_name])
 
-    return docs.select(F.col(text_col), *carry).mapInArrow(run, schema)
+    return docs.select(*carry, *extra).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id"):

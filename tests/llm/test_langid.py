@@ -93,3 +93,18 @@ def test_odd_rows(spark):
 def test_nothing_learned(spark):
     d = spark.createDataFrame([(1, "some text", None)], "doc_id bigint, text string, lang string")
     assert [(r.lang_pred, r.score) for r in L.report(d).collect()] == [("und", 0.0)]
+
+
+@pytest.mark.parametrize("text", ["½", "² ³", "Ⅻ", "٣٤", "1 2 3 _", "日本", "ª", "é"])
+def test_only_letters_make_a_language(model, text):
+    import unicodedata
+
+    letter = any(unicodedata.category(c)[0] == "L" for c in text)
+    assert (judge(model, [text])[0][0] != "und") == letter
+
+
+def test_a_dirty_language_column_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LANGS", 5)
+    rows = [(f"text number {i} with words", f"x{i:04}" if i % 3 else ("en", "fr")[i % 2]) for i in range(600)]
+    m = L.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert m.langs == ["en", "fr", "x0001", "x0002", "x0004"]
