@@ -186,13 +186,16 @@ def _scan(docs: DataFrame, text_col: str, carry: list[str], items: list[tuple[st
     arrow = pa.struct([("n_words", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())),
                        ("items", pa.list_(pa.string()))])
 
+    extra = [] if text_col in carry else [text_col]  # a text that is carried anyway goes to Python once
+    at = len(carry) if extra else carry.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _indexes:
             _indexes.clear()
             _indexes[key] = Index([i for i, _ in shared.value], [t for _, t in shared.value])
         index = _indexes[key]
         for b in batches:
-            off, data = utf8(b.column(0))
+            off, data = utf8(b.column(at))
             out = []
             for lo, hi in blocks(off):
                 w, found = find(index, data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
@@ -200,9 +203,9 @@ def _scan(docs: DataFrame, text_col: str, carry: list[str], items: list[tuple[st
             cols = list(zip(*out)) if out else [[], [], [], []]
             found = pa.StructArray.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, arrow)],
                                                fields=list(arrow))
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], found], names=[*carry, name])
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(carry)], found], names=[*carry, name])
 
-    return docs.select(F.col(text_col), *carry).mapInArrow(run, schema)
+    return docs.select(*carry, *extra).mapInArrow(run, schema)
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", carry: list[str] | None = None,
