@@ -21,9 +21,12 @@ labels of similar mentions agree; a free mention whose marginal for a kind
 reaches ``CERTAIN`` becomes a span of that kind, whether or not the text has a
 base span.  Documents without any free mention are not looked at further.
 
-``fit`` learns node, edge and skip weights by maximum pseudo-likelihood from
-the mentions of at most ``SAMPLE`` documents (the bounded training sample: those with the
-smallest hash of id and text), with the base patterns as labels.
+``fit`` learns node, edge and skip weights by maximum pseudo-likelihood with the
+base patterns as labels, from a bounded sample: the first ``PART_CHARS`` characters
+around the mentions of the ``SAMPLE`` documents with the smallest hash of id and text.
+The learned skip weights get a fixed ``AGREE`` for equal labels on top: patterns label
+every repeat alike, so the sample can't teach how strongly similar mentions agree.
+Labelling itself (``report``, ``redact``) reads every whole text.
 
 Defined cases: null is an empty text with no spans; positions are code points,
 ends exclusive; equal texts get equal spans; a field with nothing to learn
@@ -34,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +50,8 @@ from .staging import free_name
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)  # the label of a mention that is no personal data
-MIN_DIGITS, SUFFIX, CERTAIN, SWEEPS, SAMPLE = 7, 9, 0.9, 200, 2000
+MIN_DIGITS, SUFFIX, CERTAIN, SWEEPS = 7, 9, 0.9, 200
+SAMPLE, PART_CHARS, AGREE = 2000, 4000, 6.0
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -108,7 +113,7 @@ def base_spans(text: str) -> list[Span]:
 
 _NUMBER = re.compile(r"(?<![0-9+(])[+(]{0,2}[0-9](?:[ ().,/_-]{0,2}[0-9])+")
 _ADDRESS = re.compile(r"(?:\(at\)|\[at\])", re.I)
-_SPACE = re.compile(r"\s")
+_RUN = re.compile(r"\S*")
 _EDGE = " \t\r\n,;:!?\"'()[]{}<>."
 N_FEATURES = 64
 
@@ -124,17 +129,20 @@ class Mentions:
         while at >= 0:
             marks.add(at)
             at = text.find("@", at + 1)
-        for p in sorted(marks):
-            a = b = p
-            while a > 0 and not _SPACE.match(text[a - 1]):
+        marks, end = sorted(marks), 0
+        for i, p in enumerate(marks):
+            if p < end:  # in the run of the mark before: each run is walked once
+                continue
+            a = p
+            while a > end and not text[a - 1].isspace():
                 a -= 1
-            while b < len(text) and not _SPACE.match(text[b]):
-                b += 1
+            b = end = _RUN.match(text, p).end()
             while a < b and text[a] in _EDGE:
                 a += 1
             while b > a and text[b - 1] in _EDGE:
                 b -= 1
-            if a <= p < b and not (spans and spans[-1] == (a, b)):
+            j = bisect_left(marks, a)
+            if j < len(marks) and marks[j] < b:
                 spans.append((a, b))
         self.spans = sorted(set(spans))
         base = sorted((a, b, k) for k, a, b in base)
@@ -143,10 +151,8 @@ class Mentions:
             while i < len(base) and base[i][1] <= a:
                 i += 1
             label = -1
-            for x, y, k in base[i:i + 4]:
-                if x < b and a < y:
-                    label = k
-                    break
+            if i < len(base) and base[i][0] < b and a < base[i][1]:
+                label = base[i][2]
             self.observed.append(label)
         self.keys = [key(text[a:b]) for a, b in self.spans]
         self.features = [features(text, a, b) for a, b in self.spans]
@@ -259,8 +265,7 @@ def learn(fields: list[Mentions], steps: int = 200, rate: float = 0.5, ridge: fl
         ge, gf = left.T @ g / n, skip.T @ g / n
         edge += rate * ((ge + ge.T) / 2 - ridge * edge)
         far += rate * ((gf + gf.T) / 2 - ridge * far)
-    # repeated mentions agree: the learned skip potentials get the agreement that the model is for
-    return Weights(node, edge, far + 6.0 * np.eye(k))
+    return Weights(node, edge, far + AGREE * np.eye(k))
 
 
 def added_spans(text: str, base: list[Span], w: Weights) -> list[Span]:
@@ -281,14 +286,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
     """Weights from at most ``sample`` documents that hold a mention."""
     d = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")) \
             .filter(F.col("t").rlike(r"[0-9][0-9 ().,/_-]{5,}[0-9]|@"))
-    h = F.xxhash64("i", "t")
-    # what reaches the driver are the parts around mentions, not the texts
+    d = d.withColumn("h", F.xxhash64("i", "t"))
+    # the hashes alone choose the documents; what reaches the driver are the parts around their mentions
+    least = d.select("h").orderBy("h").limit(sample).collect()
     part = F.udf(training_parts, "string")
-    rows = d.select(h.alias("h"), part("t").alias("p")).orderBy("h", "p").limit(sample).collect()
+    chosen = d.filter(F.col("h") <= (least[-1]["h"] if least else 0))
+    rows = chosen.select("h", part("t").alias("p")).orderBy("h", "p").limit(sample).collect()
     return learn([Mentions(r["p"], base_spans(r["p"])) for r in rows])
 
 
-def training_parts(text: str, reach: int = 60, most: int = 4000) -> str:
+def training_parts(text: str, reach: int = 60, most: int = PART_CHARS) -> str:
     """The neighbourhoods of a text's mentions, at most ``most`` characters: a bounded training row."""
     m = Mentions(text, [])
     out, end = [], 0

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from eventide.llm import pii as P
 
@@ -136,3 +137,17 @@ def test_odd_and_empty_tables(spark):
 
 def test_overlapping_spans_are_redacted_once():
     assert P.redacted("ab 123 cd", [(2, 3, 6), (3, 2, 5)]) == "ab[PHONE] cd"
+
+
+@pytest.mark.parametrize("unit", ["a@", "@", "a@b.c@", "1@2", "(at)x"])
+def test_marks_without_space_are_linear(unit):
+    import time
+
+    began = time.time()
+    m = P.Mentions(unit * (100_000 // len(unit)), [])
+    assert time.time() - began < 10 and len([k for k in m.keys if k]) <= 60_000
+
+
+def test_marks_of_one_run_are_one_mention():
+    m = P.Mentions("see (a@b@c), <x@y.z>; and '@' or @ q(at)r", [])
+    assert m.spans == [(5, 10), (14, 19), (27, 28), (33, 34), (35, 41)]
