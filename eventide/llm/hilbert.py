@@ -6,8 +6,9 @@ index, id) are cut into runs: shards with narrow ranges in all columns at
 once, so that readers skip most files by their minima and maxima.
 
 Quantising takes the bounds from the columns' own quantiles (at most 2**BITS - 1
-of them); strings are ordered by the eight bytes after the prefix that all
-share.  The sort is a range partitioning with the id as second key, so a
+of them; numbers are compared as doubles, so integers beyond 2**53 may share a cell
+with their neighbours), for strings from the counts of their sorted values, so each
+row's whole string decides its cell.  The sort is a range partitioning with the id as second key, so a
 cell that holds a third of all rows is split; a row's rank is its place in its
 partition plus the counts of the partitions before (one number each).
 
@@ -29,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.scan import global_prefix_sum
 from .staging import staged
 
 BITS = 6
@@ -39,6 +41,8 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     """Hilbert indices of points (n x dims, below 2**bits), by Skilling's transform (2004)."""
     x = cells.astype(np.int64).T.copy()
     dims = len(x)
+    if dims == 1:
+        return x[0]
     q = 1 << (bits - 1)
     while q > 1:  # undo the rotations, from the largest cube down
         p = q - 1
@@ -63,31 +67,32 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _numeric(df: DataFrame, name: str) -> Column:
-    """A column as a number of the same order; of a string, its eight bytes after the common prefix."""
-    if not isinstance(df.schema[name].dataType, T.StringType):
-        return F.col(name).cast("double")
-    lo, hi = df.agg(F.min(name), F.max(name)).first()
-    common = 0
-    while lo and hi and common < min(len(lo), len(hi)) and lo[common] == hi[common]:
-        common += 1
-    tail = F.rpad(F.hex(F.encode(F.substring(F.col(name), common + 1, 8), "utf-8")), 16, "0")
-    return F.conv(F.substring(tail, 1, 14), 16, 10).cast("double")
+def _string_bounds(df: DataFrame, name: str, parts: int) -> list[str]:
+    """The least value of each part but the first, of ``parts`` parts of the rows that are as equal as whole values allow."""
+    counts = df.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    at = global_prefix_sum(counts, "v", "n", "before")
+    total = at.agg(F.sum("n")).first()[0]
+    if not total:
+        return []
+    part = F.expr(f"before * {parts} div {total}")
+    return sorted(r["v"] for r in at.groupBy(part.alias("part")).agg(F.min("v").alias("v")).collect())[1:]
 
 
 def cells(df: DataFrame, dims: list[str], bits: int = BITS) -> list[Column]:
-    """The grid cell of each column, by its quantiles."""
-    values = [_numeric(df, d) for d in dims]
+    """The grid cell of each column, by its quantiles; strings are compared whole."""
+    words = [isinstance(df.schema[d].dataType, T.StringType) for d in dims]
+    values = [F.col(d) if w else F.col(d).cast("double") for d, w in zip(dims, words)]
     steps = F.array(*[F.lit(i / (1 << bits)) for i in range(1, 1 << bits)])
-    got = df.agg(*[F.percentile_approx(v, steps, 10000).alias(f"q{i}") for i, v in enumerate(values)]).first()
+    numbers = [i for i, w in enumerate(words) if not w]
+    got = df.agg(*[F.percentile_approx(values[i], steps, 10000) for i in numbers]).first() if numbers else []
+    cuts = dict(zip(numbers, got)) | {i: _string_bounds(df, dims[i], 1 << bits) for i, w in enumerate(words) if w}
     out = []
     for i, v in enumerate(values):
-        bounds = sorted(set(got[i] or []))
+        bounds = sorted(set(cuts[i] or []))
         if not bounds:
             out.append(F.lit(0))
             continue
-        below = sum(((v > b).cast("int") for b in bounds), F.lit(0)) if len(bounds) < 4 else \
-            F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < v))
+        below = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: (b <= v) if words[i] else (b < v)))
         scaled = F.floor(below * F.lit(1 << bits) / F.lit(len(bounds) + 1))
         out.append(F.when(v.isNull(), F.lit(0)).otherwise(scaled).cast("int"))
     return out
@@ -101,6 +106,7 @@ def ranked(df: DataFrame, dims: list[str], ties: list[str], bits: int = BITS) ->
     @F.pandas_udf("bigint")
     def index(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for cols in parts:
+            cols = cols if isinstance(cols, tuple) else (cols,)
             yield pd.Series(curve_index(np.stack([c.to_numpy() for c in cols], 1), bits))
 
     at = at.withColumn("curve", index(*names)).drop(*names)

@@ -61,3 +61,14 @@ def test_shards_are_narrow_in_every_dimension(spark):
 def test_odd_rows_and_empty_tables(spark):
     check(H.shard(odd(spark), dims=("lang", "source", "size")).collect(), [(i, t) for i, t, *_ in odd_rows()])
     assert H.shard(none(spark)).count() == 0
+
+
+def test_one_odd_string_leaves_the_cells_fine(spark):
+    rows = [(i, "x", "en", f"https://site{i % 200:03}.example.org/page") for i in range(4000)] + [(4000, "x", "en", "wiki")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = H.shard(d, dims=("source",)).collect()
+    at = {}
+    for r in got:
+        at.setdefault(rows[r.doc_id][3], set()).add(r.shard)
+    assert len({r.curve_index for r in got}) > 50
+    assert max(map(len, at.values())) <= 3
