@@ -95,7 +95,8 @@ class Encoder:
         self.token_bytes = []
         for i in range(size):
             t = self.lib.id_to_token(i)
-            self.token_bytes.append(t.encode() if t is None or t in self.special or any(c not in back for c in t)
+            self.token_bytes.append(b"" if t is None  # an id that no token has
+                                    else t.encode() if t in self.special or any(c not in back for c in t)
                                     else b"".join([back[c] for c in t]))
         self._opens = np.array([t[:1] == b" " for t in self.token_bytes])
         self._known, self._old = {}, {}  # ids of " " + key

@@ -66,6 +66,18 @@ def least(x: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (span - size)], x[span - size:]) if span > size else x
 
 
+def places(g: np.ndarray, span: int, bits: int = _PLACE) -> np.ndarray:
+    """Of the ``span`` grams from each place, the place of the least (by all but its low ``bits``; the leftmost)."""
+    mask = np.uint64((1 << bits) - 1)
+    if len(g) <= 1 << bits:
+        return (least(g & ~mask | np.arange(len(g), dtype=np.uint64), span) & mask).astype(np.int64)
+    # more places than the low bits tell apart: by rank, which orders them in the same way
+    order = np.argsort(g & ~mask, kind="stable")
+    rank = np.empty(len(g), np.int64)
+    rank[order] = np.arange(len(g))
+    return order[least(rank, span)]
+
+
 class Records:
     """Records of a block: row, minimiser's gram, first window, number of windows; and all windows' hashes."""
 
@@ -80,9 +92,7 @@ class Records:
         self.first_word = w.first
         if not n:
             return
-        mask = np.uint64((1 << _PLACE) - 1)
-        key = g & ~mask | np.arange(len(g), dtype=np.uint64)
-        place = (least(key, window - gram + 1) & mask).astype(np.int64)
+        place = places(g, window - gram + 1)
         at = np.flatnonzero(w.row_end[:n] >= np.arange(n) + window)
         if not len(at):
             return

@@ -79,3 +79,10 @@ def test_each_row_without_id_is_a_document(spark):
     got = sorted(map(tuple, S.report(df, window=12, gram=7, bits=1 << 20).collect()), key=str)
     named = brute([(i, t) for i, (_, t) in enumerate(docs)], 12)
     assert got == sorted(((docs[i][0], *x) for i, x in named.items()), key=str) and len(got) == 6
+
+
+def test_places_beyond_the_low_bits():
+    g = np.random.default_rng(1).integers(0, 6, 500, dtype=np.uint64) << np.uint64(40)
+    for span in (1, 3, 8):
+        want = [min(range(i, i + span), key=lambda j: (g[j], j)) for i in range(len(g) - span + 1)]
+        assert S.places(g, span).tolist() == S.places(g, span, bits=4).tolist() == want
