@@ -45,15 +45,17 @@ def save(spark: SparkSession, root: str, epoch: int, state: dict) -> None:
 
 def load_latest(spark: SparkSession, root: str) -> dict | None:
     try:
-        manifest = spark.read.parquet(f"{root}/manifest")
+        last = spark.read.parquet(f"{root}/manifest").agg(F.max("last_epoch")).first()[0]
+        if last is None:
+            return None
+        row = spark.read.parquet(f"{root}/epoch={last}").first()
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":  # only a missing manifest means a fresh start
+        # a missing or empty folder means a fresh start; anything else is an error
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
-    last = manifest.agg(F.max("last_epoch")).first()[0]
-    if last is None:
+    if row is None:
         return None
-    row = spark.read.parquet(f"{root}/epoch={last}").first().asDict()
-    st = _decode(row)
+    st = _decode(row.asDict())
     st["epoch"] = int(last)
     return st

@@ -7,7 +7,7 @@ through the driver, as literals or broadcast NumPy arrays.
 
 from __future__ import annotations
 
-import json
+import datetime
 from collections.abc import Sequence
 
 import numpy as np
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import staged
 from .scan import global_prefix_sum, global_rank
 
 # Fixed values (must match the reference): 28 features + amount, a 29-64-32-1
@@ -113,11 +114,54 @@ def _forward(p, x):
     return (h2 @ p["W2"] + p["b2"])[:, 0], (h1, h2)
 
 
+def _probability(p: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """Scores of scaled rows, in double precision whatever the weights' own."""
+    logit, _ = _forward({k: v.astype(np.float64) for k, v in p.items()}, x)
+    return 1.0 / (1.0 + np.exp(-logit))
+
+
+def score_versions(df: DataFrame, models: Sequence, ts: str, features: str = "features", threshold: float = 0.5) -> DataFrame:
+    """Scores raw feature vectors by the model version that was in force at each row's event time.
+
+    ``models`` (``sources.files.load_models``, bounded and broadcast) are in the order of their times.  Adds
+    model_version, fraud_probability (6 places) and is_fraud; null for rows before the first version, without a
+    time, or with a vector that is missing, short or holds a null.  Works on streams and tables alike.
+    """
+    bc = df.sparkSession.sparkContext.broadcast(list(models))
+    schema = T.StructType([*df.schema.fields, T.StructField("model_version", T.LongType()),
+                           T.StructField("fraud_probability", T.DoubleType()), T.StructField("is_fraud", T.BooleanType())])
+    micros = "_valid_us"
+
+    def fn(batches):
+        held = bc.value
+        starts = np.array([int(m.valid_from.replace(tzinfo=m.valid_from.tzinfo or datetime.timezone.utc).timestamp() * 1_000_000)
+                           for m in held], np.int64)
+        for pdf in batches:
+            ok = pdf[features].map(lambda a: a is not None and len(a) == INPUT_DIM).to_numpy(dtype=bool)
+            at = pdf[micros]
+            which = np.where(at.isna(), -1, np.searchsorted(starts, at.fillna(0).to_numpy(dtype=np.int64), side="right") - 1)
+            prob = np.full(len(pdf), np.nan)
+            for i in np.unique(which[ok & (which >= 0)]):
+                rows = np.flatnonzero(ok & (which == i))
+                x = np.stack([np.asarray(a, dtype=np.float64) for a in pdf[features].iloc[rows]])
+                prob[rows] = _probability(held[i].params, (x - np.array(held[i].mean)) / np.array(held[i].std))
+            scored = ok & (which >= 0) & ~np.isnan(prob)  # a null within a vector arrives as NaN
+            out = pdf.drop(columns=micros)
+            out["model_version"] = pd.array([held[i].version if s else None for i, s in zip(which, scored)], dtype="Int64")
+            out["fraud_probability"] = pd.Series(np.round(prob, 6), index=pdf.index).where(scored, None)
+            out["is_fraud"] = pd.Series(prob > threshold, index=pdf.index).where(scored, None)
+            yield out
+
+    return df.withColumn(micros, F.unix_micros(F.col(ts).cast("timestamp"))).mapInPandas(fn, schema)
+
+
 def score_mlp(df: DataFrame, params: dict[str, np.ndarray], features: str = "scaled",
-              threshold: float = 0.5) -> DataFrame:
+              threshold: float = 0.5, dtype: type = np.float32) -> DataFrame:
     """MLP forward pass per Arrow batch (one matmul chain per batch).
 
     Weights (4,033 floats) are broadcast once; dropout is off at scoring.
+    Computed in ``dtype``; in single precision the sixth place depends on the
+    order in which the machine adds.
     Rows with a missing/short feature vector get null outputs.
     """
     bc = df.sparkSession.sparkContext.broadcast({k: v for k, v in params.items()})
@@ -132,9 +176,9 @@ def score_mlp(df: DataFrame, params: dict[str, np.ndarray], features: str = "sca
             ok = feats.map(lambda a: a is not None and len(a) == INPUT_DIM).to_numpy(dtype=bool)
             prob = np.full(len(pdf), np.nan)
             if ok.any():
-                x = np.stack([np.asarray(a, dtype=np.float32) for a in feats[ok]])
-                logit, _ = _forward(p, x)
-                prob[ok] = (1.0 / (1.0 + np.exp(-logit.astype(np.float64))))
+                x = np.stack([np.asarray(a, dtype=dtype) for a in feats[ok]])
+                logit, _ = _forward({k: v.astype(dtype) for k, v in p.items()}, x)
+                prob[ok] = 1.0 / (1.0 + np.exp(-logit.astype(np.float64)))
             out = pdf.copy()
             out["fraud_probability"] = pd.Series(np.where(ok, np.round(prob, 6), np.nan)).where(ok, None)
             out["is_fraud"] = pd.Series(prob > threshold).where(ok, None)
@@ -173,13 +217,33 @@ def roc_auc(df: DataFrame, score: str, y: str, tie_credit: float = 0.5,
 
 
 def split_train_test(df: DataFrame, id_col: str, frac: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds is_test: exactly floor(n * frac) rows, chosen by xxhash64(id, seed)
-    order (cut found by a bucketed global rank, not a global window)."""
-    n = df.count()
+    """Adds is_test: exactly floor(n * frac) rows, those with the smallest hashes of (id, seed).
+
+    The hash is the first 60 bits of an MD5, which every engine has.  The cut is found by radix selection: counts of
+    the leading 12 bits tell which bucket holds the k-th smallest, the next round looks into that bucket alone,
+    and after five rounds the k-th hash is known; nothing is sorted.  Rows with that very hash (equal ids, or a
+    collision) are taken in the order of their ids.
+    """
+    hashed = staged(df.withColumn("_h", F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")),
+                                                                          F.lit(f"|{seed}")).cast("binary")), 1, 15), 16, 10).cast("bigint")))
+    n = hashed.count()
     k = int(n * frac)
-    h = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
-    r = global_rank(h, ["_h", id_col], "_r")
-    return r.withColumn("is_test", F.col("_r") < k).drop("_h", "_r")
+    if not k:
+        return hashed.withColumn("is_test", F.lit(False)).drop("_h")
+    prefix, rest = 0, k  # the k-th smallest hash begins with prefix, and is the rest-th of those that do
+    for shift in range(48, -1, -12):
+        inside = F.shiftright("_h", shift + 12) == prefix
+        counts = sorted(hashed.filter(inside).groupBy(F.shiftright("_h", shift).alias("b")).count().collect())  # at most 4,096 rows
+        for b, c in counts:
+            if rest <= c:
+                prefix = b
+                break
+            rest -= c
+    ties = hashed.filter(F.col("_h") == prefix)
+    if ties.count() == rest:
+        return hashed.withColumn("is_test", F.col("_h") <= prefix).drop("_h")
+    tied = global_rank(ties, [id_col], "_r").withColumn("is_test", F.col("_r") < rest).drop("_r")
+    return hashed.filter(F.col("_h") != prefix).withColumn("is_test", F.col("_h") < prefix).unionByName(tied).drop("_h")
 
 
 # --- training -------------------------------------------------------------------
@@ -236,10 +300,13 @@ def _grad_partition(p, x, y, pos_weight, keep, rng):
     return g, loss
 
 
+_FIXED = float(1 << 32)  # of a gradient sum
+
+
 def train_mlp(df: DataFrame, features: str = "scaled", label: str = "label", epochs: int = 15,
               lr: float = 1e-3, batches_per_epoch: int = 4, seed: int = 42,
               ckpt_dir: str | None = None, ckpt_every: int = 5,
-              params: dict | None = None) -> tuple[dict, list[dict]]:
+              params: dict | None = None, batch_rows: int | None = None, workers: int = 4) -> tuple[dict, list[dict]]:
     """Synchronous data-parallel training of the 29-64-32-1 MLP with Adam.
 
     Each step broadcasts the weights, every partition emits one summed
@@ -247,7 +314,10 @@ def train_mlp(df: DataFrame, features: str = "scaled", label: str = "label", epo
     are summed by a keyed aggregate over parameter index, and Adam runs on
     the driver (4,033 numbers).  With ``ckpt_dir`` the run resumes from
     the last complete checkpoint and writes one every ``ckpt_every``
-    epochs and at the end.  Returns (params, history).
+    epochs and at the end; a resumed run gives what an unbroken one does, as
+    gradients are summed in fixed point, whose sums depend on no order.  With
+    ``batch_rows`` a step takes that many rows for each of ``workers`` workers, however
+    many rows there are, instead of ``batches_per_epoch`` steps.  Returns (params, history).
     """
     from . import checkpoint as C
 
@@ -263,6 +333,8 @@ def train_mlp(df: DataFrame, features: str = "scaled", label: str = "label", epo
             p, m, v2, t, start = st["params"], st["m"], st["v"], st["t"], st["epoch"] + 1
     data = df.select(F.col(features).alias("x"), F.col(label).cast("double").alias("y"),
                      F.xxhash64(F.col(features).cast("string")).alias("_h"))
+    if batch_rows:
+        batches_per_epoch = max(1, -(-data.count() // (batch_rows * workers)))
     history = []
     for epoch in range(start, epochs + 1):
         loss_sum, n_sum = 0.0, 0
@@ -279,28 +351,28 @@ def train_mlp(df: DataFrame, features: str = "scaled", label: str = "label", epo
                 # partition that a retried task reproduces exactly
                 pid = TaskContext.get().partitionId() if TaskContext.get() else 0
                 rng = np.random.default_rng([seed, epoch, b, pid])
-                xs, ys = [], []
-                for pdf in it:
+                vec, loss, seen = np.zeros(np_), 0.0, 0
+                for pdf in it:  # one Arrow batch in memory at a time
                     if len(pdf):
-                        xs.append(np.stack([np.asarray(a, dtype=np.float32) for a in pdf["x"]]))
-                        ys.append(pdf["y"].to_numpy(dtype=np.float32))
-                if not xs:
+                        x = np.stack([np.asarray(a, dtype=np.float32) for a in pdf["x"]])
+                        g, part = _grad_partition(pw, x, pdf["y"].to_numpy(dtype=np.float32), pos_weight, True, rng)
+                        vec += _flatten(g)
+                        loss += part
+                        seen += len(pdf)
+                if not seen:
                     return
-                x, y = np.concatenate(xs), np.concatenate(ys)
-                g, loss = _grad_partition(pw, x, y, pos_weight, True, rng)
-                vec = _flatten(g)
-                yield pd.DataFrame({"i": np.arange(np_, dtype=np.int64), "g": vec.astype(np.float64),
+                yield pd.DataFrame({"i": np.arange(np_, dtype=np.int64), "g": np.rint(vec * _FIXED).astype(np.int64),
                                     "loss": np.where(np.arange(np_) == 0, loss, 0.0),
-                                    "n": np.where(np.arange(np_) == 0, len(y), 0)})
+                                    "n": np.where(np.arange(np_) == 0, seen, 0)})
 
-            grads = (batch.select("x", "y").mapInPandas(part_grad, "i long, g double, loss double, n long")
+            grads = (batch.select("x", "y").mapInPandas(part_grad, "i long, g long, loss double, n long")
                           .groupBy("i").agg(F.sum("g").alias("g"), F.sum("loss").alias("loss"),
                                             F.sum("n").alias("n")))
             rows = grads.toPandas().sort_values("i")  # one row per parameter: bounded by model size
             nb = int(rows["n"].sum())
             if nb == 0:
                 continue
-            gvec = rows["g"].to_numpy() / nb
+            gvec = rows["g"].to_numpy() / _FIXED / nb
             loss_sum += float(rows["loss"].sum())
             n_sum += nb
             g = _unflatten(gvec, p)
@@ -339,7 +411,3 @@ def synth_transactions(spark: SparkSession, n: int, seed: int = 42, accounts: in
         F.element_at(cats, (F.floor(F.rand(seed + 400) * len(CATEGORIES)) + 1).cast("int")).alias("merchant_category"),
         feats.alias("features"),
         F.col("_out").cast("int").alias("_simulated_label"))
-
-
-def params_to_json(mean, std) -> str:
-    return json.dumps({"Mean": list(mean), "Std": list(std)})

@@ -31,6 +31,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_bindings() -> None:
     from . import features, graphs, logs, ml, sequences  # noqa: F401
+    from . import serving  # noqa: F401
     from . import streams  # noqa: F401  (reuses the batch oracles)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import r6
@@ -110,9 +111,29 @@ def score_batch(spark, sf_dir):
     return s.agg(F.count(F.lit(1)).alias("scored"), F.count_if("is_fraud").alias("flagged"))
 
 
-@register("score_mlp")
+def network_sql(name: str, p) -> str:
+    """A CTE with a network's weights: per layer the list of each unit's weights, and the biases."""
+    cols = []
+    for i in range(3):
+        w, b = p[f"W{i}"].astype(float).T.tolist(), p[f"b{i}"].astype(float).tolist()
+        cols += [f"{w}::DOUBLE[][] AS w{i}", f"{b}::DOUBLE[] AS b{i}"]
+    return f"{name} AS (SELECT {', '.join(cols)})"
+
+
+def forward_sql(z: str) -> str:
+    """The probability that a network in scope (w0, b0, ...) gives the list of scaled features ``z``."""
+    layer = lambda x, i: f"list_transform(range(1, len(b{i}) + 1), lambda j{i}: greatest(list_dot_product({x}, w{i}[j{i}]) + b{i}[j{i}], 0))"
+    return f"1 / (1 + exp(-(list_dot_product({layer(layer(z, 0), 1)}, w2[1]) + b2[1])))"
+
+
+@register("score_mlp", f"""
+WITH {_F_SQL}, {network_sql('net', M.init_mlp(42))},
+rows AS (SELECT vec_id, list(z ORDER BY i) AS x FROM z GROUP BY vec_id),
+s AS (SELECT vec_id, {forward_sql('x')} AS p FROM rows, net)
+SELECT vec_id, round_even(p, 6) AS fraud_probability, p > 0.5 AS is_fraud FROM s
+""")
 def score_mlp(spark, sf_dir):
-    return M.score_mlp(scaled(spark, sf_dir), M.init_mlp(42)).select("vec_id", "fraud_probability", "is_fraud")
+    return M.score_mlp(scaled(spark, sf_dir), M.init_mlp(42), dtype=np.float64).select("vec_id", "fraud_probability", "is_fraud")
 
 
 def event_predictions(spark, sf_dir):
@@ -189,7 +210,11 @@ def roc_auc(spark, sf_dir):
                     F.col("n_pos").cast("bigint"), F.col("n_neg").cast("bigint"))
 
 
-@register("split_train_test")
+SPLIT_SQL = """(row_number() OVER (ORDER BY CAST('0x' || substr(md5({id} || '|42'), 1, 15) AS BIGINT), {id})
+    <= CAST(floor(count(*) OVER () * 0.2) AS BIGINT))"""
+
+
+@register("split_train_test", f"SELECT o_orderkey, {SPLIT_SQL.format(id='o_orderkey')} AS is_test FROM orders")
 def split_train_test(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_orderkey")
     return M.split_train_test(o, "o_orderkey", 0.2, 42)
