@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import staged
+from ..session import drop_staged, staged
 from .scan import global_prefix_sum, global_rank
 
 # Fixed values (must match the reference): 28 features + amount, a 29-64-32-1
@@ -224,26 +224,28 @@ def split_train_test(df: DataFrame, id_col: str, frac: float = 0.2, seed: int =
     and after five rounds the k-th hash is known; nothing is sorted.  Rows with that very hash (equal ids, or a
     collision) are taken in the order of their ids.
     """
-    hashed = staged(df.withColumn("_h", F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")),
-                                                                          F.lit(f"|{seed}")).cast("binary")), 1, 15), 16, 10).cast("bigint")))
-    n = hashed.count()
+    h = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f"|{seed}")).cast("binary")), 1, 15),
+               16, 10).cast("bigint")
+    hashes = staged(df.select(h.alias("h")))  # alone, for the rounds
+    n = hashes.count()
     k = int(n * frac)
     if not k:
-        return hashed.withColumn("is_test", F.lit(False)).drop("_h")
+        return df.withColumn("is_test", F.lit(False))
     prefix, rest = 0, k  # the k-th smallest hash begins with prefix, and is the rest-th of those that do
     for shift in range(48, -1, -12):
-        inside = F.shiftright("_h", shift + 12) == prefix
-        counts = sorted(hashed.filter(inside).groupBy(F.shiftright("_h", shift).alias("b")).count().collect())  # at most 4,096 rows
+        inside = F.shiftright("h", shift + 12) == prefix
+        counts = sorted(hashes.filter(inside).groupBy(F.shiftright("h", shift).alias("b")).count().collect())  # at most 4,096 rows
         for b, c in counts:
             if rest <= c:
                 prefix = b
                 break
             rest -= c
-    ties = hashed.filter(F.col("_h") == prefix)
-    if ties.count() == rest:
-        return hashed.withColumn("is_test", F.col("_h") <= prefix).drop("_h")
-    tied = global_rank(ties, [id_col], "_r").withColumn("is_test", F.col("_r") < rest).drop("_r")
-    return hashed.filter(F.col("_h") != prefix).withColumn("is_test", F.col("_h") < prefix).unionByName(tied).drop("_h")
+    last = hashes.filter(F.col("h") == prefix).count()
+    drop_staged(hashes)
+    if last == rest:
+        return df.withColumn("is_test", h <= prefix)
+    tied = global_rank(df.filter(h == prefix), [id_col], "_r").withColumn("is_test", F.col("_r") < rest).drop("_r")
+    return df.filter(h != prefix).withColumn("is_test", h < prefix).unionByName(tied)
 
 
 # --- training -------------------------------------------------------------------
