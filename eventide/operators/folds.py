@@ -71,36 +71,6 @@ def sorted_fold(df: DataFrame, keys, order, step: Step, out: Sequence[tuple[str,
               .mapInPandas(fn, schema))
 
 
-def stream_fold(df: DataFrame, keys, order, step, finish, out: T.StructType) -> DataFrame:
-    """Like ``sorted_fold`` but ``step(state, row)`` returns (state, rows to
-    emit) and ``finish(state, key_tuple)`` returns the rows emitted when a
-    key ends; rows may appear later than the input row they describe
-    (e.g. when a stack entry is resolved)."""
-    k, o = cols(keys), cols(order)
-    names = out.fieldNames()
-
-    def fn(batches):
-        cur, st, started = None, None, False
-        for pdf in batches:
-            rows = []
-            for r in pdf.to_dict("records"):
-                kv = tuple(r[c] for c in k)
-                if not started or kv != cur:
-                    if started:
-                        rows.extend(finish(st, cur))
-                    cur, st, started = kv, None, True
-                st, em = step(st, r)
-                rows.extend(em)
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
-        if started:
-            tail = finish(st, cur)
-            if tail:
-                yield pd.DataFrame(tail, columns=names)
-
-    return df.repartition(*k).sortWithinPartitions(*k, *o).mapInPandas(fn, out)
-
-
 def max_nonadjacent_sum(df: DataFrame, keys, order, v: str) -> DataFrame:
     """Best sum of values with no two adjacent rows (values may be negative: skip them).
 

@@ -3,9 +3,10 @@
 Per client: the bucket starts full at the first request; before each
 request it refills by elapsed_seconds * rate, capped at ``capacity``; a
 request is allowed if tokens >= permits and then consumes them, a denied
-request consumes nothing.  ``permits = 0`` is a peek.  With ``idle_ttl``
-(seconds) a client idle for longer than that gets a fresh full bucket
-(the in-memory limiter evicts idle buckets).
+request consumes nothing.  ``permits = 0`` is a peek: it reports what is there,
+creates no bucket and is no access.  With ``idle_ttl`` (seconds) a client whose
+last access is longer ago than that gets a fresh full bucket (the in-memory
+limiter evicts idle buckets).
 """
 
 from __future__ import annotations
@@ -25,6 +26,30 @@ def validate(rate: float, capacity: float, idle_ttl: float | None) -> None:
         raise ValueError("idle_ttl must be positive")
 
 
+Bucket = tuple[float, int, int]  # tokens, time of the last refill, time of the last access (microseconds)
+
+
+def request(bucket: Bucket | None, t: int, permits: float, rate: float, capacity: float,
+            idle_ttl: float | None) -> tuple[Bucket | None, bool, float]:
+    """(bucket after a request at time t, whether it is allowed, tokens left)."""
+    if permits is None or permits < 0:
+        raise ValueError("permits must be >= 0")
+    if bucket is None or (idle_ttl is not None and (t - bucket[2]) / 1e6 > idle_ttl):
+        if permits == 0:
+            return None, True, float(capacity)
+        bucket = (float(capacity), t, t)
+    tokens, last, seen = bucket
+    elapsed = (t - last) / 1e6
+    if elapsed > 0:
+        tokens, last = min(capacity, tokens + elapsed * rate), t
+    if permits > 0:
+        seen = t
+    allowed = tokens >= permits
+    if allowed:
+        tokens -= permits
+    return (tokens, last, seen), bool(allowed), tokens
+
+
 def token_bucket(df: DataFrame, client: str, ts: str, permits: str, rate: float,
                  capacity: float, idle_ttl: float | None = None, tie: str | None = None) -> DataFrame:
     """Adds allowed, remaining, reset_seconds per request (streamed per client)."""
@@ -33,22 +58,8 @@ def token_bucket(df: DataFrame, client: str, ts: str, permits: str, rate: float,
     order = ["_t_us"] + ([tie] if tie else [])
 
     def step(st, r):
-        p = r[permits]
-        if p is None or p < 0:
-            raise ValueError("permits must be >= 0")
-        t = r["_t_us"]
-        if st is None or (idle_ttl is not None and (t - st[1]) / 1e6 > idle_ttl):
-            tokens, last = float(capacity), t
-        else:
-            tokens, last = st
-            elapsed = (t - last) / 1e6
-            if elapsed > 0:
-                tokens = min(capacity, tokens + elapsed * rate)
-                last = t
-        allowed = tokens >= p
-        if allowed:
-            tokens -= p
-        return (tokens, last), (bool(allowed), round(tokens, 6), round((capacity - tokens) / rate, 6))
+        st, allowed, tokens = request(st, r["_t_us"], r[permits], rate, capacity, idle_ttl)
+        return st, (allowed, round(tokens, 6), round((capacity - tokens) / rate, 6))
 
     out = sorted_fold(base, client, order, step,
                       [("allowed", "boolean"), ("remaining", "double"), ("reset_seconds", "double")])

@@ -53,7 +53,7 @@ def stream_velocity_sliding(spark, sf_dir):
 
 @register("stream_token_bucket", None)
 def stream_token_bucket(spark, sf_dir):
-    s = SO.event_time(events_stream(spark, sf_dir, "stb", ["event_id", "user_id", "ts"]), "ts", None)
+    s = SO.event_time(events_stream(spark, sf_dir, "stb", ["event_id", "user_id", "ts"]), "ts")
     s = s.withColumn("permits", F.lit(1))
     out = SO.token_bucket_stream(s, "user_id", "ts", "permits", 1 / 43200, 3.0, tie="event_id", carry=["event_id"])
     return RT.run_append(out, "stb").select("user_id", "event_id", "allowed", "remaining", "reset_seconds")
@@ -78,7 +78,7 @@ def stream_kv(spark, sf_dir):
     log = kv_log(spark, sf_dir).filter(F.col("ts") <= F.lit(_ASOF))
     root = RT.scratch(spark, "skv-in")
     fpt = RT.stage_by_time(log, "ts", root)
-    s = SO.event_time(RT.file_stream(spark, root, log.schema, fpt), "ts", None)
+    s = SO.event_time(RT.file_stream(spark, root, log.schema, fpt), "ts")
     rows = RT.run_append(SO.kv_stream(s, "key", "ts", "seq"), "skv")
     last = rows.groupBy("key").agg(F.max_by(F.struct("value", "expires_us", "present"), "as_of_us").alias("s"))
     asof = F.unix_micros(F.lit(_ASOF).cast("timestamp"))

@@ -4,11 +4,12 @@ Event time: the driver tables carry TIMESTAMP_NTZ, which ``withWatermark``
 rejects, so streams cast it to TIMESTAMP (session time zone UTC) on the
 way in and back to NTZ on the way out.
 
-Keyed state uses ``applyInPandasWithState``: rows of a key inside one
-micro-batch are processed in event-time order; the state of a key is
-small and bounded (a 5-minute deque, a token count, a slot mask, a value
-with expiry).  Rows arriving after the state has moved past them
-(later than the watermark allows) are processed in arrival order.
+Rows of a key inside one micro-batch are processed in event-time order; the
+state of a key is small and bounded (a 5-minute deque, a token count, a slot
+mask, a value with expiry).  Token buckets and key-value entries use
+``transformWithState`` with event-time timers, which end their state; rows later
+than the watermark allows are left out there.  The others use
+``applyInPandasWithState``, where such rows are processed in arrival order.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions import cols, r6
-from ..operators.ratelimit import validate
+from ..operators.ratelimit import request, validate
 
 
 def event_time(sdf: DataFrame, ts: str, watermark: str | None = "10 minutes") -> DataFrame:
@@ -88,83 +90,135 @@ def sliding_velocity(sdf: DataFrame, key: str, ts: str, amount: str, window_seco
     return _keyed(sdf, key, fn, out_fields, "t array<long>, a array<double>", GroupStateTimeout.EventTimeTimeout)
 
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _with_timers(sdf: DataFrame, key: str, processor: StatefulProcessor, out: T.StructType) -> DataFrame:
+    """``processor`` over the rows of each key, with event-time timers; these need the RocksDB state store."""
+    conf, name = sdf.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    if not (conf.get(name, "") or "").endswith("RocksDBStateStoreProvider"):
+        conf.set(name, _ROCKSDB)
+    return sdf.groupBy(key).transformWithStateInPandas(processor, outputStructType=out, outputMode="Append", timeMode="EventTime")
+
+
+class _Buckets(StatefulProcessor):
+    """A client's bucket, held until it is full again or idle: from then on it equals no bucket at all."""
+
+    def __init__(self, ts, permits, order, names, rate, capacity, idle_ttl):
+        self.ts, self.permits, self.order, self.names = ts, permits, order, names
+        self.rate, self.capacity, self.idle_ttl = rate, capacity, idle_ttl
+
+    def init(self, handle):
+        self.handle = handle
+        self.bucket = handle.getValueState("bucket", "tokens double, last long, seen long, until long")
+
+    def _until(self, b) -> int:
+        """Milliseconds of event time after which the bucket tells no more than a new one (a second to spare for rounding)."""
+        full = b[1] // 1000 + int((self.capacity - b[0]) / self.rate * 1000) + 1000
+        return full if self.idle_ttl is None else min(full, b[2] // 1000 + int(self.idle_ttl * 1000) + 1000)
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
+        us = pdf[self.ts].astype("datetime64[us]").astype("int64").tolist()
+        b = tuple(self.bucket.get()[:3]) if self.bucket.exists() else None
+        got = []
+        for t, p in zip(us, pdf[self.permits].tolist()):
+            b, allowed, tokens = request(b, t, p, self.rate, self.capacity, self.idle_ttl)
+            got.append((allowed, round(tokens, 6), round((self.capacity - tokens) / self.rate, 6)))
+        if b is None:
+            self.bucket.clear()
+        else:
+            until = self._until(b)
+            self.bucket.update((*b, until))
+            self.handle.registerTimer(until)
+        out = pdf[self.names].copy()
+        out["allowed"], out["remaining"], out["reset_seconds"] = map(list, zip(*got))
+        yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        # a timer of an earlier state of the bucket comes too soon
+        if self.bucket.exists() and self.bucket.get()[3] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.bucket.clear()
+        return iter(())
+
+    def close(self):
+        pass
+
+
 def token_bucket_stream(sdf: DataFrame, client: str, ts: str, permits: str, rate: float, capacity: float,
                         idle_ttl: float | None = None, tie: str | None = None,
                         carry: Sequence[str] = ()) -> DataFrame:
-    """Token bucket per client kept in state (tokens, last refill time).
+    """Token bucket per client, on a stream with a watermark.
 
-    Idle reset is decided from the last access in event time; the
-    processing-time state TTL is not used for semantics.
+    The state of a client goes by a timer once its bucket is full again (or, with
+    ``idle_ttl``, idle), so state is held for active clients only.
     """
     validate(rate, capacity, idle_ttl)
     fields = [sdf.schema[c] for c in dict.fromkeys([*carry, client, ts, permits])]
-    names = [f.name for f in fields]
-    out_fields = fields + [T.StructField("allowed", T.BooleanType()), T.StructField("remaining", T.DoubleType()),
-                           T.StructField("reset_seconds", T.DoubleType())]
+    out = T.StructType([*fields, T.StructField("allowed", T.BooleanType()), T.StructField("remaining", T.DoubleType()),
+                        T.StructField("reset_seconds", T.DoubleType())])
+    return _with_timers(sdf, client, _Buckets(ts, permits, [ts, *([tie] if tie else [])], [f.name for f in fields], rate, capacity, idle_ttl), out)
 
-    def fn(k, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        order = [ts] + ([tie] if tie else [])
-        pdf = pdf.sort_values(order, kind="stable")
-        us = pdf[ts].astype("datetime64[us]").astype("int64").tolist()
-        st = state.get if state.exists else None
-        allowed, rem, rst = [], [], []
-        for t, p in zip(us, pdf[permits].tolist()):
-            if p is None or p < 0:
-                raise ValueError("permits must be >= 0")
-            if st is None or (idle_ttl is not None and (t - st[2]) / 1e6 > idle_ttl):
-                tokens, last = float(capacity), t
-            else:
-                tokens, last = st[0], st[1]
-                el = (t - last) / 1e6
-                if el > 0:
-                    tokens = min(capacity, tokens + el * rate)
-                    last = t
-            ok = tokens >= p
-            if ok:
-                tokens -= p
-            st = (tokens, last, t)
-            allowed.append(bool(ok))
-            rem.append(round(tokens, 6))
-            rst.append(round((capacity - tokens) / rate, 6))
-        state.update(st)
-        out = pdf[names].copy()
-        out["allowed"], out["remaining"], out["reset_seconds"] = allowed, rem, rst
-        yield out
 
-    return _keyed(sdf, client, fn, out_fields, "tokens double, last long, seen long")
+class _Entries(StatefulProcessor):
+    """A key's value while it is live: deleted and lapsed keys hold no state."""
 
+    def __init__(self, key, ts, seq):
+        self.key, self.ts, self.seq = key, ts, seq
 
-def kv_stream(sdf: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
-    """Key-value store maintained from a SET/DEL/EXPIRE log: one output row
-    per key and micro-batch with (value, expiry in epoch micros or null,
-    deleted flag); read the latest row per key as of a time."""
-    kf = sdf.schema[key]
-    out_fields = [kf, T.StructField("value", T.StringType()), T.StructField("expires_us", T.LongType()),
-                  T.StructField("present", T.BooleanType()), T.StructField("as_of_us", T.LongType())]
+    def init(self, handle):
+        self.handle = handle
+        self.entry = handle.getValueState("entry", "value string, expires long")
 
-    def fn(k, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values([ts, seq], kind="stable")
-        val, exp, present = (state.get if state.exists else (None, None, False))
-        last = None
-        for r in pdf.itertuples(index=False):
-            t = pd.Timestamp(getattr(r, ts)).value // 1000
-            last = t
-            if present and exp is not None and exp <= t:
-                val, exp, present = None, None, False
-            op = r.op
+    def _row(self, key, value, expires, present, as_of):
+        return pd.DataFrame({self.key: [key[0]], "value": pd.Series([value], dtype=object),
+                             "expires_us": pd.array([expires], dtype="Int64"), "present": [present], "as_of_us": [as_of]})
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values([self.ts, self.seq], kind="stable")
+        live = self.entry.exists()
+        value, expires = self.entry.get() if live else (None, None)
+        t = None
+        us = pdf[self.ts].astype("datetime64[us]").astype("int64").tolist()
+        for t, op, new, ttl in zip(us, pdf["op"].tolist(), pdf["value"].tolist(), pdf["ttl"].tolist()):
+            if live and expires is not None and expires <= t:
+                live = False
+            until = None if ttl is None or ttl != ttl else t + int(round(ttl * 1e6))
             if op == "set":
-                ttl = r.ttl
-                val, present = r.value, True
-                exp = None if ttl is None or ttl != ttl else t + int(round(ttl * 1e6))
+                value, expires, live = new, until, True
             elif op == "del":
-                val, exp, present = None, None, False
-            elif op == "expire" and present:
-                exp = t + int(round(r.ttl * 1e6))
-        state.update((val, exp, present))
-        yield pd.DataFrame([{key: k[0], "value": val, "expires_us": exp, "present": present, "as_of_us": last}])
+                live = False
+            elif op == "expire" and live:
+                expires = until
+            if not live:
+                value, expires = None, None
+        if live:
+            self.entry.update((value, expires))
+            if expires is not None:
+                self.handle.registerTimer(-(-expires // 1000))
+        else:
+            self.entry.clear()
+        yield self._row(key, value, expires, live, t)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.entry.exists():
+            _, expires = self.entry.get()
+            if expires is not None and expires <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
+                self.entry.clear()
+                yield self._row(key, None, None, False, expires)
 
-    return _keyed(sdf, key, fn, out_fields, "value string, exp long, present boolean")
+    def close(self):
+        pass
+
+
+def kv_stream(sdf: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
+    """Key-value store maintained from a SET/DEL/EXPIRE log on a stream with a
+    watermark: one output row per key and micro-batch with (value, expiry in
+    epoch micros or null, present flag), and one when a key lapses; read the latest
+    row per key as of a time.  State is held for live keys only."""
+    out = T.StructType([sdf.schema[key], T.StructField("value", T.StringType()), T.StructField("expires_us", T.LongType()),
+                        T.StructField("present", T.BooleanType()), T.StructField("as_of_us", T.LongType())])
+    return _with_timers(sdf, key, _Entries(key, ts, seq), out)
 
 
 def slots_stream(sdf: DataFrame, resource: str, day: str, ts: str, tie: str, n_slots: int = 32,

@@ -3,8 +3,7 @@
 Sinks are files under a shared folder (the session's checkpoint dir by
 default), never the driver: append-mode results go to a parquet sink;
 update-mode changes are appended per micro-batch with the batch id and
-read back as the latest row per key; complete-mode tables are rewritten
-per batch by ``foreachBatch``.
+read back as the latest row per key.
 """
 
 from __future__ import annotations
@@ -81,19 +80,3 @@ def run_update(sdf: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     cols = [c for c in sdf.columns if c not in keys]
     latest = data.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_batch").alias("_r"))
     return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
-
-
-def run_complete(sdf: DataFrame, name: str) -> DataFrame:
-    """Complete-mode query: every batch rewrites the result table."""
-    spark = sdf.sparkSession
-    out = scratch(spark, name)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/data")
-
-    q = (sdf.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_ckpt")
-            .outputMode("complete").trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return spark.read.schema(sdf.schema).parquet(f"{out}/data")
