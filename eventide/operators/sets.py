@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cols
-from .scan import running
+from .scan import global_rank, running
 
 
 def _tagged(dfs: Sequence[DataFrame | None]) -> DataFrame | None:
@@ -47,6 +47,12 @@ def sorted_merge(dfs: Sequence[DataFrame | None], key: str, pos: str) -> DataFra
     return u.orderBy(key, "src_idx", pos)
 
 
+def merged_ranks(dfs: Sequence[DataFrame | None], key: str, pos: str, name: str = "merged_pos") -> DataFrame | None:
+    """The rows of ``sorted_merge`` with their place in it (from 0), sorted once."""
+    u = _tagged(dfs)
+    return None if u is None else global_rank(u, [key, "src_idx", pos], name)
+
+
 def missing_ids(df: DataFrame, id_col: str, lo: int | None = None, hi: int | None = None, keys=()) -> DataFrame:
     """Ids absent from [lo, hi] (defaults: the observed min and max), per key if ``keys`` are given.
 

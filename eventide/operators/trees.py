@@ -183,8 +183,8 @@ def validate_ordered_tree(nodes: DataFrame, tree: str = "tree_id", node: str = "
 
 
 def encode_trees(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id", parent: str = "parent_id",
-                 side: str = "side", val: str = "val") -> DataFrame:
-    """Level-order string per binary tree with 'null' holes, trailing nulls trimmed.
+                 side: str = "side", val: str = "val", brackets: bool = False) -> DataFrame:
+    """Level-order string per binary tree with 'null' holes, trailing nulls trimmed, on request in brackets.
 
     The k-th non-null node in level order owns slots 2k+1 (left) and 2k+2
     (right), so slots are computed one level at a time from the parents'
@@ -214,15 +214,20 @@ def encode_trees(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",
         prev = cur
     per = out.groupBy(tree).agg(F.max("slot").alias("_m"),
                                 F.map_from_entries(F.collect_list(F.struct("slot", F.col(val).cast("string")))).alias("_s"))
-    return per.select(tree, F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("_m")),
-                                                     lambda i: F.coalesce(F.element_at("_s", i), F.lit("null"))),
-                                         ",").alias("data"))
+    text = F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("_m")),
+                                    lambda i: F.coalesce(F.element_at("_s", i), F.lit("null"))), ",")
+    return per.select(tree, (F.concat(F.lit("["), text, F.lit("]")) if brackets else text).alias("data"))
 
 
 def decode_trees(enc: DataFrame, tree: str = "tree_id", data: str = "data") -> DataFrame:
     """Inverse of ``encode_trees``: node id = level-order rank of the token,
-    parent = rank (i - 1) div 2, side = (i - 1) mod 2, for token index i."""
-    tok = enc.select(tree, F.posexplode(F.split(data, ",")).alias("i", "tok")).filter(F.col("tok") != "null")
+    parent = rank (i - 1) div 2, side = (i - 1) mod 2, for token index i.
+
+    Brackets around the tokens and spaces around each are allowed; an empty tree
+    ("", "[]" or a null root) has no rows."""
+    inner = F.regexp_replace(F.trim(F.col(data)), r"^\[|\]$", "")
+    tok = enc.select(tree, F.posexplode(F.transform(F.split(inner, ","), lambda t: F.trim(t))).alias("i", "tok")) \
+             .filter((F.col("tok") != "null") & (F.col("tok") != ""))
     tok = tok.withColumn("i", F.col("i").cast("bigint"))
     ranked = running(tok, tree, ["i"], {"_n": ("count", "_n")}).withColumn("node_id", F.col("_n") - 1)
     # the token at index i >= 1 hangs under the non-null token number (i - 1) div 2

@@ -137,7 +137,18 @@ def topo_levels(spark, sf_dir):
     return G.topo_levels(n, e)
 
 
-@register("topo_levels_cyclic")
+# Every path without a cycle has at most three nodes here (order, part, supplier), so a node that a longer walk
+# reaches lies on or after a cycle.
+@register("topo_levels_cyclic", """
+WITH RECURSIVE nodes AS (SELECT o_orderkey * 3 AS node FROM orders UNION SELECT p_partkey * 3 + 1 FROM part
+                         UNION SELECT s_suppkey * 3 + 2 FROM supplier),
+e AS (SELECT DISTINCT l_orderkey * 3 AS src, l_partkey * 3 + 1 AS dst FROM lineitem
+      UNION SELECT DISTINCT l_partkey * 3 + 1, l_suppkey * 3 + 2 FROM lineitem
+      UNION SELECT DISTINCT l_suppkey * 3 + 2, l_orderkey * 3 FROM lineitem WHERE l_linenumber = 1),
+walk(node, depth) AS (SELECT node, 0 FROM nodes UNION SELECT e.dst, walk.depth + 1 FROM walk JOIN e ON e.src = walk.node WHERE depth < 4),
+deep AS (SELECT node, max(depth) AS level FROM walk GROUP BY node)
+SELECT node, CASE WHEN level < 4 THEN CAST(level AS BIGINT) END AS level, (SELECT max(level) >= 4 FROM deep) AS has_cycle FROM deep
+""")
 def topo_levels_cyclic(spark, sf_dir):
     n, e = supply_graph(spark, sf_dir, cyclic=True)
     return G.topo_levels(n, e)

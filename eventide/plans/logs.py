@@ -197,9 +197,7 @@ SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, src_idx,
 FROM u
 """)
 def sorted_merge(spark, sf_dir):
-    from ..operators.scan import global_rank
-    u = ST.sorted_merge(_versions(spark, sf_dir), "o_orderkey", "o_orderkey")
-    r = global_rank(u, ["o_orderkey", "src_idx"], "merged_pos")
+    r = ST.merged_ranks(_versions(spark, sf_dir), "o_orderkey", "o_orderkey")
     return r.select("o_orderkey", r6("o_totalprice").alias("o_totalprice"), "src_idx", "merged_pos")
 
 
@@ -230,25 +228,18 @@ def missing_value(spark, sf_dir):
 # --- slots -----------------------------------------------------------------------
 
 _TODAY = "2024-01-03"
-_REQ_SQL = f"""r AS (SELECT event_id, user_id % 3 AS doctor_id, CAST(ts AS DATE) AS day, ts FROM events),
-c AS (SELECT *, CASE WHEN doctor_id NOT BETWEEN 1 AND 1000 THEN 'not_found'
+_REQ_SQL = f"""r AS (SELECT event_id, user_id AS doctor_id, CAST(ts AS DATE) AS day, ts FROM events),
+c AS (SELECT *, CASE WHEN doctor_id NOT IN (SELECT c_custkey FROM customer) THEN 'not_found'
                      WHEN day < DATE '{_TODAY}' THEN 'bad_request' END AS s0 FROM r),
 k AS (SELECT *, row_number() OVER (PARTITION BY doctor_id, day ORDER BY ts, event_id) AS rk
       FROM c WHERE s0 IS NULL)"""
 
 
-def _requests(spark, sf_dir, event_type=None):
-    ev = load(spark, sf_dir, "events")
-    if event_type:
-        ev = ev.filter(F.col("event_type") == event_type)
-    return ev.select("event_id", (F.col("user_id") % 3).alias("doctor_id"),
-                     F.to_date("ts").alias("day"), "ts")
-
-
-def _allocate(spark, sf_dir, event_type=None):
-    doctors = spark.range(1, 1001).select(F.col("id").alias("doctor_id"))
-    return SL.allocate_slots(_requests(spark, sf_dir, event_type), "doctor_id", "day", "ts", "event_id",
-                             doctors, _TODAY)
+def _allocate(spark, sf_dir):
+    """Every event asks its user for a slot on its day; the users known are those among the customers."""
+    requests = load(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("doctor_id"), F.to_date("ts").alias("day"), "ts")
+    known = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doctor_id"))
+    return SL.allocate_slots(requests, "doctor_id", "day", "ts", "event_id", known, _TODAY)
 
 
 @register("allocate_slots", f"""
@@ -265,22 +256,22 @@ def allocate_slots(spark, sf_dir):
 
 
 @register("free_slots", f"""
-WITH {_REQ_SQL.replace("FROM events)", "FROM events WHERE event_type = 'purchase')", 1)},
+WITH {_REQ_SQL},
 d AS (SELECT doctor_id, day, count(*) AS n FROM k GROUP BY doctor_id, day),
 g AS (SELECT doctor_id, day, n, unnest(generate_series(0, 31)) AS slot FROM d)
 SELECT doctor_id, day, slot FROM g WHERE slot >= n
 """)
 def free_slots(spark, sf_dir):
-    a = _allocate(spark, sf_dir, "purchase").filter(F.col("status").isin("ok", "conflict"))
+    a = _allocate(spark, sf_dir).filter(F.col("status").isin("ok", "conflict"))
     return SL.free_slots(a, "doctor_id", "day")
 
 
 SLOT_REPLAY = """
 WITH RECURSIVE l AS (
-    SELECT event_id, user_id % 3 AS doctor_id, CAST(ts AS DATE) AS day, ts,
+    SELECT event_id, user_id AS doctor_id, CAST(ts AS DATE) AS day, ts,
            CASE WHEN event_type = 'error' THEN 'cancel' ELSE 'book' END AS op,
            CASE WHEN event_type = 'error' THEN CAST(props->>'k' AS BIGINT) % 34 END AS slot,
-           row_number() OVER (PARTITION BY user_id % 3, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
+           row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
     FROM events),
 r(doctor_id, day, rn, taken, status, result_slot) AS (
     SELECT DISTINCT doctor_id, day, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT) FROM l
@@ -305,7 +296,7 @@ FROM l JOIN r ON l.doctor_id = r.doctor_id AND l.day = r.day AND l.rn = r.rn
 def slots_with_cancels(spark, sf_dir):
     ev = load(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")
-    log = ev.select("event_id", (F.col("user_id") % 3).alias("doctor_id"), F.to_date("ts").alias("day"), "ts",
+    log = ev.select("event_id", F.col("user_id").alias("doctor_id"), F.to_date("ts").alias("day"), "ts",
                     F.when(F.col("event_type") == "error", "cancel").otherwise("book").alias("op"),
                     F.when(F.col("event_type") == "error", k % 34).alias("slot"))
     return SL.slots_with_cancels(log, "doctor_id", "day", ["ts", "event_id"])

@@ -289,13 +289,15 @@ def observed(spark, sf_dir):
     return li.groupBy(F.col("l_orderkey").alias("job"), (F.col("l_linenumber") - 1).cast("bigint").alias("rank")) \
              .agg(F.count_if(F.col("l_returnflag") == "A").alias("succeeded"),
                   F.count_if(F.col("l_returnflag") == "R").alias("failed"),
-                  F.count_if(F.col("l_linestatus") == "O").alias("active"))
+                  F.count_if(F.col("l_linestatus") == "O").alias("active"),
+                  F.max(F.col("l_quantity").cast("bigint")).alias("last_checkpoint_epoch"))
 
 
 _OBS_SQL = """obs AS (SELECT l_orderkey AS job, CAST(l_linenumber - 1 AS BIGINT) AS rank,
                       count(*) FILTER (WHERE l_returnflag = 'A') AS succeeded,
                       count(*) FILTER (WHERE l_returnflag = 'R') AS failed,
-                      count(*) FILTER (WHERE l_linestatus = 'O') AS active
+                      count(*) FILTER (WHERE l_linestatus = 'O') AS active,
+                      max(CAST(floor(l_quantity) AS BIGINT)) AS epoch
                FROM lineitem GROUP BY 1, 2),
 cls AS (SELECT *, CASE WHEN succeeded > 0 THEN 'Succeeded' WHEN failed >= 3 THEN 'Failed'
                        WHEN active = 0 THEN 'Pending' ELSE 'Running' END AS phase FROM obs),
@@ -303,7 +305,7 @@ want AS (SELECT o_orderkey AS job, CAST(unnest(generate_series(0, o_orderkey % 4
 rec AS (SELECT want.job, want.rank,
                CASE WHEN cls.phase IS NULL THEN 'create' WHEN cls.phase = 'Failed' THEN 'recreate' ELSE 'keep' END AS action,
                CASE WHEN cls.phase IS NULL THEN 'Pending' WHEN cls.phase = 'Failed' THEN 'Resuming' ELSE cls.phase END AS phase,
-               coalesce(cls.failed, 0) AS restart_count, CAST(0 AS BIGINT) AS last_checkpoint_epoch
+               coalesce(cls.failed, 0) AS restart_count, coalesce(cls.epoch, 0) AS last_checkpoint_epoch
         FROM want LEFT JOIN cls ON want.job = cls.job AND want.rank = cls.rank)"""
 
 
@@ -312,7 +314,7 @@ WITH {_OBS_SQL}
 SELECT job, rank, succeeded, failed, active, phase, failed AS restart_count FROM cls
 """)
 def classify_status(spark, sf_dir):
-    return J.classify_status(observed(spark, sf_dir))
+    return J.classify_status(observed(spark, sf_dir)).drop("last_checkpoint_epoch")
 
 
 @register("reconcile", f"WITH {_OBS_SQL} SELECT * FROM rec")

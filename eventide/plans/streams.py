@@ -132,30 +132,17 @@ def _predictions_with(vel):
 
 @register("stream_dashboard", None)
 def stream_dashboard(spark, sf_dir):
-    """Predictions appended per micro-batch; after each batch the rolling
-    last-200 metrics are recomputed from the predictions table."""
+    """After each micro-batch the rolling metrics over the newest 200 predictions; what is kept are those 200."""
     s = SO.event_time(events_stream(spark, sf_dir, "sdb"), "ts", None)
     preds = _predictions(s).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    out = RT.scratch(spark, "sdb-out")
-
-    def sink(batch, batch_id):
-        batch.write.mode("append").parquet(f"{out}/predictions")
-        table = batch.sparkSession.read.parquet(f"{out}/predictions")
-        dashboard_metrics(table, ["ts", "event_id"], 200).write.mode("overwrite").parquet(f"{out}/metrics")
-
-    q = (preds.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/_ckpt")
-              .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return spark.read.parquet(f"{out}/metrics")
+    return RT.run_newest(preds, "sdb", ["ts", "event_id"], 200, lambda newest: dashboard_metrics(newest, ["ts", "event_id"], 200))
 
 
 @register("stream_slots")
 def stream_slots(spark, sf_dir):
     ev = load(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")
-    log = ev.select("event_id", (F.col("user_id") % 3).alias("doctor_id"), F.to_date("ts").alias("day"), "ts",
+    log = ev.select("event_id", F.col("user_id").alias("doctor_id"), F.to_date("ts").alias("day"), "ts",
                     F.when(F.col("event_type") == "error", "cancel").otherwise("book").alias("op"),
                     F.when(F.col("event_type") == "error", k % 34).alias("slot"))
     root = RT.scratch(spark, "ssl-in")

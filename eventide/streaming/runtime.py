@@ -9,7 +9,7 @@ read back as the latest row per key.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,3 +80,53 @@ def run_update(sdf: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     cols = [c for c in sdf.columns if c not in keys]
     latest = data.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_batch").alias("_r"))
     return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+
+
+def newest_sink(out: str, order: Sequence[str], n: int, metrics: Callable[[DataFrame], DataFrame]):
+    """A ``foreachBatch`` function that keeps the newest ``n`` rows and writes metrics over them.
+
+    Batch i is folded into the rows kept after batch i - 1 and written to folders of its own (newest=i,
+    metrics=i), so a replayed batch overwrites what it wrote before and counts once, and the work of a batch
+    doesn't grow with the history.  Folders two batches old are deleted.
+    """
+    from ..operators.dashboard import recent_n
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch
+        if batch_id:
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(f"{out}/newest={batch_id - 1}"))
+        recent_n(rows, order, n).write.mode("overwrite").parquet(f"{out}/newest={batch_id}")
+        kept = spark.read.schema(batch.schema).parquet(f"{out}/newest={batch_id}")
+        metrics(kept).write.mode("overwrite").parquet(f"{out}/metrics={batch_id}")
+        if batch_id > 1:  # batch_id - 1 stays: a replay of this batch reads it
+            for kind in ("newest", "metrics"):
+                delete(spark, f"{out}/{kind}={batch_id - 2}")
+
+    return sink
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def latest_metrics(spark: SparkSession, out: str) -> DataFrame:
+    """The metrics that the last batch wrote."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(out)
+    names = [f.getPath().getName() for f in p.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(p)]
+    last = max(int(name.split("=")[1]) for name in names if name.startswith("metrics="))
+    return spark.read.parquet(f"{out}/metrics={last}")
+
+
+def run_newest(sdf: DataFrame, name: str, order: Sequence[str], n: int, metrics: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run a stream into ``newest_sink``; the metrics after its last batch."""
+    out = scratch(sdf.sparkSession, name)
+    q = (sdf.writeStream.foreachBatch(newest_sink(f"{out}/data", order, n, metrics)).option("checkpointLocation", f"{out}/_ckpt")
+            .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return latest_metrics(sdf.sparkSession, f"{out}/data")
