@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .folds import sorted_fold
+from .scan import PIECE, running, split
 
 
 def validate(rate: float, capacity: float, idle_ttl: float | None) -> None:
@@ -52,15 +53,25 @@ def request(bucket: Bucket | None, t: int, permits: float, rate: float, capacity
 
 def token_bucket(df: DataFrame, client: str, ts: str, permits: str, rate: float,
                  capacity: float, idle_ttl: float | None = None, tie: str | None = None) -> DataFrame:
-    """Adds allowed, remaining, reset_seconds per request (streamed per client)."""
+    """Adds allowed, remaining, reset_seconds per request.
+
+    A pause in which the bucket fills up again, whatever was in it, parts a client's requests into
+    runs that know nothing of each other: each run is replayed by itself, so a busy client is
+    spread over tasks.  What is replayed in a row is one run.
+    """
     validate(rate, capacity, idle_ttl)
     base = df.withColumn("_t_us", F.unix_micros(F.col(ts).cast("timestamp")))
     order = ["_t_us"] + ([tie] if tie else [])
+    pieces = split(base, client, order)
+    full = int(capacity / rate * 1e6) + 1_000_000  # a second to spare for rounding
+    timed = running(pieces.df, client, order, {"_before": ("last", "_t_us")}, exclusive=True, pieces=pieces)
+    timed = timed.withColumn("_new", F.coalesce(F.col("_t_us") - F.col("_before") >= full, F.lit(True)).cast("int"))
+    base = running(timed, client, order, {"_run": ("sum", "_new")}, pieces=pieces).drop("_before", "_new", PIECE)
 
     def step(st, r):
         st, allowed, tokens = request(st, r["_t_us"], r[permits], rate, capacity, idle_ttl)
         return st, (allowed, round(tokens, 6), round((capacity - tokens) / rate, 6))
 
-    out = sorted_fold(base, client, order, step,
+    out = sorted_fold(base, [client, "_run"], order, step,
                       [("allowed", "boolean"), ("remaining", "double"), ("reset_seconds", "double")])
-    return out.drop("_t_us")
+    return out.drop("_t_us", "_run")

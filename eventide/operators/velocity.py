@@ -70,15 +70,19 @@ def velocity_enrich(df: DataFrame, keys: str | Sequence[str], ts: str, amount: s
 
 
 def velocity_sliding(df: DataFrame, keys: str | Sequence[str], ts: str, amount: str,
-                     size: str = "5 minutes", bucket: str = "1 day",
+                     size: str = "5 minutes", bucket: str | None = None,
                      carry: Sequence[str] = ()) -> DataFrame:
     """Trailing ``size`` count/sum as of each event (RANGE frame on event time).
 
     ``bucket`` must be at least ``size``: each row is also copied, as a
     non-output halo row, into the next bucket when it lies within ``size``
-    of its bucket's end, so every frame is complete inside one bucket.
+    of its bucket's end, so every frame is complete inside one bucket.  By
+    default a bucket is twelve windows long: a twelfth of the rows are copied, and
+    a busy key's day is spread over as many tasks as it has buckets.
     """
     k = cols(keys)
+    if bucket is None:
+        bucket = f"{12 * _seconds(size)} seconds" if _seconds(size) is not None else "1 day"
     sz, bk = _seconds(size), _seconds(bucket)
     if sz is not None and bk is not None and sz > bk:
         raise ValueError(f"bucket ({bucket}) must be at least the window size ({size})")

@@ -68,9 +68,9 @@ WINDOW w AS (PARTITION BY user_id ORDER BY ts
              RANGE BETWEEN INTERVAL {iv} PRECEDING AND CURRENT ROW)
 """
 
-for _name, _size, _iv in (("velocity_sliding", "5 minutes", "5 MINUTE"),
-                          ("velocity_sliding_1d", "1 day", "1 DAY")):
-    def _q(spark, sf_dir, _size=_size):
+for _name, _size, _bucket, _iv in (("velocity_sliding", "5 minutes", None, "5 MINUTE"),
+                                   ("velocity_sliding_1d", "1 day", "1 day", "1 DAY")):
+    def _q(spark, sf_dir, _size=_size, _bucket=_bucket):
         return V.velocity_sliding(load(spark, sf_dir, "events"), "user_id", "ts", "value",
-                                  _size, bucket="1 day", carry=_EV)
+                                  _size, bucket=_bucket, carry=_EV)
     register(_name, _SLIDE_SQL.format(iv=_iv))(_q)

@@ -75,3 +75,26 @@ def test_a_peek_is_no_access(spark):
     got, _ = run(spark, df, lambda s: SO.token_bucket_stream(s, "c", "ts", "permits", **args, carry=["i"]))
     assert batch == {0: (True, 0.0), 1: (True, 2.5), 2: (True, 0.0), 3: (True, 10.0), 4: (True, 0.0), 5: (False, 0.5)}
     assert {r.i: (r.allowed, r.remaining) for r in got.collect()} == batch
+
+
+@pytest.mark.parametrize("pieces,ttl", [("1", None), ("9", None), ("9", 25.0)])
+def test_runs_between_refills_are_the_replay(spark, pieces, ttl):
+    """One busy client over many pieces: equal to one replay of its whole log."""
+    r = random.Random(6)
+    t, rows = 0, []
+    for i in range(3000):
+        t += r.choice([0, 0, 1, 2, 5, 40 if r.random() < .2 else 3])
+        rows.append((i, r.choice(["hot", "hot", "hot", "c", None]), at(t), r.choice([0, 1, 1, 2, 3])))
+    df = spark.createDataFrame(rows, "i int, c string, ts timestamp, permits int")
+    want, state = {}, {}
+    for i, c, when, p in rows:
+        us = int((when - T0).total_seconds() * 1_000_000)
+        state[c], ok, left = RL.request(state.get(c), us, p, 0.1, 3.0, ttl)
+        want[i] = (ok, round(left, 6))
+    spark.conf.set("eventide.scan.pieces", pieces)
+    try:
+        got = RL.token_bucket(df, "c", "ts", "permits", 0.1, 3.0, idle_ttl=ttl, tie="i")
+        assert got.columns == [*df.columns, "allowed", "remaining", "reset_seconds"]
+        assert {x.i: (x.allowed, x.remaining) for x in got.collect()} == want
+    finally:
+        spark.conf.unset("eventide.scan.pieces")
