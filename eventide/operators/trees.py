@@ -1,11 +1,9 @@
 """Tables of trees: nodes (tree_id, node_id, parent_id, ord/side, val).
 
-Level-ordered outputs (level order, encoding, paths) walk one level per
-round (a join of the current level with its children), so work is
-proportional to the number of nodes and rounds to the depth.  Root, LCA
-and BST-bound lookups use pointer jumping / binary lifting instead
-(O(log depth) rounds).  Sibling ranks use the skew-aware running count so
-a node with a huge fan-out is split.
+Level order, encoding, roots, LCA and BST-bound lookups use pointer jumping /
+binary lifting (O(log depth) rounds).  Paths walk one level per round (a join of
+the current level with its children), as a path is as long as its depth.
+Sibling ranks use range-partitioned ranks, so a node with a huge fan-out is split.
 """
 
 from __future__ import annotations
@@ -13,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, staged
-from .scan import running
+from ..session import cut_lineage, drop_staged, staged
+from .scan import global_rank, running
 
 MAX_DEPTH = 100_000
 
@@ -35,26 +33,51 @@ def _levels(nodes: DataFrame, tree: str, node: str, parent: str, max_depth: int
         cur = cut_lineage(kids.join(cur.select(tree, F.col(node).alias(parent)), [tree, parent], "left_semi"))
 
 
+def ordered(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id", parent: str = "parent_id",
+            ord_col: str = "ord") -> DataFrame:
+    """(tree, node, depth, place) of the nodes below a root; ``place`` numbers all nodes by tree, depth and path,
+    siblings by (ord, node).
+
+    In rounds as many as the logarithm of the depth: pointer doubling gives each node's depth and, round by round,
+    its 2^k-th ancestor.  A node's place by the last 2^k steps of its path and that of its 2^k-th ancestor give its
+    place by the last 2^(k+1) steps.  Nodes that no root reaches (a missing parent, a cycle) are left out.
+    """
+    key = F.struct(F.col(tree).alias("t"), F.col(node).alias("n"))
+    up = F.when(F.col(parent).isNotNull(), F.struct(F.col(tree).alias("t"), F.col(parent).alias("n")))
+    base = staged(nodes.select(key.alias("v"), up.alias("a"), F.col(ord_col).alias("o")))
+    n, ups = base.count(), []
+    cur = base.select("v", "a", F.col("a").isNotNull().cast("bigint").alias("depth"), F.lit(False).alias("lost"))
+    while True:
+        cur = staged(cur)
+        ups.append(cur)
+        if 1 << (len(ups) - 1) > n or cur.filter("a IS NOT NULL AND NOT lost").isEmpty():
+            break
+        far = cur.select(F.col("v").alias("a"), F.col("a").alias("b"), F.col("depth").alias("more"), F.col("lost").alias("gone"))
+        j = cur.join(far, "a", "left")
+        cur = j.select("v", F.col("b").alias("a"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+                       (F.col("lost") | F.coalesce("gone", F.col("a").isNotNull())).alias("lost"))
+    found = cur.filter("NOT lost AND a IS NULL").select("v", "depth")
+    at = global_rank(found.join(base.select("v", "o"), "v"), ["v.t", "depth", "o", "v.n"], "place").select("v", "depth", "place")
+    for step in ups[:-1]:
+        of = step.filter("a IS NOT NULL").select("v", "a").join(at.select(F.col("v").alias("a"), F.col("place").alias("before")), "a")
+        both = at.join(of.select("v", "before"), "v", "left").withColumn("before", F.coalesce("before", F.lit(-1)))
+        at = global_rank(both.withColumn("t", F.col("v.t")), ["t", "depth", "before", "place"], "next") \
+            .select("v", "depth", F.col("next").alias("place"))
+    for step in (*ups, base):
+        drop_staged(step)
+    return at.select(F.col("v.t").alias(tree), F.col("v.n").alias(node), "depth", "place")
+
+
 def level_order(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id", parent: str = "parent_id",
                 ord_col: str = "ord") -> DataFrame:
     """(tree, depth, pos, node): nodes grouped by depth, left to right.
 
     pos at depth d+1 orders children by (parent's pos, own ordinal).
     """
-    out, prev = None, None
-    for depth, lvl in _levels(nodes, tree, node, parent):
-        if prev is None:
-            keyed = lvl.withColumn("_pp", F.lit(0).cast("bigint"))
-        else:
-            keyed = lvl.join(prev.select(tree, F.col(node).alias(parent), F.col("pos").alias("_pp")), [tree, parent])
-        ranked = running(keyed, tree, ["_pp", ord_col, node], {"_n": ("count", "_n")})
-        cur = cut_lineage(ranked.select(tree, F.lit(depth).cast("bigint").alias("depth"),
-                                        (F.col("_n") - 1).alias("pos"), node))
-        out = cur if out is None else out.unionByName(cur)
-        prev = cur
-    if out is None:
-        return nodes.sparkSession.createDataFrame([], f"{tree} string, depth bigint, pos bigint, {node} bigint")
-    return out
+    at = ordered(nodes, tree, node, parent, ord_col)
+    first = at.groupBy(F.col(tree).alias("_t"), F.col("depth").alias("_d")).agg(F.min("place").alias("_first"))
+    same = at[tree].eqNullSafe(first["_t"]) & (at["depth"] == first["_d"])
+    return at.join(first, same).select(tree, "depth", (F.col("place") - F.col("_first")).alias("pos"), node)
 
 
 def jump_tables(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",
@@ -187,35 +210,20 @@ def encode_trees(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id",
     """Level-order string per binary tree with 'null' holes, trailing nulls trimmed, on request in brackets.
 
     The k-th non-null node in level order owns slots 2k+1 (left) and 2k+2
-    (right), so slots are computed one level at a time from the parents'
-    ranks; the string is then assembled per tree.
+    (right), so a node's slot follows from its parent's number; the string, which
+    is the result, is then assembled per tree.
     """
-    out, prev, offset = None, None, None
-    for depth, lvl in _levels(nodes, tree, node, parent):
-        if prev is None:
-            cur = lvl.select(tree, node, val, F.lit(0).cast("bigint").alias("slot"))
-        else:
-            p = prev.select(tree, F.col(node).alias(parent), F.col("rank").alias("_prank"))
-            cur = lvl.join(p, [tree, parent]).select(
-                tree, node, val, (2 * F.col("_prank") + 1 + F.col(side)).cast("bigint").alias("slot"))
-        ranked = running(cur, tree, ["slot"], {"_n": ("count", "_n")})
-        if offset is None:
-            ranked = ranked.withColumn("rank", F.col("_n") - 1)
-        else:
-            ranked = ranked.join(offset, tree, "left").withColumn(
-                "rank", F.coalesce("_off", F.lit(0)) + F.col("_n") - 1).drop("_off")
-        cur = cut_lineage(ranked.drop("_n"))
-        cnt = cur.groupBy(tree).agg(F.count(F.lit(1)).alias("_c"))
-        offset = cnt.withColumnRenamed("_c", "_off") if offset is None else \
-            offset.join(cnt, tree, "full").select(tree, (F.coalesce("_off", F.lit(0)) + F.coalesce("_c", F.lit(0))).alias("_off"))
-        if depth % 8 == 7:
-            offset = cut_lineage(offset)
-        out = cur if out is None else out.unionByName(cur)
-        prev = cur
-    per = out.groupBy(tree).agg(F.max("slot").alias("_m"),
-                                F.map_from_entries(F.collect_list(F.struct("slot", F.col(val).cast("string")))).alias("_s"))
-    text = F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("_m")),
-                                    lambda i: F.coalesce(F.element_at("_s", i), F.lit("null"))), ",")
+    at = ordered(nodes, tree, node, parent, side)
+    first = at.groupBy(F.col(tree).alias("_t")).agg(F.min("place").alias("_first"))
+    at = at.join(first, at[tree].eqNullSafe(first["_t"])).select(F.col(tree).alias("_t"), F.col(node).alias("_n"), (F.col("place") - F.col("_first")).alias("rank"))
+    rows = nodes.select(tree, node, parent, side, val)
+    below = rows.join(at, rows[tree].eqNullSafe(at["_t"]) & (rows[parent] == at["_n"]), "left").drop("_t", "_n")
+    out = below.filter(F.col(parent).isNull() | F.col("rank").isNotNull()).select(
+        tree, val, F.when(F.col(parent).isNull(), F.lit(0)).otherwise(2 * F.col("rank") + 1 + F.col(side)).cast("bigint").alias("slot"))
+    # each token, after a hole for every slot skipped
+    per = out.groupBy(tree).agg(F.array_sort(F.collect_list(F.struct("slot", F.col(val).cast("string").alias("v")))).alias("_s"))
+    gap = lambda x, i: x["slot"] - F.coalesce(F.get("_s", i - 1)["slot"], F.lit(-1)) - 1
+    text = F.array_join(F.transform("_s", lambda x, i: F.concat(F.repeat(F.lit("null,"), gap(x, i).cast("int")), F.coalesce(x["v"], F.lit("null")))), ",")
     return per.select(tree, (F.concat(F.lit("["), text, F.lit("]")) if brackets else text).alias("data"))
 
 

@@ -77,3 +77,54 @@ def test_a_replayed_batch_changes_nothing(spark):
         seen = spark.createDataFrame(rows[:150 * (i + 1)], batches[0].schema)
         assert RT.latest_metrics(spark, out).collect() == dashboard_metrics(seen, ["event_id"], 200).collect()
     assert spark.read.parquet(f"{out}/newest=5").count() == 200
+
+
+def forest(r, n, trees):
+    """Random forest rows (tree, node, parent, ord) with shuffled ids, some orphans and a cycle."""
+    rows, of = [], {}
+    ids = r.sample(range(10 * n), n)
+    for i, v in enumerate(ids):
+        t = f"t{r.randint(1, trees)}"
+        held = of.setdefault(t, [])
+        rows.append((t, v, r.choice(held[-4:]) if held and r.random() < .98 else None, r.randint(0, 3)))
+        held.append(v)
+    top = 10 * n
+    return rows + [("t1", top, top + 9, 0), ("t1", top + 1, top, 0), ("t1", top + 2, top + 3, 0), ("t1", top + 3, top + 2, 0), ("t9", top + 4, top + 4, 0)]
+
+
+def plain_levels(rows):
+    kids = {}
+    for t, v, p, o in rows:
+        kids.setdefault((t, p), []).append((o, v))
+    out = []
+    for t in {r[0] for r in rows}:
+        level, depth = [v for _, v in sorted(kids.get((t, None), []))], 0
+        while level:
+            out += [(t, depth, i, v) for i, v in enumerate(level)]
+            level, depth = [c for v in level for _, c in sorted(kids.get((t, v), []))], depth + 1
+    return sorted(out)
+
+
+@pytest.mark.parametrize("pieces", ["1", "9"])
+def test_level_order_of_deep_forests(spark, pieces):
+    rows = forest(random.Random(3), 600, 4)
+    want = plain_levels(rows)
+    assert max(x[1] for x in want) > 40
+    spark.conf.set("eventide.scan.pieces", pieces)
+    try:
+        df = spark.createDataFrame(rows, "tree_id string, node_id bigint, parent_id bigint, ord int").repartition(4)
+        assert sorted((x.tree_id, x.depth, x.pos, x.node_id) for x in TR.level_order(df).collect()) == want
+        assert TR.level_order(df.limit(0)).count() == 0
+    finally:
+        spark.conf.unset("eventide.scan.pieces")
+
+
+def test_a_long_chain_takes_few_rounds(spark):
+    n = 3_000
+    chain = spark.range(n).select(F.lit(1).alias("tree_id"), (F.col("id") * 7919 % n).alias("node_id"),
+                                  F.when(F.col("id") > 0, (F.col("id") - 1) * 7919 % n).alias("parent_id"), F.lit(0).alias("ord"),
+                                  F.lit(1).alias("side"), F.col("id").alias("val"))
+    got = TR.level_order(chain)
+    assert got.filter((F.col("pos") != 0) | (F.col("depth") * 7919 % n != F.col("node_id"))).count() == 0 and got.count() == n
+    data = TR.encode_trees(chain).first().data.split(",")
+    assert [x for x in data if x != "null"] == [str(i) for i in range(n)] and len(data) == 2 * n - 1
