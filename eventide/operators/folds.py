@@ -11,10 +11,13 @@ composes max-plus 2x2 matrices with ``aggregate``).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from bisect import bisect_left
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +25,9 @@ from ..functions import cols
 
 Step = Callable[[object, dict], tuple[object, tuple]]
 
+CELL_CONF = "eventide.increasing.cell"  # rows of a key in one range of places or values
+CELL = 1 << 20
+
 
 def _ddl_fields(fields: Sequence[tuple[str, str]]) -> list[T.StructField]:
     return [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields]
@@ -109,31 +115,117 @@ def max_nonadjacent_sum(df: DataFrame, keys, order, v: str) -> DataFrame:
     return per_key.select(*k, F.greatest(F.col("_P.a"), F.col("_P.b"), F.lit(0.0)).alias("max_nonadjacent_sum"))
 
 
-def longest_increasing(df: DataFrame, keys, order, v: str) -> DataFrame:
-    """Length of the longest strictly increasing subsequence per key.
+def _insert_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Run the sorted rows of whole cells, one cell after the other, through their tails (see ``longest_increasing``).
 
-    Rows are peeled off in layers: a row without an earlier smaller one ends a
-    chain of length 1; of the rest, a row without an earlier smaller one ends a
-    chain of length 2, and so on.  A layer is one running minimum over all
-    keys' pieces, and the number of layers is the longest answer.
+    A row with ``_pos`` -1 is a tail the cell starts with, one with ``_val`` -1 takes the smallest tail away,
+    any other puts its value in.  Out come, per cell, a row (-1, -1) with the growth of its tails, the tails for
+    the cell at later places and the removals for the cell of greater values.
+    """
+    tails, low, before, cell, held = [], 0, 0, None, None
+    took: list[int] = []
+    out: list[tuple[int, int, int, int]] = []
+
+    def emit(at: int, *row: int) -> None:
+        took.append(at)
+        out.append(row)
+
+    def close(at: int) -> None:
+        p, i, j = cell
+        emit(at, -1, -1, -1, len(tails) - low - before)
+        if i + 1 < p:
+            for v in tails[low:]:
+                emit(at, i + 1, j, -1, v)
+
+    def packed(rows: pa.Table) -> list[pa.RecordBatch]:
+        keys = rows.take(pa.array(took, pa.int64()))
+        for name, column in zip(("_i", "_j", "_pos", "_val"), zip(*out) if out else ((),) * 4):
+            keys = keys.append_column(name, pa.array(column, pa.int64()))
+        took.clear()
+        out.clear()
+        return keys.combine_chunks().to_batches()
+
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        p, i, j, pos, val, first = (rows[c].to_pylist() for c in ("_p", "_i", "_j", "_pos", "_val", "_first"))
+        keys = rows.drop_columns(["_i", "_j", "_pos", "_val", "_first"])
+        shift = 0 if held is None else 1  # the row before this batch, whose cell may end here
+        if held is not None:
+            keys = pa.concat_tables([held, keys])
+        for r in range(len(pos)):
+            if first[r]:
+                if cell is not None:
+                    close(r + shift - 1)
+                tails, low, before, cell = [], 0, 0, (p[r], i[r], j[r])
+            up = cell[2] + 1 < cell[0]
+            if pos[r] < 0:
+                tails.append(val[r])
+                before += 1
+            elif val[r] < 0:
+                if low < len(tails):
+                    low += 1
+                elif up:
+                    emit(r + shift, cell[1], cell[2] + 1, pos[r], -1)
+            else:
+                at = bisect_left(tails, val[r], low)
+                if at < len(tails):
+                    tails[at] = val[r]
+                else:
+                    tails.append(val[r])
+                    if up:
+                        emit(r + shift, cell[1], cell[2] + 1, pos[r], -1)
+        if keys.num_rows:
+            held = keys.slice(keys.num_rows - 1)
+            yield from packed(keys)
+    if cell is not None:
+        close(0)
+        yield from packed(held)
+
+
+def longest_increasing(df: DataFrame, keys, order, v: str) -> DataFrame:
+    """Length of the longest strictly increasing subsequence per key; null values take no part (a key without others: 0).
+
+    A value put among the tails of the increasing chains replaces the smallest tail that is not below it, or
+    is added; there are as many tails in the end as the longest chain has rows.  Places and values (as ranks, equal
+    values in falling order of place) are cut into ranges of ``CELL_CONF`` rows, which makes cells.  A cell only
+    needs the tails of its value range that earlier places left, and a sign for each value that found nothing
+    to replace in a lower range: that takes the smallest tail here, or is passed on.  So all cells of a
+    diagonal run at once, in different tasks, each bounded by its ranges; the rounds are twice the longest
+    key's rows over the range, whatever the answer.
     """
-    from ..session import drop_staged, staged
-    from .scan import running, split
+    from ..session import drop_staged, ensure_checkpoint_dir, staged
+    from .scan import checked_broadcast, running, same
 
     k, o = cols(keys), cols(order)
-    s = split(df.select(*dict.fromkeys([*k, *o, v])), k, o)
-    left, length, layers = s.df, 0, None
-    while True:
-        seen = left.select(*k).distinct().withColumn("_len", F.lit(length + 1).cast("bigint"))
-        low = running(left, k, o, {"_low": ("min", v)}, exclusive=True, pieces=s)
-        rest = staged(low.filter(F.col("_low") < F.col(v)).select(*left.columns))
-        seen = staged(seen)
-        layers = seen if layers is None else layers.unionByName(seen)
-        if length:
-            drop_staged(left)
-        left, length = rest, length + 1
-        if left.isEmpty():
-            return layers.groupBy(*k).agg(F.max("_len").alias("lis_length"))
+    spark = df.sparkSession
+    side = int(spark.conf.get(CELL_CONF, None) or CELL)
+    has = df.filter(F.col(v).isNotNull()).select(*dict.fromkeys([*k, *o, v]))
+    at = running(has, k, o, {"_pos": ("count", "_pos")}).select(*k, F.col(v).alias("_v"), "_pos", (-F.col("_pos")).alias("_back"))
+    at = running(at, k, ["_v", "_back"], {"_val": ("count", "_val")})
+    wide, _ = checked_broadcast(has.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(k)])
+                                   .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > side))
+    part = lambda c: F.expr(f"({c} - 1) div {side}")
+    cells = at.join(wide, same(at, wide, [(c, f"_k{i}") for i, c in enumerate(k)]), "left").select(
+        *k, F.coalesce(part("_n") + 1, F.lit(1)).alias("_p"), part("_pos").alias("_i"), part("_val").alias("_j"), "_pos", "_val")
+    cells = staged(cells.withColumn("_d", F.col("_i") + F.col("_j")).sortWithinPartitions("_d"))
+    schema = cells.drop("_d").schema
+    grown = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    w = Window.partitionBy(*k, "_i", "_j").orderBy("_pos", "_val")
+    carry = None
+    for d in range(2 * (cells.agg(F.max("_p")).first()[0] or 1) - 1):
+        now = cells.filter(F.col("_d") == d).drop("_d")
+        if carry is not None:
+            now = now.unionByName(carry.filter("_i >= 0"))
+        out = staged(now.withColumn("_first", F.row_number().over(w) == 1).mapInArrow(_insert_cells, schema))
+        out.filter("_i < 0").select(*k, "_val").write.mode("append").parquet(grown)
+        if carry is not None:
+            drop_staged(carry)
+        carry = out
+    drop_staged(carry)
+    drop_staged(cells)
+    none = df.filter(F.col(v).isNull()).select(*k, F.lit(0).cast("bigint").alias("_val"))
+    lengths = spark.read.schema(none.schema).parquet(grown)
+    return lengths.unionByName(none).groupBy(*k).agg(F.sum("_val").alias("lis_length"))
 
 
 def min_removals_fold(df: DataFrame, keys, start: str, end: str) -> DataFrame:

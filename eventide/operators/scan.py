@@ -94,7 +94,7 @@ def _window_expr(how: str, c: str, w: Window, reverse: bool, exclusive: bool) ->
     return getattr(F, how)(c).over(fw)
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[tuple[str, str]]) -> Column:
+def same(left: DataFrame, right: DataFrame, names: Sequence[tuple[str, str]]) -> Column:
     """Null-safe equality: a null key is a group of its own, as in a window."""
     cond = F.lit(True)
     for a, b in names:
@@ -105,7 +105,7 @@ def _same(left: DataFrame, right: DataFrame, names: Sequence[tuple[str, str]]) -
 def in_wide(s: Split, df: DataFrame) -> DataFrame:
     """The rows of ``df`` whose key reaches over a piece's end (at most one key per piece is broadcast)."""
     wide = s.wide.toDF(*[f"__w{i}" for i in range(len(s.keys))])
-    return df.join(F.broadcast(wide), _same(df, wide, [(c, f"__w{i}") for i, c in enumerate(s.keys)]), "left_semi")
+    return df.join(F.broadcast(wide), same(df, wide, [(c, f"__w{i}") for i, c in enumerate(s.keys)]), "left_semi")
 
 
 def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
@@ -165,7 +165,7 @@ def running(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]
     carry = carry.select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(jk)], *[f"_c_{n}" for n in specs])
     if not b:  # at most two rows per piece and wide key: bounded by twice the number of pieces
         carry = F.broadcast(carry)
-    out = local.join(carry, _same(local, carry, [(c, f"_k_{i}") for i, c in enumerate(jk)]), "left") \
+    out = local.join(carry, same(local, carry, [(c, f"_k_{i}") for i, c in enumerate(jk)]), "left") \
                .drop(*[f"_k_{i}" for i in range(len(jk))])
     for name, (how, _c) in specs.items():
         lc, cc = F.col(f"_l_{name}"), F.col(f"_c_{name}")

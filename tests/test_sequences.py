@@ -1,5 +1,9 @@
 """Reference cases (FIXTURES.md section 1) for window and interval operators."""
 
+import bisect
+import random
+
+import pytest
 from conftest import by_key, series
 from pyspark.sql import functions as F
 
@@ -133,6 +137,48 @@ def test_longest_increasing(spark):
     assert by_key(FO.longest_increasing(df, "k", "pos", "v"), "lis_length") == {"a": 4, "b": 4, "c": 1}
 
 
+def _longest(vals):
+    tails = []
+    for v in vals:
+        at = bisect.bisect_left(tails, v)
+        tails[at:at + 1] = [v]
+    return len(tails)
+
+
+@pytest.fixture
+def small_cells(spark):
+    spark.conf.set(FO.CELL_CONF, "16")
+    spark.conf.set("eventide.scan.pieces", "5")
+    yield
+    spark.conf.unset(FO.CELL_CONF)
+    spark.conf.unset("eventide.scan.pieces")
+
+
+def test_longest_increasing_over_many_cells(spark, small_cells):
+    rnd = random.Random(3)
+    groups = {"few": [rnd.randrange(4) for _ in range(90)], "any": [rnd.randrange(10**6) for _ in range(70)],
+              "up": list(range(80)), "down": list(range(80, 0, -1)), "same": [5] * 60, "one": [1],
+              "steps": [10 * (i // 10) - i % 10 for i in range(90)], "holes": [None, 3, None, 1, 4], "none": [None, None]}
+    got = by_key(FO.longest_increasing(series(spark, groups), "k", "pos", "v"), "lis_length")
+    assert got == {k: _longest([v for v in vals if v is not None]) for k, vals in groups.items()}
+
+
+def test_longest_increasing_of_null_keys_and_no_rows(spark, small_cells):
+    rows = [(None, i, float(i * 7 % 40)) for i in range(40)] + [("a", 0, float("nan")), ("a", 1, 2.0), ("a", 2, float("inf"))]
+    df = spark.createDataFrame(rows, "k string, pos bigint, v double")
+    assert by_key(FO.longest_increasing(df, "k", "pos", "v"), "lis_length") == {None: _longest([r[2] for r in rows[:40]]), "a": 2}
+    assert FO.longest_increasing(df.filter("pos < 0"), "k", "pos", "v").count() == 0
+
+
+def test_longest_increasing_of_a_long_sorted_key(spark):
+    spark.conf.set(FO.CELL_CONF, "30000")
+    try:
+        df = spark.range(100_000).select(F.lit("a").alias("k"), F.col("id").alias("pos"), (F.col("id") * 3).alias("v"))
+        assert by_key(FO.longest_increasing(df, "k", "pos", "v"), "lis_length") == {"a": 100_000}
+    finally:
+        spark.conf.unset(FO.CELL_CONF)
+
+
 def test_min_feasible_rate(spark):
     for vals, h, want in (([3, 6, 7, 11], 8, 4), ([30, 11, 23, 4, 20], 5, 30), ([30, 11, 23, 4, 20], 6, 23)):
         r = SE.min_feasible_rate(series(spark, {"a": vals}), "k", "v", h).collect()
