@@ -1,36 +1,20 @@
 """Tables of trees: nodes (tree_id, node_id, parent_id, ord/side, val).
 
-Level order, encoding, roots, LCA and BST-bound lookups use pointer jumping /
-binary lifting (O(log depth) rounds).  Paths walk one level per round (a join of
-the current level with its children), as a path is as long as its depth.
+Level order, encoding, paths, roots, LCA and BST-bound lookups use pointer jumping /
+binary lifting (O(log depth) rounds).
 Sibling ranks use range-partitioned ranks, so a node with a huge fan-out is split.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import cols
 from ..session import cut_lineage, drop_staged, staged
-from .scan import global_rank, running
-
-MAX_DEPTH = 100_000
-
-
-def _levels(nodes: DataFrame, tree: str, node: str, parent: str, max_depth: int = MAX_DEPTH):
-    """Yield (depth, level DataFrame) walking down from the roots (parent null)."""
-    nodes = staged(nodes)  # read again on every level
-    cur = cut_lineage(nodes.filter(F.col(parent).isNull()))
-    depth = 0
-    kids = nodes.filter(F.col(parent).isNotNull())
-    while True:
-        if cur.limit(1).count() == 0:
-            return
-        yield depth, cur
-        depth += 1
-        if depth > max_depth:
-            raise RuntimeError("tree deeper than max_depth (or a cycle)")
-        cur = cut_lineage(kids.join(cur.select(tree, F.col(node).alias(parent)), [tree, parent], "left_semi"))
+from .scan import checked_broadcast, global_rank, running, same
 
 
 def ordered(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id", parent: str = "parent_id",
@@ -245,32 +229,46 @@ def decode_trees(enc: DataFrame, tree: str = "tree_id", data: str = "data") -> D
                          F.col("tok").alias("val"))
 
 
-def paths(nodes: DataFrame, tree: str = "tree_id", node: str = "node_id", parent: str = "parent_id",
+def paths(nodes: DataFrame, tree: str | Sequence[str] = "tree_id", node: str = "node_id", parent: str = "parent_id",
           ord_col: str = "ord") -> DataFrame:
-    """(tree, path, node) with path = child ordinals from the root ('0/2/1')."""
-    sib = running(nodes.withColumn("_par", F.coalesce(F.col(parent).cast("string"), F.lit(""))),
-                  [tree, "_par"], [ord_col, node], {"_n": ("count", "_n")})
-    sib = sib.withColumn("_o", (F.col("_n") - 1).cast("string")).drop("_n", "_par")
-    out, prev = None, None
-    for _depth, lvl in _levels(sib, tree, node, parent):
-        if prev is None:
-            cur = lvl.select(tree, node, F.col("_o").alias("path"))
-        else:
-            p = prev.select(tree, F.col(node).alias(parent), F.col("path").alias("_pp"))
-            cur = lvl.join(p, [tree, parent]).select(tree, node, F.concat_ws("/", "_pp", "_o").alias("path"))
-        cur = cut_lineage(cur)
-        out = cur if out is None else out.unionByName(cur)
-        prev = cur
-    return out
+    """(tree, node, path) with path = child ordinals from the root ('0/2/1'), siblings in order of (ord, node).
+
+    In rounds as many as the logarithm of the depth: after k rounds a node has the last 2^k steps of its path
+    and its 2^k-th ancestor, whose own steps go before them.  Nodes that no root reaches (a missing parent, a
+    cycle) are left out.
+    """
+    ts = cols(tree)
+    key = lambda c: F.struct(*ts, F.col(c).alias("_n"))
+    sib = running(nodes.select(*dict.fromkeys([*ts, node, parent, ord_col])), [*ts, parent], [ord_col, node], {"_o": ("count", "_o")})
+    cur = staged(sib.select(key(node).alias("v"), F.when(F.col(parent).isNotNull(), key(parent)).alias("a"),
+                            (F.col("_o") - 1).cast("string").alias("path")))
+    n, steps = cur.count(), 1
+    while steps <= n and not cur.filter("a IS NOT NULL").isEmpty():
+        far = cur.select(F.col("v").alias("a"), F.col("a").alias("b"), F.col("path").alias("up"))
+        on = cur.join(far, "a").select("v", F.col("b").alias("a"), F.concat_ws("/", "up", "path").alias("path"))
+        longer = staged(on.unionByName(cur.filter("a IS NULL")))
+        drop_staged(cur)
+        cur, steps = longer, 2 * steps
+    return cur.filter("a IS NULL").select(*[F.col("v")[t].alias(t) for t in ts], F.col("v._n").alias(node), "path")
 
 
 def hierarchy_diff(a: DataFrame, b: DataFrame, tree: str = "tree_id", node: str = "node_id",
                    parent: str = "parent_id", ord_col: str = "ord", val: str = "val") -> DataFrame:
-    """Paths whose value differs between two ordered N-ary forests
-    (present on one side only counts as a difference)."""
-    pa = paths(a, tree, node, parent, ord_col).join(a.select(tree, node, val), [tree, node]) \
-        .select(tree, "path", F.col(val).alias("val_a"))
-    pb = paths(b, tree, node, parent, ord_col).join(b.select(tree, node, val), [tree, node]) \
-        .select(tree, "path", F.col(val).alias("val_b"))
-    j = pa.join(pb, [tree, "path"], "full")
-    return j.filter(~F.col("val_a").eqNullSafe(F.col("val_b")) | F.col("val_a").isNull() | F.col("val_b").isNull())
+    """Paths whose value differs between two ordered N-ary forests (a node of one side only is a difference).
+
+    Trees whose nodes are the same rows on both sides are left out first, in one aggregation; the others' paths
+    are built for both sides together and compared.  A null value equals a null value.
+    """
+    names = [tree, node, parent, ord_col, val]
+    rows = a.select(*names, F.lit(0).alias("_side")).unionByName(b.select(*names, F.lit(1).alias("_side")))
+    what = F.struct(parent, ord_col, val)
+    nodes = rows.groupBy(tree, node).agg(F.count_if(F.col("_side") == 0).alias("l"), F.count_if(F.col("_side") == 1).alias("r"),
+                                         F.min(what).alias("lo"), F.max(what).alias("hi"))
+    odd, _ = checked_broadcast(nodes.filter("NOT (l = 1 AND r = 1 AND lo <=> hi)").select(F.col(tree).alias("_t")).distinct())
+    rows = staged(rows.join(odd, rows[tree].eqNullSafe(odd["_t"]), "left_semi"))
+    at = paths(rows, ["_side", tree], node, parent, ord_col)
+    vals = rows.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(("_side", tree, node))], val)
+    at = at.join(vals, same(at, vals, [(c, f"_{i}") for i, c in enumerate(("_side", tree, node))]))
+    side = lambda i: F.first(F.when(F.col("_side") == i, F.col(val)), ignorenulls=True)
+    per = at.groupBy(tree, "path").agg(side(0).alias("val_a"), side(1).alias("val_b"), F.count_distinct("_side").alias("_n"))
+    return per.filter("_n = 1 OR NOT val_a <=> val_b").select(tree, "path", "val_a", "val_b")

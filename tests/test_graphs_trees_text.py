@@ -61,6 +61,49 @@ def test_hierarchy_diff(spark):
     assert [(r.path, r.val_a, r.val_b) for r in d] == [("0/1", 3, 99)]
 
 
+def _paths(nodes):
+    """{path: value} of [(tree, node, parent, ord, val)], by walking down from the roots."""
+    out, kids = {}, {}
+    for t, n, p, o, v in nodes:
+        kids.setdefault((t, p), []).append((o, n, v))
+    todo = [((t, None), t, "") for t in {r[0] for r in nodes}]
+    while todo:
+        at, t, pre = todo.pop()
+        for i, (_, n, v) in enumerate(sorted(kids.get(at, []))):
+            out[t, f"{pre}{i}"] = v
+            todo.append(((t, n), t, f"{pre}{i}/"))
+    return out
+
+
+def test_hierarchy_diff_of_random_forests(spark):
+    rnd = random.Random(11)
+    a = []
+    for t in range(6):
+        size = 60 if t else 200
+        for n in range(size):
+            # tree 0 is a chain; a lost parent and a cycle hang under no root
+            p = None if n == 0 else n - 1 if t == 0 else rnd.randrange(n)
+            a.append((t, n, p, rnd.randrange(3), rnd.choice([None, 1, 2])))
+        a += [(t, 900, 899, 0, 5), (t, 901, 902, 0, 5), (t, 902, 901, 0, 5)]
+    b = [(t, n, p, o, 7 if t == 3 and n == 20 else v) for t, n, p, o, v in a if (t, n) not in {(0, 150), (2, 5), (2, 6)} and t != 5]
+    sch = "tree_id int, node_id int, parent_id int, ord int, val int"
+    got = {(r.tree_id, r.path): (r.val_a, r.val_b) for r in TR.hierarchy_diff(spark.createDataFrame(a, sch), spark.createDataFrame(b, sch)).collect()}
+    pa, pb = _paths(a), _paths(b)
+    assert got == {k: (pa.get(k), pb.get(k)) for k in pa.keys() | pb.keys() if k not in pa or k not in pb or pa[k] != pb[k]}
+
+
+def test_paths_of_a_chain_take_few_jobs(spark):
+    chain = spark.range(2000).select(F.lit(1).alias("tree_id"), F.col("id").alias("node_id"),
+                                     F.when(F.col("id") > 0, F.col("id") - 1).alias("parent_id"), F.lit(0).alias("ord"))
+    group = "paths-of-a-chain"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert TR.paths(chain).agg(F.max(F.length("path"))).first()[0] == 2 * 2000 - 1
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 100
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_topo_levels(spark):
     def run(n, edges):
         nodes = spark.createDataFrame([(i,) for i in range(n)], "node bigint")
