@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cols
-from ..session import cut_lineage, staged
+from ..session import cut_lineage, drop_staged, staged
 from .graphs import connected_components, pair_distance
 from .scan import checked_broadcast, running
 
@@ -20,6 +20,7 @@ VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link",
 # Raw-text elements whose content is not markup.
 RAW_TEXT = ("script", "style")
 TOKEN_SPLIT = r"\P{L}+"
+SEGMENT = 1024  # characters of a text that are looked up from one string
 
 
 def tokens(df: DataFrame, text: str, keep=(), out: str = "word", pos: str | None = None) -> DataFrame:
@@ -106,31 +107,47 @@ def fuzzy_join(left: DataFrame, right: DataFrame | None, max_dist: int = 1, word
 
 
 def segmentable(texts: DataFrame, words: DataFrame, text: str = "text", word: str = "word") -> DataFrame:
-    """Whether each text can be cut completely into dictionary words.
-
-    Edges (start, end) are the substrings found in the dictionary
-    (substrings no longer than the longest word, semi-joined with the
-    dictionary); reachability of the end is a fold over the edges sorted
-    by start with a boolean array of length |text| + 1.
+    """Whether each distinct text can be cut completely into dictionary words (the empty text can; a null one has null).
+
+    Before each character stands a boundary; a way through the text passes it at the first place at or behind
+    it, less than the longest word's length away.  So a character is a relation of such distances, before and behind it: 0 becomes
+    length - 1 for each word that starts there, any other distance falls by one.  Relations of neighbours
+    are joined pair by pair, in rounds as many as the logarithm of the longest text, and a text can be cut if its
+    own relation takes 0 to 0.  A relation has at most the square of the longest word's length in rows.  Texts without a
+    word at their start or at their end are left out before.
     """
-    d = words.select(F.col(word).alias("_w")).distinct().filter(F.length("_w") > 0)
-    maxlen = d.agg(F.max(F.length("_w"))).first()[0] or 0
-    t = texts.select(text).distinct()
-    if maxlen == 0:
-        return t.withColumn("segmentable", F.length(text) == 0)
-    subs = (t.withColumn("_s", F.explode(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))))
-             .withColumn("_l", F.explode(F.sequence(F.lit(1), F.least(F.lit(maxlen), F.length(text) - F.col("_s") + 1))))
-             .filter(F.length(text) > 0)
-             .withColumn("_w", F.expr(f"substring(`{text}`, _s, _l)")))
-    d_b, _ = checked_broadcast(d)
-    edges = subs.join(d_b, "_w", "left_semi").select(text, (F.col("_s") - 1).alias("s"),
-                                                       (F.col("_s") - 1 + F.col("_l")).alias("e"))
-    per = edges.groupBy(text).agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("_es"))
-    init = "transform(sequence(0, length(`{t}`)), i -> i = 0)".format(t=text)
-    fold = ("aggregate(_es, {init}, (acc, x) -> transform(acc, (r, i) -> r OR (i = x.e AND acc[x.s])))"
-            .format(init=init))
-    res = per.select(text, F.expr(f"element_at({fold}, length(`{text}`) + 1)").alias("segmentable"))
-    return t.join(res, text, "left").select(text, F.coalesce("segmentable", F.length(text) == 0).alias("segmentable"))
+    d, _ = checked_broadcast(words.select(F.col(word).alias("_w")).distinct().filter(F.length("_w") > 0))
+    lengths = sorted(r[0] for r in d.select(F.length("_w")).distinct().collect())  # at most the longest word's length of them
+    t = staged(texts.select(F.col(text).alias("_t")).distinct().withColumn("_id", F.monotonically_increasing_id()))
+    whole = t.select(F.col("_t").alias(text), "_id")
+    if not lengths:
+        return whole.select(text, (F.length(text) == 0).alias("segmentable"))
+    longest = lengths[-1]
+    # long texts in segments first: a substring is counted off from the start of its string
+    seg = t.filter(F.length("_t") > 0).select("_id", "_t", F.length("_t").alias("_n"), F.explode(F.expr(f"sequence(0, (length(_t) - 1) div {SEGMENT})")).alias("_s"))
+    seg = seg.select("_id", "_n", (F.col("_s") * SEGMENT).alias("_from"), F.expr(f"substring(_t, _s * {SEGMENT} + 1, {SEGMENT + longest - 1})").alias("_c"))
+    at = seg.select("_id", "_n", "_c", "_from", F.explode(F.expr(f"sequence(0, least({SEGMENT}, _n - _from) - 1)")).alias("_k"))
+    subs = at.select("_id", "_n", "_c", "_k", (F.col("_from") + F.col("_k")).alias("_b"), F.explode(F.lit(lengths)).alias("_l")).filter("_b + _l <= _n")
+    hits = staged(subs.withColumn("_w", F.expr("substring(_c, _k + 1, _l)")).join(d, "_w", "left_semi").select("_id", "_n", "_b", "_l"))
+    likely = staged(hits.groupBy("_id", "_n").agg(F.bool_or(F.col("_b") == 0).alias("s"), F.bool_or(F.expr("_b + _l = _n")).alias("e"))
+                        .filter("s AND e").select("_id", "_n"))
+    starts = hits.join(likely, ["_id", "_n"], "left_semi").select("_id", "_n", "_b", F.lit(0).alias("_i"), (F.col("_l") - 1).alias("_o"))
+    passed = likely.select("_id", "_n", F.explode(F.expr("sequence(0, _n - 1)")).alias("_b")).filter("_b > 0") \
+        .select("_id", "_n", "_b", F.explode(F.expr(f"filter(sequence(0, least({longest - 1}, _n - _b)), x -> x > 0)")).alias("_i")) \
+        .withColumn("_o", F.col("_i") - 1)
+    rel, width = staged(starts.unionByName(passed)), 1
+    most = likely.agg(F.max("_n")).first()[0] or 0
+    while width < most:
+        pair = F.expr("_b div 2").alias("_b")
+        left, right = rel.filter("_b % 2 = 0"), rel.filter("_b % 2 = 1").select("_id", pair, F.col("_i").alias("_m"), "_o")
+        both = left.select("_id", "_n", pair, "_i", F.col("_o").alias("_m")).join(right, ["_id", "_b", "_m"]).select("_id", "_n", "_b", "_i", "_o").distinct()
+        alone = left.filter(f"_b = (_n - 1) div {width}").select("_id", "_n", pair, "_i", "_o")
+        joined = staged(both.unionByName(alone))
+        drop_staged(rel)
+        rel, width = joined, 2 * width
+    drop_staged(hits)
+    cut = rel.filter("_i = 0 AND _o = 0").select("_id", F.lit(True).alias("_cut"))
+    return whole.join(cut, "_id", "left").select(text, F.when(F.col(text).isNotNull(), F.coalesce("_cut", F.length(text) == 0)).alias("segmentable"))
 
 
 def _patterns(df: DataFrame, word: str) -> DataFrame:

@@ -205,6 +205,34 @@ def test_segmentable(spark):
     assert got == {"leetcode": True, "applepenapple": True, "catsandog": False}
 
 
+def _can_cut(text, words):
+    ok = [True] + [False] * len(text)
+    for e in range(1, len(text) + 1):
+        ok[e] = any(ok[e - len(w)] for w in words if len(w) <= e and text[e - len(w):e] == w)
+    return ok[-1]
+
+
+def test_segmentable_against_a_plain_search(spark):
+    rnd = random.Random(5)
+    words = ["a", "ab", "bba", "cab", "bcc", "éa", "aaaa", "cabbage"]
+    texts = ["".join(rnd.choice("abcé") for _ in range(rnd.randrange(9))) for _ in range(200)]
+    texts += ["".join(rnd.choice(words) for _ in range(rnd.randrange(1, 40))) for _ in range(60)]
+    long = "".join(rnd.choice(words) for _ in range(900))  # over more than one segment
+    texts += [long, long[:1500] + "x" + long[1500:], long + "x", "x" + long, "", "a", None, None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for some in (words, ["a"], ["ab"]):
+        got = [(r.text, r.segmentable) for r in TX.segmentable(df, spark.createDataFrame([(w,) for w in some + [""]], "word string")).collect()]
+        assert len(got) == len(set(texts))
+        assert dict(got) == {t: None if t is None else _can_cut(t, some) for t in texts}
+
+
+def test_segmentable_without_words_or_texts(spark):
+    none = spark.createDataFrame([], "word string")
+    df = spark.createDataFrame([("a",), ("",)], "text string")
+    assert {r.text: r.segmentable for r in TX.segmentable(df, none).collect()} == {"a": False, "": True}
+    assert TX.segmentable(df.filter("text = 'b'"), df.select(F.col("text").alias("word"))).count() == 0
+
+
 def test_group_anagrams(spark):
     df = spark.createDataFrame([(w,) for w in ["eat", "tea", "tan", "ate", "nat", "bat", "", "a"]], "word string")
     groups = {}
