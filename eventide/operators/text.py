@@ -4,8 +4,9 @@ to a prefix."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,15 +107,43 @@ def fuzzy_join(left: DataFrame, right: DataFrame | None, max_dist: int = 1, word
     return cand.withColumn("dist", dist).filter(F.col("dist") >= 0).withColumn("dist", F.col("dist").cast("int"))
 
 
+def _ways(size: int, longest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Segments with the words found in them -> the ways through each: (_i, _o) if a way that enters ``_i`` characters
+    behind the segment's start can leave it ``_o`` behind its end (0 at the end of the text).
+
+    ``_found`` holds place * (longest + 1) + length of each word, in order; a place's bit i says that entry i reaches it."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for text, n, s, found in zip(*(batch.column(c).to_pylist() for c in ("_id", "_n", "_b", "_found"))):
+                length = min(size, n - s * size)
+                reach = [0] * (length + longest)
+                for i in range(min(longest, length + 1) if s else 1):
+                    reach[i] = 1 << i
+                for f in found:
+                    k, l = divmod(f, longest + 1)
+                    if reach[k]:
+                        reach[k + l] |= reach[k]
+                for o in range(1 if (s + 1) * size >= n else longest):
+                    entries = reach[length + o]
+                    while entries:
+                        i = entries & -entries
+                        out.append((text, n, s, i.bit_length() - 1, o))
+                        entries ^= i
+            columns = zip(*out) if out else ((),) * 5
+            kinds = (pa.int64(), *[pa.int32()] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["_id", "_n", "_b", "_i", "_o"])
+    return run
+
+
 def segmentable(texts: DataFrame, words: DataFrame, text: str = "text", word: str = "word") -> DataFrame:
     """Whether each distinct text can be cut completely into dictionary words (the empty text can; a null one has null).
 
-    Before each character stands a boundary; a way through the text passes it at the first place at or behind
-    it, less than the longest word's length away.  So a character is a relation of such distances, before and behind it: 0 becomes
-    length - 1 for each word that starts there, any other distance falls by one.  Relations of neighbours
-    are joined pair by pair, in rounds as many as the logarithm of the longest text, and a text can be cut if its
-    own relation takes 0 to 0.  A relation has at most the square of the longest word's length in rows.  Texts without a
-    word at their start or at their end are left out before.
+    Texts are cut into segments of ``SEGMENT`` characters (the longest word's, if that is more), the words that
+    start in a segment are found by a join, and a segment becomes a relation: entered so many characters behind its start, it
+    can be left so many behind its end.  Relations of neighbours are joined pair by pair, in rounds as many
+    as the logarithm of the segments; a text can be cut if its own takes 0 to 0.  A segment's words are at most its
+    characters times the lengths words have, and a relation the square of the longest word's length.
     """
     d, _ = checked_broadcast(words.select(F.col(word).alias("_w")).distinct().filter(F.length("_w") > 0))
     lengths = sorted(r[0] for r in d.select(F.length("_w")).distinct().collect())  # at most the longest word's length of them
@@ -123,30 +152,27 @@ def segmentable(texts: DataFrame, words: DataFrame, text: str = "text", word: st
     if not lengths:
         return whole.select(text, (F.length(text) == 0).alias("segmentable"))
     longest = lengths[-1]
-    # long texts in segments first: a substring is counted off from the start of its string
-    seg = t.filter(F.length("_t") > 0).select("_id", "_t", F.length("_t").alias("_n"), F.explode(F.expr(f"sequence(0, (length(_t) - 1) div {SEGMENT})")).alias("_s"))
-    seg = seg.select("_id", "_n", (F.col("_s") * SEGMENT).alias("_from"), F.expr(f"substring(_t, _s * {SEGMENT} + 1, {SEGMENT + longest - 1})").alias("_c"))
-    at = seg.select("_id", "_n", "_c", "_from", F.explode(F.expr(f"sequence(0, least({SEGMENT}, _n - _from) - 1)")).alias("_k"))
-    subs = at.select("_id", "_n", "_c", "_k", (F.col("_from") + F.col("_k")).alias("_b"), F.explode(F.lit(lengths)).alias("_l")).filter("_b + _l <= _n")
-    hits = staged(subs.withColumn("_w", F.expr("substring(_c, _k + 1, _l)")).join(d, "_w", "left_semi").select("_id", "_n", "_b", "_l"))
-    likely = staged(hits.groupBy("_id", "_n").agg(F.bool_or(F.col("_b") == 0).alias("s"), F.bool_or(F.expr("_b + _l = _n")).alias("e"))
-                        .filter("s AND e").select("_id", "_n"))
-    starts = hits.join(likely, ["_id", "_n"], "left_semi").select("_id", "_n", "_b", F.lit(0).alias("_i"), (F.col("_l") - 1).alias("_o"))
-    passed = likely.select("_id", "_n", F.explode(F.expr("sequence(0, _n - 1)")).alias("_b")).filter("_b > 0") \
-        .select("_id", "_n", "_b", F.explode(F.expr(f"filter(sequence(0, least({longest - 1}, _n - _b)), x -> x > 0)")).alias("_i")) \
-        .withColumn("_o", F.col("_i") - 1)
-    rel, width = staged(starts.unionByName(passed)), 1
-    most = likely.agg(F.max("_n")).first()[0] or 0
+    size = max(SEGMENT, longest)
+    seg = t.filter(F.length("_t") > 0).select("_id", "_t", F.length("_t").alias("_n"), F.explode(F.expr(f"sequence(0, cast((length(_t) - 1) div {size} as int))")).alias("_b"))
+    seg = seg.select("_id", "_n", "_b", F.expr(f"substring(_t, _b * {size} + 1, {size + longest - 1})").alias("_c"))
+    at = seg.withColumn("_k", F.explode(F.expr(f"sequence(0, least({size}, _n - _b * {size}) - 1)")))
+    subs = at.withColumn("_l", F.explode(F.lit(lengths))).filter("_k + _l <= length(_c)")
+    hits = subs.withColumn("_w", F.expr("substring(_c, _k + 1, _l)")).join(d, "_w", "left_semi") \
+        .select("_id", "_n", "_b", F.expr(f"_k * {longest + 1} + _l").alias("_f"))
+    # a segment without a word can still hold the end of one
+    every = hits.unionByName(seg.select("_id", "_n", "_b", F.lit(None).cast("int").alias("_f")))
+    per = every.groupBy("_id", "_n", "_b").agg(F.array_sort(F.collect_list("_f")).alias("_found"))
+    rel = staged(per.mapInArrow(_ways(size, longest), "_id bigint, _n int, _b int, _i int, _o int"))
+    most, width = rel.agg(F.max("_n")).first()[0] or 0, size
     while width < most:
-        pair = F.expr("_b div 2").alias("_b")
+        pair = F.expr("_b div 2").cast("int").alias("_b")
         left, right = rel.filter("_b % 2 = 0"), rel.filter("_b % 2 = 1").select("_id", pair, F.col("_i").alias("_m"), "_o")
         both = left.select("_id", "_n", pair, "_i", F.col("_o").alias("_m")).join(right, ["_id", "_b", "_m"]).select("_id", "_n", "_b", "_i", "_o").distinct()
         alone = left.filter(f"_b = (_n - 1) div {width}").select("_id", "_n", pair, "_i", "_o")
         joined = staged(both.unionByName(alone))
         drop_staged(rel)
         rel, width = joined, 2 * width
-    drop_staged(hits)
-    cut = rel.filter("_i = 0 AND _o = 0").select("_id", F.lit(True).alias("_cut"))
+    cut = rel.select("_id", F.lit(True).alias("_cut"))  # what is left goes from 0 to 0
     return whole.join(cut, "_id", "left").select(text, F.when(F.col(text).isNotNull(), F.coalesce("_cut", F.length(text) == 0)).alias("segmentable"))
 
 

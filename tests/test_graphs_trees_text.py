@@ -218,6 +218,7 @@ def test_segmentable_against_a_plain_search(spark):
     texts = ["".join(rnd.choice("abcé") for _ in range(rnd.randrange(9))) for _ in range(200)]
     texts += ["".join(rnd.choice(words) for _ in range(rnd.randrange(1, 40))) for _ in range(60)]
     long = "".join(rnd.choice(words) for _ in range(900))  # over more than one segment
+    texts += ["ab" * 512, "ab" * 512 + "a", "a" * 1023 + "cabbage", "a" * 1020 + "cabbage", "a" * 1023 + "cabbag"]
     texts += [long, long[:1500] + "x" + long[1500:], long + "x", "x" + long, "", "a", None, None]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     for some in (words, ["a"], ["ab"]):
