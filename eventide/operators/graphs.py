@@ -89,32 +89,38 @@ def topo_levels(nodes: DataFrame, edges: DataFrame, keys=(), node: str = "node",
     """Kahn layering: level = round in which a node's in-degree reaches 0.
 
     Nodes never reaching in-degree 0 (on or after a cycle) get a null
-    level; ``has_cycle`` per graph.  One round = two anti-joins.
+    level; ``has_cycle`` per graph.  A round joins the newest level with the
+    edges, takes what it frees from the in-degrees of the nodes it points to, and
+    writes one table: the nodes reached so far that still wait, and those that are free now.
     """
     k = cols(keys)
     nd = nodes.select(*k, node).distinct()
-    rem = cut_lineage(edges.select(*k, src, dst).distinct())
-    todo = nd
-    done = None
-    for level in range(max_rounds):
-        ready = todo.join(rem.select(*k, F.col(dst).alias(node)).distinct(), [*k, node], "left_anti")
-        ready = cut_lineage(ready.withColumn("level", F.lit(level).cast("bigint")))
-        if ready.limit(1).count() == 0:
+    e = staged(edges.select(*k, F.col(src).alias("_s"), F.col(dst).alias(node)).distinct())
+    into = staged(e.groupBy(*k, node).agg(F.count(F.lit(1)).alias("_in")).join(nd, [*k, node], "left_semi"))
+    ready = staged(nd.join(into, [*k, node], "left_anti"))
+    done = ready.withColumn("level", F.lit(0).cast("bigint"))
+    wait = None
+    for level in range(1, max_rounds + 1):
+        freed = ready.withColumnRenamed(node, "_s").join(e, [*k, "_s"]).groupBy(*k, node).agg(F.count(F.lit(1)).alias("_free"))
+        freed = freed.join(into, [*k, node])
+        if wait is None:
+            left = freed.select(*k, node, (F.col("_in") - F.col("_free")).alias("_left"))
+        else:
+            left = wait.join(freed, [*k, node], "full").select(
+                *k, node, (F.coalesce("_left", "_in") - F.coalesce("_free", F.lit(0))).alias("_left"))
+        left = staged(left)
+        ready, wait = left.filter("_left = 0").select(*k, node), left.filter("_left > 0")
+        if ready.isEmpty():
             break
-        done = ready if done is None else done.unionByName(ready)
-        todo = cut_lineage(todo.join(ready.select(*k, node), [*k, node], "left_anti"))
-        rem = cut_lineage(rem.join(ready.select(*k, F.col(node).alias(src)), [*k, src], "left_anti"))
+        done = done.unionByName(ready.withColumn("level", F.lit(level).cast("bigint")))
     else:
         raise RuntimeError("topo_levels hit the round bound")
-    stuck = todo.withColumn("level", F.lit(None).cast("bigint"))
-    out = stuck if done is None else done.unionByName(stuck)
-    cyc = stuck.groupBy(*k).agg(F.lit(True).alias("_c")) if k else None
-    if k:
-        out = out.join(cyc, k, "left").withColumn("has_cycle", F.coalesce("_c", F.lit(False))).drop("_c")
-    else:
-        has = stuck.limit(1).count() > 0
-        out = out.withColumn("has_cycle", F.lit(has))
-    return out
+    stuck = into.select(*k, node).join(done, [*k, node], "left_anti").withColumn("level", F.lit(None).cast("bigint"))
+    out = done.unionByName(stuck)
+    if not k:
+        return out.withColumn("has_cycle", F.lit(not stuck.isEmpty()))
+    cyc = stuck.select(*k).distinct().withColumn("_c", F.lit(True))
+    return out.join(cyc, k, "left").withColumn("has_cycle", F.coalesce("_c", F.lit(False))).drop("_c")
 
 
 def bfs(edges: DataFrame, sources: DataFrame, key: str = "source", src: str = "src", dst: str = "dst",
@@ -165,68 +171,63 @@ def bfs(edges: DataFrame, sources: DataFrame, key: str = "source", src: str = "s
 def pair_distance(edges: DataFrame | None, pairs: DataFrame, src: str = "src", dst: str = "dst",
                   hubs: DataFrame | None = None, max_rounds: int = 10_000) -> DataFrame:
     """Shortest hop count per (pair_id, start, end) of an undirected graph
-    by bidirectional BFS; null when unreachable.
+    by searches from both ends; null when unreachable.
 
-    Both sides grow one layer per round.  The first round in which the
-    two visited sets share a node, the minimum of d_start + d_end over the
-    shared nodes is the distance (every node within r of both ends is
-    known after round r).  A pair stops when it meets or when either
-    side runs out of new nodes, so an isolated end costs one round.
+    A search belongs to a node, not to a pair: pairs with a common end share its
+    layers, and equal pairs (either way round) are asked once.  Every search grows one
+    layer per round.  A path of 2r - 1 or 2r steps has a node r steps from one end and
+    r - 1 or r from the other, so round r only compares the newest layers of a pair's
+    ends.  A pair stops when they meet or when either search runs out of
+    new nodes, so an isolated end costs one round; a search stops with its last pair.
 
     With ``hubs`` (node, hub) instead of edges, two nodes are adjacent
     when they share a hub (e.g. words sharing a wildcard pattern); a round
     goes node -> hub -> node without ever forming the node pairs of a hub.
     """
-    def step(front, prev, e):
-        if hubs is not None:
-            via = front.join(hb, "node").select("pair_id", "hub").distinct()
-            reach = via.join(hb, "hub").select("pair_id", "node").distinct()
-        else:
-            reach = front.join(e, front["node"] == e["_a"]).select("pair_id", F.col("_b").alias("node")).distinct()
-        nxt = reach.join(front.select("pair_id", "node"), ["pair_id", "node"], "left_anti")
-        if prev is not None:
-            nxt = nxt.join(prev.select("pair_id", "node"), ["pair_id", "node"], "left_anti")
-        return nxt
-
-    e = hb = None
     if hubs is not None:
-        hb = cut_lineage(hubs.select("node", "hub").distinct())
+        e = staged(hubs.select("node", "hub").distinct())
     else:
         e = edges.select(F.col(src).alias("_a"), F.col(dst).alias("_b"))
-        e = cut_lineage(e.unionByName(e.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct())
+        e = staged(e.unionByName(e.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct())
+
+    def around(front):
+        if hubs is not None:
+            return front.join(e, "node").select("origin", "hub").distinct().join(e, "hub").select("origin", "node").distinct()
+        return front.join(e, front["node"] == e["_a"]).select("origin", F.col("_b").alias("node")).distinct()
+
+    def meet(x, y, dist):
+        at = open_.join(x.select(F.col("origin").alias("_x"), "node"), "_x")
+        return at.join(y.select(F.col("origin").alias("_y"), "node"), ["_y", "node"]).select("_x", "_y", F.lit(dist).cast("bigint").alias("dist"))
+
+    ends = [F.least("start", "end").alias("_x"), F.greatest("start", "end").alias("_y")]
     p = pairs.select("pair_id", "start", "end")
-    same = p.filter(F.col("start") == F.col("end")).select("pair_id", F.lit(0).cast("bigint").alias("dist"))
-    todo = p.filter(F.col("start") != F.col("end"))
-    ff = cut_lineage(todo.select("pair_id", F.col("start").alias("node"), F.lit(0).cast("bigint").alias("df")))
-    fb = cut_lineage(todo.select("pair_id", F.col("end").alias("node"), F.lit(0).cast("bigint").alias("db")))
-    pf = pb = None
-    found = [same]
+    open_ = staged(p.filter(F.col("start") != F.col("end")).select(*ends).distinct())
+    origins = lambda: open_.select(F.col("_x").alias("origin")).union(open_.select("_y")).distinct()
+    front, before = staged(origins().withColumn("node", F.col("origin"))), None
+    found = None
     for r in range(1, max_rounds + 1):
-        nf = cut_lineage(step(ff, pf, e).withColumn("df", F.lit(r).cast("bigint")))
-        nb = cut_lineage(step(fb, pb, e).withColumn("db", F.lit(r).cast("bigint")))
-        # Only the two newest layers of each side can meet for the first time
-        # now: if nf met an older backward layer b_j (j <= r - 2), the node one
-        # step closer to the start on that path would have met in round r - 1.
-        meet = nf.join(nb, ["pair_id", "node"]).select("pair_id", (F.col("df") + F.col("db")).alias("d"))
-        meet = meet.unionByName(nf.join(fb, ["pair_id", "node"])
-                                  .select("pair_id", (F.col("df") + F.col("db")).alias("d")))
-        meet = meet.unionByName(ff.join(nb, ["pair_id", "node"])
-                                  .select("pair_id", (F.col("df") + F.col("db")).alias("d")))
-        hit = meet.groupBy("pair_id").agg(F.min("d").alias("dist"))
-        found.append(hit)
-        alive = cut_lineage(nf.select("pair_id").distinct().join(nb.select("pair_id").distinct(), "pair_id")
-                              .join(hit.select("pair_id"), "pair_id", "left_anti"))
-        if alive.limit(1).count() == 0:
+        if open_.isEmpty():
             break
-        pf, pb = ff, fb
-        ff = nf.join(alive, "pair_id", "left_semi")
-        fb = nb.join(alive, "pair_id", "left_semi")
+        new = around(front.join(origins(), "origin", "left_semi")).join(front, ["origin", "node"], "left_anti")
+        if before is not None:  # older layers are no neighbours of the newest
+            new = new.join(before, ["origin", "node"], "left_anti")
+        new = staged(new)
+        hit = staged(meet(new, front, 2 * r - 1).unionByName(meet(new, new, 2 * r)).groupBy("_x", "_y").agg(F.min("dist").alias("dist")))
+        found = hit if found is None else found.unionByName(hit)
+        live = new.select("origin").distinct()
+        still = staged(open_.join(hit, ["_x", "_y"], "left_anti").join(live.withColumnRenamed("origin", "_x"), "_x", "left_semi")
+                       .join(live.withColumnRenamed("origin", "_y"), "_y", "left_semi").select("_x", "_y"))
+        drop_staged(open_)
+        if before is not None:
+            drop_staged(before)
+        open_, before, front = still, front, new
     else:
         raise RuntimeError("pair_distance hit the round bound")
-    res = found[0]
-    for x in found[1:]:
-        res = res.unionByName(x)
-    return p.join(res, "pair_id", "left")
+    dist = F.when(F.col("start") == F.col("end"), F.lit(0).cast("bigint"))
+    if found is None:
+        return p.withColumn("dist", dist)
+    asked = p.withColumns({"_x": ends[0], "_y": ends[1]})
+    return asked.join(found, ["_x", "_y"], "left").select("pair_id", "start", "end", F.coalesce(dist, F.col("dist")).alias("dist"))
 
 
 def shortest_path_len(edges: DataFrame, pairs: DataFrame, src: str = "src", dst: str = "dst",

@@ -183,24 +183,6 @@ def _patterns(df: DataFrame, word: str) -> DataFrame:
         .alias("pattern"))
 
 
-def word_components(hubs: DataFrame) -> DataFrame:
-    """(node, component) for the graph where nodes sharing a hub are linked.
-
-    Nodes and hubs get ids from ``monotonically_increasing_id`` fixed by a
-    checkpoint (so a recomputation cannot renumber them), then the
-    bipartite node-hub graph goes through ``connected_components``.
-    """
-    names = (hubs.select(F.concat(F.lit("n:"), "node").alias("s"))
-                 .unionByName(hubs.select(F.concat(F.lit("h:"), "hub").alias("s"))).distinct())
-    ids = cut_lineage(names.withColumn("id", F.monotonically_increasing_id()))
-    e = (hubs.select(F.concat(F.lit("n:"), "node").alias("a"), F.concat(F.lit("h:"), "hub").alias("b"))
-             .join(ids.select(F.col("s").alias("a"), F.col("id").alias("src")), "a")
-             .join(ids.select(F.col("s").alias("b"), F.col("id").alias("dst")), "b"))
-    comp = connected_components(e.select("src", "dst"))
-    words = ids.filter(F.col("s").startswith("n:")).select(F.expr("substring(s, 3)").alias("node"), "id")
-    return words.join(comp.select(F.col("node").alias("id"), "component"), "id").select("node", "component")
-
-
 def word_ladder(words: DataFrame, pairs: DataFrame, word: str = "word", max_rounds: int = 10_000) -> DataFrame:
     """Number of words in the shortest one-letter-change chain begin -> end
     for each (pair_id, begin, end); 0 when end is not in the list or
@@ -224,15 +206,19 @@ def word_ladder(words: DataFrame, pairs: DataFrame, word: str = "word", max_roun
         .join(every, F.col("pattern") == F.col("hub")).select("begin", F.col("node").alias("start")).distinct()
     outside = known.filter("_own is null").join(outside, "begin").select("pair_id", "start", "end", F.lit(1).alias("_taken"))
     ask = staged(inside.unionByName(outside).withColumn("_ask", F.monotonically_increasing_id()))
+    # numbers instead of words and patterns, even and odd; written, so that no recomputation numbers anew
+    ids = staged(hubs.select("node").distinct().withColumn("id", F.monotonically_increasing_id() * 2))
+    hub_ids = hubs.select("hub").distinct().withColumn("_h", F.monotonically_increasing_id() * 2 + 1)
+    links = staged(hubs.join(staged(hub_ids), "hub").join(ids, "node").select(F.col("id").alias("node"), F.col("_h").alias("hub")))
     # Pairs whose ends lie in different components of the word graph are
     # unreachable: settle them with one connected-components job (O(log n)
     # rounds) instead of letting both searches exhaust their components.
-    comp = word_components(hubs)
-    cs = comp.select(F.col("node").alias("start"), F.col("component").alias("_cs"))
-    ce = comp.select(F.col("node").alias("end"), F.col("component").alias("_ce"))
-    open_ = staged(ask.join(cs, "start").join(ce, "end").filter(F.col("_cs") == F.col("_ce"))
-                   .select(F.col("_ask").alias("pair_id"), "start", "end"))
-    dist = pair_distance(None, open_, hubs=hubs, max_rounds=max_rounds).select(F.col("pair_id").alias("_ask"), "dist")
+    comp = connected_components(links, src="node", dst="hub")
+    placed = staged(ids.join(comp.withColumnRenamed("node", "id"), "id"))
+    side = lambda c: placed.select(F.col("node").alias(c), F.col("id").alias(f"_{c}"), F.col("component").alias(f"_c{c}"))
+    open_ = staged(ask.join(side("start"), "start").join(side("end"), "end").filter("_cstart = _cend")
+                   .select(F.col("_ask").alias("pair_id"), F.col("_start").alias("start"), F.col("_end").alias("end")))
+    dist = pair_distance(None, open_, hubs=links, max_rounds=max_rounds).select(F.col("pair_id").alias("_ask"), "dist")
     here = ask.filter(F.col("start") == F.col("end")).select("_ask", F.lit(0).cast("bigint").alias("dist"))
     best = ask.join(dist.unionByName(here), "_ask").groupBy("pair_id").agg(F.min(F.col("dist") + F.col("_taken")).alias("dist"))
     n = F.when(F.col("begin") == F.col("end"), F.lit(1)).otherwise(F.coalesce(F.col("dist") + 1, F.lit(0)))

@@ -360,7 +360,24 @@ def membership(spark, sf_dir):
     return ST.membership(voc, bench_tokens(spark, sf_dir), "word")
 
 
-@register("word_ladder")
+@register("word_ladder", r"""
+WITH RECURSIVE tok AS (SELECT doc_id, i, lower(w) AS word FROM (
+    SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+    FROM (SELECT doc_id, regexp_split_to_array(text, '\P{L}+') AS ws FROM documents) s) t WHERE w <> ''),
+voc AS (SELECT DISTINCT word FROM tok),
+pairs AS (SELECT doc_id AS pair_id, arg_min(word, i) AS b, arg_max(word, i) AS e FROM tok GROUP BY doc_id),
+pat AS (SELECT word, substr(word, 1, k - 1) || '*' || substr(word, k + 1) AS p
+        FROM (SELECT word, unnest(generate_series(1, length(word))) AS k FROM voc) s),
+near AS (SELECT x.word AS a, y.word AS b FROM pat x JOIN pat y ON x.p = y.p AND x.word <> y.word),
+reach(b, word, d) USING KEY (b, word) AS (
+    SELECT DISTINCT b, b, 0 FROM pairs WHERE length(b) = length(e)
+    UNION
+    SELECT reach.b, near.b, min(reach.d) + 1 FROM reach JOIN near ON reach.word = near.a
+    WHERE NOT EXISTS (SELECT 1 FROM recurring.reach AS old WHERE old.b = reach.b AND old.word = near.b)
+    GROUP BY reach.b, near.b)
+SELECT pair_id, pairs.b AS "begin", pairs.e AS "end", CAST(coalesce(d + 1, 0) AS INTEGER) AS ladder_len
+FROM pairs LEFT JOIN reach ON reach.b = pairs.b AND reach.word = pairs.e
+""")
 def word_ladder(spark, sf_dir):
     t = TX.tokens(load(spark, sf_dir, "documents"), "text", keep=["doc_id"], pos="_i")
     # the first and the last token of each document; of different lengths, the answer is 0

@@ -210,6 +210,17 @@ def missing_ids(spark, sf_dir):
     return ST.missing_ids(load(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
+@register("missing_ids_keyed", """
+WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) - DATE '1970-01-01' AS day FROM events),
+b AS (SELECT user_id, unnest(generate_series(min(day), max(day))) AS day FROM d GROUP BY user_id)
+SELECT b.user_id, CAST(b.day AS BIGINT) AS missing_id FROM b LEFT JOIN d ON d.user_id = b.user_id AND d.day = b.day WHERE d.day IS NULL
+""")
+def missing_ids_keyed(spark, sf_dir):
+    """The days without an event between a user's first and last."""
+    ev = load(spark, sf_dir, "events").select("user_id", F.unix_date(F.to_date("ts")).alias("day"))
+    return ST.missing_ids(ev, "day", keys="user_id")
+
+
 @register("missing_value", """
 SELECT user_id, pos AS missing_value FROM (
   SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts) - 1 AS pos,
@@ -359,3 +370,33 @@ def token_bucket(spark, sf_dir):
     ev = load(spark, sf_dir, "events").select("user_id", "event_id", "ts", F.lit(1).alias("permits"))
     r = RL.token_bucket(ev, "user_id", "ts", "permits", rate=1 / 43200, capacity=3.0, tie="event_id")
     return r.select("user_id", "event_id", "allowed", "remaining", "reset_seconds")
+
+
+# A look asks for nothing (a peek), a purchase for two permits, anything else for one.
+PERMITS = "CASE event_type WHEN 'view' THEN 0 WHEN 'purchase' THEN 2 ELSE 1 END"
+
+_FILLED = "least(3, tokens + greatest(t - last, 0) / 1e6 * (1 / 43200))"
+
+MIXED_BUCKET = f"""
+WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) AS t,
+                            {PERMITS} AS permits,
+                            row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r(user_id, rn, event_id, tokens, last, seen, allowed) AS (
+    SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(0 AS BIGINT), 3::DOUBLE, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), true FROM e
+    UNION ALL
+    SELECT user_id, rn, event_id, CASE WHEN have >= permits THEN have - permits ELSE have END, greatest(t, last),
+           CASE WHEN permits > 0 THEN t WHEN fresh THEN NULL ELSE seen END, have >= permits
+    FROM (SELECT *, CASE WHEN fresh THEN 3::DOUBLE ELSE {_FILLED} END AS have
+          FROM (SELECT e.*, r.tokens, r.last, r.seen, r.seen IS NULL OR (e.t - r.seen) / 1e6 > 86400 AS fresh
+                FROM r JOIN e ON e.user_id = r.user_id AND e.rn = r.rn + 1) a) b)
+SELECT user_id, event_id, allowed, round(tokens, 6) AS remaining, round((3::DOUBLE - tokens) / (1 / 43200), 6) AS reset_seconds
+FROM r WHERE rn > 0
+"""
+
+
+@register("token_bucket_mixed", MIXED_BUCKET)
+def token_bucket_mixed(spark, sf_dir):
+    """Peeks, requests for several permits, and buckets that end a day after their last request."""
+    ev = load(spark, sf_dir, "events").select("user_id", "event_id", "ts", F.expr(PERMITS).alias("permits"))
+    r = RL.token_bucket(ev, "user_id", "ts", "permits", rate=1 / 43200, capacity=3.0, idle_ttl=86400, tie="event_id")
+    return r.select("user_id", "event_id", "allowed", "remaining", "reset_seconds")

@@ -32,6 +32,10 @@ EVENT_B = -3.0
 AMOUNT = 100.0
 
 
+SPLIT_SQL = """(row_number() OVER (ORDER BY CAST('0x' || substr(md5({id} || '|42'), 1, 15) AS BIGINT), {id})
+    <= CAST(floor(count(*) OVER () * 0.2) AS BIGINT))"""
+
+
 def embedded(spark, sf_dir):
     e = load(spark, sf_dir, "embeddings")
     return M.assemble_features(e.withColumn("amount", F.lit(AMOUNT)), "embedding", "amount") \
@@ -62,16 +66,21 @@ def assemble_features(spark, sf_dir):
     return d.select("vec_id", F.posexplode("features").alias("i", "x")).withColumn("x", r6("x"))
 
 
-@register("fit_scaler", """
+@register("fit_scaler", f"""
+WITH t AS (SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem
+           JOIN (SELECT o_orderkey, {SPLIT_SQL.format(id='o_orderkey')} AS is_test FROM orders) s ON l_orderkey = o_orderkey
+           WHERE NOT is_test)
 SELECT i, round(m, 6) AS mean, round(CASE WHEN s < 1e-8 THEN 1.0::DOUBLE ELSE s END, 6) AS std FROM (
-  SELECT 0 AS i, avg(l_quantity) AS m, stddev_pop(l_quantity) AS s FROM lineitem UNION ALL
-  SELECT 1, avg(l_extendedprice), stddev_pop(l_extendedprice) FROM lineitem UNION ALL
-  SELECT 2, avg(l_discount), stddev_pop(l_discount) FROM lineitem UNION ALL
-  SELECT 3, avg(l_tax), stddev_pop(l_tax) FROM lineitem) t
+  SELECT 0 AS i, avg(l_quantity) AS m, stddev_pop(l_quantity) AS s FROM t UNION ALL
+  SELECT 1, avg(l_extendedprice), stddev_pop(l_extendedprice) FROM t UNION ALL
+  SELECT 2, avg(l_discount), stddev_pop(l_discount) FROM t UNION ALL
+  SELECT 3, avg(l_tax), stddev_pop(l_tax) FROM t) u
 """)
 def fit_scaler(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem").select(
-        F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax").alias("features"))
+    """Mean and deviation of the lines of the orders in the training split."""
+    orders = M.split_train_test(load(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 0.2, 42)
+    li = load(spark, sf_dir, "lineitem").join(orders.filter(~F.col("is_test")), F.col("l_orderkey") == F.col("o_orderkey")) \
+        .select(F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax").alias("features"))
     p = M.fit_scaler(li, dim=4)
     return p.select(F.posexplode(F.arrays_zip("mean", "std")).alias("i", "ms")) \
             .select("i", r6("ms.mean").alias("mean"), r6("ms.std").alias("std"))
@@ -210,10 +219,6 @@ def roc_auc(spark, sf_dir):
                     F.col("n_pos").cast("bigint"), F.col("n_neg").cast("bigint"))
 
 
-SPLIT_SQL = """(row_number() OVER (ORDER BY CAST('0x' || substr(md5({id} || '|42'), 1, 15) AS BIGINT), {id})
-    <= CAST(floor(count(*) OVER () * 0.2) AS BIGINT))"""
-
-
 @register("split_train_test", f"SELECT o_orderkey, {SPLIT_SQL.format(id='o_orderkey')} AS is_test FROM orders")
 def split_train_test(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_orderkey")
@@ -238,9 +243,12 @@ def labeled_csv_source_q(spark, sf_dir):
 
 @register("train_linear")
 def train_linear(spark, sf_dir):
-    s = scaled(spark, sf_dir)
-    w, b = M.train_linear(s)
-    auc = M.roc_auc(M.score_linear(s, w, b).withColumn("y", F.col("label")), "fraud_probability", "y")
+    """Scaler and weights from the training split, AUC on the held-out rows."""
+    rows = M.split_train_test(embedded(spark, sf_dir).select("vec_id", "features", "label"), "vec_id", 0.2, 42)
+    mean, std = M.scaler_params(M.fit_scaler(rows.filter(~F.col("is_test"))))
+    s = staged(M.scale_features(rows, mean, std))  # each iteration reads them
+    w, b = M.train_linear(s.filter(~F.col("is_test")))
+    auc = M.roc_auc(M.score_linear(s.filter("is_test"), w, b), "fraud_probability", "label")
     return auc.select("auc", "n_pos", "n_neg", F.lit(b).alias("intercept"))
 
 

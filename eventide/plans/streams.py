@@ -14,7 +14,7 @@ from ..sources.files import PREDICTION_SCHEMA, predictions_sink
 from ..streaming import operators as SO
 from ..streaming import runtime as RT
 from . import ORACLES, register
-from .logs import _ASOF, kv_log
+from .logs import MIXED_BUCKET, PERMITS, _ASOF, kv_log
 from .ml import EVENT_B, EVENT_W, _P_SQL
 
 
@@ -59,6 +59,14 @@ def stream_token_bucket(spark, sf_dir):
     return RT.run_append(out, "stb").select("user_id", "event_id", "allowed", "remaining", "reset_seconds")
 
 
+@register("stream_token_bucket_mixed", MIXED_BUCKET)
+def stream_token_bucket_mixed(spark, sf_dir):
+    s = SO.event_time(events_stream(spark, sf_dir, "stm", ["event_id", "user_id", "ts", "event_type"]), "ts")
+    s = s.withColumn("permits", F.expr(PERMITS))
+    out = SO.token_bucket_stream(s, "user_id", "ts", "permits", 1 / 43200, 3.0, idle_ttl=86400, tie="event_id", carry=["event_id"])
+    return RT.run_append(out, "stm").select("user_id", "event_id", "allowed", "remaining", "reset_seconds")
+
+
 @register("stream_first_unique", None)
 def stream_first_unique(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")

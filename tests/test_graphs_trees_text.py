@@ -167,6 +167,52 @@ def test_bfs_and_subgraph(spark):
     assert G.reachable_subgraph(e, None).count() == 0
 
 
+def test_pair_distance_shares_ends(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(40), rng.randrange(40)) for _ in range(45)] + [(7, 7)]
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+
+    def hops(a, b):
+        seen, layer, d = {a}, {a}, 0
+        while layer:
+            if b in layer:
+                return d
+            layer = {y for x in layer for y in near.get(x, ())} - seen
+            seen |= layer
+            d += 1
+        return None
+
+    # one end in many pairs, pairs both ways round, a repeated pair, an unknown node, a null end
+    asked = [(0, b) for b in range(40)] + [(b, 0) for b in range(0, 40, 3)] + [(3, 9), (3, 9), (5, 99)]
+    rows = [(i, a, b) for i, (a, b) in enumerate(asked)]
+    pairs = spark.createDataFrame([*rows, (-1, None, 3)], "pair_id int, start bigint, end bigint")
+    got = {r.pair_id: r.dist for r in G.pair_distance(spark.createDataFrame(edges, "src bigint, dst bigint"), pairs).collect()}
+    assert got == {i: hops(a, b) for i, a, b in rows} | {-1: None}
+
+
+def test_topo_levels_random(spark):
+    rng = random.Random(9)
+    edges = [(g, *sorted(rng.sample(range(25), 2))) for g in range(4) for _ in range(30)]
+    edges += [(3, 20, 4), (1, 6, 6), (0, 77, 3)]  # a way back, an edge to itself, a source that is no node
+    nodes = [(g, n) for g in range(4) for n in range(25)]
+    want = {}
+    for g in range(4):
+        todo, level = set(range(25)), 0
+        mine = {(a, b) for h, a, b in edges if h == g}
+        while ready := {n for n in todo if not any(b == n for _, b in mine)}:
+            want |= {(g, n): level for n in ready}
+            mine = {(a, b) for a, b in mine if a not in ready}
+            todo, level = todo - ready, level + 1
+        want |= {(g, n): None for n in todo}
+    cyclic = {g for (g, _), level in want.items() if level is None}
+    got = G.topo_levels(spark.createDataFrame(nodes, "g int, node int"), spark.createDataFrame(edges, "g int, src int, dst int"), keys="g").collect()
+    assert {(r.g, r.node): r.level for r in got} == want and len(got) == len(want)
+    assert all(r.has_cycle == (r.g in cyclic) for r in got)
+
+
 def test_word_ladder(spark):
     words = spark.createDataFrame([(w,) for w in ["hot", "dot", "dog", "lot", "log", "cog"]], "word string")
     pairs = spark.createDataFrame([(0, "hit", "cog"), (1, "hit", "hit")], "pair_id int, begin string, end string")
