@@ -11,7 +11,6 @@ composes max-plus 2x2 matrices with ``aggregate``).
 
 from __future__ import annotations
 
-import uuid
 from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 
@@ -193,7 +192,7 @@ def longest_increasing(df: DataFrame, keys, order, v: str) -> DataFrame:
     diagonal run at once, in different tasks, each bounded by its ranges; the rounds are twice the longest
     key's rows over the range, whatever the answer.
     """
-    from ..session import drop_staged, ensure_checkpoint_dir, staged
+    from ..session import drop_staged, scratch_path, staged
     from .scan import checked_broadcast, running, same
 
     k, o = cols(keys), cols(order)
@@ -209,7 +208,7 @@ def longest_increasing(df: DataFrame, keys, order, v: str) -> DataFrame:
         *k, F.coalesce(part("_n") + 1, F.lit(1)).alias("_p"), part("_pos").alias("_i"), part("_val").alias("_j"), "_pos", "_val")
     cells = staged(cells.withColumn("_d", F.col("_i") + F.col("_j")).sortWithinPartitions("_d"))
     schema = cells.drop("_d").schema
-    grown = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    grown = scratch_path(spark, "staged")
     w = Window.partitionBy(*k, "_i", "_j").orderBy("_pos", "_val")
     carry = None
     for d in range(2 * (cells.agg(F.max("_p")).first()[0] or 1) - 1):

@@ -7,6 +7,8 @@ nothing changes, and raises if the round bound is hit.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +133,7 @@ def bfs(edges: DataFrame, sources: DataFrame, key: str = "source", src: str = "s
     only the current frontier with the edges.  In an undirected graph a
     node first seen now cannot lie in any layer older than the previous
     one, so new nodes are anti-joined with the last two layers only and
-    the visited set is never rewritten; directed graphs anti-join all
+    the visited set is never rewritten; directed graphs anti-join the union of all
     (checkpointed) layers.  With ``targets`` (key, node) a key stops
     expanding once its target is reached.
     """
@@ -155,8 +157,9 @@ def bfs(edges: DataFrame, sources: DataFrame, key: str = "source", src: str = "s
             if prev is not None:
                 nxt = nxt.join(prev.select(key, "node"), [key, "node"], "left_anti")
         else:
-            for old in layers[:-1]:
-                nxt = nxt.join(old.select(key, "node"), [key, "node"], "left_anti")
+            older = [layer.select(key, "node") for layer in layers[:-1]]
+            if older:
+                nxt = nxt.join(reduce(DataFrame.union, older), [key, "node"], "left_anti")
         nxt = cut_lineage(nxt.withColumn("dist", F.lit(step).cast("bigint")))
         if nxt.limit(1).count() == 0:
             out = layers[0]

@@ -8,8 +8,6 @@ fails (null outputs) for 'error' events.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -19,7 +17,7 @@ from ..operators import ml as M
 from ..operators import search as SE
 from ..sources import load
 from ..sources.files import labeled_csv_source, write_labeled_csv
-from ..session import ensure_checkpoint_dir, staged
+from ..session import scratch_path, staged
 from . import register
 
 _HIST_SCHEMA = "epoch long, train_loss double, rows long"
@@ -233,8 +231,7 @@ FROM embeddings
 def labeled_csv_source_q(spark, sf_dir):
     """Written as CSV and read back: each row's features, weighted by their place, and its label."""
     d = embedded(spark, sf_dir)
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root}/labeled_csv/{uuid.uuid4().hex}"
+    path = scratch_path(spark, "labeled_csv")
     write_labeled_csv(d, path)
     got = labeled_csv_source(spark, path)
     weighted = F.expr("aggregate(transform(features, (x, i) -> x * (i + 1)), 0D, (a, x) -> a + x)")
@@ -262,7 +259,7 @@ def train_mlp(spark, sf_dir):
 @register("checkpoint_resume")
 def checkpoint_resume(spark, sf_dir):
     s = staged(scaled(spark, sf_dir))
-    root = f"{ensure_checkpoint_dir(spark)}/train_ckpt/{uuid.uuid4().hex}"
+    root = scratch_path(spark, "train_ckpt")
     M.train_mlp(s, epochs=8, ckpt_dir=root)
     _p, hist = M.train_mlp(s, epochs=15, ckpt_dir=root)  # resumes at 9
     return spark.createDataFrame(hist, _HIST_SCHEMA)

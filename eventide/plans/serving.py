@@ -8,12 +8,11 @@ its user.  The record of an error event breaks off, so it is no JSON.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import functions as F
 
 from ..operators import ml as M
-from ..session import ensure_checkpoint_dir, staged
+from ..session import scratch_path, staged
 from ..sources import load
 from ..sources import files as FS
 from ..streaming import runtime as RT
@@ -130,7 +129,7 @@ def trained_version(spark, sf_dir, root, epochs=15):
 @register("train_save_serve")
 def train_save_serve(spark, sf_dir):
     """A network trained and saved by one job and loaded by another: epochs, last training loss, rows and AUC of the held-out split."""
-    root = f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "models")
     test, history = trained_version(spark, sf_dir, root)
     served = M.score_versions(test.withColumn("ts", F.lit(dt.datetime(2024, 1, 2))), FS.load_models(spark, f"{root}/models"), "ts")
     auc = M.roc_auc(served, "fraud_probability", "label")

@@ -9,6 +9,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +35,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state."
                 "RocksDBStateStoreProvider")
@@ -64,6 +68,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the checkpoint dir, which the ``scratch_space`` around the call deletes, if there is one."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    mine = _SCRATCH.get()
+    if mine is not None:
+        mine.append(path)
+    return path
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what the operators called in it wrote into the checkpoint dir.
+
+    Frames are lazy, so write or collect the result inside::
+
+        with scratch_space(spark):
+            merge_intervals(df, "k", "start", "end").write.parquet(out)
+
+    Spaces may be nested; each deletes its own.  Files of ``cut_lineage`` are Spark's checkpoints, which Spark deletes
+    itself with ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    """
+    mine: list[str] = []
+    token = _SCRATCH.set(mine)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in mine:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint dir (survives executor loss).
 
@@ -86,7 +130,7 @@ def staged(df: DataFrame) -> DataFrame:
     the columns they need.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "staged")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
@@ -97,6 +141,4 @@ def drop_staged(df: DataFrame) -> None:
     """Delete the files behind a frame that ``staged`` returned."""
     path = getattr(df, "_staged_path", None)
     if path:
-        sc = df.sparkSession.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, path)

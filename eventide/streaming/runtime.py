@@ -8,19 +8,18 @@ read back as the latest row per key.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir."""
-    return f"{ensure_checkpoint_dir(spark)}/stream/{name}-{uuid.uuid4().hex[:12]}"
+    return scratch_path(spark, f"stream/{name}")
 
 
 def stage_by_time(df: DataFrame, ts: str, root: str, slices: int = 5) -> int:

@@ -1,6 +1,7 @@
 """The hot-key split path must give the same answers as the plain path,
 and no registered query may plan a cartesian product."""
 
+import os
 import random
 
 import pytest
@@ -11,6 +12,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from eventide.operators import sequences
 from eventide.operators.scan import PIECE, global_prefix_sum, global_rank, running, split
+from eventide.session import ensure_checkpoint_dir, scratch_space, staged
 
 SPLIT_CHECKED = ["max_gain", "fill_depth", "max_span_pair", "pair_sum", "position_of", "misplaced_count",
                  "rollover_point", "longest_distinct_run", "min_covering_span", "reverse_order", "merge_intervals",
@@ -144,3 +146,30 @@ def test_covering_span_of_three(spark, pieces):
     best = min((j - i, i) for i in range(len(text)) for j in range(i + 1, len(text) + 1)
                if text[i:j].count("a") >= 3 and "b" in text[i:j] and text[i:j].count("c") >= 2)
     assert (got.span_len, got.span_start) == best
+
+
+def _written(spark):
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    streams = os.listdir(f"{root}/stream") if os.path.isdir(f"{root}/stream") else []
+    return {p for p in os.listdir(root) if p.startswith("staged-")} | set(streams)
+
+
+@pytest.mark.parametrize("name", ["pair_sum", "sorted_merge", "longest_increasing", "shortest_path_len", "stream_velocity_tumbling"])
+def test_scratch_space_leaves_nothing(spark, name):
+    before = _written(spark)
+    with scratch_space(spark):
+        df = E.queries()[name](spark, SF_SMALL)
+        with scratch_space(spark):  # its end leaves alone what the space around it holds
+            inner = staged(spark.range(3))
+            assert inner.count() == 3
+        assert _written(spark) > before
+        assert _rows(df) == _rows(E.queries()[name](spark, SF_SMALL))
+    assert _written(spark) == before
+
+
+def test_scratch_space_after_a_failure(spark):
+    before = _written(spark)
+    with pytest.raises(ZeroDivisionError), scratch_space(spark):
+        staged(spark.range(3))
+        1 / 0
+    assert _written(spark) == before
