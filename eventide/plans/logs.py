@@ -277,12 +277,12 @@ def free_slots(spark, sf_dir):
     return SL.free_slots(a, "doctor_id", "day")
 
 
-SLOT_REPLAY = """
+_REPLAY = """
 WITH RECURSIVE l AS (
-    SELECT event_id, user_id AS doctor_id, CAST(ts AS DATE) AS day, ts,
+    SELECT event_id, {doctor} AS doctor_id, CAST(ts AS DATE) AS day, ts,
            CASE WHEN event_type = 'error' THEN 'cancel' ELSE 'book' END AS op,
            CASE WHEN event_type = 'error' THEN CAST(props->>'k' AS BIGINT) % 34 END AS slot,
-           row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
+           row_number() OVER (PARTITION BY {doctor}, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
     FROM events),
 r(doctor_id, day, rn, taken, status, result_slot) AS (
     SELECT DISTINCT doctor_id, day, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT) FROM l
@@ -299,15 +299,18 @@ r(doctor_id, day, rn, taken, status, result_slot) AS (
           FROM r JOIN l ON l.doctor_id = r.doctor_id AND l.day = r.day AND l.rn = r.rn + 1) s)
 """
 
+SLOT_REPLAY = _REPLAY.replace("{doctor}", "user_id")  # a user is a doctor: the stream's log
 
-@register("slots_with_cancels", SLOT_REPLAY + """
+
+@register("slots_with_cancels", _REPLAY.replace("{doctor}", "user_id % 3") + """
 SELECT event_id, l.doctor_id, l.day, ts, op, slot, status, result_slot
 FROM l JOIN r ON l.doctor_id = r.doctor_id AND l.day = r.day AND l.rn = r.rn
 """)
 def slots_with_cancels(spark, sf_dir):
+    """Every event books or cancels at one of three doctors, whose days fill up: slots run out, come free and are booked again."""
     ev = load(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")
-    log = ev.select("event_id", F.col("user_id").alias("doctor_id"), F.to_date("ts").alias("day"), "ts",
+    log = ev.select("event_id", (F.col("user_id") % 3).alias("doctor_id"), F.to_date("ts").alias("day"), "ts",
                     F.when(F.col("event_type") == "error", "cancel").otherwise("book").alias("op"),
                     F.when(F.col("event_type") == "error", k % 34).alias("slot"))
     return SL.slots_with_cancels(log, "doctor_id", "day", ["ts", "event_id"])
