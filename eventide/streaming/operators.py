@@ -177,6 +177,8 @@ class _Buckets(StatefulProcessor):
         held = {c: e for c, e in self._held().items() if e[1] > now}
         state = {c: b for c, (b, _) in held.items()}
         clients = _plain(pdf[self.client])
+        if self.kind in ("tinyint", "smallint", "int", "bigint"):  # beside another group's null they arrive as floats
+            clients = [None if c is None else int(c) for c in clients]
         got = []
         for c, t, p in zip(clients, us, pdf[self.permits].tolist()):
             state[c], allowed, tokens = request(state.get(c), t, p, self.rate, self.capacity, self.idle_ttl)
