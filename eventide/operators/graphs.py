@@ -7,13 +7,14 @@ nothing changes, and raises if the round bound is hit.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cols
-from ..session import cut_lineage, drop_staged, staged
+from ..session import bounded_tasks, cut_lineage, drop_staged, staged
 from .scan import global_rank
 
 
@@ -33,22 +34,34 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     Large-star emits (v, m) with v > m only, which is exactly the
     "smaller neighbours" input small-star needs, so a round is: a grouped
     min and join, another grouped min and join, and a distinct of the pairs.
-    Pairs are kept apart by both ends: a hub's minimum is combined in the
-    tasks before the shuffle, its join is one that AQE can split, and nothing
-    else gathers its edges.  ``nodes`` adds isolated nodes.
+    A hub's minimum is combined in the tasks before the shuffle; the joins hash
+    the minima, one row per node, and let the pairs stream by unsorted, so a task
+    holds no hub's edges.  Tasks are of bounded size.  ``nodes`` adds isolated nodes.
     """
-    e = edges.select(F.col(src).cast("bigint").alias("u"), F.col(dst).cast("bigint").alias("v")) \
-             .filter(F.col("u") != F.col("v"))
+    with bounded_tasks(edges.sparkSession) as rows:
+        out = staged(_components(edges.select(F.col(src).cast("bigint").alias("u"), F.col(dst).cast("bigint").alias("v")),
+                                 node, max_rounds, rows))
+    if nodes is not None:
+        iso = (nodes.select(F.col(node).cast("bigint").alias(node)).distinct()
+                    .join(out.select(node), node, "left_anti")
+                    .withColumn("component", F.col(node)))
+        out = out.unionByName(iso)
+    return out
+
+
+def _components(edges: DataFrame, node: str, max_rounds: int, rows: Callable[[int], None]) -> DataFrame:
+    e = edges.filter(F.col("u") != F.col("v"))
     d = staged(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     prev = _checksum(d, "u", "v")
+    rows(prev[0])
     for _ in range(max_rounds):
         # large star: every larger neighbour of u links to the smallest of u's closed neighbourhood
         m = d.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        low = (d.filter(F.col("v") > F.col("u")).join(m, "u")
+        low = (d.filter(F.col("v") > F.col("u")).join(m.hint("shuffle_hash"), "u")
                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # small star: u and its smaller neighbours link to the smallest of them
         m2 = low.groupBy("u").agg(F.min("v").alias("m"))
-        ss = (low.join(m2, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        ss = (low.join(m2.hint("shuffle_hash"), "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
                  .unionByName(m2.select(F.col("u").alias("a"), F.col("m").alias("b")))
                  .filter(F.col("a") != F.col("b")))
         both = ss.unionByName(ss.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -56,18 +69,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
         drop_staged(old)
         cur = _checksum(d, "u", "v")
         if cur == prev:
-            break
+            return d.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("component")).select(F.col("u").alias(node), "component")
         prev = cur
-    else:
-        raise RuntimeError("connected_components did not converge")
-    comp = d.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("component"))
-    out = comp.select(F.col("u").alias(node), "component")
-    if nodes is not None:
-        iso = (nodes.select(F.col(node).cast("bigint").alias(node)).distinct()
-                    .join(out.select(node), node, "left_anti")
-                    .withColumn("component", F.col(node)))
-        out = out.unionByName(iso)
-    return out
+    raise RuntimeError("connected_components did not converge")
 
 
 def count_islands(cells: DataFrame, grid: str = "grid_id", r: str = "r", c: str = "c",
