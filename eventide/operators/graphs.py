@@ -190,12 +190,20 @@ def pair_distance(edges: DataFrame | None, pairs: DataFrame, src: str = "src", d
     With ``hubs`` (node, hub) instead of edges, two nodes are adjacent
     when they share a hub (e.g. words sharing a wildcard pattern); a round
     goes node -> hub -> node without ever forming the node pairs of a hub.
+    Tasks are of bounded size.
     """
+    with bounded_tasks(pairs.sparkSession) as rows:
+        return staged(_pair_distance(edges, pairs, src, dst, hubs, max_rounds, rows))
+
+
+def _pair_distance(edges: DataFrame | None, pairs: DataFrame, src: str, dst: str, hubs: DataFrame | None,
+                   max_rounds: int, rows: Callable[[int], None]) -> DataFrame:
     if hubs is not None:
         e = staged(hubs.select("node", "hub").distinct())
     else:
         e = edges.select(F.col(src).alias("_a"), F.col(dst).alias("_b"))
         e = staged(e.unionByName(e.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct())
+    rows(e.count())
 
     def around(front):
         if hubs is not None:
@@ -243,11 +251,12 @@ def shortest_path_len(edges: DataFrame, pairs: DataFrame, src: str = "src", dst:
     the edges' direction from the start alone."""
     if undirected:
         return pair_distance(edges, pairs, src=src, dst=dst).select("pair_id", "start", "end", "dist")
-    d = bfs(edges, pairs.select(F.col("pair_id").alias("source"), F.col("start").alias("node")),
-            src=src, dst=dst, undirected=False)
-    return (pairs.join(d.withColumnRenamed("source", "pair_id").withColumnRenamed("node", "end"),
-                       ["pair_id", "end"], "left")
-                 .select("pair_id", "start", "end", "dist"))
+    with bounded_tasks(edges.sparkSession):
+        d = bfs(edges, pairs.select(F.col("pair_id").alias("source"), F.col("start").alias("node")),
+                src=src, dst=dst, undirected=False)
+        return staged(pairs.join(d.withColumnRenamed("source", "pair_id").withColumnRenamed("node", "end"),
+                                 ["pair_id", "end"], "left")
+                           .select("pair_id", "start", "end", "dist"))
 
 
 def reachable_subgraph(edges: DataFrame, seed, src: str = "src", dst: str = "dst") -> DataFrame:
