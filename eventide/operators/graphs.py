@@ -144,7 +144,7 @@ def bfs(edges: DataFrame, sources: DataFrame, key: str = "source", src: str = "s
     e = edges.select(F.col(src).alias("_a"), F.col(dst).alias("_b"))
     if undirected:
         e = e.unionByName(e.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
-    e = cut_lineage(e.distinct())
+    e = staged(e.distinct())
     frontier = cut_lineage(sources.select(key, "node").distinct().withColumn("dist", F.lit(0).cast("bigint")))
     layers = [frontier]
     prev = None
@@ -262,17 +262,21 @@ def shortest_path_len(edges: DataFrame, pairs: DataFrame, src: str = "src", dst:
 def reachable_subgraph(edges: DataFrame, seed, src: str = "src", dst: str = "dst") -> DataFrame:
     """Copy of the part of an undirected graph reachable from ``seed`` with
     fresh node ids (max id + 1 + rank of the old id).  Returns
-    (old_src, old_dst, new_src, new_dst).  A null seed gives no rows."""
+    (old_src, old_dst, new_src, new_dst).  A null seed gives no rows.
+    Tasks are of bounded size."""
     spark = edges.sparkSession
     if seed is None:
         return edges.limit(0).select(F.col(src).alias("old_src"), F.col(dst).alias("old_dst"),
                                      F.col(src).alias("new_src"), F.col(dst).alias("new_dst"))
-    s = spark.createDataFrame([(0, int(seed))], "source int, node bigint")
-    reach = bfs(edges, s, src=src, dst=dst).select("node").union(s.select("node")).distinct()
-    top = edges.agg(F.greatest(F.max(src), F.max(dst)).alias("m")).first()["m"]
-    base = max(int(seed) if top is None else int(top), int(seed)) + 1
-    ids = global_rank(reach, ["node"], "_r").select("node", (F.col("_r") + F.lit(base)).alias("new_id"))
-    e = edges.select(F.col(src).alias("old_src"), F.col(dst).alias("old_dst"))
-    a = ids.select(F.col("node").alias("old_src"), F.col("new_id").alias("new_src"))
-    b = ids.select(F.col("node").alias("old_dst"), F.col("new_id").alias("new_dst"))
-    return e.join(a, "old_src").join(b, "old_dst").select("old_src", "old_dst", "new_src", "new_dst")
+    with bounded_tasks(spark) as rows:
+        e = staged(edges.select(F.col(src).alias("old_src"), F.col(dst).alias("old_dst")))
+        top = e.agg(F.greatest(F.max("old_src"), F.max("old_dst")).alias("m"), F.count(F.lit(1)).alias("n")).first()
+        rows(2 * top["n"])
+        s = spark.createDataFrame([(0, int(seed))], "source int, node bigint")
+        reach = bfs(e, s, src="old_src", dst="old_dst").select("node").union(s.select("node")).distinct()
+        base = max(int(seed) if top["m"] is None else int(top["m"]), int(seed)) + 1
+        ids = global_rank(reach, ["node"], "_r").select("node", (F.col("_r") + F.lit(base)).alias("new_id"))
+        a = ids.select(F.col("node").alias("old_src"), F.col("new_id").alias("new_src"))
+        b = ids.select(F.col("node").alias("old_dst"), F.col("new_id").alias("new_dst"))
+        return staged(e.join(a.hint("shuffle_hash"), "old_src").join(b.hint("shuffle_hash"), "old_dst")
+                       .select("old_src", "old_dst", "new_src", "new_dst"))
