@@ -260,12 +260,14 @@ def hierarchy_diff(a: DataFrame, b: DataFrame, tree: str = "tree_id", node: str
     are built for both sides together and compared.  A null value equals a null value.
     """
     names = [tree, node, parent, ord_col, val]
-    rows = a.select(*names, F.lit(0).alias("_side")).unionByName(b.select(*names, F.lit(1).alias("_side")))
+    # written once: it is read for the aggregation and again for the trees that differ
+    both = staged(a.select(*names, F.lit(0).alias("_side")).unionByName(b.select(*names, F.lit(1).alias("_side"))))
     what = F.struct(parent, ord_col, val)
-    nodes = rows.groupBy(tree, node).agg(F.count_if(F.col("_side") == 0).alias("l"), F.count_if(F.col("_side") == 1).alias("r"),
+    nodes = both.groupBy(tree, node).agg(F.count_if(F.col("_side") == 0).alias("l"), F.count_if(F.col("_side") == 1).alias("r"),
                                          F.min(what).alias("lo"), F.max(what).alias("hi"))
     odd, _ = checked_broadcast(nodes.filter("NOT (l = 1 AND r = 1 AND lo <=> hi)").select(F.col(tree).alias("_t")).distinct())
-    rows = staged(rows.join(odd, rows[tree].eqNullSafe(odd["_t"]), "left_semi"))
+    rows = staged(both.join(odd, both[tree].eqNullSafe(odd["_t"]), "left_semi"))
+    drop_staged(both)
     at = paths(rows, ["_side", tree], node, parent, ord_col)
     vals = rows.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(("_side", tree, node))], val)
     at = at.join(vals, same(at, vals, [(c, f"_{i}") for i, c in enumerate(("_side", tree, node))]))
