@@ -22,11 +22,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"stream/{name}")
 
 
+FILE_ROWS = 100_000  # of a staged file, about
+
+
 def stage_by_time(df: DataFrame, ts: str, root: str, slices: int = 5) -> int:
     """Write ``df`` as time-ordered slices (one write job each, so file
     modification times follow event time) for a file stream source to
-    replay in order.  A slice has as many files as its share of the input's
-    partitions (two at least).  Returns the files-per-trigger to use."""
+    replay in order.  A slice has as many files as its share of the input's partitions, or of its
+    rows if these make more (two at least; a file of few bytes can hold many rows,
+    and a micro-batch has no more tasks than files).  Returns the files-per-trigger to use."""
     files_per_slice = max(2, -(-df.rdd.getNumPartitions() // slices))
     b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     if b["lo"] is None:
@@ -36,6 +40,9 @@ def stage_by_time(df: DataFrame, ts: str, root: str, slices: int = 5) -> int:
     span = (F.unix_micros(F.lit(b["hi"]).cast("timestamp")) - F.unix_micros(lo) + 1)
     idx = F.floor((F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(lo)) * slices / span)
     tagged = df.withColumn("_slice", idx.cast("int"))
+    n = [r["count"] for r in tagged.filter("_slice IS NOT NULL").groupBy("_slice").count().collect()]  # one per slice
+    # no file of a slice may stay empty: a micro-batch would take files of the next
+    files_per_slice = max(files_per_slice, min(-(-sum(n) // (slices * FILE_ROWS)), min(n) // 100))
     for i in range(slices):
         (tagged.filter(F.col("_slice") == i).drop("_slice").repartition(files_per_slice)
                .write.mode("overwrite").parquet(f"{root}/slice={i}"))
