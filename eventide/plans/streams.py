@@ -73,12 +73,10 @@ def stream_first_unique(spark, sf_dir):
     root = RT.scratch(spark, "sfu-in")
     fpt = RT.stage_by_time(li, "l_shipdate", root)
     s = RT.file_stream(spark, root, li.schema, fpt)
-    agg = s.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"),
-                                      F.min(F.struct("l_shipdate", "l_orderkey")).alias("first"))
-    table = RT.run_update(agg, "sfu", ["l_orderkey"])
-    once = table.filter(F.col("n") == 1)
-    return once.agg(F.min_by("l_orderkey", "first").alias("first_unique_key"),
-                    F.min("first").getField("l_shipdate").alias("first_seen"))
+    # the key is the same in all rows of its group: plain values, so that the rows are hashed and not sorted
+    agg = s.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min("l_shipdate").alias("first_seen"))
+    once = RT.run_update(agg, "sfu", ["l_orderkey"]).filter(F.col("n") == 1)
+    return once.agg(F.min_by("l_orderkey", F.struct("first_seen", "l_orderkey")).alias("first_unique_key"), F.min("first_seen").alias("first_seen"))
 
 
 @register("stream_kv", None)

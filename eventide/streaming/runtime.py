@@ -84,8 +84,8 @@ def run_update(sdf: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     schema = T.StructType([*sdf.schema.fields, T.StructField("_batch", T.LongType())])
     data = spark.read.schema(schema).parquet(f"{out}/data")
     cols = [c for c in sdf.columns if c not in keys]
-    latest = data.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_batch").alias("_r"))
-    return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    # column by column: a buffer of plain values is hashed, that of a struct would have all rows sorted
+    return data.groupBy(*keys).agg(*[F.max_by(c, "_batch").alias(c) for c in cols]).select(*keys, *cols)
 
 
 def newest_sink(out: str, order: Sequence[str], n: int, metrics: Callable[[DataFrame], DataFrame]):
