@@ -17,6 +17,8 @@ from ..functions import cols
 from ..session import bounded_tasks, cut_lineage, drop_staged, staged
 from .scan import global_rank
 
+WORDS = 8  # of 64 searches each in a row of the hub search
+
 
 def _checksum(df: DataFrame, c1: str, c2: str):
     r = df.agg(F.count(F.lit(1)).alias("n"),
@@ -176,47 +178,113 @@ def bfs(edges: DataFrame, sources: DataFrame, key: str = "source", src: str = "s
 
 
 def pair_distance(edges: DataFrame | None, pairs: DataFrame, src: str = "src", dst: str = "dst",
-                  hubs: DataFrame | None = None, max_rounds: int = 10_000) -> DataFrame:
-    """Shortest hop count per (pair_id, start, end) of an undirected graph
-    by searches from both ends; null when unreachable.
+                  hubs: DataFrame | None = None, max_rounds: int = 10_000, near: str | None = None) -> DataFrame:
+    """Shortest hop count per (pair_id, start, end) of an undirected graph; null when unreachable.
 
     A search belongs to a node, not to a pair: pairs with a common end share its
-    layers, and equal pairs (either way round) are asked once.  Every search grows one
-    layer per round.  A path of 2r - 1 or 2r steps has a node r steps from one end and
-    r - 1 or r from the other, so round r only compares the newest layers of a pair's
-    ends.  A pair stops when they meet or when either search runs out of
+    layers, and equal pairs (either way round) are asked once.  Over edges every pair is
+    searched from both ends, one layer per round.  A path of 2r - 1 or 2r steps has a node
+    r steps from one end and r - 1 or r from the other, so round r only compares the newest
+    layers of a pair's ends.  A pair stops when they meet or when either search runs out of
     new nodes, so an isolated end costs one round; a search stops with its last pair.
 
     With ``hubs`` (node, hub) instead of edges, two nodes are adjacent
     when they share a hub (e.g. words sharing a wildcard pattern); a round
-    goes node -> hub -> node without ever forming the node pairs of a hub.
+    goes node -> hub -> node without ever forming the node pairs of a hub.  A pair is searched from the
+    end that more pairs share, and 64 * ``WORDS`` searches are a block: a node's row has a bit for each
+    that is there now, so a round costs rows by blocks and not by searches, and a pair looks at its other end alone.
+    ``near`` names a column of the pairs, such as their component: searches with equal values share blocks.
     Tasks are of bounded size.
     """
     with bounded_tasks(pairs.sparkSession) as rows:
-        return staged(_pair_distance(edges, pairs, src, dst, hubs, max_rounds, rows))
+        if hubs is not None:
+            return staged(_hub_distance(hubs, pairs, near, 2 * max_rounds, rows))
+        return staged(_pair_distance(edges, pairs, src, dst, max_rounds, rows))
+
+
+def _ends() -> list:
+    """The ends of a pair, the same either way round."""
+    return [F.least("start", "end").alias("_x"), F.greatest("start", "end").alias("_y")]
+
+
+def _told(p: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The pairs with the hops found for their ends."""
+    dist = F.when(F.col("start") == F.col("end"), F.lit(0).cast("bigint"))
+    if found is None:
+        return p.withColumn("dist", dist)
+    asked = p.withColumns(dict(zip(("_x", "_y"), _ends())))
+    return asked.join(found, ["_x", "_y"], "left").select("pair_id", "start", "end", F.coalesce(dist, F.col("dist")).alias("dist"))
 
 
-def _pair_distance(edges: DataFrame | None, pairs: DataFrame, src: str, dst: str, hubs: DataFrame | None,
-                   max_rounds: int, rows: Callable[[int], None]) -> DataFrame:
-    if hubs is not None:
-        e = staged(hubs.select("node", "hub").distinct())
+def _hub_distance(hubs: DataFrame, pairs: DataFrame, near: str | None, max_rounds: int, rows: Callable[[int], None]) -> DataFrame:
+    # bits travel as one array: with a column each, a filter on them sends the optimizer through all sets of the columns
+    each = range(WORDS)
+    none, own = F.lit(0).cast("bigint"), F.expr("shiftleft(1L, _bit)")
+    mark = [F.when(F.col("_word") == i, own).otherwise(none) for i in each]
+    some = F.expr(f"_bits <> array_repeat(0L, {WORDS})")
+    alive = F.array(*[F.expr(f"_bits[{i}] & _live[{i}]") for i in each]).alias("_bits")
+    met = [F.expr(f"bit_or(_bits[{i}])").alias(f"_n{i}") for i in each]
+    come = [F.col(c) for c in ("_block", "node", *(f"_n{i}" for i in each))] + [none.alias(f"_o{i}") for i in each]
+    been = [F.col("_block"), F.col("node"), *[none.alias(f"_n{i}") for i in each], *[F.expr(f"_bits[{i}]").alias(f"_o{i}") for i in each]]
+    both = [F.expr(f"bit_or(_{c}{i})").alias(f"_{c}{i}") for c in "no" for i in each]
+    fresh = F.array(*[F.expr(f"_n{i} & ~_o{i}") for i in each]).alias("_bits")
+    living = F.array(*[F.bit_or(m) for m in mark]).alias("_live")
+    there = F.coalesce(F.expr("shiftright(_bits[_word], _bit) & 1L = 1"), F.lit(False)).alias("_hit")
+    e = staged(hubs.select("node", "hub").distinct())
+    links = e.count()
+    rows(links)
+    p = pairs.select("pair_id", "start", "end")
+    asked = staged(pairs.filter(F.col("start") != F.col("end")).select(*_ends(), (F.col(near) if near else F.lit(None)).alias("_near"))
+                   .groupBy("_x", "_y").agg(F.min("_near").alias("_near")))
+    uses = asked.select(F.explode(F.array("_x", "_y")).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("c"))
+    asked = asked.join(uses.select(F.col("n").alias("_x"), F.col("c").alias("_cx")), "_x").join(uses.select(F.col("n").alias("_y"), F.col("c").alias("_cy")), "_y")
+    first = F.col("_cx") >= F.col("_cy")
+    asked = staged(asked.select("_x", "_y", "_near", F.when(first, F.col("_x")).otherwise(F.col("_y")).alias("origin"),
+                                F.when(first, F.col("_y")).otherwise(F.col("_x")).alias("node")))
+    origins = global_rank(asked.groupBy("origin").agg(F.min("_near").alias("_near")), ["_near", "origin"], "_r")
+    origins = origins.select("origin", F.expr(f"_r div {64 * WORDS}").alias("_block"), F.expr(f"cast(_r div 64 % {WORDS} as int)").alias("_word"), F.expr("cast(_r % 64 as int)").alias("_bit"))
+    open_ = staged(asked.join(origins, "origin").select("_x", "_y", "_block", "_word", "_bit", "node"))
+    front, before = staged(origins.select("_block", F.col("origin").alias("node"), F.array(*mark).alias("_bits"))), None
+    found = None
+    for r in range(1, max_rounds + 1):
+        if open_.isEmpty():
+            break
+        live = open_.groupBy("_block").agg(living)
+        at = front.join(F.broadcast(live), "_block").select("_block", "node", alive).filter(some)
+        at = at.join(e.hint("shuffle_hash"), "node").groupBy("_block", "hub").agg(*met)
+        at = at.join(e.hint("shuffle_hash"), "hub").select(*come)
+        for old in [front] if before is None else [front, before]:  # older layers are no neighbours of the newest
+            at = at.unionByName(old.select(*been))
+        new = staged(at.groupBy("_block", "node").agg(*both).select("_block", "node", fresh).filter(some))
+        reached = new.count()
+        rows(max(links, WORDS * reached))
+        tried = staged(open_.join(new, ["_block", "node"], "left").select("_x", "_y", "_block", "_word", "_bit", "node", there))
+        hit = tried.filter("_hit").select("_x", "_y", F.lit(r).cast("bigint").alias("dist"))
+        found = hit if found is None else found.unionByName(hit)
+        if before is not None:
+            drop_staged(before)
+        open_, before, front = tried.filter("not _hit").drop("_hit"), front, new
+        if not reached:  # the rest is out of reach
+            break
     else:
-        e = edges.select(F.col(src).alias("_a"), F.col(dst).alias("_b"))
-        e = staged(e.unionByName(e.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct())
+        raise RuntimeError("pair_distance hit the round bound")
+    return _told(p, found)
+
+
+def _pair_distance(edges: DataFrame, pairs: DataFrame, src: str, dst: str, max_rounds: int, rows: Callable[[int], None]) -> DataFrame:
+    e = edges.select(F.col(src).alias("_a"), F.col(dst).alias("_b"))
+    e = staged(e.unionByName(e.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct())
     rows(e.count())
 
     def around(front):
-        if hubs is not None:
-            return front.join(e, "node").select("origin", "hub").distinct().join(e, "hub").select("origin", "node").distinct()
         return front.join(e, front["node"] == e["_a"]).select("origin", F.col("_b").alias("node")).distinct()
 
     def meet(x, y, dist):
         at = open_.join(x.select(F.col("origin").alias("_x"), "node"), "_x")
         return at.join(y.select(F.col("origin").alias("_y"), "node"), ["_y", "node"]).select("_x", "_y", F.lit(dist).cast("bigint").alias("dist"))
 
-    ends = [F.least("start", "end").alias("_x"), F.greatest("start", "end").alias("_y")]
     p = pairs.select("pair_id", "start", "end")
-    open_ = staged(p.filter(F.col("start") != F.col("end")).select(*ends).distinct())
+    open_ = staged(p.filter(F.col("start") != F.col("end")).select(*_ends()).distinct())
     origins = lambda: open_.select(F.col("_x").alias("origin")).union(open_.select("_y")).distinct()
     front, before = staged(origins().withColumn("node", F.col("origin"))), None
     found = None
@@ -238,11 +306,7 @@ def _pair_distance(edges: DataFrame | None, pairs: DataFrame, src: str, dst: str
         open_, before, front = still, front, new
     else:
         raise RuntimeError("pair_distance hit the round bound")
-    dist = F.when(F.col("start") == F.col("end"), F.lit(0).cast("bigint"))
-    if found is None:
-        return p.withColumn("dist", dist)
-    asked = p.withColumns({"_x": ends[0], "_y": ends[1]})
-    return asked.join(found, ["_x", "_y"], "left").select("pair_id", "start", "end", F.coalesce(dist, F.col("dist")).alias("dist"))
+    return _told(p, found)
 
 
 def shortest_path_len(edges: DataFrame, pairs: DataFrame, src: str = "src", dst: str = "dst",

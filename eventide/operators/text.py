@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cols
@@ -35,6 +35,16 @@ def tokens(df: DataFrame, text: str, keep=(), out: str = "word", pos: str | None
     return t.filter(F.col(out) != "").withColumn(out, F.lower(out))
 
 
+def end_tokens(df: DataFrame, key: str, text: str, first: str, last: str) -> DataFrame:
+    """The first and the last of the ``tokens`` of each key's text; a text without any has no row.
+
+    Only the first and the last part of a text can be empty, so no token gets a row of its own."""
+    t = df.select(key, F.split(F.col(text), TOKEN_SPLIT).alias("_p"))
+    t = t.select(key, "_p", F.expr("if(_p[0] = '', 1, 0)").alias("_i"), F.expr("size(_p) - if(_p[size(_p) - 1] = '', 2, 1)").alias("_j")).filter("_p is not null and _i <= _j")
+    t = t.select(key, "_i", "_j", F.lower(F.expr("_p[_i]")).alias("_f"), F.lower(F.expr("_p[_j]")).alias("_l"))
+    return t.groupBy(key).agg(F.min_by("_f", "_i").alias(first), F.max_by("_l", "_j").alias(last))
+
+
 def anagram_key(c) -> F.Column:
     return F.array_join(F.array_sort(F.split(c, "")), "")
 
@@ -176,10 +186,10 @@ def segmentable(texts: DataFrame, words: DataFrame, text: str = "text", word: st
     return whole.join(cut, "_id", "left").select(text, F.when(F.col(text).isNotNull(), F.coalesce("_cut", F.length(text) == 0)).alias("segmentable"))
 
 
-def _patterns(df: DataFrame, word: str) -> DataFrame:
+def _patterns(df: DataFrame, word: str, *keep: str) -> DataFrame:
     """(word, pattern) with one position replaced by '*' (h*t, *it, hi*)."""
-    return df.select(word, F.explode(F.sequence(F.lit(1), F.length(word))).alias("_i")).select(
-        word, F.concat(F.substring(word, 1, F.col("_i") - 1), F.lit("*"), F.expr(f"substring(`{word}`, _i + 1)"))
+    return df.select(word, *keep, F.explode(F.sequence(F.lit(1), F.length(word))).alias("_i")).select(
+        word, *keep, F.concat(F.substring(word, 1, F.col("_i") - 1), F.lit("*"), F.expr(f"substring(`{word}`, _i + 1)"))
         .alias("pattern"))
 
 
@@ -189,38 +199,39 @@ def word_ladder(words: DataFrame, pairs: DataFrame, word: str = "word", max_roun
     unreachable; 1 when begin = end.
 
     BFS over the bipartite word <-> wildcard-pattern graph of the list, so a
-    crowded pattern is expanded once per pair instead of as all its word pairs.
+    crowded pattern is expanded once per search as all its word pairs never are.
     A begin word outside the list is no node that others may step through: its
     pair starts at the list words one letter away, with one step taken.
+    Words and pairs are read once; from then on words are numbers.
     """
-    vocab = words.select(F.col(word).alias("w")).distinct().filter(F.length("w") > 0)
-    every = staged(_patterns(vocab, "w").select(F.col("w").alias("node"), F.col("pattern").alias("hub")))
-    # a pattern of one word leads nowhere: most patterns go before any search
-    hubs = staged(every.join(every.groupBy("hub").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("hub"), "hub"))
-    listed = vocab.withColumn("_in", F.lit(True))
-    known = pairs.join(listed.withColumnRenamed("w", "end"), "end") \
-        .filter((F.length("begin") == F.length("end")) & (F.col("begin") != F.col("end"))).select("pair_id", "begin", "end")
-    known = known.join(listed.select(F.col("w").alias("begin"), F.col("_in").alias("_own")), "begin", "left")
-    inside = known.filter("_own").select("pair_id", F.col("begin").alias("start"), "end", F.lit(0).alias("_taken"))
-    outside = _patterns(known.filter("_own is null").select("begin").distinct(), "begin") \
-        .join(every, F.col("pattern") == F.col("hub")).select("begin", F.col("node").alias("start")).distinct()
-    outside = known.filter("_own is null").join(outside, "begin").select("pair_id", "start", "end", F.lit(1).alias("_taken"))
-    ask = staged(inside.unionByName(outside).withColumn("_ask", F.monotonically_increasing_id()))
-    # numbers instead of words and patterns, even and odd; written, so that no recomputation numbers anew
-    ids = staged(hubs.select("node").distinct().withColumn("id", F.monotonically_increasing_id() * 2))
-    hub_ids = hubs.select("hub").distinct().withColumn("_h", F.monotonically_increasing_id() * 2 + 1)
-    links = staged(hubs.join(staged(hub_ids), "hub").join(ids, "node").select(F.col("id").alias("node"), F.col("_h").alias("hub")))
+    vocab = staged(words.select(F.col(word).alias("w")).distinct().filter(F.length("w") > 0).withColumn("id", F.monotonically_increasing_id()))
+    pairs = staged(pairs.select("pair_id", "begin", "end"))
+    side = lambda c: vocab.select(F.col("w").alias(c), F.col("id").alias(f"_{c}"))
+    known = pairs.filter((F.length("begin") == F.length("end")) & (F.col("begin") != F.col("end")))
+    known = staged(known.join(side("end"), "end").join(side("begin"), "begin", "left"))
+    ask = known.filter("_begin is not null").select("pair_id", F.col("_begin").alias("start"), F.col("_end").alias("end"), F.lit(0).alias("_taken"))
+    outside = known.filter("_begin is null").select("pair_id", "begin", "_end")
+    if not outside.isEmpty():
+        starts = _patterns(outside.select("begin").distinct(), "begin").join(_patterns(vocab, "w", "id"), "pattern").select("begin", F.col("id").alias("start")).distinct()
+        ask = ask.unionByName(outside.join(starts, "begin").select("pair_id", "start", F.col("_end").alias("end"), F.lit(1).alias("_taken")))
+    ask = staged(ask.withColumn("_ask", F.monotonically_increasing_id()))
+    # a pattern of one word leads nowhere: most patterns go before any search.  Those of a pattern differ in one letter,
+    # so it has no more words than the alphabet letters; it takes the number of one of its rows
+    of = Window.partitionBy("pattern")
+    every = _patterns(vocab, "w", "id").select("pattern", F.col("id").alias("node"), F.monotonically_increasing_id().alias("_m"))
+    every = every.select("node", F.min("_m").over(of).alias("hub"), F.min("node").over(of).alias("_low"), F.count(F.lit(1)).over(of).alias("_n"))
+    links = staged(every.filter("_n > 1").drop("_n"))
     # Pairs whose ends lie in different components of the word graph are
     # unreachable: settle them with one connected-components job (O(log n)
-    # rounds) instead of letting both searches exhaust their components.
-    comp = connected_components(links, src="node", dst="hub")
-    placed = staged(ids.join(comp.withColumnRenamed("node", "id"), "id"))
-    side = lambda c: placed.select(F.col("node").alias(c), F.col("id").alias(f"_{c}"), F.col("component").alias(f"_c{c}"))
-    open_ = staged(ask.join(side("start"), "start").join(side("end"), "end").filter("_cstart = _cend")
-                   .select(F.col("_ask").alias("pair_id"), F.col("_start").alias("start"), F.col("_end").alias("end")))
-    dist = pair_distance(None, open_, hubs=links, max_rounds=max_rounds).select(F.col("pair_id").alias("_ask"), "dist")
+    # rounds) instead of letting the searches exhaust their components.
+    comp = connected_components(links, src="node", dst="_low")
+    ends = lambda c: comp.select(F.col("node").alias(c), F.col("component").alias(f"_c{c}"))
+    open_ = staged(ask.join(ends("start"), "start").join(ends("end"), "end").filter("_cstart = _cend and start <> end")
+                   .select(F.col("_ask").alias("pair_id"), "start", "end", F.col("_cstart").alias("component")))
+    asked = comp.join(open_.select("component").distinct(), "component", "left_semi").select("node")
+    dist = pair_distance(None, open_, hubs=links.select("node", "hub").join(asked, "node", "left_semi"), max_rounds=max_rounds, near="component")
     here = ask.filter(F.col("start") == F.col("end")).select("_ask", F.lit(0).cast("bigint").alias("dist"))
-    best = ask.join(dist.unionByName(here), "_ask").groupBy("pair_id").agg(F.min(F.col("dist") + F.col("_taken")).alias("dist"))
+    best = ask.join(dist.select(F.col("pair_id").alias("_ask"), "dist").unionByName(here), "_ask").groupBy("pair_id").agg(F.min(F.col("dist") + F.col("_taken")).alias("dist"))
     n = F.when(F.col("begin") == F.col("end"), F.lit(1)).otherwise(F.coalesce(F.col("dist") + 1, F.lit(0)))
     return pairs.join(best, "pair_id", "left").select("pair_id", "begin", "end", n.cast("int").alias("ladder_len"))
 

@@ -379,10 +379,10 @@ SELECT pair_id, pairs.b AS "begin", pairs.e AS "end", CAST(coalesce(d + 1, 0) AS
 FROM pairs LEFT JOIN reach ON reach.b = pairs.b AND reach.word = pairs.e
 """)
 def word_ladder(spark, sf_dir):
-    t = TX.tokens(load(spark, sf_dir, "documents"), "text", keep=["doc_id"], pos="_i")
+    docs = load(spark, sf_dir, "documents")
     # the first and the last token of each document; of different lengths, the answer is 0
-    pairs = t.groupBy(F.col("doc_id").alias("pair_id")).agg(F.min_by("word", "_i").alias("begin"), F.max_by("word", "_i").alias("end"))
-    return TX.word_ladder(t.select("word"), pairs)
+    pairs = TX.end_tokens(docs, "doc_id", "text", "begin", "end").withColumnRenamed("doc_id", "pair_id")
+    return TX.word_ladder(TX.tokens(docs, "text"), pairs)
 
 
 _TAGS = """tags AS (
