@@ -20,7 +20,7 @@ VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link",
              "param", "source", "track", "wbr")
 # Raw-text elements whose content is not markup.
 RAW_TEXT = ("script", "style")
-TOKEN_SPLIT = r"\P{L}+"
+TOKEN_SPLIT, TOKEN = r"\P{L}+", r"\p{L}+"
 SEGMENT = 1024  # characters of a text that are looked up from one string
 
 
@@ -38,7 +38,12 @@ def tokens(df: DataFrame, text: str, keep=(), out: str = "word", pos: str | None
 def end_tokens(df: DataFrame, key: str, text: str, first: str, last: str) -> DataFrame:
     """The first and the last of the ``tokens`` of each key's text; a text without any has no row.
 
-    Only the first and the last part of a text can be empty, so no token gets a row of its own."""
+    No token gets a row of its own.  Where no key repeats, a text is searched from either end; else the rows of a
+    key are told apart by their tokens' positions, for which texts are split.  Only a first or last part can be empty."""
+    if df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+        run = lambda c: F.regexp_extract(c, TOKEN, 0)
+        t = df.select(key, run(F.col(text)).alias("_f"), F.reverse(run(F.reverse(F.col(text)))).alias("_l"))
+        return t.filter("_f <> ''").select(key, F.lower("_f").alias(first), F.lower("_l").alias(last))
     t = df.select(key, F.split(F.col(text), TOKEN_SPLIT).alias("_p"))
     t = t.select(key, "_p", F.expr("if(_p[0] = '', 1, 0)").alias("_i"), F.expr("size(_p) - if(_p[size(_p) - 1] = '', 2, 1)").alias("_j")).filter("_p is not null and _i <= _j")
     t = t.select(key, "_i", "_j", F.lower(F.expr("_p[_i]")).alias("_f"), F.lower(F.expr("_p[_j]")).alias("_l"))
