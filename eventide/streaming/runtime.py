@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..session import scratch_path
 
@@ -49,6 +50,37 @@ def stage_by_time(df: DataFrame, ts: str, root: str, slices: int = 5) -> int:
     return files_per_slice
 
 
+SLICE_ROWS = 20 * FILE_ROWS  # of a slice that ``replay`` has on disk, about
+
+
+def replay(df: DataFrame, ts: str, root: str, start: Callable[[int], StreamingQuery], records: Callable[[DataFrame], DataFrame],
+           rows: int, slices: int = 5) -> None:
+    """Run ``records`` of ``df``, in the order of its times, through a stream over the files below ``root``.
+
+    Slice after slice of about ``rows`` rows (``slices`` at least, of equal numbers of rows) is worked out, written, run through
+    the query that ``start`` starts and deleted, so one slice is on disk at a time, however many rows there are.  ``start``
+    is given the slice's number of files; its query takes what is available and goes on from its checkpoint.  As in
+    ``stage_by_time``, rows without a time are in no slice.
+    """
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    df = df.filter(us.isNotNull())
+    n = df.count()
+    k = max(slices, -(-n // rows))
+    cuts = df.agg(F.percentile_approx(us, [i / k for i in range(1, k + 1)], max(10_000, 100 * k)).alias("at")).first()["at"]
+    cuts = sorted(set(cuts or [0]))  # times of rows, so no slice is empty; rows of one time stay together
+    files = max(2, -(-n // (len(cuts) * FILE_ROWS)))
+    for i in range(len(cuts)):
+        part = df.filter(us > cuts[i - 1]) if i else df
+        if i < len(cuts) - 1:
+            part = part.filter(us <= cuts[i])
+        records(part.repartition(files)).write.mode("overwrite").parquet(f"{root}/slice={i}")
+        q = start(files)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        delete(df.sparkSession, f"{root}/slice={i}")
+
+
 def file_stream(spark: SparkSession, root: str, schema, files_per_trigger: int) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
                  .option("recursiveFileLookup", "true").parquet(root))
