@@ -50,7 +50,7 @@ def stage_by_time(df: DataFrame, ts: str, root: str, slices: int = 5) -> int:
     return files_per_slice
 
 
-SLICE_ROWS = 20 * FILE_ROWS  # of a slice that ``replay`` has on disk, about
+SLICE_ROWS = 10 * FILE_ROWS  # of a slice that ``replay`` has on disk, about
 
 
 def replay(df: DataFrame, ts: str, root: str, start: Callable[[int], StreamingQuery], records: Callable[[DataFrame], DataFrame],
